@@ -79,15 +79,14 @@ def initcap_class() -> str:
 def initcap_words(x) -> Column:
     """Punctuation-aware INITCAP: upper-case the first letter after any delimiter.
 
-    ``'174-175 STS (B,D)'`` -> ``'174-175 Sts (B,D)'``. Spark's own ``initcap``
-    only splits on spaces.
+    ``'174-175 STS (B,D)'`` -> ``'174-175 Sts (B,D)'``. Spark's ``initcap``
+    only starts words after a space, so a space is inserted after every
+    delimiter, ``initcap`` runs (codegen, no lambda), and exactly one space
+    after each delimiter is removed again.
     """
     cls = initcap_class()
-    inner = cls[1:-1]
-    pattern = f"{cls}+|[^{inner}]+"
-    tokens = F.regexp_extract_all(F.lower(_c(x)), F.lit(pattern), 0)
-    cased = F.transform(tokens, lambda t: F.concat(F.upper(F.substring(t, 1, 1)), F.substring(t, 2, 1 << 30)))
-    return F.when(_c(x).isNull(), F.lit(None).cast("string")).otherwise(F.array_join(cased, ""))
+    spaced = F.regexp_replace(_c(x), F.lit(f"({cls})"), F.lit("$1 "))
+    return F.regexp_replace(F.initcap(spaced), F.lit(f"({cls}) "), F.lit("$1"))
 
 
 def season(month) -> Column:

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stationflow.functions import dec_avg, dec_sum, rnd, safe_div, season, tier
+from stationflow.operators.common import rollup_with_attrs
 
 RECOVERY_TIERS = ((90, "Recovered"), (70, "Recovering"), (50, "Lagging"))
 
@@ -23,26 +24,27 @@ def _coord(c: str) -> F.Column:
 def monthly_totals(stg: DataFrame) -> DataFrame:
     """Ridership per station x year x month (+ name, borough, mean coordinates).
 
-    Grouped by station id only (name and borough are carried with ``max``),
-    so a renamed station is not split in two.
+    Grouped by station id (name and borough carried as ``max``), so a renamed
+    station is not split in two; see :func:`rollup_with_attrs` for why the
+    names ride as hash keys first.
     """
-    g = stg.groupBy("station_complex_id", "transit_year", "transit_month").agg(
-        F.max("station_name").alias("station_name"),
-        F.max("borough").alias("borough"),
-        _coord("latitude").alias("latitude"),
-        _coord("longitude").alias("longitude"),
-        dec_sum("ridership").alias("monthly_ridership"),
+    g = rollup_with_attrs(
+        stg,
+        keys=["station_complex_id", "transit_year", "transit_month"],
+        attrs=["station_name", "borough"],
+        sums={"_r": ("ridership", 18, 2), "_lat": ("latitude", 12, 6), "_lon": ("longitude", 12, 6)},
+        counts={"_nlat": "latitude", "_nlon": "longitude"},
     )
     return g.select(
         "station_complex_id",
         "station_name",
         "borough",
-        "latitude",
-        "longitude",
+        rnd(safe_div("_lat", "_nlat"), 6).alias("latitude"),
+        rnd(safe_div("_lon", "_nlon"), 6).alias("longitude"),
         F.col("transit_year").alias("ridership_year"),
         F.col("transit_month").alias("ridership_month"),
         F.make_date("transit_year", "transit_month", F.lit(1)).alias("ridership_month_date"),
-        "monthly_ridership",
+        F.col("_r").cast("double").alias("monthly_ridership"),
     )
 
 

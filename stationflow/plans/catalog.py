@@ -12,8 +12,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stationflow.operators import congestion as cg
 from stationflow.operators import recovery as rec
 from stationflow.operators import staging as stg
+from stationflow.operators import utilization as ut
 from stationflow.sources import bindings as B
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -53,3 +55,190 @@ def q_monthly_totals(spark, d):
 @register("recovery_monthly")
 def q_recovery_monthly(spark, d):
     return monthly(spark, d)
+
+
+@register("mom_change")
+def q_mom_change(spark, d):
+    return rec.mom_change(rec.monthly_totals(stg_cur(spark, d)))
+
+
+@register("mom_change_strict")
+def q_mom_change_strict(spark, d):
+    return rec.mom_change(rec.monthly_totals(stg_cur(spark, d)), strict=True)
+
+
+@register("recovery_borough")
+def q_recovery_borough(spark, d):
+    return rec.recovery_borough(monthly(spark, d))
+
+
+@register("recovery_scorecard")
+def q_recovery_scorecard(spark, d):
+    return rec.recovery_scorecard(monthly(spark, d))
+
+
+@register("crosswalk_recovery")
+def q_crosswalk_recovery(spark, d):
+    # Baseline ids re-keyed k -> k // 2 (many-to-one), derived from the data's own station ids.
+    ids = stg_base(spark, d).select("station_complex_id").distinct()
+    cw = ids.select(
+        F.col("station_complex_id").alias("old_id"),
+        (F.col("station_complex_id").cast("bigint") / 2).cast("bigint").cast("string").alias("new_id"),
+        F.lit(1.0).alias("share"),
+    )
+    return rec.crosswalk_recovery(stg_cur(spark, d), stg_base(spark, d), cw)
+
+
+# ------------------------------------------------------------------ staging
+@register("stg_ridership")
+def q_stg_ridership(spark, d):
+    return stg.stg_ridership(B.ridership_monthly_raw(spark, d, with_defects=True))
+
+
+@register("stg_rejects")
+def q_stg_rejects(spark, d):
+    r = stg.stg_rejects(B.ridership_monthly_raw(spark, d, with_defects=True))
+    return r.select("transit_timestamp", "station_complex_id", "ridership", "reject_reason")
+
+
+@register("stg_census")
+def q_stg_census(spark, d):
+    return stg.stg_census(B.census_raw(spark, d))
+
+
+@register("season_totals")
+def q_season_totals(spark, d):
+    return stg.season_totals(stg_all(spark, d))
+
+
+# ------------------------------------------------------------------ congestion
+def stg_coarse(spark, d):
+    return stg.stg_ridership(B.hourly_coarse_raw(spark, d))
+
+
+def stg_fine(spark, d):
+    return stg.stg_ridership(B.hourly_fine_raw(spark, d))
+
+
+def hub_coarse(spark, d):
+    return cg.fare_consolidated(stg_coarse(spark, d))
+
+
+def hub_fine(spark, d):
+    return cg.fare_consolidated(stg_fine(spark, d))
+
+
+@register("fare_consolidated")
+def q_fare_consolidated(spark, d):
+    return hub_coarse(spark, d)
+
+
+@register("system_hourly")
+def q_system_hourly(spark, d):
+    return cg.system_hourly(hub_coarse(spark, d))
+
+
+@register("peak_rank")
+def q_peak_rank(spark, d):
+    return cg.peak_rank(hub_coarse(spark, d))
+
+
+@register("congestion_hourly")
+def q_congestion_hourly(spark, d):
+    return cg.congestion_hourly(hub_coarse(spark, d))
+
+
+@register("congestion_hourly_distinct")
+def q_congestion_hourly_distinct(spark, d):
+    return cg.congestion_hourly(hub_coarse(spark, d), hours="distinct")
+
+
+def _halves(spark, d):
+    s = stg_coarse(spark, d)
+    split = F.lit(B.SPLIT_DATE).cast("date")
+    return s.filter(F.col("transit_date") >= split), s.filter(F.col("transit_date") < split)
+
+
+@register("capacity_p95")
+def q_capacity_p95(spark, d):
+    _, base = _halves(spark, d)
+    return cg.capacity_p95(base)
+
+
+@register("capacity_p95_fare_rows")
+def q_capacity_p95_fare_rows(spark, d):
+    _, base = _halves(spark, d)
+    return cg.capacity_p95(base, consolidate=False)
+
+
+@register("top_value_per_group")
+def q_top_value_per_group(spark, d):
+    h = cg.congestion_hourly(hub_coarse(spark, d))
+    return cg.top_value_per_group(h, ["station_complex_id", "day_of_week"], "station_peak_hour", "most_common_peak_hour")
+
+
+def _mart(spark, d, **kw):
+    cur, base = _halves(spark, d)
+    hub = cg.fare_consolidated(cur)
+    return cg.congestion_mart(cg.congestion_hourly(hub), cg.capacity_p95(base), cg.station_dim(hub), **kw)
+
+
+@register("congestion_mart")
+def q_congestion_mart(spark, d):
+    return _mart(spark, d)
+
+
+@register("congestion_mart_low")
+def q_congestion_mart_low(spark, d):
+    return _mart(spark, d, intensity=((4.0, "High Congestion"), (3.0, "Moderate"), (1.0, "Baseline")))
+
+
+@register("station_thresholds")
+def q_station_thresholds(spark, d):
+    return cg.station_thresholds(hub_coarse(spark, d))
+
+
+# ------------------------------------------------------------------ utilization
+def _status(spark, d, min_avg=50):
+    hub = hub_fine(spark, d)
+    return ut.utilization_status(ut.hour_spine(hub), ut.hour_profile(hub), min_avg=min_avg), hub
+
+
+@register("hour_spine")
+def q_hour_spine(spark, d):
+    return ut.hour_spine(hub_fine(spark, d))
+
+
+@register("hour_profile")
+def q_hour_profile(spark, d):
+    return ut.hour_profile(hub_fine(spark, d))
+
+
+@register("rolling_zero_count")
+def q_rolling_zero_count(spark, d):
+    return ut.rolling_zero_count(ut.hour_spine(hub_fine(spark, d)))
+
+
+@register("zero_streaks")
+def q_zero_streaks(spark, d):
+    return ut.zero_streaks(ut.hour_spine(hub_fine(spark, d)))
+
+
+@register("utilization_status")
+def q_utilization_status(spark, d):
+    return _status(spark, d)[0]
+
+
+def daily_fine(spark, d):
+    st, hub = _status(spark, d)
+    return ut.utilization_daily(st, cg.station_dim(hub))
+
+
+@register("utilization_daily")
+def q_utilization_daily(spark, d):
+    return daily_fine(spark, d)
+
+
+@register("utilization_annual")
+def q_utilization_annual(spark, d):
+    return ut.utilization_annual(daily_fine(spark, d))

@@ -153,3 +153,378 @@ def key(name: str, final: str, *needs: str) -> None:
 
 key("monthly_totals", "SELECT * FROM monthly", "monthly")
 key("recovery_monthly", "SELECT * FROM recovery", "recovery")
+
+# ------------------------------------------------------------------ more recovery
+R.add("mom_row", f"""
+SELECT station_complex_id, ridership_month_date, monthly_ridership,
+       lag(monthly_ridership) OVER (PARTITION BY station_complex_id ORDER BY ridership_month_date) AS prev_month_ridership
+FROM monthly
+""", ("monthly",))
+R.add("mom_strict", """
+SELECT c.station_complex_id, c.ridership_month_date, c.monthly_ridership, p.monthly_ridership AS prev_month_ridership
+FROM monthly c LEFT JOIN monthly p
+  ON p.station_complex_id = c.station_complex_id AND p.ridership_month_date + INTERVAL 1 MONTH = c.ridership_month_date
+""", ("monthly",))
+_MOM = f"SELECT *, {rnd(sdiv('monthly_ridership - prev_month_ridership', 'prev_month_ridership') + ' * 100', 2)} AS month_over_month_pct FROM "
+key("mom_change", _MOM + "mom_row", "mom_row")
+key("mom_change_strict", _MOM + "mom_strict", "mom_strict")
+
+_RTIER = ((90, "Recovered"), (70, "Recovering"), (50, "Lagging"))
+R.add("borough_agg", f"""
+SELECT borough, ridership_year AS transit_year,
+       {dsum('monthly_ridership')} AS annual_ridership,
+       {dsum('baseline_monthly_2019')} AS annual_baseline_2019
+FROM recovery GROUP BY borough, ridership_year
+""", ("recovery",))
+R.add("borough_rows", f"""
+SELECT 'borough' AS record_type, transit_year, borough, CAST(NULL AS VARCHAR) AS station_complex_id,
+       borough || ' Total System' AS display_name, annual_ridership, annual_baseline_2019,
+       {rnd(sdiv('annual_ridership', 'annual_baseline_2019') + ' * 100', 2)} AS recovery_pct,
+       'system_inclusive' AS data_quality_flag
+FROM borough_agg
+""", ("borough_agg",))
+key("recovery_borough", f"""
+SELECT *, {tier('recovery_pct', _RTIER, 'Critical', 'N/A')} AS recovery_tier,
+       {rnd("recovery_pct - " + sdiv("sum(CAST(recovery_pct AS DECIMAL(18,2))) OVER (PARTITION BY transit_year)", "count(recovery_pct) OVER (PARTITION BY transit_year)"), 2)} AS pct_vs_system_avg
+FROM borough_rows
+""", "borough_rows")
+
+R.add("sc_station", f"""
+SELECT 'station' AS record_type, ridership_year AS transit_year, max(borough) AS borough, station_complex_id,
+       max(station_name) AS station_name,
+       {rnd(davg('latitude', 12, 6), 6)} AS latitude,
+       {rnd(davg('longitude', 12, 6), 6)} AS longitude,
+       {dsum('monthly_ridership')} AS annual_ridership,
+       {dsum('baseline_monthly_2019')} AS annual_baseline_2019,
+       {rnd(sdiv(dsum('monthly_ridership'), dsum('baseline_monthly_2019')) + ' * 100', 2)} AS recovery_pct,
+       CASE min(CASE data_quality_flag WHEN 'suspect_merged' THEN 0 WHEN 'suspect_split' THEN 1
+                                       WHEN 'no_baseline' THEN 2 WHEN 'clean' THEN 3 ELSE 4 END)
+            WHEN 0 THEN 'suspect_merged' WHEN 1 THEN 'suspect_split' WHEN 2 THEN 'no_baseline' WHEN 3 THEN 'clean' END
+         AS data_quality_flag
+FROM recovery GROUP BY station_complex_id, ridership_year
+""", ("recovery",))
+R.add("sc_station2", f"""
+SELECT *,
+  {rnd(sdiv("sum(CASE WHEN data_quality_flag = 'clean' THEN CAST(recovery_pct AS DECIMAL(18,2)) END) OVER (PARTITION BY borough, transit_year)",
+            "count(CASE WHEN data_quality_flag = 'clean' THEN recovery_pct END) OVER (PARTITION BY borough, transit_year)"), 2)}
+    AS borough_avg_recovery_pct
+FROM sc_station
+""", ("sc_station",))
+R.add("sc_borough", f"""
+SELECT 'borough' AS record_type, transit_year, borough, CAST(NULL AS VARCHAR) AS station_complex_id,
+       'Borough Average' AS station_name,
+       {rnd(davg('latitude', 12, 6), 6)} AS latitude,
+       {rnd(davg('longitude', 12, 6), 6)} AS longitude,
+       {dsum('annual_ridership')} AS annual_ridership,
+       {dsum('annual_baseline_2019')} AS annual_baseline_2019,
+       {rnd(sdiv(dsum('annual_ridership'), dsum('annual_baseline_2019')) + ' * 100', 2)} AS recovery_pct,
+       'clean' AS data_quality_flag,
+       max(borough_avg_recovery_pct) AS borough_avg_recovery_pct
+FROM sc_station2 WHERE data_quality_flag = 'clean'
+GROUP BY borough, transit_year
+""", ("sc_station2",))
+R.add("scorecard", f"""
+SELECT *, {tier('recovery_pct', _RTIER, 'Critical', 'N/A')} AS recovery_tier,
+       {rnd('recovery_pct - borough_avg_recovery_pct', 2)} AS pct_vs_borough_avg
+FROM (SELECT * FROM sc_station2 UNION ALL BY NAME SELECT * FROM sc_borough)
+""", ("sc_station2", "sc_borough"))
+key("recovery_scorecard", "SELECT * FROM scorecard", "scorecard")
+
+# crosswalk: baseline ids k -> k // 2, then the same recovery formulas.
+R.add("cw_base_m", """
+SELECT CAST(CAST(floor(CAST(station_complex_id AS BIGINT) / 2) AS BIGINT) AS VARCHAR) AS station_complex_id,
+       transit_month AS ridership_month, sum(CAST(ridership AS DECIMAL(18,2))) AS base_m
+FROM stg_base GROUP BY 1, 2
+""", ("stg_base",))
+R.add("cw_base_a", "SELECT station_complex_id, sum(base_m) AS base_a FROM cw_base_m GROUP BY 1", ("cw_base_m",))
+R.add("cw_j", f"""
+SELECT c.*, CAST(m.base_m AS DOUBLE) AS baseline_monthly_2019, CAST(a.base_a AS DOUBLE) AS baseline_annual_2019,
+       {rnd(sdiv('c.monthly_ridership', 'm.base_m') + ' * 100', 2)} AS monthly_recovery_pct,
+       lag(c.monthly_ridership) OVER (PARTITION BY c.station_complex_id ORDER BY c.ridership_month_date) AS prev_month_ridership
+FROM monthly c
+LEFT JOIN cw_base_m m ON c.station_complex_id = m.station_complex_id AND c.ridership_month = m.ridership_month
+LEFT JOIN cw_base_a a ON c.station_complex_id = a.station_complex_id
+""", ("monthly", "cw_base_m", "cw_base_a"))
+key("crosswalk_recovery", f"""
+SELECT *,
+       {rnd(sdiv('monthly_ridership - prev_month_ridership', 'prev_month_ridership') + ' * 100', 2)} AS month_over_month_pct,
+       CASE WHEN monthly_recovery_pct > 200 THEN 'suspect_merged' WHEN monthly_recovery_pct < 25 THEN 'suspect_split'
+            WHEN baseline_monthly_2019 IS NULL THEN 'no_baseline' ELSE 'clean' END AS data_quality_flag,
+       {season('ridership_month')} AS season,
+       {tier('monthly_recovery_pct', _RTIER, 'Critical')} AS recovery_tier
+FROM cw_j
+""", "cw_j")
+
+# ------------------------------------------------------------------ staging
+R.add("stg_defects", _stg("raw_monthly_defects"), ("raw_monthly_defects",))
+key("stg_ridership", "SELECT * FROM stg_defects", "stg_defects")
+key("stg_rejects", """
+SELECT transit_timestamp, station_complex_id, ridership,
+       CASE WHEN transit_timestamp IS NULL THEN 'null_timestamp' WHEN station_complex_id IS NULL THEN 'null_station'
+            WHEN ridership IS NULL THEN 'null_ridership' ELSE 'negative_ridership' END AS reject_reason
+FROM raw_monthly_defects
+WHERE NOT (transit_timestamp IS NOT NULL AND station_complex_id IS NOT NULL AND ridership IS NOT NULL AND ridership >= 0)
+""", "raw_monthly_defects")
+
+R.add("census_raw", """
+SELECT printf('36%03d%06d', 5, n_nationkey) AS geoid,
+       lower('region ' || CAST(n_regionkey AS VARCHAR)) AS borough,
+       '005' AS county_fips,
+       pop AS total_population,
+       CAST(floor(pop / 2) + 1 AS BIGINT) AS total_households,
+       CAST(floor((floor(pop / 2) + 1) * n_nationkey / 100) AS BIGINT) AS households_no_vehicle,
+       CAST(CASE WHEN n_nationkey = 24 THEN -666666666 ELSE 20000 + 6000 * n_nationkey END AS BIGINT) AS median_household_income,
+       CASE WHEN n_nationkey = 7 THEN NULL ELSE CAST(floor(pop * n_nationkey / 50) AS BIGINT) END AS population_in_poverty,
+       CAST(floor(pop * (n_nationkey % 4) / 20) AS BIGINT) AS population_with_disability,
+       1.0::DOUBLE - CAST(n_nationkey AS DOUBLE) / 100.0::DOUBLE AS car_ownership_rate,
+       CASE WHEN n_nationkey = 7 THEN NULL ELSE CAST(n_nationkey AS DOUBLE) / 50.0::DOUBLE END AS poverty_rate,
+       CAST(n_nationkey % 4 AS DOUBLE) / 20.0::DOUBLE AS disability_rate,
+       TIMESTAMP '2024-01-01 00:00:00' AS loaded_at
+FROM (SELECT n.n_nationkey, n.n_regionkey, CAST(coalesce(c.pop, 0) AS BIGINT) AS pop
+      FROM nation n LEFT JOIN (SELECT c_nationkey, count(*) AS pop FROM customer GROUP BY 1) c ON n.n_nationkey = c.c_nationkey)
+""")
+R.add("census", f"""
+SELECT geoid, {initcap('borough')} AS borough, county_fips, total_population, total_households, households_no_vehicle,
+       nullif(median_household_income, -666666666) AS median_household_income,
+       population_in_poverty, population_with_disability, car_ownership_rate, poverty_rate, disability_rate, loaded_at
+FROM census_raw
+""", ("census_raw",))
+key("stg_census", "SELECT * FROM census", "census")
+key("season_totals", f"""
+SELECT transit_year, {season('transit_month')} AS season, {dsum('ridership')} AS total_ridership, count(*) AS row_count
+FROM stg_all GROUP BY 1, 2
+""", "stg_all")
+
+
+# ------------------------------------------------------------------ hub + congestion
+def _hub(src: str) -> str:
+    return f"""
+SELECT station_complex_id, max(station_name) AS station_name, max(borough) AS borough,
+       {rnd(davg('latitude', 12, 6), 6)} AS latitude,
+       {rnd(davg('longitude', 12, 6), 6)} AS longitude,
+       transit_date, transit_hour,
+       CAST(dayofweek(transit_date) + 1 AS BIGINT) AS day_of_week,
+       {dsum('ridership')} AS hourly_ridership,
+       CAST(count(ridership) AS BIGINT) AS fare_rows
+FROM {src} GROUP BY station_complex_id, transit_date, transit_hour
+"""
+
+
+def _dim(hub: str) -> str:
+    return f"""
+SELECT station_complex_id, max(station_name) AS station_name, max(borough) AS borough,
+       {rnd(davg('latitude', 12, 6), 6)} AS latitude, {rnd(davg('longitude', 12, 6), 6)} AS longitude
+FROM {hub} GROUP BY station_complex_id
+"""
+
+
+R.add("hub_coarse", _hub("stg_coarse"), ("stg_coarse",))
+R.add("hub_fine", _hub("stg_fine"), ("stg_fine",))
+R.add("dim_fine", _dim("hub_fine"), ("hub_fine",))
+R.add("stg_coarse_cur", "SELECT * FROM stg_coarse WHERE transit_date >= DATE '2024-01-16'", ("stg_coarse",))
+R.add("stg_coarse_base", "SELECT * FROM stg_coarse WHERE transit_date < DATE '2024-01-16'", ("stg_coarse",))
+R.add("hub_cur", _hub("stg_coarse_cur"), ("stg_coarse_cur",))
+R.add("hub_base", _hub("stg_coarse_base"), ("stg_coarse_base",))
+R.add("dim_cur", _dim("hub_cur"), ("hub_cur",))
+
+
+def _system(hub: str) -> str:
+    return f"""
+SELECT transit_date, transit_hour, {dsum('hourly_ridership')} AS system_total_ridership, count(*) AS active_stations
+FROM {hub} GROUP BY transit_date, transit_hour
+"""
+
+
+def _congestion(hub: str, hours: str = "rows") -> str:
+    n = "sum(fare_rows)" if hours == "rows" else "count(*)"
+    return f"""
+SELECT s.station_complex_id, s.station_name, s.borough, s.latitude, s.longitude, s.transit_date, s.transit_hour, s.day_of_week,
+       CAST(year(s.transit_date) AS BIGINT) AS ridership_year,
+       {season('month(s.transit_date)')} AS season,
+       s.hourly_ridership,
+       {rnd(sdiv('s.hourly_ridership', sdiv('s._day', 'nullif(s._hours, 0)')), 3)} AS station_congestion_index,
+       {rnd(sdiv('s.hourly_ridership', sdiv('y.system_total_ridership', 'nullif(y.active_stations, 0)')), 3)} AS system_contribution_index,
+       CASE WHEN s.hourly_ridership > 5000 THEN 'suspect_high' WHEN s.hourly_ridership < 0 THEN 'suspect_negative' ELSE 'clean' END
+         AS data_quality_flag,
+       CASE WHEN s._rank = 1 THEN 'Peak Hour' WHEN s._rank <= 3 THEN 'Near Peak'
+            WHEN s.transit_hour BETWEEN 5 AND 12 THEN 'AM Off Peak' WHEN s.transit_hour BETWEEN 13 AND 20 THEN 'PM Off Peak'
+            ELSE 'Overnight' END AS hour_classification,
+       CASE WHEN s._rank = 1 THEN s.transit_hour END AS station_peak_hour
+FROM (SELECT *,
+             sum(CAST(hourly_ridership AS DECIMAL(18,2))) OVER (PARTITION BY station_complex_id, transit_date) AS _day,
+             {n} OVER (PARTITION BY station_complex_id, transit_date) AS _hours,
+             dense_rank() OVER (PARTITION BY station_complex_id, transit_date ORDER BY hourly_ridership DESC) AS _rank
+      FROM {hub}) s
+JOIN ({_system(hub)}) y ON s.transit_date = y.transit_date AND s.transit_hour = y.transit_hour
+"""
+
+
+R.add("cong_coarse", _congestion("hub_coarse"), ("hub_coarse",))
+R.add("cong_cur", _congestion("hub_cur"), ("hub_cur",))
+key("fare_consolidated", "SELECT * FROM hub_coarse", "hub_coarse")
+key("system_hourly", _system("hub_coarse"), "hub_coarse")
+key("peak_rank", """
+SELECT station_complex_id, transit_date, transit_hour, hourly_ridership,
+       CAST(dense_rank() OVER (PARTITION BY station_complex_id, transit_date ORDER BY hourly_ridership DESC) AS BIGINT) AS daily_peak_rank
+FROM hub_coarse
+""", "hub_coarse")
+key("congestion_hourly", "SELECT * FROM cong_coarse", "cong_coarse")
+R.add("cong_coarse_distinct", _congestion("hub_coarse", "distinct"), ("hub_coarse",))
+key("congestion_hourly_distinct", "SELECT * FROM cong_coarse_distinct", "cong_coarse_distinct")
+
+_BUCKET = "CASE WHEN {h} BETWEEN 5 AND 12 THEN 'AM' WHEN {h} BETWEEN 13 AND 20 THEN 'PM' ELSE 'Late Night' END"
+R.add("capacity", f"""
+SELECT station_complex_id, {_BUCKET.format(h='transit_hour')} AS time_bucket,
+       max(hourly_ridership) AS max_2019_ridership,
+       {rnd('quantile_cont(hourly_ridership, 0.95)', 0)} AS p95_capacity_proxy
+FROM hub_base GROUP BY 1, 2
+""", ("hub_base",))
+key("capacity_p95", "SELECT * FROM capacity", "capacity")
+key("capacity_p95_fare_rows", f"""
+SELECT station_complex_id, {_BUCKET.format(h='transit_hour')} AS time_bucket,
+       max(ridership) AS max_2019_ridership,
+       {rnd('quantile_cont(ridership, 0.95)', 0)} AS p95_capacity_proxy
+FROM stg_coarse_base GROUP BY 1, 2
+""", "stg_coarse_base")
+
+
+def _mode(src: str, keys: list[str], col: str, out: str) -> str:
+    """Exact mode with smallest-value tie-break, as a count + row_number."""
+    k = ", ".join(keys)
+    return f"""
+SELECT g.*, m.{out}
+FROM (SELECT DISTINCT {k} FROM {src}) g
+LEFT JOIN (
+  SELECT {k}, {col} AS {out}
+  FROM (SELECT {k}, {col}, row_number() OVER (PARTITION BY {k} ORDER BY count(*) DESC, {col} ASC) AS rn
+        FROM {src} WHERE {col} IS NOT NULL GROUP BY {k}, {col})
+  WHERE rn = 1) m
+ON {' AND '.join(f'g.{x} = m.{x}' for x in keys)}
+"""
+
+
+key("top_value_per_group", _mode("cong_coarse", ["station_complex_id", "day_of_week"], "station_peak_hour", "most_common_peak_hour"),
+    "cong_coarse")
+
+_MART_KEYS = ["station_complex_id", "borough", "ridership_year", "season", "day_of_week", "time_period"]
+R.add("mart_in", f"""
+SELECT c.*, c.hour_classification AS time_period, p.p95_capacity_proxy
+FROM cong_cur c LEFT JOIN capacity p
+  ON c.station_complex_id = p.station_complex_id AND {_BUCKET.format(h='c.transit_hour')} = p.time_bucket
+""", ("cong_cur", "capacity"))
+R.add("mart_mode", _mode("mart_in", _MART_KEYS, "station_peak_hour", "most_common_peak_hour"), ("mart_in",))
+R.add("mart_g", f"""
+SELECT {', '.join(_MART_KEYS)},
+       {rnd(davg('latitude', 12, 6), 6)} AS latitude, {rnd(davg('longitude', 12, 6), 6)} AS longitude,
+       max(p95_capacity_proxy) AS p95_capacity_ceiling,
+       count(*) AS observation_count,
+       {rnd(davg('hourly_ridership'), 1)} AS avg_hourly_ridership,
+       quantile_disc(hourly_ridership, 0.5) AS median_hourly_ridership,
+       {rnd(davg('station_congestion_index', 18, 3), 3)} AS avg_congestion_index,
+       {rnd(sdiv(davg('hourly_ridership'), 'max(p95_capacity_proxy)'), 3)} AS throughput_stress_index
+FROM mart_in GROUP BY {', '.join(_MART_KEYS)}
+""", ("mart_in",))
+_ITIER = ((15.0, "High Congestion"), (8.0, "Moderate"), (2.0, "Baseline"))
+_ITIER_LOW = ((4.0, "High Congestion"), (3.0, "Moderate"), (1.0, "Baseline"))
+_STIER = ((0.90, "At Capacity"), (0.70, "High Stress"), (0.50, "Moderate Stress"))
+
+
+def _mart_sql(itier) -> str:
+    on = " AND ".join(f"g.{x} = m.{x}" for x in _MART_KEYS)
+    return f"""
+SELECT g.*, m.most_common_peak_hour, d.station_name,
+       {tier('g.avg_congestion_index', itier, 'Off Peak')} AS congestion_intensity_tier,
+       {tier('g.throughput_stress_index', _STIER, 'Low Stress')} AS throughput_stress_tier
+FROM mart_g g JOIN mart_mode m ON {on}
+LEFT JOIN dim_cur d ON g.station_complex_id = d.station_complex_id
+"""
+
+
+R.add("mart", _mart_sql(_ITIER), ("mart_g", "mart_mode", "dim_cur"))
+R.add("mart_low", _mart_sql(_ITIER_LOW), ("mart_g", "mart_mode", "dim_cur"))
+key("congestion_mart", "SELECT * FROM mart", "mart")
+key("congestion_mart_low", "SELECT * FROM mart_low", "mart_low")
+key("station_thresholds", f"""
+SELECT h.station_complex_id, h.transit_date, h.transit_hour, h.hourly_ridership, t.station_threshold,
+       h.hourly_ridership > t.station_threshold AS above_threshold
+FROM hub_coarse h JOIN (SELECT station_complex_id, {rnd('quantile_cont(hourly_ridership, 0.95)', 2)} AS station_threshold
+                        FROM hub_coarse GROUP BY 1) t ON h.station_complex_id = t.station_complex_id
+""", "hub_coarse")
+
+# ------------------------------------------------------------------ utilization
+R.add("dense_fine", """
+SELECT d.station_complex_id, d.transit_date, CAST(h.h AS BIGINT) AS transit_hour,
+       coalesce(f.hourly_ridership, 0.0::DOUBLE) AS hourly_ridership,
+       CAST(CASE WHEN f.hourly_ridership IS NULL THEN 1 ELSE 0 END AS INTEGER) AS is_gap_hour
+FROM (SELECT DISTINCT station_complex_id, transit_date FROM hub_fine) d
+CROSS JOIN range(0, 24) h(h)
+LEFT JOIN hub_fine f
+  ON f.station_complex_id = d.station_complex_id AND f.transit_date = d.transit_date AND f.transit_hour = h.h
+""", ("hub_fine",))
+R.add("profile_fine", f"""
+SELECT station_complex_id, transit_hour,
+       CAST(sum(CAST(hourly_ridership AS DECIMAL(18,2))) AS DOUBLE) / CAST(count(*) AS DOUBLE) AS historical_avg_this_hour,
+       {rnd(sdiv('count_if(hourly_ridership = 0)', 'count(*)'), 4)} AS historical_zero_rate,
+       count(*) AS days_observed
+FROM dense_fine GROUP BY 1, 2
+""", ("dense_fine",))
+R.add("rolling_fine", """
+SELECT *, count_if(hourly_ridership = 0) OVER (PARTITION BY station_complex_id, transit_date ORDER BY transit_hour
+                                               ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS consecutive_zero_count
+FROM dense_fine
+""", ("dense_fine",))
+R.add("status_fine", """
+SELECT r.*, p.historical_avg_this_hour, p.historical_zero_rate, p.days_observed,
+       CASE WHEN r.hourly_ridership > 0 THEN 'Active'
+            WHEN r.hourly_ridership = 0 AND r.transit_hour BETWEEN 0 AND 4 THEN 'Expected Low'
+            WHEN r.hourly_ridership = 0 AND p.historical_zero_rate >= 0.5 THEN 'Expected Low'
+            WHEN r.hourly_ridership = 0 AND p.historical_avg_this_hour > 50 AND r.consecutive_zero_count >= 2 THEN 'Possible Disruption'
+            WHEN r.hourly_ridership = 0 AND p.historical_avg_this_hour > 50 THEN 'Anomalous Zero'
+            ELSE 'Expected Low' END AS utilization_status
+FROM rolling_fine r LEFT JOIN profile_fine p
+  ON r.station_complex_id = p.station_complex_id AND r.transit_hour = p.transit_hour
+""", ("rolling_fine", "profile_fine"))
+R.add("daily_fine", f"""
+SELECT u.station_complex_id, d.station_name, d.borough, d.latitude, d.longitude, u.transit_date,
+       CAST(year(u.transit_date) AS BIGINT) AS ridership_year, {season('month(u.transit_date)')} AS season,
+       u.active_hours, u.gap_hours,
+       {rnd(sdiv('u.active_hours', '24'), 3)} AS utilization_rate,
+       {rnd(sdiv('u._sum', 'u.active_hours'), 2)} AS demand_intensity,
+       u.am_active_hours, u.pm_active_hours, u.disruption_hours, u.anomalous_zero_hours, u.expected_low_hours,
+       u.max_consecutive_zeros, CAST(u._sum AS DOUBLE) AS daily_ridership
+FROM (SELECT station_complex_id, transit_date,
+             count_if(hourly_ridership > 0) AS active_hours,
+             count_if(is_gap_hour = 1) AS gap_hours,
+             sum(CAST(hourly_ridership AS DECIMAL(18,2))) AS _sum,
+             count_if(transit_hour BETWEEN 5 AND 12 AND hourly_ridership > 0) AS am_active_hours,
+             count_if(transit_hour BETWEEN 13 AND 20 AND hourly_ridership > 0) AS pm_active_hours,
+             count_if(utilization_status = 'Possible Disruption') AS disruption_hours,
+             count_if(utilization_status = 'Anomalous Zero') AS anomalous_zero_hours,
+             count_if(utilization_status = 'Expected Low') AS expected_low_hours,
+             max(consecutive_zero_count) AS max_consecutive_zeros
+      FROM status_fine GROUP BY 1, 2) u
+LEFT JOIN dim_fine d ON u.station_complex_id = d.station_complex_id
+""", ("status_fine", "dim_fine"))
+R.add("annual_fine", f"""
+SELECT station_complex_id, ridership_year AS transit_year,
+       {rnd(sdiv('sum(CAST(demand_intensity AS DECIMAL(18,2)))', 'count(demand_intensity)'), 1)} AS avg_demand_intensity,
+       {rnd(sdiv('sum(disruption_hours) * 1000', 'sum(active_hours)'), 2)} AS disruption_rate_per_1k_hours
+FROM daily_fine GROUP BY 1, 2
+""", ("daily_fine",))
+key("hour_spine", "SELECT * FROM dense_fine", "dense_fine")
+key("hour_profile", "SELECT * FROM profile_fine", "profile_fine")
+key("rolling_zero_count", "SELECT * FROM rolling_fine", "rolling_fine")
+key("zero_streaks", """
+SELECT station_complex_id, transit_date, transit_hour, hourly_ridership,
+       CAST(CASE WHEN hourly_ridership = 0 THEN
+         count_if(hourly_ridership = 0) OVER (PARTITION BY station_complex_id, transit_date, island ORDER BY transit_hour
+                                              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+       ELSE 0 END AS BIGINT) AS zero_streak
+FROM (SELECT *, sum(CASE WHEN hourly_ridership > 0 THEN 1 ELSE 0 END)
+                  OVER (PARTITION BY station_complex_id, transit_date ORDER BY transit_hour
+                        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS island
+      FROM dense_fine)
+""", "dense_fine")
+key("utilization_status", "SELECT * FROM status_fine", "status_fine")
+key("utilization_daily", "SELECT * FROM daily_fine", "daily_fine")
+key("utilization_annual", "SELECT * FROM annual_fine", "annual_fine")

@@ -212,9 +212,9 @@ def tract_rectangles(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("36").alias("state_fips_code"),
         F.lit("005").alias("county_fips_code"),
         ((n % 5).cast("double") * side).alias("xmin"),
-        ((n / 5).cast("bigint").cast("double") * side).alias("ymin"),
+        (F.floor(n / 5).cast("double") * side).alias("ymin"),
         ((n % 5 + 1).cast("double") * side).alias("xmax"),
-        ((n / 5).cast("bigint").cast("double") * side + side).alias("ymax"),
+        (F.floor(n / 5).cast("double") * side + side).alias("ymax"),
     )
 
 
@@ -227,17 +227,17 @@ def census_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = F.col("n_nationkey").cast("bigint")
     popc = F.coalesce(F.col("pop"), F.lit(0)).cast("bigint")
     income = F.when(n == 24, F.lit(-666666666)).otherwise(F.lit(20000) + F.lit(6000) * n).cast("bigint")
-    households = (popc / 2).cast("bigint") + 1
+    households = F.floor(popc / 2) + 1
     return j.select(
         F.format_string("36%03d%06d", F.lit(5), n).alias("geoid"),
         F.lower(F.concat(F.lit("region "), F.col("n_regionkey").cast("string"))).alias("borough"),
         F.lit("005").alias("county_fips"),
         popc.alias("total_population"),
         households.alias("total_households"),
-        ((households * n) / 100).cast("bigint").alias("households_no_vehicle"),
+        F.floor((households * n) / 100).alias("households_no_vehicle"),
         income.alias("median_household_income"),
-        F.when(n == 7, F.lit(None).cast("bigint")).otherwise((popc * n / 50).cast("bigint")).alias("population_in_poverty"),
-        ((popc * (n % 4)) / 20).cast("bigint").alias("population_with_disability"),
+        F.when(n == 7, F.lit(None).cast("bigint")).otherwise(F.floor(popc * n / 50)).alias("population_in_poverty"),
+        F.floor((popc * (n % 4)) / 20).alias("population_with_disability"),
         (F.lit(1.0) - n.cast("double") / F.lit(100.0).cast("double")).alias("car_ownership_rate"),
         F.when(n == 7, F.lit(None).cast("double")).otherwise(n.cast("double") / F.lit(50.0).cast("double")).alias("poverty_rate"),
         ((n % 4).cast("double") / F.lit(20.0).cast("double")).alias("disability_rate"),
