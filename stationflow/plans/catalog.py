@@ -12,7 +12,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stationflow.functions import rnd
+from stationflow.operators import catchment as ca
 from stationflow.operators import congestion as cg
+from stationflow.operators import marts as mt
 from stationflow.operators import recovery as rec
 from stationflow.operators import staging as stg
 from stationflow.operators import utilization as ut
@@ -242,3 +245,145 @@ def q_utilization_daily(spark, d):
 @register("utilization_annual")
 def q_utilization_annual(spark, d):
     return ut.utilization_annual(daily_fine(spark, d))
+
+
+# ------------------------------------------------------------------ catchment
+GEO_RADIUS_M = B.GEO_RADIUS_CELLS * B.GEO_CELL_M
+
+
+def _cc(spark, d):
+    return ca.catchment_cells(B.station_entrances(spark, d), radius=GEO_RADIUS_M, cell=B.GEO_CELL_M)
+
+
+def _tc(spark, d):
+    return ca.tract_cells(B.tract_rectangles(spark, d), cell=B.GEO_CELL_M)
+
+
+def _weights(spark, d):
+    return ca.catchment_weights(_cc(spark, d), _tc(spark, d))
+
+
+def demographics(spark, d):
+    census = stg.stg_census(B.census_raw(spark, d))
+    return ca.catchment_demographics(_weights(spark, d), census, cg.station_dim(stg_all(spark, d)))
+
+
+@register("catchment_cells")
+def q_catchment_cells(spark, d):
+    return _cc(spark, d)
+
+
+@register("tract_cells")
+def q_tract_cells(spark, d):
+    return _tc(spark, d)
+
+
+@register("catchment_weights")
+def q_catchment_weights(spark, d):
+    return _weights(spark, d)
+
+
+@register("weighted_mean")
+def q_weighted_mean(spark, d):
+    w = _weights(spark, d)
+    census = stg.stg_census(B.census_raw(spark, d)).select(F.col("geoid").alias("geo_id"), "poverty_rate")
+    j = w.join(census, "geo_id", "left")
+    aware = ca.weighted_mean(j, ["station_complex_id"], "poverty_rate", "intersect_cells", null_aware=True)
+    unaware = ca.weighted_mean(j, ["station_complex_id"], "poverty_rate", "intersect_cells", null_aware=False)
+    return aware.withColumnRenamed("weighted_poverty_rate", "null_aware").join(
+        unaware.withColumnRenamed("weighted_poverty_rate", "null_unaware"), "station_complex_id"
+    ).select("station_complex_id", rnd("null_aware", 6).alias("null_aware"), rnd("null_unaware", 6).alias("null_unaware"))
+
+
+@register("catchment_demographics")
+def q_catchment_demographics(spark, d):
+    return demographics(spark, d)
+
+
+# ------------------------------------------------------------------ marts
+def scorecard(spark, d):
+    return rec.recovery_scorecard(monthly(spark, d))
+
+
+def annual_fine(spark, d):
+    return ut.utilization_annual(daily_fine(spark, d))
+
+
+def equity(spark, d, disruption=10.0):
+    return mt.equity_score(scorecard(spark, d), annual_fine(spark, d), demographics(spark, d), disruption=disruption)
+
+
+@register("equity_score")
+def q_equity_score(spark, d):
+    return equity(spark, d, disruption=50.0)
+
+
+@register("equity_score_default")
+def q_equity_score_default(spark, d):
+    return equity(spark, d)
+
+
+def _fine_mart(spark, d):
+    s = stg_fine(spark, d)
+    split = F.lit(B.SPLIT_DATE).cast("date")
+    hub = cg.fare_consolidated(s)
+    cap = cg.capacity_p95(s.filter(F.col("transit_date") < split))
+    return cg.congestion_mart(cg.congestion_hourly(hub), cap, cg.station_dim(hub)), hub
+
+
+@register("efficiency_matrix")
+def q_efficiency_matrix(spark, d):
+    mart, _ = _fine_mart(spark, d)
+    return mt.efficiency_matrix(
+        mart, scorecard(spark, d), high_index=3.0, intensity=((4.0, "High Congestion"), (3.0, "Moderate"), (1.0, "Baseline"))
+    )
+
+
+# ------------------------------------------------------------------ KPIs
+@register("kpi_disruption_intensity")
+def q_kpi_disruption_intensity(spark, d):
+    return mt.kpi_disruption_intensity(daily_fine(spark, d))
+
+
+@register("kpi_disruption_share")
+def q_kpi_disruption_share(spark, d):
+    return mt.kpi_disruption_share(daily_fine(spark, d))
+
+
+@register("kpi_disruption_yoy")
+def q_kpi_disruption_yoy(spark, d):
+    # The event table spans one month, so the period-over-period KPI runs weekly here.
+    return mt.kpi_disruption_change(daily_fine(spark, d), period="week")
+
+
+@register("kpi_risk_profile")
+def q_kpi_risk_profile(spark, d):
+    return mt.kpi_risk_profile(equity(spark, d, disruption=50.0))
+
+
+@register("kpi_quality_counts")
+def q_kpi_quality_counts(spark, d):
+    return mt.kpi_quality_counts(scorecard(spark, d))
+
+
+@register("kpi_income_gap")
+def q_kpi_income_gap(spark, d):
+    return mt.kpi_income_gap(demographics(spark, d))
+
+
+@register("kpi_system_recovery")
+def q_kpi_system_recovery(spark, d):
+    return mt.kpi_system_recovery(monthly(spark, d))
+
+
+@register("kpi_row_reduction")
+def q_kpi_row_reduction(spark, d):
+    cur, base = _halves(spark, d)
+    hub = cg.fare_consolidated(cur)
+    hourly = cg.congestion_hourly(hub)
+    return mt.kpi_row_reduction(hourly, cg.congestion_mart(hourly, cg.capacity_p95(base), cg.station_dim(hub)))
+
+
+@register("kpi_index_by_class")
+def q_kpi_index_by_class(spark, d):
+    return mt.kpi_index_by_class(cg.congestion_hourly(hub_coarse(spark, d)))

@@ -528,3 +528,211 @@ FROM (SELECT *, sum(CASE WHEN hourly_ridership > 0 THEN 1 ELSE 0 END)
 key("utilization_status", "SELECT * FROM status_fine", "status_fine")
 key("utilization_daily", "SELECT * FROM daily_fine", "daily_fine")
 key("utilization_annual", "SELECT * FROM annual_fine", "annual_fine")
+
+
+def _mart_family(sfx: str, cong: str, cap: str, dim: str) -> None:
+    """Register mart_in/mart_mode/mart_g CTEs for one (hourly, capacity, dim) triple."""
+    R.add(f"mart_in{sfx}", f"""
+SELECT c.*, c.hour_classification AS time_period, p.p95_capacity_proxy
+FROM {cong} c LEFT JOIN {cap} p
+  ON c.station_complex_id = p.station_complex_id AND {_BUCKET.format(h='c.transit_hour')} = p.time_bucket
+""", (cong, cap))
+    R.add(f"mart_mode{sfx}", _mode(f"mart_in{sfx}", _MART_KEYS, "station_peak_hour", "most_common_peak_hour"), (f"mart_in{sfx}",))
+    g = R._ctes["mart_g"][1].replace("FROM mart_in ", f"FROM mart_in{sfx} ")
+    R.add(f"mart_g{sfx}", g, (f"mart_in{sfx}",))
+    on = " AND ".join(f"g.{x} = m.{x}" for x in _MART_KEYS)
+    R.add(f"mart{sfx}", f"""
+SELECT g.*, m.most_common_peak_hour, d.station_name,
+       {tier('g.avg_congestion_index', _ITIER, 'Off Peak')} AS congestion_intensity_tier,
+       {tier('g.throughput_stress_index', _STIER, 'Low Stress')} AS throughput_stress_tier
+FROM mart_g{sfx} g JOIN mart_mode{sfx} m ON {on}
+LEFT JOIN {dim} d ON g.station_complex_id = d.station_complex_id
+""", (f"mart_g{sfx}", f"mart_mode{sfx}", dim))
+
+
+# ------------------------------------------------------------------ catchment (B6)
+R.add("entr", """
+SELECT s.station_complex_id, e.e AS entrance,
+       (CAST(s.station_complex_id AS BIGINT) * 7 + e.e * 3) % 50 AS cx0,
+       (CAST(s.station_complex_id AS BIGINT) * 13 + e.e * 5) % 50 AS cy0
+FROM (SELECT DISTINCT station_complex_id FROM raw_monthly WHERE station_complex_id IS NOT NULL) s
+JOIN range(0, 3) e(e) ON e.e <= CAST(s.station_complex_id AS BIGINT) % 3
+""", ("raw_monthly",))
+R.add("cc", """
+SELECT DISTINCT station_complex_id, CAST(cx0 + dx AS BIGINT) AS cx, CAST(cy0 + dy AS BIGINT) AS cy
+FROM entr, range(-8, 9) a(dx), range(-8, 9) b(dy)
+WHERE dx * dx + dy * dy <= 64
+""", ("entr",))
+R.add("tc", """
+SELECT geo_id, cx, CAST(unnest(range(y0, y0 + 10)) AS BIGINT) AS cy
+FROM (SELECT geo_id, y0, CAST(unnest(range(x0, x0 + 10)) AS BIGINT) AS cx
+      FROM (SELECT printf('36%03d%06d', 5, n_nationkey) AS geo_id,
+                   (n_nationkey % 5) * 10 AS x0, CAST(floor(n_nationkey / 5) AS BIGINT) * 10 AS y0
+            FROM nation))
+""")
+R.add("cw", """
+SELECT s.station_complex_id, s.geo_id, s.intersect_cells, b.buffer_cells, t.tract_cells,
+       CAST(s.intersect_cells AS DOUBLE) / CAST(b.buffer_cells AS DOUBLE) AS catchment_weight,
+       CAST(s.intersect_cells AS DOUBLE) / CAST(t.tract_cells AS DOUBLE) AS tract_coverage_pct
+FROM (SELECT station_complex_id, geo_id, count(*) AS intersect_cells FROM cc JOIN tc USING (cx, cy) GROUP BY 1, 2) s
+JOIN (SELECT station_complex_id, count(*) AS buffer_cells FROM cc GROUP BY 1) b USING (station_complex_id)
+JOIN (SELECT geo_id, count(*) AS tract_cells FROM tc GROUP BY 1) t USING (geo_id)
+""", ("cc", "tc"))
+R.add("dim_all", _dim("stg_all"), ("stg_all",))
+
+
+def _wm(x: str, aware: bool) -> str:
+    den = f"sum(CASE WHEN {x} IS NOT NULL THEN intersect_cells END)" if aware else "sum(intersect_cells)"
+    return sdiv(f"sum(CAST({x} AS DECIMAL(16,6)) * intersect_cells)", den)
+
+
+_INCOME = ((40000, "Low Income"), (75000, "Middle Income"), (120000, "Upper Middle Income"))
+R.add("demo", f"""
+SELECT g.station_complex_id, d.station_name, d.borough, d.latitude, d.longitude,
+       g.tracts_in_catchment, g.tracts_with_demographic_data,
+       {rnd('g._pop', 2)} AS catchment_population,
+       {rnd('g._inc', 2)} AS weighted_mean_income,
+       {rnd('g._pov', 4)} AS weighted_poverty_rate,
+       {rnd('g._car', 4)} AS weighted_car_ownership_rate,
+       {rnd('g._dis', 4)} AS weighted_disability_rate,
+       {tier(rnd('g._inc', 2), _INCOME, 'High Income', None, '<')} AS income_tier
+FROM (SELECT w.station_complex_id,
+             count(w.geo_id) AS tracts_in_catchment,
+             count_if(c.median_household_income IS NOT NULL) AS tracts_with_demographic_data,
+             {sdiv('sum(c.total_population * w.intersect_cells)', 'max(w.buffer_cells)')} AS _pop,
+             {_wm('c.median_household_income', True)} AS _inc,
+             {_wm('c.poverty_rate', False)} AS _pov,
+             {_wm('c.car_ownership_rate', False)} AS _car,
+             {_wm('c.disability_rate', False)} AS _dis
+      FROM cw w LEFT JOIN census c ON w.geo_id = c.geoid
+      GROUP BY w.station_complex_id) g
+LEFT JOIN dim_all d ON g.station_complex_id = d.station_complex_id
+""", ("cw", "census", "dim_all"))
+key("catchment_cells", "SELECT * FROM cc", "cc")
+key("tract_cells", "SELECT * FROM tc", "tc")
+key("catchment_weights", "SELECT * FROM cw", "cw")
+key("weighted_mean", f"""
+SELECT w.station_complex_id,
+       {rnd(_wm('c.poverty_rate', True), 6)} AS null_aware,
+       {rnd(_wm('c.poverty_rate', False), 6)} AS null_unaware
+FROM cw w LEFT JOIN census c ON w.geo_id = c.geoid
+GROUP BY w.station_complex_id
+""", "cw", "census")
+key("catchment_demographics", "SELECT * FROM demo", "demo")
+
+
+# ------------------------------------------------------------------ equity / efficiency
+def _nl(a: str, b: str) -> str:
+    return f"(CASE WHEN ({a}) IS NULL OR ({b}) IS NULL THEN NULL ELSE least({a}, {b}) END)"
+
+
+def _ng(a: str, b: str) -> str:
+    return f"(CASE WHEN ({a}) IS NULL OR ({b}) IS NULL THEN NULL ELSE greatest({a}, {b}) END)"
+
+
+def _equity(disr: float) -> str:
+    c1 = _nl(sdiv(_ng("borough_avg_recovery_pct - recovery_pct", "0.0::DOUBLE"), "20.0"), "1.0::DOUBLE")
+    c2 = _nl(sdiv("disruption_rate_per_1k_hours", f"{disr}"), "1.0::DOUBLE")
+    c3 = _nl(sdiv(_ng("60000.0::DOUBLE - weighted_mean_income", "0.0::DOUBLE"), "20000.0"), "1.0::DOUBLE")
+    score = rnd(f"{c1} * 33.0::DOUBLE + {c2} * 33.0::DOUBLE + {c3} * 34.0::DOUBLE", 1)
+    return f"""
+SELECT *, {tier('equity_risk_score', ((60, 'High Risk'), (35, 'Moderate Risk')), 'Low Risk', None)} AS equity_risk_tier
+FROM (SELECT *, {score} AS equity_risk_score
+      FROM (SELECT r.station_complex_id, r.station_name, r.borough, r.latitude, r.longitude, r.transit_year,
+                   r.annual_ridership, r.recovery_pct, r.borough_avg_recovery_pct,
+                   u.avg_demand_intensity, u.disruption_rate_per_1k_hours,
+                   d.weighted_mean_income, d.weighted_poverty_rate, d.income_tier, r.data_quality_flag
+            FROM scorecard r
+            LEFT JOIN annual_fine u ON r.station_complex_id = u.station_complex_id AND r.transit_year = u.transit_year
+            LEFT JOIN demo d ON r.station_complex_id = d.station_complex_id
+            WHERE r.record_type = 'station' AND r.data_quality_flag = 'clean'))
+"""
+
+
+R.add("equity50", _equity(50.0), ("scorecard", "annual_fine", "demo"))
+R.add("equity10", _equity(10.0), ("scorecard", "annual_fine", "demo"))
+key("equity_score", "SELECT * FROM equity50", "equity50")
+key("equity_score_default", "SELECT * FROM equity10", "equity10")
+
+R.add("cong_fine", _congestion("hub_fine"), ("hub_fine",))
+R.add("stg_fine_base", "SELECT * FROM stg_fine WHERE transit_date < DATE '2024-01-16'", ("stg_fine",))
+R.add("hub_fine_base", _hub("stg_fine_base"), ("stg_fine_base",))
+R.add("capacity_fine", R._ctes["capacity"][1].replace("FROM hub_base", "FROM hub_fine_base"), ("hub_fine_base",))
+_mart_family("_fine", "cong_fine", "capacity_fine", "dim_fine")
+key("efficiency_matrix", f"""
+SELECT c.station_complex_id, c.station_name, c.borough, c.ridership_year AS transit_year, c.season, c.day_of_week,
+       c.time_period, c.latitude, c.longitude, c.avg_hourly_ridership, c.median_hourly_ridership, c.observation_count,
+       c.avg_congestion_index, c.congestion_intensity_tier, c.most_common_peak_hour,
+       r.recovery_pct, r.data_quality_flag AS recovery_dq_flag,
+       CASE WHEN c.avg_congestion_index >= 3.0 AND r.recovery_pct >= 70 THEN 'Thriving but Strained'
+            WHEN c.avg_congestion_index >= 3.0 AND r.recovery_pct < 70 THEN 'Structural Bottleneck'
+            WHEN c.avg_congestion_index < 3.0 AND r.recovery_pct >= 70 THEN 'Healthy Spare Capacity'
+            ELSE 'Underutilized' END AS efficiency_quadrant,
+       {tier('c.avg_congestion_index', _ITIER_LOW, 'Off Peak')} AS congestion_tier
+FROM mart_fine c
+LEFT JOIN (SELECT * FROM scorecard WHERE record_type = 'station') r
+  ON c.station_complex_id = r.station_complex_id AND c.ridership_year = r.transit_year
+""", "mart_fine", "scorecard")
+
+# ------------------------------------------------------------------ KPIs
+key("kpi_disruption_intensity", f"""
+SELECT ridership_year, CAST(sum(disruption_hours) AS BIGINT) AS disruption_hours, {dsum('daily_ridership')} AS total_ridership,
+       {rnd(sdiv('sum(disruption_hours) * 1000000', 'sum(CAST(daily_ridership AS DECIMAL(18,2)))'), 4)} AS disruption_hours_per_million
+FROM daily_fine GROUP BY 1
+""", "daily_fine")
+key("kpi_disruption_share", f"""
+SELECT borough, disruption_hours, {rnd(sdiv('disruption_hours * 100', 'sum(disruption_hours) OVER ()'), 2)} AS share_pct
+FROM (SELECT borough, CAST(sum(disruption_hours) AS BIGINT) AS disruption_hours FROM daily_fine GROUP BY 1)
+""", "daily_fine")
+key("kpi_disruption_yoy", f"""
+SELECT borough, period_start, disruption_hours, prev AS prev_disruption_hours,
+       {rnd(sdiv('disruption_hours - prev', 'prev') + ' * 100', 2)} AS change_pct
+FROM (SELECT *, lag(disruption_hours) OVER (PARTITION BY borough ORDER BY period_start) AS prev
+      FROM (SELECT borough, CAST(date_trunc('week', transit_date) AS DATE) AS period_start,
+                   CAST(sum(disruption_hours) AS BIGINT) AS disruption_hours
+            FROM daily_fine GROUP BY 1, 2))
+""", "daily_fine")
+
+
+def _avg2(x: str) -> str:
+    return sdiv(f"sum(CAST({x} AS DECIMAL(18,2)))", f"count({x})")
+
+
+key("kpi_risk_profile", f"""
+SELECT transit_year, equity_risk_tier, count(*) AS stations,
+       {rnd(_avg2('weighted_mean_income'), 2)} AS avg_income,
+       {rnd(_avg2('recovery_pct'), 2)} AS avg_recovery_pct,
+       {rnd(_avg2('disruption_rate_per_1k_hours'), 2)} AS avg_disruption_rate
+FROM equity50 GROUP BY 1, 2
+""", "equity50")
+key("kpi_quality_counts", """
+SELECT transit_year,
+       count_if(recovery_tier = 'Critical') AS critical_stations,
+       count_if(data_quality_flag = 'clean') AS clean_stations,
+       count_if(data_quality_flag <> 'clean') AS flagged_stations,
+       count(*) AS stations
+FROM scorecard WHERE record_type = 'station' GROUP BY 1
+""", "scorecard")
+key("kpi_income_gap", """
+SELECT min(weighted_mean_income) AS min_income, max(weighted_mean_income) AS max_income,
+       max(weighted_mean_income) - min(weighted_mean_income) AS income_gap,
+       count(weighted_mean_income) AS stations_with_income
+FROM demo
+""", "demo")
+key("kpi_system_recovery", f"""
+SELECT transit_year, CASE WHEN grouping(borough) = 1 THEN 'System' ELSE borough END AS scope,
+       {dsum('monthly_ridership')} AS annual_ridership,
+       {dsum('baseline_monthly_2019')} AS annual_baseline_2019,
+       {rnd(sdiv('sum(CAST(monthly_ridership AS DECIMAL(18,2)))', 'sum(CAST(baseline_monthly_2019 AS DECIMAL(18,2)))') + ' * 100', 2)} AS recovery_pct
+FROM (SELECT ridership_year AS transit_year, * FROM recovery)
+GROUP BY GROUPING SETS ((transit_year, borough), (transit_year))
+""", "recovery")
+key("kpi_row_reduction", f"""
+SELECT h AS hourly_rows, m AS mart_rows, {rnd(sdiv('(h - m) * 100', 'h'), 2)} AS reduction_pct
+FROM (SELECT (SELECT count(*) FROM cong_cur) AS h, (SELECT count(*) FROM mart) AS m)
+""", "cong_cur", "mart")
+key("kpi_index_by_class", f"""
+SELECT hour_classification, count(station_congestion_index) AS hours,
+       {rnd(sdiv('sum(CAST(station_congestion_index AS DECIMAL(18,3)))', 'count(station_congestion_index)'), 3)} AS mean_congestion_index
+FROM cong_coarse GROUP BY 1
+""", "cong_coarse")

@@ -184,17 +184,15 @@ def station_entrances(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     st = (
         ridership_monthly_raw(spark, sf_dir)
+        .select("station_complex_id")
         .filter(F.col("station_complex_id").isNotNull())
-        .groupBy("station_complex_id")
-        .agg(F.max("station_complex").alias("station_complex"), F.max("borough").alias("borough"))
+        .distinct()
     )
     k = F.col("station_complex_id").cast("bigint")
     ent = st.withColumn("e", F.explode(F.sequence(F.lit(0), (k % 3).cast("int"))))
     kk = F.col("station_complex_id").cast("bigint")
     return ent.select(
         "station_complex_id",
-        "station_complex",
-        "borough",
         F.col("e").cast("bigint").alias("entrance"),
         (((kk * 7 + F.col("e") * 3) % GEO_GRID).cast("double") * GEO_CELL_M).alias("x"),
         (((kk * 13 + F.col("e") * 5) % GEO_GRID).cast("double") * GEO_CELL_M).alias("y"),
