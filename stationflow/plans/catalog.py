@@ -11,15 +11,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stationflow.functions import rnd
 from stationflow.operators import catchment as ca
 from stationflow.operators import congestion as cg
 from stationflow.operators import marts as mt
+from stationflow.operators import meters as mtr
+from stationflow.operators import profile as prof
+from stationflow.operators import quality as dq
 from stationflow.operators import recovery as rec
 from stationflow.operators import staging as stg
 from stationflow.operators import utilization as ut
+from stationflow.session import scratch_path
 from stationflow.sources import bindings as B
+from stationflow.sources import bronze, census
+from stationflow.streaming import incremental as inc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -387,3 +394,283 @@ def q_kpi_row_reduction(spark, d):
 @register("kpi_index_by_class")
 def q_kpi_index_by_class(spark, d):
     return mt.kpi_index_by_class(cg.congestion_hourly(hub_coarse(spark, d)))
+
+
+# ------------------------------------------------------------------ meters, profiles
+@register("meter_delta")
+def q_meter_delta(spark, d):
+    return mtr.meter_delta(B.meter_raw(spark, d), entries_cap=200)
+
+
+@register("quantile_profile")
+def q_quantile_profile(spark, d):
+    return prof.quantile_profile(mtr.meter_delta(B.meter_raw(spark, d), entries_cap=200), "entries_delta")
+
+
+@register("income_profile")
+def q_income_profile(spark, d):
+    return prof.income_profile(stg.stg_census(B.census_raw(spark, d)))
+
+
+# ------------------------------------------------------------------ quality
+REFERENCE_BOROUGHS = ("Manhattan", "Brooklyn", "Queens", "Bronx", "Staten Island")
+
+
+@register("dq_not_null")
+def q_dq_not_null(spark, d):
+    return dq.dq_not_null(stg_all(spark, d), ["transit_timestamp", "station_complex_id", "ridership", "borough", "latitude"], "stg_ridership")
+
+
+@register("dq_unique")
+def q_dq_unique(spark, d):
+    m = rec.monthly_totals(stg_cur(spark, d))
+    return dq.dq_unique(m, ["station_complex_id", "ridership_year", "ridership_month"], "monthly_totals").unionByName(
+        dq.dq_unique(m, ["station_complex_id", "ridership_month"], "monthly_totals", severity="warn")
+    )
+
+
+@register("dq_accepted_values")
+def q_dq_accepted_values(spark, d):
+    m = monthly(spark, d)
+    return dq.run_checks(m, "recovery_monthly", [
+        dq.Check("accepted_values", "data_quality_flag", ("clean", "suspect_merged", "suspect_split", "no_baseline")),
+        dq.Check("accepted_values", "recovery_tier", ("Recovered", "Recovering", "Lagging", "Critical")),
+        dq.Check("accepted_values", "borough", REFERENCE_BOROUGHS, severity="warn"),
+        dq.Check("accepted_values", "recovery_tier", ("Recovered", "Recovering"), where="data_quality_flag = 'clean'",
+                 name="accepted_values_clean"),
+    ])
+
+
+def _singular_failures(spark, d):
+    """The warehouse's singular tests as failing-row queries, one union."""
+    keep = ["check_name", "station_complex_id", "detail"]
+    eq = dq.failing_rows(equity(spark, d), "equity_risk_score < 0 OR equity_risk_score > 100", "equity_score_bounds")
+    rc = dq.failing_rows(monthly(spark, d), "data_quality_flag = 'clean' AND (monthly_recovery_pct < 0 OR monthly_recovery_pct > 200)",
+                         "recovery_pct_bounds")
+    neg = dq.failing_rows(stg_all(spark, d), "ridership < 0", "ridership_not_negative")
+    yr = dq.failing_rows(stg_all(spark, d), "transit_year NOT IN (2022, 2023, 2024, 2025) AND transit_year IS NOT NULL",
+                         "transit_year_valid")
+    return (
+        eq.select("check_name", "station_complex_id", F.col("equity_risk_score").cast("double").alias("detail"))
+        .unionByName(rc.select("check_name", "station_complex_id", F.col("monthly_recovery_pct").cast("double").alias("detail")))
+        .unionByName(neg.select("check_name", "station_complex_id", F.col("ridership").cast("double").alias("detail")))
+        .unionByName(yr.select("check_name", "station_complex_id", F.col("transit_year").cast("double").alias("detail")))
+        .select(*keep)
+    )
+
+
+@register("dq_range")
+def q_dq_range(spark, d):
+    return _singular_failures(spark, d)
+
+
+@register("orphan_keys")
+def q_orphan_keys(spark, d):
+    return dq.orphan_keys(stg_cur(spark, d), stg_base(spark, d), "station_complex_id")
+
+
+@register("dq_report")
+def q_dq_report(spark, d):
+    sc = scorecard(spark, d)
+    return dq.dq_report({
+        "stg_ridership": (stg_all(spark, d), [
+            dq.Check("not_null", "transit_timestamp"), dq.Check("not_null", "station_complex_id"),
+            dq.Check("not_null", "ridership"), dq.Check("accepted_values", "borough", REFERENCE_BOROUGHS, severity="warn"),
+            dq.Check("expression", "ridership", fails_when="ridership < 0", name="ridership_not_negative"),
+        ]),
+        "recovery_monthly": (monthly(spark, d), [
+            dq.Check("not_null", "station_complex_id"),
+            dq.Check("accepted_values", "data_quality_flag", ("clean", "suspect_merged", "suspect_split", "no_baseline")),
+            dq.Check("expression", "monthly_recovery_pct",
+                     fails_when="data_quality_flag = 'clean' AND (monthly_recovery_pct < 0 OR monthly_recovery_pct > 200)",
+                     name="recovery_pct_bounds"),
+        ]),
+        "recovery_scorecard": (sc, [
+            dq.Check("accepted_values", "record_type", ("station", "borough")),
+            dq.Check("not_null", "recovery_tier"),
+            dq.Check("unique", ("record_type", "borough", "station_complex_id", "transit_year")),
+        ]),
+        "congestion_hourly": (cg.congestion_hourly(hub_coarse(spark, d)), [
+            dq.Check("accepted_values", "hour_classification",
+                     ("Peak Hour", "Near Peak", "AM Off Peak", "PM Off Peak", "Overnight")),
+            dq.Check("accepted_values", "data_quality_flag", ("clean",), severity="warn"),
+        ]),
+    })
+
+
+# ------------------------------------------------------------------ contracts
+BRONZE_CONTRACT = (
+    dq.ColumnContract("transit_timestamp", "timestamp_ntz", nullable=False),
+    dq.ColumnContract("station_complex_id", "string", nullable=False),
+    dq.ColumnContract("borough", "string", values=tuple(r.upper() for r in REFERENCE_BOROUGHS)),
+    dq.ColumnContract("fare_class_category", "string", values=("A", "N", "R")),
+    dq.ColumnContract("ridership", "double", nullable=False),
+    dq.ColumnContract("latitude", "string"),
+    dq.ColumnContract("station_status", "string"),
+)
+
+
+@register("contract_bronze")
+def q_contract_bronze(spark, d):
+    return dq.contract_bronze(B.ridership_monthly_raw(spark, d, with_defects=True), BRONZE_CONTRACT)
+
+
+@register("contract_gold")
+def q_contract_gold(spark, d):
+    sc = scorecard(spark, d)
+    return dq.contract_gold(sc, SCORECARD_SCHEMA)
+
+
+SCORECARD_SCHEMA = T.StructType([T.StructField(n, getattr(T, t)()) for n, t in (
+    ("record_type", "StringType"), ("transit_year", "LongType"), ("borough", "StringType"),
+    ("station_complex_id", "StringType"), ("station_name", "StringType"), ("latitude", "DoubleType"),
+    ("longitude", "DoubleType"), ("annual_ridership", "DoubleType"), ("annual_baseline_2019", "DoubleType"),
+    ("recovery_pct", "DoubleType"), ("data_quality_flag", "StringType"), ("borough_avg_recovery_pct", "DoubleType"),
+    ("recovery_tier", "StringType"), ("pct_vs_borough_avg", "DoubleType"),
+)])
+
+
+# ------------------------------------------------------------------ sources / sinks
+@register("scan_bronze_csv")
+def q_scan_bronze_csv(spark, d):
+    raw = B.ridership_monthly_raw(spark, d)
+    path = scratch_path(spark, "bronze-csv")
+    strings = raw.select(*[F.col(c).cast("string").alias(c) for c in raw.columns])
+    strings = strings.withColumn("year", F.year(F.col("transit_timestamp").cast("timestamp_ntz")))
+    strings.write.mode("overwrite").option("header", True).partitionBy("year").csv(path)
+    back = bronze.read_bronze(spark, path, bronze.string_schema(raw.columns))
+    return stg.stg_ridership(back.drop("year"))
+
+
+@register("time_slice")
+def q_time_slice(spark, d):
+    return bronze.time_slice(stg_coarse(spark, d), "transit_timestamp", "2024-01-08", "2024-01-15")
+
+
+@register("land_partitioned")
+def q_land_partitioned(spark, d):
+    raw = bronze.time_slice(B.hourly_coarse_raw(spark, d), "transit_timestamp", "2024-01-08", "2024-01-22")
+    path = scratch_path(spark, "landed")
+    bronze.land(raw, path, "transit_timestamp")
+    return bronze.read_landed(spark, path)
+
+
+@register("quarter_bucket")
+def q_quarter_bucket(spark, d):
+    q = bronze.with_quarter(stg_all(spark, d), "transit_timestamp")
+    return q.groupBy("transit_year", "quarter").agg(
+        F.sum(F.col("ridership").cast("decimal(18,2)")).cast("double").alias("ridership"), F.count(F.lit(1)).alias("row_count")
+    )
+
+
+def _census_rows(spark, d):
+    path = scratch_path(spark, "census-json")
+    B.census_docs(spark, d).write.mode("overwrite").text(path)
+    return census.rows_from_header_json(spark.read.text(path), "value", list(B.CENSUS_HEADER))
+
+
+@register("census_header_json")
+def q_census_header_json(spark, d):
+    return _census_rows(spark, d)
+
+
+def _census_typed(spark, d):
+    return census.coerce_numeric(census.rename_variables(_census_rows(spark, d)))
+
+
+@register("coerce_numeric")
+def q_coerce_numeric(spark, d):
+    return _census_typed(spark, d)
+
+
+@register("demographic_rates")
+def q_demographic_rates(spark, d):
+    return census.demographic_rates(_census_typed(spark, d))
+
+
+@register("geoid_borough")
+def q_geoid_borough(spark, d):
+    return census.with_geoid(_census_typed(spark, d)).select("geoid", "borough", "county", "tract", "neighborhood_name")
+
+
+@register("union_parts")
+def q_union_parts(spark, d):
+    return census.union_parts(stg_cur(spark, d).drop("transfers"), stg_coarse(spark, d))
+
+
+@register("sample_head")
+def q_sample_head(spark, d):
+    return census.sample_head(stg.stg_census(B.census_raw(spark, d)), "geoid", 20)
+
+
+@register("gold_roundtrip")
+def q_gold_roundtrip(spark, d):
+    path = scratch_path(spark, "gold-scorecard")
+    bronze.write_gold(scorecard(spark, d), path, ["borough", "transit_year"])
+    return bronze.read_gold(spark, path)
+
+
+# ------------------------------------------------------------------ incremental / streaming
+@register("incremental_upsert")
+def q_incremental_upsert(spark, d):
+    ev = B.table(spark, d, "events").select("event_id", "ts", "user_id", "event_type", "value")
+    ev = ev.withColumn("event_date", F.to_date("ts"))
+    path = scratch_path(spark, "upsert-target")
+    ev.filter(F.col("event_id") % 2 == 0).write.partitionBy("event_date").parquet(path)
+    changed = ev.filter(F.col("event_id") % 20 == 0).withColumn("value", F.col("value") + 1)
+    fresh = ev.filter(F.col("event_id") % 2 == 1)
+    dup = ev.filter(F.col("event_id") % 1000 == 1).withColumn("value", F.col("value") + 2)
+    batch = changed.withColumn("_v", F.lit(1)).unionByName(fresh.withColumn("_v", F.lit(1))).unionByName(dup.withColumn("_v", F.lit(2)))
+    inc.upsert_partitions(spark, path, batch, ["event_id"], "event_date", order=["_v"])
+    return spark.read.parquet(path).select("event_id", "ts", "user_id", "event_type", "value", "event_date")
+
+
+@register("schema_sync")
+def q_schema_sync(spark, d):
+    raw = B.hourly_coarse_raw(spark, d)
+    split = F.lit(B.SPLIT_DATE).cast("timestamp_ntz")
+    old = raw.filter(F.col("transit_timestamp") < split).withColumn("legacy_flag", F.lit(True))
+    new = raw.filter(F.col("transit_timestamp") >= split).drop("transfers").withColumn("ingest_batch", F.lit(2).cast("bigint"))
+    return inc.schema_sync(old, new)
+
+
+def _weekly_files(spark, df, ts, path):
+    """Write ``df`` as one file per week, oldest first (stream input in event order)."""
+    wk = F.floor(F.datediff(F.to_date(ts), F.lit("2024-01-01").cast("date")) / 7)
+    keyed = df.withColumn("_wk", wk)
+    for w in range(0, 6):
+        keyed.filter(F.col("_wk") == w).drop("_wk").coalesce(1).write.mode("append").parquet(path)
+    keyed.filter((F.col("_wk") < 0) | (F.col("_wk") > 5)).drop("_wk").coalesce(1).write.mode("append").parquet(path)
+
+
+EVENT_COLS = ["event_id", "ts", "user_id", "event_type", "value"]
+
+
+@register("stream_landing")
+def q_stream_landing(spark, d):
+    ev = B.table(spark, d, "events").select(*EVENT_COLS)
+    src = scratch_path(spark, "stream-in")
+    _weekly_files(spark, ev, "ts", src)
+    return inc.stream_landing(spark, src, scratch_path(spark, "stream-out"), scratch_path(spark, "stream-ckpt"), ev.schema)
+
+
+@register("stream_dedup")
+def q_stream_dedup(spark, d):
+    ev = B.table(spark, d, "events").select(*EVENT_COLS)
+    src = scratch_path(spark, "dedup-in")
+    _weekly_files(spark, ev, "ts", src)
+    last_week = F.col("ts") >= F.lit("2024-01-29").cast("timestamp_ntz")
+    first_week = F.col("ts") < F.lit("2024-01-08").cast("timestamp_ntz")
+    ev.filter((F.col("event_id") % 50 == 0) & (last_week | first_week)).coalesce(1).write.mode("append").parquet(src)
+    return inc.stream_dedup(
+        spark, src, scratch_path(spark, "dedup-out"), scratch_path(spark, "dedup-late"), scratch_path(spark, "dedup-ckpt"),
+        ev.schema, ["event_id"], "ts",
+    )
+
+
+@register("stream_hourly")
+def q_stream_hourly(spark, d):
+    s = stg_coarse(spark, d).select("station_complex_id", "transit_timestamp", "ridership")
+    src = scratch_path(spark, "hourly-in")
+    _weekly_files(spark, s, "transit_timestamp", src)
+    return inc.stream_hourly(spark, src, scratch_path(spark, "hourly-out"), scratch_path(spark, "hourly-ckpt"), s.schema)

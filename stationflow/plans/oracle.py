@@ -736,3 +736,194 @@ SELECT hour_classification, count(station_congestion_index) AS hours,
        {rnd(sdiv('sum(CAST(station_congestion_index AS DECIMAL(18,3)))', 'count(station_congestion_index)'), 3)} AS mean_congestion_index
 FROM cong_coarse GROUP BY 1
 """, "cong_coarse")
+
+# ------------------------------------------------------------------ meters, profiles
+R.add("meter_raw", """
+SELECT CAST(user_id % 10 AS VARCHAR) AS c_a, CAST(user_id % 100 AS VARCHAR) AS unit, CAST(user_id AS VARCHAR) AS scp,
+       'S' || CAST(user_id % 20 AS VARCHAR) AS station, 'ace' AS line_name, 'ind' AS division,
+       CAST(ts AS DATE) AS date, strftime(ts, '%H:%M:%S.%f') AS time,
+       CASE WHEN event_id % 17 = 0 THEN 'RECOVR AUD' ELSE 'REGULAR' END AS description,
+       ticks % 1000 AS entries, (ticks * 3) % 1000 AS exits
+FROM (SELECT *, CAST(date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) AS BIGINT) * 144
+                + CAST(hour(ts) AS BIGINT) * 6 + CAST(floor(minute(ts) / 10) AS BIGINT) AS ticks
+      FROM events)
+""")
+
+
+def _mdelta(cur: str, prev: str, cap) -> str:
+    capped = f" WHEN {cur} - {prev} > {cap} THEN NULL" if cap is not None else ""
+    return f"CASE WHEN {prev} IS NULL THEN NULL WHEN {cur} < {prev} THEN NULL{capped} ELSE {cur} - {prev} END"
+
+
+R.add("meter_delta", f"""
+SELECT c_a AS control_area, unit, scp, {initcap('station')} AS station_name, {initcap('line_name')} AS line_name,
+       {initcap('division')} AS division, date AS turnstile_date, time AS turnstile_time_raw, ts AS turnstile_timestamp,
+       entries AS entries_cumulative, exits AS exits_cumulative, pe AS prev_entries_cumulative, px AS prev_exits_cumulative,
+       {_mdelta('entries', 'pe', 200)} AS entries_delta,
+       {_mdelta('exits', 'px', None)} AS exits_delta,
+       {_mdelta('entries', 'pe', 50000)} AS ridership
+FROM (SELECT *, lag(entries) OVER (PARTITION BY c_a, unit, scp, station ORDER BY ts) AS pe,
+                lag(exits) OVER (PARTITION BY c_a, unit, scp, station ORDER BY ts) AS px
+      FROM (SELECT *, CAST(CAST(date AS VARCHAR) || ' ' || time AS TIMESTAMP) AS ts
+            FROM meter_raw WHERE upper(description) = 'REGULAR'))
+""", ("meter_raw",))
+key("meter_delta", "SELECT * FROM meter_delta", "meter_delta")
+_QS = ((0.25, "p25"), (0.5, "p50"), (0.75, "p75"), (0.95, "p95"), (0.99, "p99"), (0.999, "p999"))
+key("quantile_profile", "SELECT " + ", ".join(f"{rnd(f'quantile_cont(entries_delta, {q})', 4)} AS {n}" for q, n in _QS)
+    + ", max(entries_delta) AS max_value, count(entries_delta) AS n FROM meter_delta WHERE entries_delta IS NOT NULL", "meter_delta")
+key("income_profile", "SELECT " + ", ".join(f"quantile_disc(median_household_income, {q}) AS q{i}" for i, q in enumerate((0.0, 0.25, 0.5, 0.75, 1.0)))
+    + f", {rnd(davg('median_household_income'), 2)} AS mean_income, min(median_household_income) AS min_income,"
+    " max(median_household_income) AS max_income FROM census WHERE median_household_income IS NOT NULL", "census")
+
+
+# ------------------------------------------------------------------ quality
+def _dq(table: str, check: str, column: str, failures: str, severity: str = "error", src: str = "") -> str:
+    return (f"SELECT '{table}' AS table_name, '{check}' AS check_name, '{column}' AS column_name, "
+            f"CAST(({failures}) AS BIGINT) AS failures, '{severity}' AS severity, "
+            f"CASE WHEN ({failures}) = 0 THEN 'pass' WHEN '{severity}' = 'warn' THEN 'warn' ELSE 'fail' END AS status"
+            + (f" FROM {src}" if src else ""))
+
+
+def _unique(table: str, cols: str, src: str, severity: str = "error") -> str:
+    return _dq(table, "unique", cols.replace(" ", ""), f"SELECT count(*) FROM (SELECT {cols} FROM {src} GROUP BY {cols} HAVING count(*) > 1)", severity)
+
+
+_REF_BOROUGHS = "('Manhattan', 'Brooklyn', 'Queens', 'Bronx', 'Staten Island')"
+key("dq_not_null", " UNION ALL ".join(
+    _dq("stg_ridership", "not_null", c, f"count_if({c} IS NULL)", src="stg_all")
+    for c in ("transit_timestamp", "station_complex_id", "ridership", "borough", "latitude")), "stg_all")
+key("dq_unique", _unique("monthly_totals", "station_complex_id, ridership_year, ridership_month", "monthly") + " UNION ALL "
+    + _unique("monthly_totals", "station_complex_id, ridership_month", "monthly", "warn"), "monthly")
+key("dq_accepted_values", " UNION ALL ".join([
+    _dq("recovery_monthly", "accepted_values", "data_quality_flag",
+        "count_if(data_quality_flag NOT IN ('clean', 'suspect_merged', 'suspect_split', 'no_baseline'))", src="recovery"),
+    _dq("recovery_monthly", "accepted_values", "recovery_tier",
+        "count_if(recovery_tier NOT IN ('Recovered', 'Recovering', 'Lagging', 'Critical'))", src="recovery"),
+    _dq("recovery_monthly", "accepted_values", "borough", f"count_if(borough NOT IN {_REF_BOROUGHS})", "warn", src="recovery"),
+    _dq("recovery_monthly", "accepted_values_clean", "recovery_tier",
+        "count_if(data_quality_flag = 'clean' AND recovery_tier NOT IN ('Recovered', 'Recovering'))", src="recovery"),
+]), "recovery")
+key("dq_range", """
+SELECT 'equity_score_bounds' AS check_name, station_complex_id, CAST(equity_risk_score AS DOUBLE) AS detail
+FROM equity10 WHERE equity_risk_score < 0 OR equity_risk_score > 100
+UNION ALL
+SELECT 'recovery_pct_bounds', station_complex_id, CAST(monthly_recovery_pct AS DOUBLE)
+FROM recovery WHERE data_quality_flag = 'clean' AND (monthly_recovery_pct < 0 OR monthly_recovery_pct > 200)
+UNION ALL
+SELECT 'ridership_not_negative', station_complex_id, CAST(ridership AS DOUBLE) FROM stg_all WHERE ridership < 0
+UNION ALL
+SELECT 'transit_year_valid', station_complex_id, CAST(transit_year AS DOUBLE)
+FROM stg_all WHERE transit_year NOT IN (2022, 2023, 2024, 2025) AND transit_year IS NOT NULL
+""", "equity10", "recovery", "stg_all")
+key("orphan_keys", """
+SELECT DISTINCT station_complex_id FROM stg_cur
+WHERE station_complex_id IS NOT NULL
+  AND station_complex_id NOT IN (SELECT station_complex_id FROM stg_base WHERE station_complex_id IS NOT NULL)
+""", "stg_cur", "stg_base")
+_HC = "('Peak Hour', 'Near Peak', 'AM Off Peak', 'PM Off Peak', 'Overnight')"
+key("dq_report", " UNION ALL ".join([
+    _dq("stg_ridership", "not_null", "transit_timestamp", "count_if(transit_timestamp IS NULL)", src="stg_all"),
+    _dq("stg_ridership", "not_null", "station_complex_id", "count_if(station_complex_id IS NULL)", src="stg_all"),
+    _dq("stg_ridership", "not_null", "ridership", "count_if(ridership IS NULL)", src="stg_all"),
+    _dq("stg_ridership", "accepted_values", "borough", f"count_if(borough NOT IN {_REF_BOROUGHS})", "warn", src="stg_all"),
+    _dq("stg_ridership", "ridership_not_negative", "ridership", "count_if(ridership < 0)", src="stg_all"),
+    _dq("recovery_monthly", "not_null", "station_complex_id", "count_if(station_complex_id IS NULL)", src="recovery"),
+    _dq("recovery_monthly", "accepted_values", "data_quality_flag",
+        "count_if(data_quality_flag NOT IN ('clean', 'suspect_merged', 'suspect_split', 'no_baseline'))", src="recovery"),
+    _dq("recovery_monthly", "recovery_pct_bounds", "monthly_recovery_pct",
+        "count_if(data_quality_flag = 'clean' AND (monthly_recovery_pct < 0 OR monthly_recovery_pct > 200))", src="recovery"),
+    _dq("recovery_scorecard", "accepted_values", "record_type", "count_if(record_type NOT IN ('station', 'borough'))", src="scorecard"),
+    _dq("recovery_scorecard", "not_null", "recovery_tier", "count_if(recovery_tier IS NULL)", src="scorecard"),
+    _unique("recovery_scorecard", "record_type, borough, station_complex_id, transit_year", "scorecard"),
+    _dq("congestion_hourly", "accepted_values", "hour_classification", f"count_if(hour_classification NOT IN {_HC})", src="cong_coarse"),
+    _dq("congestion_hourly", "accepted_values", "data_quality_flag", "count_if(data_quality_flag NOT IN ('clean'))", "warn",
+        src="cong_coarse"),
+]), "stg_all", "recovery", "scorecard", "cong_coarse")
+
+# ------------------------------------------------------------------ contracts
+key("contract_bronze", """
+SELECT 'transit_timestamp' AS column_name, true AS present, true AS type_ok,
+       (SELECT count_if(transit_timestamp IS NULL) FROM raw_monthly_defects) AS null_violations, CAST(0 AS BIGINT) AS domain_violations
+UNION ALL SELECT 'station_complex_id', true, true, (SELECT count_if(station_complex_id IS NULL) FROM raw_monthly_defects), 0
+UNION ALL SELECT 'borough', true, true, 0,
+       (SELECT count_if(borough NOT IN ('MANHATTAN', 'BROOKLYN', 'QUEENS', 'BRONX', 'STATEN ISLAND')) FROM raw_monthly_defects)
+UNION ALL SELECT 'fare_class_category', true, true, 0, (SELECT count_if(fare_class_category NOT IN ('A', 'N', 'R')) FROM raw_monthly_defects)
+UNION ALL SELECT 'ridership', true, true, (SELECT count_if(ridership IS NULL) FROM raw_monthly_defects), 0
+UNION ALL SELECT 'latitude', true, false, 0, 0
+UNION ALL SELECT 'station_status', false, false, CAST(NULL AS BIGINT), CAST(NULL AS BIGINT)
+""", "raw_monthly_defects")
+key("contract_gold", "SELECT * FROM scorecard", "scorecard")
+
+# ------------------------------------------------------------------ sources / sinks
+key("scan_bronze_csv", "SELECT * FROM stg_all", "stg_all")
+key("time_slice", "SELECT * FROM stg_coarse WHERE transit_timestamp >= TIMESTAMP '2024-01-08' AND transit_timestamp < TIMESTAMP '2024-01-15'",
+    "stg_coarse")
+key("land_partitioned", """
+SELECT *, CAST(year(transit_timestamp) AS INTEGER) AS year, CAST(month(transit_timestamp) AS INTEGER) AS month,
+       CAST(transit_timestamp AS DATE) - CAST(((date_diff('day', DATE '2024-01-01', CAST(transit_timestamp AS DATE)) % 7) + 7) % 7 AS INTEGER)
+         AS week_starting
+FROM raw_coarse WHERE transit_timestamp >= TIMESTAMP '2024-01-08' AND transit_timestamp < TIMESTAMP '2024-01-22'
+""", "raw_coarse")
+key("quarter_bucket", f"""
+SELECT transit_year, CAST(quarter(transit_timestamp) AS BIGINT) AS quarter, {dsum('ridership')} AS ridership, count(*) AS row_count
+FROM stg_all GROUP BY 1, 2
+""", "stg_all")
+R.add("census_rows", """
+SELECT 'Census Tract ' || CAST(n AS VARCHAR) AS "NAME",
+       CASE WHEN n = 3 THEN '-' ELSE CAST(median_household_income AS VARCHAR) END AS "B19013_001E",
+       CAST(total_population AS VARCHAR) AS "B01003_001E",
+       CAST(households_no_vehicle AS VARCHAR) AS "B08201_002E",
+       CAST(total_households AS VARCHAR) AS "B08201_001E",
+       CAST(population_in_poverty AS VARCHAR) AS "B17001_002E",
+       CAST(population_with_disability AS VARCHAR) AS "B18101_001E",
+       '36' AS state,
+       CASE n % 3 WHEN 0 THEN '005' WHEN 1 THEN '047' ELSE '999' END AS county,
+       lpad(CAST(n AS VARCHAR), 6, '0') AS tract
+FROM (SELECT *, CAST(substr(geoid, 6, 6) AS BIGINT) AS n FROM census_raw)
+""", ("census_raw",))
+R.add("census_typed", """
+SELECT "NAME" AS neighborhood_name,
+       TRY_CAST("B19013_001E" AS DOUBLE) AS median_household_income,
+       TRY_CAST("B01003_001E" AS DOUBLE) AS total_population,
+       TRY_CAST("B08201_002E" AS DOUBLE) AS households_no_vehicle,
+       TRY_CAST("B08201_001E" AS DOUBLE) AS total_households,
+       TRY_CAST("B17001_002E" AS DOUBLE) AS population_in_poverty,
+       TRY_CAST("B18101_001E" AS DOUBLE) AS population_with_disability,
+       state, county, tract
+FROM census_rows
+""", ("census_rows",))
+key("census_header_json", "SELECT * FROM census_rows", "census_rows")
+key("coerce_numeric", "SELECT * FROM census_typed", "census_typed")
+key("demographic_rates", f"""
+SELECT *, {rnd('1.0::DOUBLE - ' + sdiv('households_no_vehicle', 'total_households'), 4)} AS car_ownership_rate,
+          {rnd(sdiv('population_in_poverty', 'total_population'), 4)} AS poverty_rate,
+          {rnd(sdiv('population_with_disability', 'total_population'), 4)} AS disability_rate
+FROM census_typed
+""", "census_typed")
+key("geoid_borough", """
+SELECT state || county || tract AS geoid,
+       CASE county WHEN '005' THEN 'Bronx' WHEN '047' THEN 'Brooklyn' WHEN '061' THEN 'Manhattan' WHEN '081' THEN 'Queens'
+                   WHEN '085' THEN 'Staten Island' ELSE 'Unknown' END AS borough,
+       county, tract, neighborhood_name
+FROM census_typed
+""", "census_typed")
+key("union_parts", "SELECT * EXCLUDE (transfers) FROM stg_cur UNION ALL BY NAME SELECT * FROM stg_coarse", "stg_cur", "stg_coarse")
+key("sample_head", "SELECT * FROM census ORDER BY geoid LIMIT 20", "census")
+key("gold_roundtrip", "SELECT * FROM scorecard", "scorecard")
+
+# ------------------------------------------------------------------ incremental / streaming
+key("incremental_upsert", """
+SELECT event_id, ts, user_id, event_type,
+       CASE WHEN event_id % 20 = 0 THEN value + 1 WHEN event_id % 1000 = 1 THEN value + 2 ELSE value END AS value,
+       CAST(ts AS DATE) AS event_date
+FROM events
+""")
+key("schema_sync", """
+SELECT transit_timestamp, station_complex_id, station_complex, borough, latitude, longitude, transit_mode, payment_method,
+       fare_class_category, ridership,
+       CASE WHEN transit_timestamp >= TIMESTAMP '2024-01-16' THEN CAST(2 AS BIGINT) END AS ingest_batch
+FROM raw_coarse
+""", "raw_coarse")
+key("stream_landing", "SELECT event_id, ts, user_id, event_type, value FROM events")
+key("stream_dedup", "SELECT event_id, ts, user_id, event_type, value FROM events")
+key("stream_hourly", "SELECT station_complex_id, transit_date, transit_hour, hourly_ridership, fare_rows FROM hub_coarse", "hub_coarse")

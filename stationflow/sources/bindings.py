@@ -241,3 +241,33 @@ def census_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         ((n % 4).cast("double") / F.lit(20.0).cast("double")).alias("disability_rate"),
         F.lit("2024-01-01 00:00:00").cast("timestamp_ntz").alias("loaded_at"),
     )
+
+
+# ---------------------------------------------------------------- census documents (B9)
+CENSUS_HEADER = ("NAME", "B19013_001E", "B01003_001E", "B08201_002E", "B08201_001E", "B17001_002E", "B18101_001E",
+                 "state", "county", "tract")
+
+
+def census_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Header-first JSON documents (one tract per document), as the census API returns them.
+
+    County is '005' / '047' / '999' by ``n % 3`` (the last one has no borough),
+    income of tract 3 is the junk string '-', poverty of tract 7 is null.
+    """
+    c = census_raw(spark, sf_dir)
+    n = F.substring("geoid", 6, 6).cast("bigint")
+    s = lambda col: F.col(col).cast("string")
+    header = F.array(*[F.lit(h) for h in CENSUS_HEADER])
+    row = F.array(
+        F.concat(F.lit("Census Tract "), n.cast("string")),
+        F.when(n == 3, F.lit("-")).otherwise(s("median_household_income")),
+        s("total_population"),
+        s("households_no_vehicle"),
+        s("total_households"),
+        s("population_in_poverty"),
+        s("population_with_disability"),
+        F.lit("36"),
+        F.when(n % 3 == 0, "005").when(n % 3 == 1, "047").otherwise("999"),
+        F.lpad(n.cast("string"), 6, "0"),
+    )
+    return c.select(F.to_json(F.array(header, row)).alias("value"))
