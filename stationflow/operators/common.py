@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -14,6 +14,7 @@ def rollup_with_attrs(
     attrs: Sequence[str],
     sums: Mapping[str, tuple[str, int, int]] = {},
     counts: Mapping[str, str] = {},
+    attr_fn: Callable[[Column], Column] | None = None,
 ) -> DataFrame:
     """Group by ``keys`` with descriptive string ``attrs`` taken as ``max``.
 
@@ -24,12 +25,15 @@ def rollup_with_attrs(
     already reduced rows, takes ``max`` of the attrs and re-adds the partial
     sums and counts. ``sums`` maps output -> (column, precision, scale), summed
     exactly as DECIMAL; ``counts`` maps output -> column (non-null count).
-    Outputs stay DECIMAL / BIGINT; callers cast at the end.
+    Outputs stay DECIMAL / BIGINT; callers cast at the end. ``attr_fn`` (for
+    example name normalisation) is applied to the attrs at the second level,
+    i.e. once per distinct spelling instead of once per input row.
     """
     lvl1 = [F.sum(F.col(c).cast(f"decimal({p},{s})")).alias(o) for o, (c, p, s) in sums.items()]
     lvl1 += [F.count(F.col(c)).alias(o) for o, c in counts.items()]
     first = df.groupBy(*keys, *attrs).agg(*lvl1) if lvl1 else df.groupBy(*keys, *attrs).count()
-    lvl2 = [F.max(a).alias(a) for a in attrs]
+    fn = attr_fn or (lambda c: c)
+    lvl2 = [F.max(fn(F.col(a))).alias(a) for a in attrs]
     lvl2 += [F.sum(o).alias(o) for o in sums]
     lvl2 += [F.sum(o).alias(o) for o in counts]
     return first.groupBy(*keys).agg(*lvl2)

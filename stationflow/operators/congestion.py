@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from stationflow.functions import initcap_words
 from stationflow.functions import dec_avg, dec_sum, hour_bucket, rnd, safe_div, season, tier
 from stationflow.operators.common import rollup_with_attrs
 
@@ -29,6 +30,7 @@ def fare_consolidated(stg: DataFrame) -> DataFrame:
         attrs=["station_name", "borough"],
         sums={"_r": ("ridership", 18, 2), "_lat": ("latitude", 12, 6), "_lon": ("longitude", 12, 6)},
         counts={"fare_rows": "ridership", "_nlat": "latitude", "_nlon": "longitude"},
+        attr_fn=initcap_words,
     )
     return g.select(
         "station_complex_id",
@@ -52,6 +54,7 @@ def station_dim(hub: DataFrame) -> DataFrame:
         attrs=["station_name", "borough"],
         sums={"_lat": ("latitude", 12, 6), "_lon": ("longitude", 12, 6)},
         counts={"_nlat": "latitude", "_nlon": "longitude"},
+        attr_fn=initcap_words,
     )
     return g.select(
         "station_complex_id",

@@ -27,14 +27,20 @@ def _validity(raw: DataFrame) -> F.Column:
     )
 
 
-def stg_ridership(raw: DataFrame) -> DataFrame:
+def stg_ridership(raw: DataFrame, normalize_names: bool = True) -> DataFrame:
     """Cast, rename and validate bronze ridership (one row per station x hour x fare class).
 
     Rows with a NULL timestamp, station or ridership, or negative ridership,
     are dropped here and reported by :func:`stg_rejects`. The filter sits
     below the projection so Catalyst pushes it into the Parquet scan.
+
+    ``normalize_names=False`` leaves ``station_name`` / ``borough`` as spelled
+    in the source: the station-keyed aggregates (:func:`monthly_totals`, the
+    hub) normalise them after their first level, once per distinct spelling,
+    which is exact because INITCAP is idempotent and they take ``max`` of it.
     """
     ts = _ts("transit_timestamp")
+    name = (lambda c: initcap_words(c)) if normalize_names else (lambda c: F.col(c))
     return raw.filter(_validity(raw)).select(
         ts.alias("transit_timestamp"),
         F.to_date(ts).alias("transit_date"),
@@ -43,8 +49,8 @@ def stg_ridership(raw: DataFrame) -> DataFrame:
         F.year(ts).cast("bigint").alias("transit_year"),
         F.month(ts).cast("bigint").alias("transit_month"),
         F.col("station_complex_id").cast("string").alias("station_complex_id"),
-        initcap_words("station_complex").alias("station_name"),
-        initcap_words("borough").alias("borough"),
+        name("station_complex").alias("station_name"),
+        name("borough").alias("borough"),
         _num("latitude").alias("latitude"),
         _num("longitude").alias("longitude"),
         F.lower("transit_mode").alias("transit_mode"),

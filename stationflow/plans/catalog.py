@@ -40,12 +40,13 @@ def register(name: str):
 
 
 # ------------------------------------------------------------------ inputs
-def stg_all(spark, d):
-    return stg.stg_ridership(B.ridership_monthly_raw(spark, d))
+def stg_all(spark, d, normalize_names=False):
+    """Staged B1 rows; names are normalised downstream unless the rows themselves are the output."""
+    return stg.stg_ridership(B.ridership_monthly_raw(spark, d), normalize_names)
 
 
-def stg_cur(spark, d):
-    return stg_all(spark, d).filter(F.col("transit_year").isin(2022, 2023, 2024))
+def stg_cur(spark, d, normalize_names=False):
+    return stg_all(spark, d, normalize_names).filter(F.col("transit_year").isin(2022, 2023, 2024))
 
 
 def stg_base(spark, d):
@@ -122,12 +123,12 @@ def q_season_totals(spark, d):
 
 
 # ------------------------------------------------------------------ congestion
-def stg_coarse(spark, d):
-    return stg.stg_ridership(B.hourly_coarse_raw(spark, d))
+def stg_coarse(spark, d, normalize_names=False):
+    return stg.stg_ridership(B.hourly_coarse_raw(spark, d), normalize_names)
 
 
 def stg_fine(spark, d):
-    return stg.stg_ridership(B.hourly_fine_raw(spark, d))
+    return stg.stg_ridership(B.hourly_fine_raw(spark, d), normalize_names=False)
 
 
 def hub_coarse(spark, d):
@@ -473,7 +474,7 @@ def q_orphan_keys(spark, d):
 def q_dq_report(spark, d):
     sc = scorecard(spark, d)
     return dq.dq_report({
-        "stg_ridership": (stg_all(spark, d), [
+        "stg_ridership": (stg_all(spark, d, True), [
             dq.Check("not_null", "transit_timestamp"), dq.Check("not_null", "station_complex_id"),
             dq.Check("not_null", "ridership"), dq.Check("accepted_values", "borough", REFERENCE_BOROUGHS, severity="warn"),
             dq.Check("expression", "ridership", fails_when="ridership < 0", name="ridership_not_negative"),
@@ -544,7 +545,7 @@ def q_scan_bronze_csv(spark, d):
 
 @register("time_slice")
 def q_time_slice(spark, d):
-    return bronze.time_slice(stg_coarse(spark, d), "transit_timestamp", "2024-01-08", "2024-01-15")
+    return bronze.time_slice(stg_coarse(spark, d, True), "transit_timestamp", "2024-01-08", "2024-01-15")
 
 
 @register("land_partitioned")
@@ -595,7 +596,7 @@ def q_geoid_borough(spark, d):
 
 @register("union_parts")
 def q_union_parts(spark, d):
-    return census.union_parts(stg_cur(spark, d).drop("transfers"), stg_coarse(spark, d))
+    return census.union_parts(stg_cur(spark, d, True).drop("transfers"), stg_coarse(spark, d, True))
 
 
 @register("sample_head")

@@ -42,11 +42,11 @@ def ridership_monthly_raw(spark: SparkSession, sf_dir: str, with_defects: bool =
     li = table(spark, sf_dir, "lineitem")
     k = ((F.col("l_orderkey") + F.col("l_linenumber")) % N_STATIONS_MONTHLY).cast("bigint")
     ts = F.col("l_shipdate") + F.make_ym_interval(F.lit(0), F.lit(DATE_SHIFT_MONTHS))
-    price = F.col("l_extendedprice").cast("decimal(18,2)")
+    cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")  # prices carry 2 decimals
     base = li.select(
         k.alias("k"),
         ts.alias("transit_timestamp"),
-        price.alias("price"),
+        cents.alias("cents"),
         "l_returnflag",
         "l_linestatus",
         "l_quantity",
@@ -56,10 +56,9 @@ def ridership_monthly_raw(spark: SparkSession, sf_dir: str, with_defects: bool =
     base = base.filter(~((F.col("yr") == BASELINE_YEAR) & (F.col("k") == NO_BASELINE_STATION)))
     reg = _region(spark, sf_dir)
     joined = base.join(reg, (base.k % 5) == reg.r_regionkey, "left")
-    ridership = F.when(F.col("yr") == BASELINE_YEAR, F.col("price") * 100).otherwise(
-        F.col("price") * (F.lit(20) + F.lit(10) * F.col("k"))
-    )
-    ridership = _dbl(ridership)
+    # price * factor, as exact integer cents / 100 (the correctly rounded double of the decimal product)
+    factor = F.when(F.col("yr") == BASELINE_YEAR, F.lit(100)).otherwise(F.lit(20) + F.lit(10) * F.col("k"))
+    ridership = _dbl(F.col("cents") * factor) / F.lit(100.0)
     station_id = F.col("k").cast("string")
     if with_defects:
         ridership = (
