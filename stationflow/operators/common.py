@@ -15,6 +15,7 @@ def rollup_with_attrs(
     sums: Mapping[str, tuple[str, int, int]] = {},
     counts: Mapping[str, str] = {},
     attr_fn: Callable[[Column], Column] | None = None,
+    partition_by: Sequence[str] | None = None,
 ) -> DataFrame:
     """Group by ``keys`` with descriptive string ``attrs`` taken as ``max``.
 
@@ -28,10 +29,16 @@ def rollup_with_attrs(
     Outputs stay DECIMAL / BIGINT; callers cast at the end. ``attr_fn`` (for
     example name normalisation) is applied to the attrs at the second level,
     i.e. once per distinct spelling instead of once per input row.
+
+    ``partition_by`` (a subset of ``keys``) hash-partitions the reduced first
+    level on those columns: the second level and any later window or
+    aggregate clustered on them then need no further shuffle.
     """
     lvl1 = [F.sum(F.col(c).cast(f"decimal({p},{s})")).alias(o) for o, (c, p, s) in sums.items()]
     lvl1 += [F.count(F.col(c)).alias(o) for o, c in counts.items()]
     first = df.groupBy(*keys, *attrs).agg(*lvl1) if lvl1 else df.groupBy(*keys, *attrs).count()
+    if partition_by:
+        first = first.repartition(*partition_by)
     fn = attr_fn or (lambda c: c)
     lvl2 = [F.max(fn(F.col(a))).alias(a) for a in attrs]
     lvl2 += [F.sum(o).alias(o) for o in sums]

@@ -23,7 +23,12 @@ STRESS_TIERS = ((0.90, "At Capacity"), (0.70, "High Stress"), (0.50, "Moderate S
 
 
 def fare_consolidated(stg: DataFrame) -> DataFrame:
-    """Hub aggregate: ridership per station x date x hour, plus the fare-row count."""
+    """Hub aggregate: ridership per station x date x hour, plus the fare-row count.
+
+    The output is hash-partitioned by (station, date), which the station-day
+    windows (day totals, peak rank) and the 24-hour spine reuse without a
+    further shuffle.
+    """
     g = rollup_with_attrs(
         stg,
         keys=["station_complex_id", "transit_date", "transit_hour"],
@@ -31,6 +36,7 @@ def fare_consolidated(stg: DataFrame) -> DataFrame:
         sums={"_r": ("ridership", 18, 2), "_lat": ("latitude", 12, 6), "_lon": ("longitude", 12, 6)},
         counts={"fare_rows": "ridership", "_nlat": "latitude", "_nlon": "longitude"},
         attr_fn=initcap_words,
+        partition_by=["station_complex_id", "transit_date"],
     )
     return g.select(
         "station_complex_id",
@@ -104,23 +110,22 @@ def congestion_hourly(
 
     ``hours='rows'`` divides the day total by the number of fare rows (the
     warehouse model's ``count(*)``); ``'distinct'`` by the hours reported.
-    Day totals are a window sum over (station, date), the same partitioning
-    as the dense rank, so both need one shuffle of the hub.
+    Day totals and the dense rank are windows over (station, date), the
+    partitioning the hub already has (no shuffle); the system profile is a
+    window over (date, hour) on the same rows (one shuffle of the hub, whose
+    partitions hold at most one row per station). No join, one scan.
     """
     w = _day_window()
     day_total = F.sum(F.col("hourly_ridership").cast("decimal(18,2)")).over(w)
     n_hours = F.sum("fare_rows").over(w) if hours == "rows" else F.count(F.lit(1)).over(w)
     rank = F.dense_rank().over(w.orderBy(F.col("hourly_ridership").desc()))
-    scored = hub.select(
+    scored = hub.select("*", day_total.alias("_day"), n_hours.alias("_hours"), rank.alias("_rank"))
+    ws = Window.partitionBy("transit_date", "transit_hour")
+    j = scored.select(
         "*",
-        day_total.alias("_day"),
-        n_hours.alias("_hours"),
-        rank.alias("_rank"),
-    )
-    sysp = system_hourly(hub).select(
-        F.col("transit_date").alias("_sd"), F.col("transit_hour").alias("_sh"), "system_total_ridership", "active_stations"
+        F.sum(F.col("hourly_ridership").cast("decimal(18,2)")).over(ws).alias("system_total_ridership"),
+        F.count(F.lit(1)).over(ws).alias("active_stations"),
     )
-    j = scored.join(sysp, (scored.transit_date == sysp._sd) & (scored.transit_hour == sysp._sh), "inner")
     r = F.col("hourly_ridership")
     hc = (
         F.when(F.col("_rank") == 1, "Peak Hour")

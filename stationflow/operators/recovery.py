@@ -8,6 +8,8 @@ work on a reduced dataset.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -88,9 +90,10 @@ def baseline_monthly(base_stg: DataFrame) -> DataFrame:
 
 
 def recovery_monthly(
-    cur_stg: DataFrame,
-    base_stg: DataFrame,
+    stg: DataFrame,
+    base_stg: DataFrame | None = None,
     baseline_year: int = 2019,
+    current_years: Sequence[int] | None = None,
     merged_above: float = 200,
     split_below: float = 25,
     tiers=RECOVERY_TIERS,
@@ -98,23 +101,28 @@ def recovery_monthly(
 ) -> DataFrame:
     """Month vs the same month of the baseline year, per station.
 
-    Joins: (station, month) to the baseline month and (station) to the
-    baseline annual total, which is derived from the baseline months rather
-    than by re-reading the source. Both baseline sides are station-sized.
+    ``stg`` holds the current rows and (or, with ``base_stg``, is unioned
+    with) the baseline-year rows. One grouped aggregate builds station x
+    year x month totals; the baseline month and the baseline annual total
+    are conditional window sums over (station, month) and (station) on that
+    small table, which equals the two left joins of the warehouse model
+    without a second scan of the source. The lag runs over current months
+    only, ordered by month.
     """
     by = str(baseline_year)
-    cur = monthly_totals(cur_stg)
-    base_m = baseline_monthly(base_stg)
-    base_a = base_m.groupBy(F.col("station_complex_id").alias("_sid_a")).agg(F.sum("_base_m").alias("_base_a"))
-    bm = base_m.select(
-        F.col("station_complex_id").alias("_sid_m"), F.col("ridership_month").alias("_m"), "_base_m"
-    )
-    j = cur.join(bm, (cur.station_complex_id == bm._sid_m) & (cur.ridership_month == bm._m), "left").join(
-        base_a, F.col("station_complex_id") == base_a._sid_a, "left"
+    src = stg if base_stg is None else stg.unionByName(base_stg)
+    m = monthly_totals(src)
+    is_base = F.col("ridership_year") == baseline_year
+    base_r = F.when(is_base, F.col("monthly_ridership").cast("decimal(18,2)"))
+    m = m.select(
+        "*",
+        F.sum(base_r).over(Window.partitionBy("station_complex_id", "ridership_month")).alias("_base_m"),
+        F.sum(base_r).over(Window.partitionBy("station_complex_id")).alias("_base_a"),
     )
+    cur = m.filter(~is_base) if current_years is None else m.filter(F.col("ridership_year").isin(*current_years))
     w = Window.partitionBy("station_complex_id").orderBy("ridership_month_date")
-    j = j.select(
-        *cur.columns,
+    j = cur.select(
+        *[c for c in cur.columns if not c.startswith("_")],
         F.col("_base_m").cast("double").alias(f"baseline_monthly_{by}"),
         F.col("_base_a").cast("double").alias(f"baseline_annual_{by}"),
         rnd(safe_div("monthly_ridership", F.col("_base_m")) * 100, 2).alias("monthly_recovery_pct"),

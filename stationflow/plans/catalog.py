@@ -23,7 +23,7 @@ from stationflow.operators import quality as dq
 from stationflow.operators import recovery as rec
 from stationflow.operators import staging as stg
 from stationflow.operators import utilization as ut
-from stationflow.session import scratch_path
+from stationflow.session import materialize, scratch_path
 from stationflow.sources import bindings as B
 from stationflow.sources import bronze, census
 from stationflow.streaming import incremental as inc
@@ -53,8 +53,13 @@ def stg_base(spark, d):
     return stg_all(spark, d).filter(F.col("transit_year") == B.BASELINE_YEAR)
 
 
+CURRENT_YEARS = (2022, 2023, 2024)
+
+
 def monthly(spark, d):
-    return rec.recovery_monthly(stg_cur(spark, d), stg_base(spark, d))
+    """Monthly recovery from one scan holding both the current and the baseline years."""
+    both = stg_all(spark, d).filter(F.col("transit_year").isin(B.BASELINE_YEAR, *CURRENT_YEARS))
+    return rec.recovery_monthly(both, current_years=CURRENT_YEARS)
 
 
 # ------------------------------------------------------------------ recovery
@@ -190,7 +195,7 @@ def q_top_value_per_group(spark, d):
 
 def _mart(spark, d, **kw):
     cur, base = _halves(spark, d)
-    hub = cg.fare_consolidated(cur)
+    hub = materialize(cg.fare_consolidated(cur))  # read by the hourly scores and the station dimension
     return cg.congestion_mart(cg.congestion_hourly(hub), cg.capacity_p95(base), cg.station_dim(hub), **kw)
 
 
@@ -211,7 +216,7 @@ def q_station_thresholds(spark, d):
 
 # ------------------------------------------------------------------ utilization
 def _status(spark, d, min_avg=50):
-    hub = hub_fine(spark, d)
+    hub = materialize(hub_fine(spark, d))  # read by the spine, the profile and the station dimension
     return ut.utilization_status(ut.hour_spine(hub), ut.hour_profile(hub), min_avg=min_avg), hub
 
 
@@ -334,7 +339,7 @@ def q_equity_score_default(spark, d):
 def _fine_mart(spark, d):
     s = stg_fine(spark, d)
     split = F.lit(B.SPLIT_DATE).cast("date")
-    hub = cg.fare_consolidated(s)
+    hub = materialize(cg.fare_consolidated(s))
     cap = cg.capacity_p95(s.filter(F.col("transit_date") < split))
     return cg.congestion_mart(cg.congestion_hourly(hub), cap, cg.station_dim(hub)), hub
 
@@ -387,8 +392,8 @@ def q_kpi_system_recovery(spark, d):
 @register("kpi_row_reduction")
 def q_kpi_row_reduction(spark, d):
     cur, base = _halves(spark, d)
-    hub = cg.fare_consolidated(cur)
-    hourly = cg.congestion_hourly(hub)
+    hub = materialize(cg.fare_consolidated(cur))
+    hourly = materialize(cg.congestion_hourly(hub))
     return mt.kpi_row_reduction(hourly, cg.congestion_mart(hourly, cg.capacity_p95(base), cg.station_dim(hub)))
 
 

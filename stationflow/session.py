@@ -56,3 +56,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique directory path under the shared checkpoint root."""
     root = ensure_checkpoint_dir(spark)
     return os.path.join(root, "stationflow", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def materialize(df):
+    """Write ``df`` once to the shared checkpoint directory and cut its lineage.
+
+    For an intermediate read by several operators (the hub aggregate):
+    consumers then scan the checkpoint instead of recomputing from the raw
+    source, and a lost executor recomputes nothing upstream of it. Reliable
+    ``checkpoint`` (never ``localCheckpoint``), so the files live in the
+    cluster's shared folder.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
