@@ -12,6 +12,7 @@ tests for the error bound).
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,6 +31,14 @@ def project_xy(df: DataFrame, lat: str, lon: str, lat0: float, lon0: float) -> D
     )
 
 
+def load_tracts(tracts: DataFrame, state: str, counties: Sequence[str], geometry_cols: Sequence[str] = ("xmin",)) -> DataFrame:
+    """Tract geometries of one state's counties with a geometry present (pushed to the scan)."""
+    cond = (F.col("state_fips_code") == state) & F.col("county_fips_code").isin(list(counties))
+    for g in geometry_cols:
+        cond = cond & F.col(g).isNotNull()
+    return tracts.filter(cond)
+
+
 def catchment_cells(entrances: DataFrame, radius: float = 800.0, cell: float = 25.0) -> DataFrame:
     """Cells of the union of ``radius`` discs around each station's entrances.
 

@@ -269,7 +269,8 @@ def _cc(spark, d):
 
 
 def _tc(spark, d):
-    return ca.tract_cells(B.tract_rectangles(spark, d), cell=B.GEO_CELL_M)
+    tracts = ca.load_tracts(B.tract_rectangles(spark, d), "36", ["005", "047", "061", "081", "085"])
+    return ca.tract_cells(tracts, cell=B.GEO_CELL_M)
 
 
 def _weights(spark, d):
