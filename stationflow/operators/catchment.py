@@ -135,8 +135,8 @@ def catchment_weights(cc: DataFrame, tc: DataFrame) -> DataFrame:
     )
 
 
-def weighted_mean(df: DataFrame, group: list[str], x: str, w: str, null_aware: bool = True, scale: int = 6) -> DataFrame:
-    """Weighted mean of ``x`` per group, summed exactly as DECIMAL.
+def weighted_mean_expr(x: str, w: str, null_aware: bool = True, scale: int = 6) -> F.Column:
+    """Aggregate expression: weighted mean of ``x``, summed exactly as DECIMAL.
 
     ``null_aware=True`` drops NULL ``x`` from numerator and denominator;
     ``False`` keeps their weight in the denominator (a NULL rate counts as 0),
@@ -145,7 +145,12 @@ def weighted_mean(df: DataFrame, group: list[str], x: str, w: str, null_aware: b
     xd = F.col(x).cast(f"decimal(20,{scale})")
     wd = F.col(w).cast(f"decimal(16,{scale})")
     den = F.sum(F.when(F.col(x).isNotNull(), wd)) if null_aware else F.sum(wd)
-    return df.groupBy(*group).agg(safe_div(F.sum(xd * wd), den).alias(f"weighted_{x}"))
+    return safe_div(F.sum(xd * wd), den)
+
+
+def weighted_mean(df: DataFrame, group: list[str], x: str, w: str, null_aware: bool = True, scale: int = 6) -> DataFrame:
+    """Weighted mean of ``x`` per group (see :func:`weighted_mean_expr`)."""
+    return df.groupBy(*group).agg(weighted_mean_expr(x, w, null_aware, scale).alias(f"weighted_{x}"))
 
 
 def _wmean(x: str, null_aware: bool, n: str = "intersect_cells") -> F.Column:

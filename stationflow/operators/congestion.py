@@ -236,19 +236,17 @@ def congestion_mart(
 
 
 def station_thresholds(hub: DataFrame, q: float = 0.95) -> DataFrame:
-    """Per-station alert threshold from its own hourly distribution, joined back.
+    """Per-station alert threshold from its own hourly distribution.
 
-    Each station-hour gets the station's q-quantile and whether it exceeds it.
+    Each station-hour gets its station's q-quantile (a window percentile over
+    the station: one shuffle, no aggregate-and-join-back) and whether it
+    exceeds it.
     """
-    thr = hub.groupBy(F.col("station_complex_id").alias("_sid")).agg(
-        rnd(F.percentile("hourly_ridership", F.lit(q)), 2).alias("station_threshold")
-    )
-    j = hub.join(thr, hub.station_complex_id == thr._sid, "inner")
-    return j.select(
+    thr = rnd(F.percentile("hourly_ridership", F.lit(q)).over(Window.partitionBy("station_complex_id")), 2)
+    return hub.select(
         "station_complex_id",
         "transit_date",
         "transit_hour",
         "hourly_ridership",
-        "station_threshold",
-        (F.col("hourly_ridership") > F.col("station_threshold")).alias("above_threshold"),
-    )
+        thr.alias("station_threshold"),
+    ).withColumn("above_threshold", F.col("hourly_ridership") > F.col("station_threshold"))

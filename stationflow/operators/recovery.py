@@ -57,25 +57,17 @@ def mom_change(monthly: DataFrame, strict: bool = False) -> DataFrame:
 
     Default compares with the previous *row* (a missing month compares with an
     older one, as the warehouse ``lag`` does). ``strict=True`` compares only
-    with the calendar month before (NULL when that month is absent), via an
-    equi-join on ``add_months(month, -1)``.
+    with the calendar month before: the same ``lag``, kept only when the
+    previous row is exactly one month earlier (NULL across a gap). One window,
+    no self-join.
     """
-    cols = ["station_complex_id", "ridership_month_date", "monthly_ridership"]
-    m = monthly.select(*cols)
+    m = monthly.select("station_complex_id", "ridership_month_date", "monthly_ridership")
+    w = Window.partitionBy("station_complex_id").orderBy("ridership_month_date")
+    prev = F.lag("monthly_ridership").over(w)
     if strict:
-        prev = m.select(
-            F.col("station_complex_id").alias("_sid"),
-            F.add_months("ridership_month_date", 1).alias("_next"),
-            F.col("monthly_ridership").alias("prev_month_ridership"),
-        )
-        out = m.join(
-            prev,
-            (m.station_complex_id == prev._sid) & (m.ridership_month_date == prev._next),
-            "left",
-        ).drop("_sid", "_next")
-    else:
-        w = Window.partitionBy("station_complex_id").orderBy("ridership_month_date")
-        out = m.withColumn("prev_month_ridership", F.lag("monthly_ridership").over(w))
+        adjacent = F.lag("ridership_month_date").over(w) == F.add_months("ridership_month_date", -1)
+        prev = F.when(adjacent, prev)
+    out = m.withColumn("prev_month_ridership", prev)
     return out.withColumn(
         "month_over_month_pct",
         rnd(safe_div(F.col("monthly_ridership") - F.col("prev_month_ridership"), F.col("prev_month_ridership")) * 100, 2),
@@ -206,12 +198,14 @@ def _flag_name(c: F.Column) -> F.Column:
 
 
 def recovery_scorecard(monthly: DataFrame, baseline_year: int = 2019, include_suspect_in_borough: bool = False) -> DataFrame:
-    """Station x year rows UNION borough x year rows (the documented scorecard).
-
-    A station-year takes the worst flag of its months. The borough average
-    and the borough rows use clean station-years only (unless
-    ``include_suspect_in_borough``). One groupBy for stations, one window
-    over (borough, year) for the clean mean, one groupBy for boroughs.
+    """Station x year rows UNION borough x year rows (the documented scorecard), in one pass.
+
+    A station-year takes the worst flag of its months. Borough figures (the
+    clean-station mean, and the borough row's sums and centroid) are window
+    aggregates over (borough, year) on the station rows; the first station of
+    each group also emits the borough row (``explode`` of a two-element
+    array), so the station aggregate is computed once rather than once per
+    branch of a union.
     """
     by = str(baseline_year)
     st = monthly.groupBy("station_complex_id", F.col("ridership_year").alias("transit_year")).agg(
@@ -223,52 +217,48 @@ def recovery_scorecard(monthly: DataFrame, baseline_year: int = 2019, include_su
         dec_sum(f"baseline_monthly_{by}").alias(f"annual_baseline_{by}"),
         F.min(_flag_rank("data_quality_flag")).alias("_flag"),
     )
-    st = st.select(
-        F.lit("station").alias("record_type"),
-        "transit_year",
-        "borough",
-        "station_complex_id",
-        "station_name",
-        "latitude",
-        "longitude",
-        "annual_ridership",
-        f"annual_baseline_{by}",
-        _year_pct("annual_ridership", f"annual_baseline_{by}").alias("recovery_pct"),
-        _flag_name(F.col("_flag")).alias("data_quality_flag"),
+    st = st.withColumn("recovery_pct", _year_pct("annual_ridership", f"annual_baseline_{by}")).withColumn(
+        "data_quality_flag", _flag_name(F.col("_flag"))
     )
     member = F.lit(True) if include_suspect_in_borough else (F.col("data_quality_flag") == "clean")
     w = Window.partitionBy("borough", "transit_year")
-    clean_pct = F.when(member, F.col("recovery_pct"))
-    st = st.withColumn(
-        "borough_avg_recovery_pct",
-        rnd(safe_div(F.sum(clean_pct.cast("decimal(18,2)")).over(w), F.count(clean_pct).over(w)), 2),
+
+    def msum(c, p=18, s=2):
+        return F.sum(F.when(member, F.col(c).cast(f"decimal({p},{s})"))).over(w)
+
+    def mcount(c):
+        return F.count(F.when(member, F.col(c))).over(w)
+
+    st = st.select(
+        "*",
+        rnd(safe_div(msum("recovery_pct"), mcount("recovery_pct")), 2).alias("borough_avg_recovery_pct"),
+        msum("annual_ridership").cast("double").alias("_b_annual"),
+        msum(f"annual_baseline_{by}").cast("double").alias("_b_base"),
+        rnd(safe_div(msum("latitude", 12, 6), mcount("latitude")), 6).alias("_b_lat"),
+        rnd(safe_div(msum("longitude", 12, 6), mcount("longitude")), 6).alias("_b_lon"),
+        F.count_if(member).over(w).alias("_b_n"),
+        F.row_number().over(w.orderBy("station_complex_id")).alias("_rn"),
     )
-    bo = (
-        st.filter(member)
-        .groupBy("borough", "transit_year")
-        .agg(
-            rnd(dec_avg("latitude", 12, 6), 6).alias("latitude"),
-            rnd(dec_avg("longitude", 12, 6), 6).alias("longitude"),
-            dec_sum("annual_ridership").alias("annual_ridership"),
-            dec_sum(f"annual_baseline_{by}").alias(f"annual_baseline_{by}"),
-            F.max("borough_avg_recovery_pct").alias("borough_avg_recovery_pct"),
-        )
-        .select(
-            F.lit("borough").alias("record_type"),
-            "transit_year",
-            "borough",
-            F.lit(None).cast("string").alias("station_complex_id"),
-            F.lit("Borough Average").alias("station_name"),
-            "latitude",
-            "longitude",
-            "annual_ridership",
-            f"annual_baseline_{by}",
-            _year_pct("annual_ridership", f"annual_baseline_{by}").alias("recovery_pct"),
-            F.lit("clean").alias("data_quality_flag"),
-            "borough_avg_recovery_pct",
-        )
+    fields = ["record_type", "transit_year", "borough", "station_complex_id", "station_name", "latitude", "longitude",
+              "annual_ridership", f"annual_baseline_{by}", "recovery_pct", "data_quality_flag", "borough_avg_recovery_pct"]
+    station_row = F.struct(
+        F.lit("station").alias(fields[0]), F.col("transit_year"), F.col("borough"), F.col("station_complex_id"),
+        F.col("station_name"), F.col("latitude"), F.col("longitude"), F.col("annual_ridership"),
+        F.col(f"annual_baseline_{by}"), F.col("recovery_pct"), F.col("data_quality_flag"), F.col("borough_avg_recovery_pct"),
+    )
+    borough_row = F.when(
+        (F.col("_rn") == 1) & (F.col("_b_n") > 0),
+        F.struct(
+            F.lit("borough").alias(fields[0]), F.col("transit_year"), F.col("borough"),
+            F.lit(None).cast("string").alias("station_complex_id"), F.lit("Borough Average").alias("station_name"),
+            F.col("_b_lat").alias("latitude"), F.col("_b_lon").alias("longitude"),
+            F.col("_b_annual").alias("annual_ridership"), F.col("_b_base").alias(f"annual_baseline_{by}"),
+            _year_pct("_b_annual", "_b_base").alias("recovery_pct"), F.lit("clean").alias("data_quality_flag"),
+            F.col("borough_avg_recovery_pct"),
+        ),
     )
-    out = st.unionByName(bo)
+    rows = st.select(F.explode(F.filter(F.array(station_row, borough_row), lambda r: r.isNotNull())).alias("_r"))
+    out = rows.select(*[F.col("_r")[f].alias(f) for f in fields])
     return out.select(
         "*",
         tier("recovery_pct", RECOVERY_TIERS, "Critical", "N/A").alias("recovery_tier"),

@@ -227,7 +227,7 @@ def q_hour_spine(spark, d):
 
 @register("hour_profile")
 def q_hour_profile(spark, d):
-    return ut.hour_profile(hub_fine(spark, d))
+    return ut.hour_profile(materialize(hub_fine(spark, d)))  # the hub feeds two aggregates
 
 
 @register("rolling_zero_count")
@@ -264,8 +264,14 @@ def q_utilization_annual(spark, d):
 GEO_RADIUS_M = B.GEO_RADIUS_CELLS * B.GEO_CELL_M
 
 
-def _cc(spark, d):
-    return ca.catchment_cells(B.station_entrances(spark, d), radius=GEO_RADIUS_M, cell=B.GEO_CELL_M)
+def stations(spark, d):
+    """Station dimension of the B1 ridership rows (read by entrances and by the demographics)."""
+    return materialize(cg.station_dim(stg_all(spark, d)))
+
+
+def _cc(spark, d, dim=None):
+    dim = stations(spark, d) if dim is None else dim
+    return ca.catchment_cells(B.station_entrances(dim), radius=GEO_RADIUS_M, cell=B.GEO_CELL_M)
 
 
 def _tc(spark, d):
@@ -273,13 +279,14 @@ def _tc(spark, d):
     return ca.tract_cells(tracts, cell=B.GEO_CELL_M)
 
 
-def _weights(spark, d):
-    return ca.catchment_weights(_cc(spark, d), _tc(spark, d))
+def _weights(spark, d, dim=None):
+    return ca.catchment_weights(_cc(spark, d, dim), _tc(spark, d))
 
 
 def demographics(spark, d):
     census = stg.stg_census(B.census_raw(spark, d))
-    return ca.catchment_demographics(_weights(spark, d), census, cg.station_dim(stg_all(spark, d)))
+    dim = stations(spark, d)
+    return ca.catchment_demographics(_weights(spark, d, dim), census, dim)
 
 
 @register("catchment_cells")
@@ -302,11 +309,10 @@ def q_weighted_mean(spark, d):
     w = _weights(spark, d)
     census = stg.stg_census(B.census_raw(spark, d)).select(F.col("geoid").alias("geo_id"), "poverty_rate")
     j = w.join(census, "geo_id", "left")
-    aware = ca.weighted_mean(j, ["station_complex_id"], "poverty_rate", "intersect_cells", null_aware=True)
-    unaware = ca.weighted_mean(j, ["station_complex_id"], "poverty_rate", "intersect_cells", null_aware=False)
-    return aware.withColumnRenamed("weighted_poverty_rate", "null_aware").join(
-        unaware.withColumnRenamed("weighted_poverty_rate", "null_unaware"), "station_complex_id"
-    ).select("station_complex_id", rnd("null_aware", 6).alias("null_aware"), rnd("null_unaware", 6).alias("null_unaware"))
+    return j.groupBy("station_complex_id").agg(
+        rnd(ca.weighted_mean_expr("poverty_rate", "intersect_cells", null_aware=True), 6).alias("null_aware"),
+        rnd(ca.weighted_mean_expr("poverty_rate", "intersect_cells", null_aware=False), 6).alias("null_unaware"),
+    )
 
 
 @register("catchment_demographics")

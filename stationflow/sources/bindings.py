@@ -175,20 +175,15 @@ GEO_GRID = 50
 GEO_TRACT_CELLS = 10
 
 
-def station_entrances(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Entrances of the B1 stations in local metres (one row per entrance).
+def station_entrances(stations: DataFrame) -> DataFrame:
+    """Entrances of the stations in local metres (one row per entrance).
 
-    Stations come from the ridership binding (distinct ids), entrances
-    ``e = 0..k%3`` at lattice cell ``((7k+3e) % 50, (13k+5e) % 50)``.
+    ``stations`` is a station dimension (one row per id, derived from the
+    ridership rows); entrances ``e = 0..k%3`` sit at lattice cell
+    ``((7k+3e) % 50, (13k+5e) % 50)``.
     """
-    st = (
-        ridership_monthly_raw(spark, sf_dir)
-        .select("station_complex_id")
-        .filter(F.col("station_complex_id").isNotNull())
-        .distinct()
-    )
     k = F.col("station_complex_id").cast("bigint")
-    ent = st.withColumn("e", F.explode(F.sequence(F.lit(0), (k % 3).cast("int"))))
+    ent = stations.select("station_complex_id").withColumn("e", F.explode(F.sequence(F.lit(0), (k % 3).cast("int"))))
     kk = F.col("station_complex_id").cast("bigint")
     return ent.select(
         "station_complex_id",
