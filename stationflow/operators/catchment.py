@@ -43,8 +43,9 @@ def catchment_cells(entrances: DataFrame, radius: float = 800.0, cell: float = 2
     """Cells of the union of ``radius`` discs around each station's entrances.
 
     ``entrances`` has ``station_complex_id, x, y`` in metres. The disc is taken
-    around the entrance's cell centre; offsets are generated with two
-    ``sequence`` explodes (narrow, no shuffle) and the union is one ``distinct``.
+    around the entrance's cell centre; each disc row's offsets come from two
+    ``sequence`` explodes (narrow, no shuffle, only cells inside the disc) and
+    the union over entrances is one ``distinct``.
     """
     rc = int(math.floor(radius / cell))
     r2 = (radius / cell) ** 2
@@ -53,9 +54,10 @@ def catchment_cells(entrances: DataFrame, radius: float = 800.0, cell: float = 2
         F.floor(F.col("x") / F.lit(cell)).alias("_ix"),
         F.floor(F.col("y") / F.lit(cell)).alias("_iy"),
     )
-    off = F.sequence(F.lit(-rc), F.lit(rc))
-    e = e.withColumn("_dx", F.explode(off)).withColumn("_dy", F.explode(off))
-    e = e.filter((F.col("_dx") * F.col("_dx") + F.col("_dy") * F.col("_dy")).cast("double") <= F.lit(r2))
+    # rows of the disc: dx in [-rc, rc], then only the dy of that row (no square-and-filter)
+    e = e.withColumn("_dx", F.explode(F.sequence(F.lit(-rc), F.lit(rc))))
+    half = F.floor(F.sqrt(F.lit(r2) - (F.col("_dx") * F.col("_dx")).cast("double")) + F.lit(1e-9))
+    e = e.withColumn("_dy", F.explode(F.sequence(-half, half)))
     return e.select(
         "station_complex_id",
         (F.col("_ix") + F.col("_dx")).cast("bigint").alias("cx"),
