@@ -4,7 +4,7 @@ Plain Parquet has no MERGE, so an upsert is: read only the partitions the
 batch touches (the semi join on the partition column lets dynamic partition
 pruning skip the rest), keep the newest row per key, stage the result as a
 written table under the shared checkpoint root, then replace exactly those
-partitions with ``partitionOverwriteMode=dynamic``. Re-running a batch gives
+partitions with ``partitionOverwriteMode=dynamic`` (set on the write). Re-running a batch gives
 the same partitions, so replays after an executor or driver failure are
 no-ops. Streams use ``trigger(availableNow=True)``: the checkpoint is the
 cursor, and each micro-batch is all-or-nothing.
@@ -47,11 +47,6 @@ def incremental_upsert(target: DataFrame, batch: DataFrame, key: Sequence[str],
     return merged.drop("_src", *[o for o in order if o not in target.columns])
 
 
-def _assert_dynamic(spark: SparkSession) -> None:
-    if spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static").lower() != "dynamic":
-        raise RuntimeError("partition upserts need spark.sql.sources.partitionOverwriteMode=dynamic")
-
-
 def upsert_partitions(
     spark: SparkSession, path: str, batch: DataFrame, key: Sequence[str], partition_col: str, order: Sequence[str] = ()
 ) -> None:
@@ -61,7 +56,6 @@ def upsert_partitions(
     rows are first written to a staging table (cutting lineage to the files
     about to be replaced), then moved over the touched partitions.
     """
-    _assert_dynamic(spark)
     current = _try_read(spark, path)
     if current is not None:
         touched = batch.select(partition_col).distinct()
@@ -72,7 +66,15 @@ def upsert_partitions(
     stage = scratch_path(spark, "upsert-stage")
     merged.write.mode("overwrite").partitionBy(partition_col).parquet(stage)
     staged = spark.read.schema(merged.schema).parquet(stage)
-    staged.select(*merged.columns).write.mode("overwrite").partitionBy(partition_col).parquet(path)
+    # dynamic overwrite as a write option: only the partitions present in the
+    # staged rows are replaced, whatever the session default is
+    (
+        staged.select(*merged.columns)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(partition_col)
+        .parquet(path)
+    )
 
 
 def _try_read(spark: SparkSession, path: str) -> DataFrame | None:
@@ -173,22 +175,32 @@ def stream_hourly(
 ) -> DataFrame:
     """Streaming hub aggregate: ridership per entity x hour, upserted per micro-batch.
 
-    ``update`` mode emits each changed (hour, entity) group with its full
+    ``update`` mode emits each changed (entity, hour) group with its full
     running total; ``foreachBatch`` upserts those rows by key into the
     date-partitioned output, so the final table equals the batch
     ``fare_consolidated`` totals. ``withWatermark`` needs a TIMESTAMP (not
-    NTZ) column, so the event time is cast with the session zone (UTC) and
-    cast back.
+    NTZ) column: the wall-clock hour is encoded as the epoch instant of the
+    same digits, a grouping key, so state older than the watermark is
+    evicted and no session time zone is involved.
     """
     src = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(in_dir)
-    s = src.withColumn("_ets", F.col(ts).cast("timestamp")).withWatermark("_ets", watermark)
-    agg = s.groupBy(F.window("_ets", "1 hour").alias("_w"), F.col(entity)).agg(
+    t = F.col(ts)
+    # the wall-clock hour as an epoch instant: no session-time-zone conversion anywhere
+    epoch_hour = F.datediff(F.to_date(t), F.lit("1970-01-01").cast("date")).cast("bigint") * 24 + F.hour(t).cast("bigint")
+    s = src.select(
+        F.col(entity),
+        F.to_date(t).alias("transit_date"),
+        F.hour(t).cast("bigint").alias("transit_hour"),
+        F.timestamp_seconds(epoch_hour * 3600).alias("_ets_hour"),
+        F.col(measure),
+    ).withWatermark("_ets_hour", watermark)
+    agg = s.groupBy(F.col(entity), "_ets_hour", "transit_date", "transit_hour").agg(
         F.sum(F.col(measure).cast("decimal(18,2)")).alias("_r"), F.count(F.lit(1)).alias("fare_rows")
     )
     rows = agg.select(
         F.col(entity),
-        F.to_date(F.col("_w.start").cast("timestamp_ntz")).alias("transit_date"),
-        F.hour(F.col("_w.start").cast("timestamp_ntz")).cast("bigint").alias("transit_hour"),
+        "transit_date",
+        "transit_hour",
         F.col("_r").cast("double").alias("hourly_ridership"),
         F.col("fare_rows").cast("bigint").alias("fare_rows"),
     )
