@@ -29,6 +29,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+def register_sources(spark: SparkSession, sf_dir: str, names=("region", "nation", "customer", "lineitem", "events")) -> dict:
+    """Named source binding: one temp view per Parquet table (lazy, nothing is read)."""
+    views = {}
+    for n in names:
+        df = table(spark, sf_dir, n)
+        df.createOrReplaceTempView(n)
+        views[n] = df
+    return views
+
+
 def _region(spark, sf_dir):
     return table(spark, sf_dir, "region").select("r_regionkey", "r_name")
 
