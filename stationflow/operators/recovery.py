@@ -101,9 +101,23 @@ def recovery_monthly(
     without a second scan of the source. The lag runs over current months
     only, ordered by month.
     """
-    by = str(baseline_year)
     src = stg if base_stg is None else stg.unionByName(base_stg)
-    m = monthly_totals(src)
+    return recovery_from_monthly(
+        monthly_totals(src), baseline_year, current_years, merged_above, split_below, tiers, null_tier
+    )
+
+
+def recovery_from_monthly(
+    m: DataFrame,
+    baseline_year: int = 2019,
+    current_years: Sequence[int] | None = None,
+    merged_above: float = 200,
+    split_below: float = 25,
+    tiers=RECOVERY_TIERS,
+    null_tier: str | None = "__else__",
+) -> DataFrame:
+    """:func:`recovery_monthly` from already aggregated :func:`monthly_totals` rows."""
+    by = str(baseline_year)
     is_base = F.col("ridership_year") == baseline_year
     base_r = F.when(is_base, F.col("monthly_ridership").cast("decimal(18,2)"))
     m = m.select(

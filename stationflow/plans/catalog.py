@@ -56,10 +56,22 @@ def stg_base(spark, d):
 CURRENT_YEARS = (2022, 2023, 2024)
 
 
-def monthly(spark, d):
-    """Monthly recovery from one scan holding both the current and the baseline years."""
-    both = stg_all(spark, d).filter(F.col("transit_year").isin(B.BASELINE_YEAR, *CURRENT_YEARS))
-    return rec.recovery_monthly(both, current_years=CURRENT_YEARS)
+def monthly(spark, d, totals=None):
+    """Monthly recovery from one scan holding both the current and the baseline years.
+
+    ``totals`` (station x year x month rows of every year, see
+    :func:`monthly_all`) lets several consumers share one aggregate.
+    """
+    if totals is None:
+        both = stg_all(spark, d).filter(F.col("transit_year").isin(B.BASELINE_YEAR, *CURRENT_YEARS))
+        return rec.recovery_monthly(both, current_years=CURRENT_YEARS)
+    m = totals.filter(F.col("ridership_year").isin(B.BASELINE_YEAR, *CURRENT_YEARS))
+    return rec.recovery_from_monthly(m, current_years=CURRENT_YEARS)
+
+
+def monthly_all(spark, d):
+    """Station x year x month totals of the whole B1 source, written once for several consumers."""
+    return materialize(rec.monthly_totals(stg_all(spark, d)), "monthly-totals")
 
 
 # ------------------------------------------------------------------ recovery
@@ -264,9 +276,15 @@ def q_utilization_annual(spark, d):
 GEO_RADIUS_M = B.GEO_RADIUS_CELLS * B.GEO_CELL_M
 
 
-def stations(spark, d):
-    """Station dimension of the B1 ridership rows (read by entrances and by the demographics)."""
-    return materialize(cg.station_dim(stg_all(spark, d)))
+def stations(spark, d, totals=None):
+    """Station dimension of the B1 ridership rows (read by entrances and by the demographics).
+
+    From the shared monthly totals when given (a rollup of a small table),
+    else from the staged rows.
+    """
+    if totals is not None:
+        return cg.station_dim(totals)
+    return materialize(cg.station_dim(stg_all(spark, d)), "stations")
 
 
 def _cc(spark, d, dim=None):
@@ -283,9 +301,9 @@ def _weights(spark, d, dim=None):
     return ca.catchment_weights(_cc(spark, d, dim), _tc(spark, d))
 
 
-def demographics(spark, d):
+def demographics(spark, d, totals=None):
     census = stg.stg_census(B.census_raw(spark, d))
-    dim = stations(spark, d)
+    dim = stations(spark, d, totals)
     return ca.catchment_demographics(_weights(spark, d, dim), census, dim)
 
 
@@ -321,8 +339,8 @@ def q_catchment_demographics(spark, d):
 
 
 # ------------------------------------------------------------------ marts
-def scorecard(spark, d):
-    return rec.recovery_scorecard(monthly(spark, d))
+def scorecard(spark, d, totals=None):
+    return rec.recovery_scorecard(monthly(spark, d, totals))
 
 
 def annual_fine(spark, d):
@@ -330,7 +348,11 @@ def annual_fine(spark, d):
 
 
 def equity(spark, d, disruption=10.0):
-    return mt.equity_score(scorecard(spark, d), annual_fine(spark, d), demographics(spark, d), disruption=disruption)
+    # one aggregate of the B1 source feeds both the scorecard and the station dimension
+    totals = monthly_all(spark, d)
+    return mt.equity_score(
+        scorecard(spark, d, totals), annual_fine(spark, d), demographics(spark, d, totals), disruption=disruption
+    )
 
 
 @register("equity_score")
