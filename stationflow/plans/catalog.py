@@ -506,14 +506,15 @@ def q_orphan_keys(spark, d):
 
 @register("dq_report")
 def q_dq_report(spark, d):
-    sc = scorecard(spark, d)
+    totals = monthly_all(spark, d)  # shared by the recovery and scorecard checks
+    sc = scorecard(spark, d, totals)
     return dq.dq_report({
         "stg_ridership": (stg_all(spark, d, True), [
             dq.Check("not_null", "transit_timestamp"), dq.Check("not_null", "station_complex_id"),
             dq.Check("not_null", "ridership"), dq.Check("accepted_values", "borough", REFERENCE_BOROUGHS, severity="warn"),
             dq.Check("expression", "ridership", fails_when="ridership < 0", name="ridership_not_negative"),
         ]),
-        "recovery_monthly": (monthly(spark, d), [
+        "recovery_monthly": (monthly(spark, d, totals), [
             dq.Check("not_null", "station_complex_id"),
             dq.Check("accepted_values", "data_quality_flag", ("clean", "suspect_merged", "suspect_split", "no_baseline")),
             dq.Check("expression", "monthly_recovery_pct",
