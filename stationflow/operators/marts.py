@@ -147,6 +147,7 @@ def kpi_disruption_intensity(daily: DataFrame, period: str = "ridership_year") -
 def kpi_disruption_share(daily: DataFrame) -> DataFrame:
     """Each borough's share of all disruption hours."""
     g = daily.groupBy("borough").agg(F.sum("disruption_hours").alias("disruption_hours"))
+    # the grand total is a window over the aggregate: one row per borough, a fixed geography
     total = F.sum("disruption_hours").over(Window.partitionBy())
     return g.select("borough", "disruption_hours", rnd(safe_div(F.col("disruption_hours") * 100, total), 2).alias("share_pct"))
 
