@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stationflow.llm import gam
+from stationflow.llm import gam, simhash
 from stationflow.llm.common import ship
 from stationflow.sources.bindings import table
 
@@ -25,3 +25,8 @@ def register(fn):
 @register
 def op10_quality_gam(spark, d):
     return gam.classify(table(spark, d, "documents"), table(spark, d, "labels"))
+
+
+@register
+def op2_simhash_gray_index(spark, d):
+    return simhash.near_duplicates(table(spark, d, "documents"))
