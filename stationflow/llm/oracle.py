@@ -3,3 +3,29 @@
 from __future__ import annotations
 
 ORACLE: dict[str, str] = {}
+
+# words of a text after lower-casing A-Z, as the two contracts define them
+_LOWER = "translate(coalesce({c}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_ALNUM = r"regexp_extract_all(" + _LOWER + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+_WORDS = r"regexp_extract_all(coalesce({c}, ''), '[^\x20\x09-\x0D]+')"
+
+ORACLE["op6_prefix_decontamination"] = f"""
+WITH d AS MATERIALIZED (SELECT doc_id, {_ALNUM.format(c="text")} AS w FROM documents),
+i AS (SELECT cast(item_id AS varchar) AS item_id, {_ALNUM.format(c="text")} AS w FROM benchmark),
+iw AS MATERIALIZED (
+  SELECT DISTINCT item_id, least(len(w), 10) AS size, array_to_string(w[p : p + least(len(w), 10) - 1], ' ') AS shingle
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS p FROM i WHERE len(w) > 0)
+),
+sizes AS (SELECT DISTINCT size FROM iw),
+dw AS (
+  SELECT doc_id, p, size, array_to_string(w[p : p + size - 1], ' ') AS shingle
+  FROM (SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS p FROM d, sizes WHERE len(w) >= size)
+),
+hits AS (SELECT doc_id, p, dw.size, item_id FROM dw JOIN iw USING (size, shingle)),
+places AS (SELECT doc_id, count(DISTINCT q) AS n_hit FROM (SELECT doc_id, unnest(range(p, p + size)) AS q FROM hits) GROUP BY 1),
+names AS (SELECT doc_id, list(DISTINCT item_id ORDER BY item_id) AS items FROM hits GROUP BY 1)
+SELECT doc_id, cast(len(w) AS bigint) AS n_words, coalesce(n_hit, 0) AS n_hit,
+       coalesce(len(items), 0) AS n_items, sha256(coalesce(array_to_string(items, ','), '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN places USING (doc_id) LEFT JOIN names USING (doc_id)
+"""

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stationflow.llm import gam, simhash
+from stationflow.llm import decontam, gam, simhash
 from stationflow.llm.common import ship
 from stationflow.sources.bindings import table
 
@@ -30,3 +30,8 @@ def op10_quality_gam(spark, d):
 @register
 def op2_simhash_gray_index(spark, d):
     return simhash.near_duplicates(table(spark, d, "documents"))
+
+
+@register
+def op6_prefix_decontamination(spark, d):
+    return decontam.decontaminate(table(spark, d, "documents"), table(spark, d, "benchmark"))
