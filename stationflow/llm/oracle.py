@@ -29,3 +29,25 @@ SELECT doc_id, cast(len(w) AS bigint) AS n_words, coalesce(n_hit, 0) AS n_hit,
        coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN places USING (doc_id) LEFT JOIN names USING (doc_id)
 """
+
+ORACLE["op1_low_discrepancy_mix"] = f"""
+WITH d AS (SELECT doc_id, source, cast(len({_WORDS.format(c="text")}) AS bigint) AS size, md5('mix:' || cast(doc_id AS varchar)) AS key FROM documents),
+s AS (SELECT source, cast(sum(size) AS bigint) AS source_size FROM d GROUP BY 1),
+s1 AS (SELECT *, ([5, 2, 1])[(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS w,
+              row_number() OVER (ORDER BY source NULLS LAST) AS sid, 3 * source_size AS cap FROM s),
+s2 AS (SELECT *, cap::double / w AS ratio FROM s1),
+s3 AS (SELECT *, (sum(source_size) OVER () - coalesce(sum(cap) OVER (ORDER BY ratio, sid ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::double
+              / sum(w) OVER (ORDER BY ratio, sid ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM s2),
+water AS (SELECT ratio AS r, sid AS i, level AS l FROM s3 WHERE ratio >= level ORDER BY ratio, sid LIMIT 1),
+goal AS (SELECT source, source_size, CASE WHEN (ratio, sid) < (r, i) THEN cap::double ELSE w * l END AS target FROM s3, water),
+line AS (
+  SELECT doc_id, d.source, size, source_size, target, least(cast(floor(target + 0.5) AS bigint), 3 * source_size) AS stop,
+         cast(sum(size) OVER (PARTITION BY d.source ORDER BY key, size ROWS UNBOUNDED PRECEDING) AS bigint) - size AS start
+  FROM d JOIN goal ON d.source IS NOT DISTINCT FROM goal.source
+)
+SELECT doc_id, source, size, source_size, target,
+       cast(greatest(0, least(start + size, stop) - start)
+          + greatest(0, least(source_size + start + size, stop) - (source_size + start))
+          + greatest(0, least(2 * source_size + start + size, stop) - (2 * source_size + start)) AS bigint) AS taken
+FROM line
+"""

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stationflow.llm import decontam, gam, simhash
+from stationflow.llm import decontam, gam, mixing, simhash
 from stationflow.llm.common import ship
 from stationflow.sources.bindings import table
 
@@ -35,3 +35,8 @@ def op2_simhash_gray_index(spark, d):
 @register
 def op6_prefix_decontamination(spark, d):
     return decontam.decontaminate(table(spark, d, "documents"), table(spark, d, "benchmark"))
+
+
+@register
+def op1_low_discrepancy_mix(spark, d):
+    return mixing.mix_documents(table(spark, d, "documents"))
