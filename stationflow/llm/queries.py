@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stationflow.llm import decontam, gam, mixing, simhash
+from stationflow.llm import decontam, gam, mixing, simhash, tokens
 from stationflow.llm.common import ship
 from stationflow.sources.bindings import table
 
@@ -40,3 +40,8 @@ def op6_prefix_decontamination(spark, d):
 @register
 def op1_low_discrepancy_mix(spark, d):
     return mixing.mix_documents(table(spark, d, "documents"))
+
+
+@register
+def op9_token_parquet(spark, d):
+    return tokens.encode_documents(table(spark, d, "documents"))
