@@ -12,7 +12,7 @@ import zipfile
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # Words of the contracts are runs of bytes outside 0x20 and 0x09-0x0D. ``bytes.split()``
@@ -45,6 +45,21 @@ def text_hash(col: str = "text") -> Column:
     return F.xxhash64(F.col(col), F.col(col).isNull())
 
 
+def carried(docs: DataFrame, keep: list[str]) -> tuple[DataFrame, int]:
+    """The kept columns as k0, k1, ... and the place of the text among them (last, as t, if it is not kept)."""
+    columns = [F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(keep)]
+    if "text" in keep:
+        return docs.select(*columns), keep.index("text")
+    return docs.select(*columns, F.col("text").alias("t")), len(keep)
+
+
+def fresh(name: str, taken: list[str]) -> str:
+    """A column name like ``name`` that no column has."""
+    while name.lower() in {c.lower() for c in taken}:
+        name = f"_{name}"
+    return name
+
+
 def held_out(doc_id: str, mod: int, rest: int) -> Column:
     """True where crc32(doc_id as text) mod ``mod`` is ``rest``; false for a null id."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % mod == rest, F.lit(False))
@@ -86,3 +101,18 @@ def count_words(column: pa.Array) -> np.ndarray:
     start[inner] = word[inner]  # the first byte of a text starts a word whatever text comes before
     seen = np.concatenate(([0], np.cumsum(start, dtype=np.int64)))
     return seen[off[1:]] - seen[off[:-1]]
+
+
+def numbered(docs: DataFrame) -> tuple[DataFrame, list[str]]:
+    """The rows with four key columns that together name one row, and the keys' names.
+
+    The keys: whether doc_id is null, doc_id (0 if null), the text's hash, and
+    a number from 1 among rows that agree in these. The rows end up dealt by
+    the first three, so a join on them moves the texts no further.
+    """
+    keys: list[str] = []
+    for k in ("no_id", "id", "hash", "copy"):
+        keys.append(fresh(f"_{k}", [*docs.columns, *keys]))
+    rows = docs.withColumns({keys[0]: F.col("doc_id").isNull(), keys[1]: F.coalesce(F.col("doc_id").cast("bigint"), F.lit(0)), keys[2]: text_hash()})
+    same = Window.partitionBy(*keys[:3]).orderBy(F.lit(1))
+    return rows.withColumn(keys[3], F.row_number().over(same)), keys

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stationflow.llm.common import raw_texts
+from stationflow.llm.common import carried, raw_texts
 
 WINDOW = 10
 BLOCK_CHARS = 16_000_000
@@ -167,13 +167,12 @@ def _mark(texts: list[bytes], index: WindowIndex) -> list[tuple[int, list[tuple[
     return out
 
 
-def find_contamination(docs: DataFrame, items: DataFrame, keep: list[str], window: int = WINDOW, block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """``keep`` columns of the documents with n_words, n_hit, the hit word spans and the items found."""
-    k = len(keep)
-    kept = docs.select(*[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(keep)], F.col("text").alias("t"))
+def find_contamination(docs: DataFrame, items: DataFrame, keep: list[str], window: int = WINDOW, block_chars: int = BLOCK_CHARS, out: list[str] | None = None) -> DataFrame:
+    """``keep`` columns of the documents with n_words, n_hit, the hit word spans and the items found (named ``out``)."""
+    found, at = carried(docs, keep)
+    fields = list(found.schema)
+    k = len(fields)
     names = [f.name for f in RESULT]
-    fields = list(kept.schema)
-    found = kept
     blocks = 0
     for block in _blocks(items, block_chars):
         vocabulary = frozenset(w for _, text in block for w in words_of(text))
@@ -183,9 +182,9 @@ def find_contamination(docs: DataFrame, items: DataFrame, keep: list[str], windo
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent, later=later) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                rows = _mark(raw_texts(batch.column(k)), sent.value)
+                rows = _mark(raw_texts(batch.column(at)), sent.value)
                 if later:  # unite with what earlier blocks of items have hit
-                    before = zip(*(batch.column(k + j).to_pylist() for j in (3, 4, 5)), strict=True)
+                    before = zip(*(batch.column(k + j).to_pylist() for j in (2, 3, 4)), strict=True)
                     rows = [(n, s + list(zip(a, b, strict=True)), i | set(c)) for (n, s, i), (a, b, c) in zip(rows, before, strict=True)]
                 spans = [_union(s) for _, s, _ in rows]
                 values = [
@@ -193,13 +192,12 @@ def find_contamination(docs: DataFrame, items: DataFrame, keep: list[str], windo
                     [[b for _, b in s] for s in spans], [sorted(i, key=str.encode) for _, _, i in rows],
                 ]
                 yield pa.RecordBatch.from_arrays(
-                    [*batch.columns[: k + 1], *(pa.array(v, t) for v, t in zip(values, ARROW, strict=True))],
-                    names=[*(f"k{i}" for i in range(k)), "t", *names],
+                    [*batch.columns[:k], *(pa.array(v, t) for v, t in zip(values, ARROW, strict=True))], names=[*(f.name for f in fields), *names]
                 )
 
         found = found.mapInArrow(run, T.StructType([*fields, *RESULT]))
         blocks += 1
-    return found.drop("t").toDF(*keep, *names)
+    return found.select(*(f"k{i}" for i in range(len(keep))), *names).toDF(*keep, *(out or names))
 
 
 def decontaminate(docs: DataFrame, items: DataFrame) -> DataFrame:

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stationflow.llm.common import held_out, raw_texts
+from stationflow.llm.common import carried, held_out, raw_texts
 
 MAX_TRAIN = 20_000  # labelled rows a model is fitted on
 BINS, PAIR_BINS, PAIRS = 32, 8, 10
@@ -231,13 +231,13 @@ def fit(docs: DataFrame, labels: DataFrame, target: str = "quality", mod: int =
 
 def with_score(docs: DataFrame, model: Gam, keep: list[str], name: str = "score") -> DataFrame:
     """``keep`` columns of the documents plus the model's score of the whole text, in one pass."""
-    kept = docs.select(*[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(keep)], F.col("text").alias("t"))
-    fields = [T.StructField(f"k{i}", kept.schema[i].dataType) for i in range(len(keep))]
+    kept, text = carried(docs, keep)
+    fields = list(kept.schema)[: len(keep)]
 
     def score(batch):
-        s = model.score(feature_matrix(batch.column(len(keep))))
-        cols = [batch.column(i) for i in range(len(keep))]
-        return pa.RecordBatch.from_arrays([*cols, pa.array(s, pa.float64())], names=[f"k{i}" for i in range(len(keep))] + ["s"])
+        s = model.score(feature_matrix(batch.column(text)))
+        names = [f"k{i}" for i in range(len(keep))]
+        return pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], pa.array(s, pa.float64())], names=[*names, "s"])
 
     scored = _map_texts(kept, score, T.StructType([*fields, T.StructField("s", T.DoubleType())]))
     return scored.toDF(*keep, name)

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stationflow.llm.common import count_words, text_hash
+from stationflow.llm.common import count_words, fresh, numbered, text_hash
 from stationflow.session import materialize
 
 WEIGHTS = (5, 2, 1)  # by place of the source, repeating
@@ -144,3 +144,25 @@ def mix_documents(docs: DataFrame, **options) -> DataFrame:
     """doc_id, size, source_size, target, taken (and source) of every document."""
     sizes = materialize(sized(docs), "mix-sizes")
     return mix(sizes, **options)[0].select("doc_id", "source", "size", "source_size", "target", "taken")
+
+
+def mixed_documents(docs: DataFrame, **options) -> DataFrame:
+    """The mix as documents: a row for each time a document is taken, in the input's columns.
+
+    The last document on a source's line is cut after the last word the target
+    has room for (``n_chars`` follows the cut); documents not taken go.
+    """
+    sizes = materialize(sized(docs), "mix-sizes")
+    taken = mix(sizes, **options)[0].filter("taken > 0")
+    rows, keys = numbered(docs)
+    names = [fresh(x, rows.columns) for x in ("_size", "_taken", "_left")]
+    same = Window.partitionBy("no_id", "id", "text_hash").orderBy("start")
+    taken = taken.select(F.col("doc_id").isNull().alias("no_id"), F.coalesce("doc_id", F.lit(0)).alias("id"), "text_hash", "start", "size", "taken")
+    taken = taken.withColumn("copy", F.row_number().over(same)).select("no_id", "id", "text_hash", "copy", "size", "taken").toDF(*keys, *names[:2])
+    size, took, left = (F.col(n) for n in names)
+    each = rows.join(taken, keys).withColumn(names[2], F.explode(F.sequence(took, F.lit(1).cast("bigint"), -size)))
+    cut = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), F.lit(0)), 1, left.cast("int")), "")
+    out = {"text": F.when(left < size, cut).otherwise(F.col("text"))}
+    if "n_chars" in docs.columns:
+        out["n_chars"] = F.when(left < size, F.length(cut)).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
+    return each.select(*[out.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns])

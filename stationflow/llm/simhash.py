@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stationflow.llm.common import raw_texts
+from stationflow.llm.common import numbered, raw_texts, text_hash
 from stationflow.llm.components import connected_components
 from stationflow.session import materialize
 
@@ -134,14 +134,15 @@ def fingerprints(texts: list[bytes], shingle: int = SHINGLE) -> np.ndarray:
 
 
 def with_fingerprint(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp): the fingerprint as a signed long."""
+    """(doc_id, row_hash, fp): the fingerprint as a signed long."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fp = fingerprints(raw_texts(batch.column(1)), shingle).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp)], names=["doc_id", "fp"])
+            fp = fingerprints(raw_texts(batch.column(2)), shingle).view(np.int64)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(fp)], names=["doc_id", "row_hash", "fp"])
 
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(run, "doc_id bigint, fp bigint")
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_hash().alias("row_hash"), "text")
+    return rows.mapInArrow(run, "doc_id bigint, row_hash bigint, fp bigint")
 
 
 # ------------------------------------------------------------------ the index
@@ -274,15 +275,26 @@ def near_links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     return visits.groupBy("p", "node").applyInArrow(links, "a bigint, b bigint")
 
 
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """doc_id, fingerprint (16 hex digits), component_id of every document."""
+def grouped(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
+    """(doc_id, row_hash, fp, component, component_id): ``component`` is one print of the group."""
     rows = materialize(with_fingerprint(docs, shingle), "fingerprints")
     prints = materialize(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "prints")
     found = connected_components(near_links(prints.select("fp"), max_bits))
     joined = prints.join(found, prints.fp == found.vertex, "left").select("fp", "least", F.coalesce("component", "fp").alias("component"))
-    # prints of a component, smallest doc_id spread to all of them; a lone print is its own component
     least = joined.groupBy("component").agg(F.min("least").alias("component_id"))
-    by_print = joined.join(least, "component").select(F.col("fp").alias("key"), "component_id")
-    return rows.join(by_print, rows.fp == by_print.key).select(
-        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
-    )
+    by_print = joined.join(least, "component").select(F.col("fp").alias("key"), "component", "component_id")
+    return rows.join(by_print, rows.fp == by_print.key).drop("key")
+
+
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
+    """doc_id, fingerprint (16 hex digits), component_id of every document."""
+    return grouped(docs, shingle, max_bits).select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def one_of_each(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
+    """The documents without near-duplicates: of each group the row with the smallest (doc_id, text hash), null ids last."""
+    row = F.struct(F.col("doc_id").isNull().alias("no_id"), F.coalesce("doc_id", F.lit(0)).alias("id"), F.col("row_hash").alias("hash"))
+    first = grouped(docs, shingle, max_bits).groupBy("component").agg(F.min(row).alias("first")).select("first.*")
+    rows, keys = numbered(docs)
+    first = first.toDF(*keys[:3])
+    return rows.filter(F.col(keys[3]) == 1).join(first, keys[:3], "left_semi").select(*[f"`{c}`" for c in docs.columns])
