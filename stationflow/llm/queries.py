@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stationflow.llm import decontam, gam, mixing, simhash, tokens
+from stationflow.llm import decontam, gam, lines, mixing, simhash, tokens
 from stationflow.llm.common import ship
 from stationflow.sources.bindings import table
 
@@ -45,3 +45,8 @@ def op1_low_discrepancy_mix(spark, d):
 @register
 def op9_token_parquet(spark, d):
     return tokens.encode_documents(table(spark, d, "documents"))
+
+
+@register
+def op4_crf_line_rules(spark, d):
+    return lines.judge(table(spark, d, "documents"), table(spark, d, "labels"))
