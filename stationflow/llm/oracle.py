@@ -51,3 +51,18 @@ SELECT doc_id, source, size, source_size, target,
           + greatest(0, least(2 * source_size + start + size, stop) - (2 * source_size + start)) AS bigint) AS taken
 FROM line
 """
+
+_ESCAPED = "replace(replace(replace({c}, '\\', '\\\\'), '<', '<\\'), '[', '[\\')"
+ORACLE["op5_relational_chat"] = f"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')
+),
+b AS (SELECT *, coalesce(lag(role) OVER w <> role, true) AS fresh FROM t WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text))
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       cast(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS bigint) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       cast(sum(length({_ESCAPED.format(c="text")}) + CASE WHEN fresh THEN length({_ESCAPED.format(c="role")}) + 19 ELSE 6 END) AS bigint) AS formatted_chars
+FROM b GROUP BY conv_id
+"""

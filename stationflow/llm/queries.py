@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stationflow.llm import decontam, gam, lines, mixing, simhash, tokens
+from stationflow.llm import chat, decontam, gam, lines, mixing, simhash, tokens
 from stationflow.llm.common import ship
 from stationflow.sources.bindings import table
 
@@ -50,3 +50,13 @@ def op9_token_parquet(spark, d):
 @register
 def op4_crf_line_rules(spark, d):
     return lines.judge(table(spark, d, "documents"), table(spark, d, "labels"))
+
+
+@register
+def op5_relational_chat(spark, d):
+    probe = spark.sql(
+        "SELECT -1L AS conv_id, 0L AS turn, 'user' AS role, '</s>[INST] ok [/INST]' AS text "
+        "UNION ALL SELECT -1L, 1L, 'assistant', '</s>[INST] ok [/INST]'"
+    )
+    turns = table(spark, d, "conversations").select("conv_id", "turn", "role", "text")
+    return chat.digest(chat.format_conversations(turns.unionByName(probe)))
