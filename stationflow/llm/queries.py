@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stationflow.llm import chat, decontam, gam, lines, mixing, simhash, tokens
+from stationflow.llm import chat, decontam, gam, lines, mixing, simhash, tokens, warc
 from stationflow.llm.common import ship
 from stationflow.sources.bindings import table
 
@@ -60,3 +60,8 @@ def op5_relational_chat(spark, d):
     )
     turns = table(spark, d, "conversations").select("conv_id", "turn", "role", "text")
     return chat.digest(chat.format_conversations(turns.unionByName(probe)))
+
+
+@register
+def op8_warc_salvage(spark, d):
+    return warc.archive_pages(table(spark, d, "pages"))
