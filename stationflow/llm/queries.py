@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stationflow.llm import chat, decontam, gam, lines, mixing, simhash, tokens, warc
+from stationflow.llm import chat, decontam, gam, lattice, lines, mixing, simhash, tokens, warc
 from stationflow.llm.common import ship
 from stationflow.sources.bindings import table
 
@@ -65,3 +65,8 @@ def op5_relational_chat(spark, d):
 @register
 def op8_warc_salvage(spark, d):
     return warc.archive_pages(table(spark, d, "pages"))
+
+
+@register
+def op7_subword_lattice(spark, d):
+    return lattice.score_documents(table(spark, d, "documents"))
