@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stationflow.llm import chat, decontam, gam, lattice, lines, mixing, simhash, tokens, warc
+from stationflow.llm import chat, decontam, gam, lattice, lines, mixing, simhash, suffix, tokens, warc
 from stationflow.llm.common import ship
 from stationflow.sources.bindings import table
 
@@ -70,3 +70,8 @@ def op8_warc_salvage(spark, d):
 @register
 def op7_subword_lattice(spark, d):
     return lattice.score_documents(table(spark, d, "documents"))
+
+
+@register
+def op3_suffix_family(spark, d):
+    return suffix.remove_repeats(table(spark, d, "documents"))
