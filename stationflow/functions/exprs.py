@@ -12,6 +12,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+EXACT_DOUBLE = float(2**53)  # doubles from here on are whole numbers
+
+
 def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
@@ -21,11 +24,14 @@ def rnd(x, n: int) -> Column:
 
     Written as ``signum(x) * floor(|x| * 10^n + 0.5) / 10^n`` so that the
     same IEEE steps run in Spark and in the DuckDB oracle (``round`` ties
-    differ between engines).
+    differ between engines). From ``|x| * 10^n >= 2^53`` on a double has no
+    digits behind the ``n``-th decimal, so x itself is the result (``floor``
+    is a bigint and would saturate).
     """
     x = _c(x).cast("double")
     scale = float(10**n)
-    return F.signum(x) * F.floor(F.abs(x) * F.lit(scale) + F.lit(0.5)).cast("double") / F.lit(scale)
+    rounded = F.signum(x) * F.floor(F.abs(x) * F.lit(scale) + F.lit(0.5)).cast("double") / F.lit(scale)
+    return F.when(F.abs(x) * F.lit(scale) >= F.lit(EXACT_DOUBLE), x).otherwise(rounded)
 
 
 def safe_div(a, b) -> Column:

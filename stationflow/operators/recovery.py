@@ -20,10 +20,6 @@ from stationflow.operators.common import rollup_with_attrs
 RECOVERY_TIERS = ((90, "Recovered"), (70, "Recovering"), (50, "Lagging"))
 
 
-def _coord(c: str) -> F.Column:
-    return rnd(dec_avg(c, 12, 6), 6)
-
-
 def monthly_totals(stg: DataFrame) -> DataFrame:
     """Ridership per station x year x month (+ name, borough, mean coordinates).
 
@@ -74,13 +70,6 @@ def mom_change(monthly: DataFrame, strict: bool = False) -> DataFrame:
     )
 
 
-def baseline_monthly(base_stg: DataFrame) -> DataFrame:
-    """Baseline ridership per station x calendar month."""
-    return base_stg.groupBy("station_complex_id", F.col("transit_month").alias("ridership_month")).agg(
-        F.sum(F.col("ridership").cast("decimal(18,2)")).alias("_base_m")
-    )
-
-
 def recovery_monthly(
     stg: DataFrame,
     base_stg: DataFrame | None = None,
@@ -285,13 +274,28 @@ def crosswalk_recovery(cur_stg: DataFrame, base_stg: DataFrame, crosswalk: DataF
 
     ``crosswalk`` has ``old_id, new_id, share`` (share splits one old id over
     several new ids; many old ids may map to one new id). Unmapped baseline ids
-    keep their id. The crosswalk is a station-sized dimension table.
+    keep their id. Both sides are aggregated to station x month first, so the
+    join moves monthly rows; a month's parts are added up exactly and rounded
+    to cents once, with the cents left over by rounding going to the parts in
+    id order, so the parts of a split add up to the whole.
     """
     cw = crosswalk.select(F.col("old_id"), F.col("new_id"), F.col("share").cast("decimal(9,6)").alias("share"))
-    b = base_stg.join(cw, base_stg.station_complex_id == cw.old_id, "left")
-    b = b.select(
-        *[c for c in base_stg.columns if c not in ("station_complex_id", "ridership")],
-        F.coalesce(F.col("new_id"), F.col("station_complex_id")).alias("station_complex_id"),
-        (F.col("ridership").cast("decimal(18,2)") * F.coalesce(F.col("share"), F.lit(1))).cast("decimal(18,2)").cast("double").alias("ridership"),
+    base = monthly_totals(base_stg)
+    j = base.join(cw, base.station_complex_id == cw.old_id, "left")
+    whole = F.col("monthly_ridership").cast("decimal(18,2)")
+    # shares of an old id up to and with this one: consecutive differences of the rounded running parts add up
+    upto = Window.partitionBy("station_complex_id", "ridership_month_date").orderBy("new_id")
+    share = F.coalesce("share", F.lit(1))
+    running = F.sum(share).over(upto.rowsBetween(Window.unboundedPreceding, 0)).cast("decimal(9,6)")
+    before = F.coalesce(F.sum(share).over(upto.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).cast("decimal(9,6)")
+    part = F.round(whole * running, 2) - F.round(whole * before, 2)
+    j = j.select("*", part.cast("decimal(18,2)").alias("_part"))
+    keyed = j.select(
+        F.coalesce("new_id", "station_complex_id").alias("station_complex_id"), "station_name", "borough", "latitude", "longitude",
+        "ridership_year", "ridership_month", "ridership_month_date", "_part",
+    )
+    by_new = keyed.groupBy("station_complex_id", "ridership_year", "ridership_month", "ridership_month_date").agg(
+        F.max("station_name").alias("station_name"), F.max("borough").alias("borough"), F.max("latitude").alias("latitude"),
+        F.max("longitude").alias("longitude"), F.sum("_part").cast("double").alias("monthly_ridership"),
     )
-    return recovery_monthly(cur_stg, b, baseline_year=baseline_year)
+    return recovery_from_monthly(monthly_totals(cur_stg).unionByName(by_new), baseline_year)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -72,6 +74,11 @@ def stg_rejects(raw: DataFrame) -> DataFrame:
     return raw.filter(~_validity(raw)).withColumn("reject_reason", reason)
 
 
+def ridership_all(*parts: DataFrame) -> DataFrame:
+    """The staged loads as one table, by column name; a column that a load lacks is NULL on its rows."""
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
 def with_audit(df: DataFrame, name: str = "loaded_at") -> DataFrame:
     """Append the load timestamp (kept out of oracle-compared outputs)."""
     return df.withColumn(name, F.current_timestamp())

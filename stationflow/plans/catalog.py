@@ -46,16 +46,14 @@ def stg_all(spark, d, normalize_names=False):
 
 
 def stg_cur(spark, d, normalize_names=False):
-    return stg_all(spark, d, normalize_names).filter(F.col("transit_year").isin(2022, 2023, 2024))
+    """Every year but the baseline."""
+    return stg_all(spark, d, normalize_names).filter(F.col("transit_year") != B.BASELINE_YEAR)
 
 
 def stg_base(spark, d):
     return stg_all(spark, d).filter(F.col("transit_year") == B.BASELINE_YEAR)
 
 
-CURRENT_YEARS = (2022, 2023, 2024)
-
-
 def monthly(spark, d, totals=None):
     """Monthly recovery from one scan holding both the current and the baseline years.
 
@@ -63,10 +61,8 @@ def monthly(spark, d, totals=None):
     :func:`monthly_all`) lets several consumers share one aggregate.
     """
     if totals is None:
-        both = stg_all(spark, d).filter(F.col("transit_year").isin(B.BASELINE_YEAR, *CURRENT_YEARS))
-        return rec.recovery_monthly(both, current_years=CURRENT_YEARS)
-    m = totals.filter(F.col("ridership_year").isin(B.BASELINE_YEAR, *CURRENT_YEARS))
-    return rec.recovery_from_monthly(m, current_years=CURRENT_YEARS)
+        return rec.recovery_monthly(stg_all(spark, d), baseline_year=B.BASELINE_YEAR)
+    return rec.recovery_from_monthly(totals, baseline_year=B.BASELINE_YEAR)
 
 
 def monthly_all(spark, d):
@@ -117,7 +113,24 @@ def q_crosswalk_recovery(spark, d):
     return rec.crosswalk_recovery(stg_cur(spark, d), stg_base(spark, d), cw)
 
 
+@register("crosswalk_split")
+def q_crosswalk_split(spark, d):
+    # Each baseline id k splits: a third stays with k, two thirds go to (k + 1) % 20.
+    ids = stg_base(spark, d).select("station_complex_id").distinct()
+    k = F.col("station_complex_id").cast("bigint")
+    part = lambda new, share: ids.select(F.col("station_complex_id").alias("old_id"), new.cast("string").alias("new_id"), F.lit(share).alias("share"))
+    cw = part(k, 0.333333).unionByName(part((k + 1) % 20, 0.666667))
+    return rec.crosswalk_recovery(stg_cur(spark, d), stg_base(spark, d), cw)
+
+
 # ------------------------------------------------------------------ staging
+@register("ridership_all")
+def q_ridership_all(spark, d):
+    s = stg_cur(spark, d, True)
+    recent = F.col("transit_year") >= 2025
+    return stg.ridership_all(s.filter(~recent), s.filter(recent).drop("transfers"))
+
+
 @register("stg_ridership")
 def q_stg_ridership(spark, d):
     return stg.stg_ridership(B.ridership_monthly_raw(spark, d, with_defects=True))
@@ -189,14 +202,12 @@ def _halves(spark, d):
 
 @register("capacity_p95")
 def q_capacity_p95(spark, d):
-    _, base = _halves(spark, d)
-    return cg.capacity_p95(base)
+    return cg.capacity_p95(stg_coarse(spark, d))
 
 
 @register("capacity_p95_fare_rows")
 def q_capacity_p95_fare_rows(spark, d):
-    _, base = _halves(spark, d)
-    return cg.capacity_p95(base, consolidate=False)
+    return cg.capacity_p95(stg_coarse(spark, d), consolidate=False)
 
 
 @register("top_value_per_group")
@@ -585,9 +596,8 @@ def q_time_slice(spark, d):
 
 @register("land_partitioned")
 def q_land_partitioned(spark, d):
-    raw = bronze.time_slice(B.hourly_coarse_raw(spark, d), "transit_timestamp", "2024-01-08", "2024-01-22")
     path = scratch_path(spark, "landed")
-    bronze.land(raw, path, "transit_timestamp")
+    bronze.land(B.hourly_coarse_raw(spark, d), path, "transit_timestamp")
     return bronze.read_landed(spark, path)
 
 
@@ -605,6 +615,18 @@ def _census_rows(spark, d):
     return census.rows_from_header_json(spark.read.text(path), "value", list(B.CENSUS_HEADER))
 
 
+@register("census_rejects")
+def q_census_rejects(spark, d):
+    """Documents damaged in four ways (by tract number), as :func:`census.census_rejects` reports them."""
+    n = F.regexp_extract("value", r'"(\d{6})"\]\]$', 1).cast("int") % 9
+    bad = (
+        F.when(n == 0, F.concat(F.lit("x"), F.col("value"))).when(n == 3, F.lit(" ")).when(n == 6, F.lit("[]"))
+        .when(n == 1, F.regexp_replace("value", r'"tract"\]', '"tract","extra"]')).otherwise(F.col("value"))
+    )
+    r = census.census_rejects(B.census_docs(spark, d).select(bad.alias("value")))
+    return r.groupBy("reject_reason", F.col("row").cast("bigint").alias("row")).agg(F.count(F.lit(1)).alias("n"))
+
+
 @register("census_header_json")
 def q_census_header_json(spark, d):
     return _census_rows(spark, d)
@@ -670,43 +692,79 @@ def q_schema_sync(spark, d):
     return inc.schema_sync(old, new)
 
 
-def _weekly_files(spark, df, ts, path):
-    """Write ``df`` as one file per week, oldest first (stream input in event order)."""
-    wk = F.floor(F.datediff(F.to_date(ts), F.lit("2024-01-01").cast("date")) / 7)
-    keyed = df.withColumn("_wk", wk)
-    for w in range(0, 6):
-        keyed.filter(F.col("_wk") == w).drop("_wk").coalesce(1).write.mode("append").parquet(path)
-    keyed.filter((F.col("_wk") < 0) | (F.col("_wk") > 5)).drop("_wk").coalesce(1).write.mode("append").parquet(path)
+def _land_for_stream(df, ts, path, mode="append"):
+    """Write ``df`` as stream input, in files that are ranges of event time."""
+    df.repartitionByRange(ts).write.mode(mode).parquet(path)
 
 
 EVENT_COLS = ["event_id", "ts", "user_id", "event_type", "value"]
 
 
+@register("upsert_moved_key")
+def q_upsert_moved_key(spark, d):
+    """Every tenth event moves to the next day: it must leave its old partition."""
+    ev = B.table(spark, d, "events").select("event_id", "ts", "user_id", "event_type", "value").withColumn("event_date", F.to_date("ts"))
+    path = scratch_path(spark, "moved-target")
+    ev.write.partitionBy("event_date").parquet(path)
+    moved = ev.filter(F.col("event_id") % 10 == 0).withColumn("event_date", F.date_add("event_date", 1)).withColumn("value", F.col("value") + 1)
+    inc.upsert_partitions(spark, path, moved, ["event_id"], "event_date")
+    return spark.read.parquet(path).select("event_id", "ts", "user_id", "event_type", "value", "event_date")
+
+
 @register("stream_landing")
 def q_stream_landing(spark, d):
     ev = B.table(spark, d, "events").select(*EVENT_COLS)
     src = scratch_path(spark, "stream-in")
-    _weekly_files(spark, ev, "ts", src)
+    _land_for_stream(ev, "ts", src)
     return inc.stream_landing(spark, src, scratch_path(spark, "stream-out"), scratch_path(spark, "stream-ckpt"), ev.schema)
 
 
-@register("stream_dedup")
-def q_stream_dedup(spark, d):
+def _dedup_runs(spark, d):
+    """Two runs of one stream: all events, then repeats of some from the last and the first week."""
     ev = B.table(spark, d, "events").select(*EVENT_COLS)
-    src = scratch_path(spark, "dedup-in")
-    _weekly_files(spark, ev, "ts", src)
+    src, out, late, ckpt = (scratch_path(spark, f"dedup-{x}") for x in ("in", "out", "late", "ckpt"))
+    _land_for_stream(ev, "ts", src)
+    inc.stream_dedup(spark, src, out, late, ckpt, ev.schema, ["event_id"], "ts")
     last_week = F.col("ts") >= F.lit("2024-01-29").cast("timestamp_ntz")
     first_week = F.col("ts") < F.lit("2024-01-08").cast("timestamp_ntz")
-    ev.filter((F.col("event_id") % 50 == 0) & (last_week | first_week)).coalesce(1).write.mode("append").parquet(src)
-    return inc.stream_dedup(
-        spark, src, scratch_path(spark, "dedup-out"), scratch_path(spark, "dedup-late"), scratch_path(spark, "dedup-ckpt"),
-        ev.schema, ["event_id"], "ts",
-    )
+    _land_for_stream(ev.filter((F.col("event_id") % 50 == 0) & (last_week | first_week)), "ts", src)
+    return inc.stream_dedup(spark, src, out, late, ckpt, ev.schema, ["event_id"], "ts"), late
+
+
+@register("stream_dedup")
+def q_stream_dedup(spark, d):
+    return _dedup_runs(spark, d)[0]
+
+
+@register("stream_dedup_late")
+def q_stream_dedup_late(spark, d):
+    return spark.read.parquet(_dedup_runs(spark, d)[1]).drop("batch_id")
+
+
+def _hourly_input(spark, d):
+    return stg_coarse(spark, d).select("station_complex_id", "transit_timestamp", "ridership")
 
 
 @register("stream_hourly")
 def q_stream_hourly(spark, d):
-    s = stg_coarse(spark, d).select("station_complex_id", "transit_timestamp", "ridership")
-    src = scratch_path(spark, "hourly-in")
-    _weekly_files(spark, s, "transit_timestamp", src)
-    return inc.stream_hourly(spark, src, scratch_path(spark, "hourly-out"), scratch_path(spark, "hourly-ckpt"), s.schema)
+    s = _hourly_input(spark, d)
+    src, out, late, ckpt = (scratch_path(spark, f"hourly-{x}") for x in ("in", "out", "late", "ckpt"))
+    _land_for_stream(s, "transit_timestamp", src)
+    return inc.stream_hourly(spark, src, out, late, ckpt, s.schema)
+
+
+@register("stream_hourly_late")
+def q_stream_hourly_late(spark, d):
+    """Rows of even minutes come first; of the others, those far behind are late. All rows together are the batch hub."""
+    s = _hourly_input(spark, d)
+    src, out, late, ckpt = (scratch_path(spark, f"late-{x}") for x in ("in", "out", "late", "ckpt"))
+    odd = F.minute("transit_timestamp") % 2 == 1
+    for part in (s.filter(~odd), s.filter(odd)):
+        _land_for_stream(part, "transit_timestamp", src)
+        on_time = inc.stream_hourly(spark, src, out, late, ckpt, s.schema)
+    behind = inc.hourly_sums(spark.read.schema(s.schema).parquet(late))
+    both = on_time.withColumn("late_rows", F.lit(0).cast("bigint")).unionByName(behind.withColumn("late_rows", F.col("fare_rows")))
+    return both.groupBy("station_complex_id", "transit_date", "transit_hour").agg(
+        F.sum(F.col("hourly_ridership").cast("decimal(28,2)")).cast("double").alias("hourly_ridership"),
+        F.sum("fare_rows").alias("fare_rows"), F.sum("late_rows").alias("late_rows"),
+    )

@@ -13,7 +13,8 @@ R = CteRegistry()
 
 # ------------------------------------------------------------------ bindings
 R.add("b1_li", """
-SELECT CAST((l_orderkey + l_linenumber) % 20 AS BIGINT) AS k,
+SELECT CAST(CASE WHEN year(l_shipdate + INTERVAL 288 MONTH) = 2019 AND (l_orderkey + l_linenumber) % 20 = 13 THEN 20
+                 ELSE (l_orderkey + l_linenumber) % 20 END AS BIGINT) AS k,
        l_shipdate + INTERVAL 288 MONTH AS transit_timestamp,
        CAST(l_extendedprice AS DECIMAL(18,2)) AS price,
        l_returnflag, l_linestatus, l_quantity, l_linenumber, l_discount,
@@ -34,7 +35,6 @@ SELECT transit_timestamp,
        {ridership} AS ridership,
        CAST(l_quantity AS DOUBLE) AS transfers
 FROM b1_li LEFT JOIN region ON (k % 5) = r_regionkey
-WHERE NOT (yr = 2019 AND k = 13)
 """
 _B1_RID = "CAST(CASE WHEN yr = 2019 THEN price * 100 ELSE price * (20 + 10 * k) END AS DOUBLE)"
 R.add("raw_monthly", _B1_SELECT.format(station_id="CAST(k AS VARCHAR)", ridership=_B1_RID), ("b1_li",))
@@ -95,7 +95,7 @@ WHERE transit_timestamp IS NOT NULL AND station_complex_id IS NOT NULL
 
 
 R.add("stg_all", _stg("raw_monthly"), ("raw_monthly",))
-R.add("stg_cur", "SELECT * FROM stg_all WHERE transit_year IN (2022, 2023, 2024)", ("stg_all",))
+R.add("stg_cur", "SELECT * FROM stg_all WHERE transit_year <> 2019", ("stg_all",))
 R.add("stg_base", "SELECT * FROM stg_all WHERE transit_year = 2019", ("stg_all",))
 R.add("stg_coarse", _stg("raw_coarse"), ("raw_coarse",))
 R.add("stg_fine", _stg("raw_fine"), ("raw_fine",))
@@ -255,9 +255,29 @@ SELECT *,
 FROM cw_j
 """, "cw_j")
 
+# split crosswalk: k keeps a third, (k + 1) % 20 gets the rest of each month, to the cent
+R.add("sp_base_m", """
+SELECT station_complex_id, ridership_month, sum(part) AS base_m
+FROM (
+  SELECT CASE WHEN keeps THEN k ELSE CAST((CAST(k AS BIGINT) + 1) % 20 AS VARCHAR) END AS station_complex_id, ridership_month,
+         CASE WHEN first THEN round(base_m * share, 2) ELSE base_m - round(base_m * (1 - share), 2) END AS part
+  FROM (
+    SELECT station_complex_id AS k, ridership_month, base_m, keeps,
+           CASE WHEN keeps THEN CAST(0.333333 AS DECIMAL(9,6)) ELSE CAST(0.666667 AS DECIMAL(9,6)) END AS share,
+           keeps = (station_complex_id < CAST((CAST(station_complex_id AS BIGINT) + 1) % 20 AS VARCHAR)) AS first
+    FROM base_m, (VALUES (true), (false)) t(keeps)))
+GROUP BY 1, 2
+""", ("base_m",))
+R.add("sp_base_a", "SELECT station_complex_id, sum(base_m) AS base_a FROM sp_base_m GROUP BY 1", ("sp_base_m",))
+R.add("sp_j", R._ctes["cw_j"][1].replace("cw_base", "sp_base"), ("monthly", "sp_base_m", "sp_base_a"))
+key("crosswalk_split", ORACLE["crosswalk_recovery"].rpartition("\nSELECT *,")[2].join(["SELECT *,", ""]).replace("cw_j", "sp_j"), "sp_j")
+
 # ------------------------------------------------------------------ staging
 R.add("stg_defects", _stg("raw_monthly_defects"), ("raw_monthly_defects",))
 key("stg_ridership", "SELECT * FROM stg_defects", "stg_defects")
+key("ridership_all", """
+SELECT * REPLACE (CASE WHEN transit_year < 2025 THEN transfers END AS transfers) FROM stg_cur
+""", "stg_cur")
 key("stg_rejects", """
 SELECT transit_timestamp, station_complex_id, ridership,
        CASE WHEN transit_timestamp IS NULL THEN 'null_timestamp' WHEN station_complex_id IS NULL THEN 'null_station'
@@ -379,13 +399,14 @@ SELECT station_complex_id, {_BUCKET.format(h='transit_hour')} AS time_bucket,
        {rnd('quantile_cont(hourly_ridership, 0.95)', 0)} AS p95_capacity_proxy
 FROM hub_base GROUP BY 1, 2
 """, ("hub_base",))
-key("capacity_p95", "SELECT * FROM capacity", "capacity")
+R.add("capacity_all", R._ctes["capacity"][1].replace("FROM hub_base", "FROM hub_coarse"), ("hub_coarse",))
+key("capacity_p95", "SELECT * FROM capacity_all", "capacity_all")
 key("capacity_p95_fare_rows", f"""
 SELECT station_complex_id, {_BUCKET.format(h='transit_hour')} AS time_bucket,
        max(ridership) AS max_2019_ridership,
        {rnd('quantile_cont(ridership, 0.95)', 0)} AS p95_capacity_proxy
-FROM stg_coarse_base GROUP BY 1, 2
-""", "stg_coarse_base")
+FROM stg_coarse GROUP BY 1, 2
+""", "stg_coarse")
 
 
 def _mode(src: str, keys: list[str], col: str, out: str) -> str:
@@ -862,7 +883,7 @@ key("land_partitioned", """
 SELECT *, CAST(year(transit_timestamp) AS INTEGER) AS year, CAST(month(transit_timestamp) AS INTEGER) AS month,
        CAST(transit_timestamp AS DATE) - CAST(((date_diff('day', DATE '2024-01-01', CAST(transit_timestamp AS DATE)) % 7) + 7) % 7 AS INTEGER)
          AS week_starting
-FROM raw_coarse WHERE transit_timestamp >= TIMESTAMP '2024-01-08' AND transit_timestamp < TIMESTAMP '2024-01-22'
+FROM raw_coarse
 """, "raw_coarse")
 key("quarter_bucket", f"""
 SELECT transit_year, CAST(quarter(transit_timestamp) AS BIGINT) AS quarter, {dsum('ridership')} AS ridership, count(*) AS row_count
@@ -893,6 +914,11 @@ SELECT "NAME" AS neighborhood_name,
 FROM census_rows
 """, ("census_rows",))
 key("census_header_json", "SELECT * FROM census_rows", "census_rows")
+key("census_rejects", """
+SELECT CASE n_nationkey % 9 WHEN 0 THEN 'malformed' WHEN 3 THEN 'empty' WHEN 6 THEN 'no_header' ELSE 'cell_count' END AS reject_reason,
+       CASE WHEN n_nationkey % 9 = 1 THEN CAST(1 AS BIGINT) END AS row, count(*) AS n
+FROM nation WHERE n_nationkey % 9 IN (0, 1, 3, 6) GROUP BY 1, 2
+""")
 key("coerce_numeric", "SELECT * FROM census_typed", "census_typed")
 key("demographic_rates", f"""
 SELECT *, {rnd('1.0::DOUBLE - ' + sdiv('households_no_vehicle', 'total_households'), 4)} AS car_ownership_rate,
@@ -926,4 +952,19 @@ FROM raw_coarse
 """, "raw_coarse")
 key("stream_landing", "SELECT event_id, ts, user_id, event_type, value FROM events")
 key("stream_dedup", "SELECT event_id, ts, user_id, event_type, value FROM events")
+key("stream_dedup_late", """
+SELECT event_id, ts, user_id, event_type, value FROM events
+WHERE event_id % 50 = 0 AND ts < TIMESTAMP '2024-01-08' AND ts < (SELECT max(ts) FROM events) - INTERVAL 7 DAY
+""")
+key("upsert_moved_key", """
+SELECT event_id, ts, user_id, event_type, CASE WHEN event_id % 10 = 0 THEN value + 1 ELSE value END AS value,
+       CAST(ts AS DATE) + CAST(event_id % 10 = 0 AS INTEGER) AS event_date
+FROM events
+""")
+key("stream_hourly_late", f"""
+SELECT station_complex_id, transit_date, transit_hour, {dsum('ridership')} AS hourly_ridership, count(*) AS fare_rows,
+       count(*) FILTER (minute(transit_timestamp) % 2 = 1 AND transit_timestamp < mark) AS late_rows
+FROM stg_coarse, (SELECT max(transit_timestamp) - INTERVAL 7 DAY AS mark FROM stg_coarse WHERE minute(transit_timestamp) % 2 = 0)
+GROUP BY 1, 2, 3
+""", "stg_coarse")
 key("stream_hourly", "SELECT station_complex_id, transit_date, transit_hour, hourly_ridership, fare_rows FROM hub_coarse", "hub_coarse")

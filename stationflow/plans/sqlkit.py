@@ -43,7 +43,8 @@ class CteRegistry:
 
 def rnd(x: str, n: int) -> str:
     scale = f"{float(10**n)!r}::DOUBLE"
-    return f"(sign(({x})::DOUBLE) * floor(abs(({x})::DOUBLE) * {scale} + 0.5::DOUBLE) / {scale})"
+    rounded = f"sign(({x})::DOUBLE) * floor(abs(({x})::DOUBLE) * {scale} + 0.5::DOUBLE) / {scale}"
+    return f"(CASE WHEN abs(({x})::DOUBLE) * {scale} >= 9007199254740992::DOUBLE THEN ({x})::DOUBLE ELSE {rounded} END)"
 
 
 def sdiv(a: str, b: str) -> str:

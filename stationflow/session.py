@@ -3,7 +3,8 @@
 Operators never create sessions; tests, the bench and the CLI do.
 Scratch output (landed slices, gold round trips, stream checkpoints) goes
 under the cluster's shared ``spark.checkpoint.dir``; a local directory is
-chosen only when the session has none (local tests).
+chosen only for a local master without that setting (tests), and a cluster
+without it gets an error.
 """
 
 from __future__ import annotations
@@ -40,13 +41,15 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: st
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint root, setting a local one only if unset."""
+    """The shared checkpoint root. Without one, a local folder serves a local master; a cluster must name its own."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="stationflow-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

@@ -24,8 +24,11 @@ def read_bronze(spark: SparkSession, root: str, schema: StructType, fmt: str = "
 
     No inference pass; partition columns are discovered from the path and
     pruned by filters on them. Malformed CSV lines are kept (PERMISSIVE) and,
-    with ``corrupt_col``, carried in that column.
+    with ``corrupt_col``, the whole line is carried in that column (null for
+    a well-formed one).
     """
+    if corrupt_col and corrupt_col not in schema.names:
+        schema = StructType([*schema.fields, StructField(corrupt_col, StringType(), True)])
     reader = spark.read.schema(schema)
     if fmt == "csv":
         reader = reader.option("header", True).option("mode", "PERMISSIVE")
@@ -55,12 +58,13 @@ def with_landing_keys(df: DataFrame, ts: str, anchor: str = "2024-01-01") -> Dat
 def land(df: DataFrame, root: str, ts: str, anchor: str = "2024-01-01", mode: str = "overwrite") -> None:
     """Write a raw slice under ``year=/month=/week_starting=`` partitions.
 
-    Rows are clustered by the partition keys first so each task writes few
-    files per partition; with ``partitionOverwriteMode=dynamic`` a re-landed
-    week replaces only its own partitions.
+    Rows are range-partitioned by their timestamp first: ranges follow the
+    data, so a busy week is split over as many tasks as it needs while a task
+    still writes to few partitions. With ``partitionOverwriteMode=dynamic`` a
+    re-landed week replaces only its own partitions.
     """
-    keyed = with_landing_keys(df, ts, anchor)
-    keyed.repartition("year", "month", "week_starting").write.mode(mode).partitionBy("year", "month", "week_starting").parquet(root)
+    keyed = with_landing_keys(df, ts, anchor).repartitionByRange(ts)
+    keyed.write.mode(mode).partitionBy("year", "month", "week_starting").parquet(root)
 
 
 def read_landed(spark: SparkSession, root: str) -> DataFrame:

@@ -24,10 +24,7 @@ CENSUS_VARIABLES = {
 # County FIPS code -> borough.
 COUNTY_BOROUGH = {"005": "Bronx", "047": "Brooklyn", "061": "Manhattan", "081": "Queens", "085": "Staten Island"}
 
-NUMERIC_COLUMNS = (
-    "median_household_income", "total_population", "households_no_vehicle",
-    "total_households", "population_in_poverty", "population_with_disability",
-)
+NUMERIC_COLUMNS = tuple(name for name in CENSUS_VARIABLES.values() if name != "neighborhood_name")
 
 
 def rows_from_header_json(docs: DataFrame, text_col: str = "value", columns: Sequence[str] | None = None) -> DataFrame:
@@ -38,15 +35,34 @@ def rows_from_header_json(docs: DataFrame, text_col: str = "value", columns: Seq
     and lines. Cells stay strings; ``columns`` selects and orders the output
     (default: the first document's header is not known up front, so pass it).
     """
-    arr = F.from_json(F.col(text_col), "array<array<string>>")
-    d = docs.select(arr.alias("_a")).filter(F.size("_a") > 1)
-    d = d.select(F.element_at("_a", 1).alias("_h"), F.posexplode(F.slice("_a", 2, 1 << 30)).alias("_pos", "_row"))
-    d = d.select(F.map_from_arrays("_h", "_row").alias("_m"))
     if columns is None:
         raise ValueError("columns must be given")
+    d = _parsed(docs, text_col).filter("reject_reason IS NULL")
+    d = d.select(F.element_at("_a", 1).alias("_h"), F.explode(F.slice("_a", 2, F.size("_a") - 1)).alias("_row"))
+    d = d.filter(F.size("_h") == F.size("_row")).select(F.map_from_arrays("_h", "_row").alias("_m"))
     return d.select(*[F.col("_m")[c].alias(c) for c in columns])
 
 
+def _parsed(docs: DataFrame, text_col: str) -> DataFrame:
+    """Each document as an array of arrays ``_a``, with the reason if it holds no rows."""
+    arr = F.from_json(F.col(text_col), "array<array<string>>")
+    reason = (
+        F.when(F.col("_t").isNull() | (F.trim("_t") == ""), "empty")
+        .when(F.col("_a").isNull() | F.exists("_a", lambda r: r.isNull()), "malformed")
+        .when(F.size("_a") == 0, "no_header")
+    )
+    return docs.select(F.col(text_col).alias("_t"), arr.alias("_a")).withColumn("reject_reason", reason)
+
+
+def census_rejects(docs: DataFrame, text_col: str = "value") -> DataFrame:
+    """What :func:`rows_from_header_json` leaves out: whole documents, and rows whose cells do not fit the header."""
+    p = _parsed(docs, text_col)
+    whole = p.filter("reject_reason IS NOT NULL").select(F.col("_t").alias("document"), F.lit(None).cast("int").alias("row"), "reject_reason")
+    rows = p.filter("reject_reason IS NULL").select("_t", F.element_at("_a", 1).alias("_h"), F.posexplode(F.slice("_a", 2, F.size("_a") - 1)).alias("_p", "_row"))
+    bad = rows.filter(F.size("_h") != F.size("_row")).select(F.col("_t").alias("document"), (F.col("_p") + 1).alias("row"), F.lit("cell_count").alias("reject_reason"))
+    return whole.unionByName(bad)
+
+
 def rename_variables(df: DataFrame, mapping=CENSUS_VARIABLES) -> DataFrame:
     return df.select(*[F.col(c).alias(mapping.get(c, c)) for c in df.columns])
 

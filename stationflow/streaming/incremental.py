@@ -1,13 +1,17 @@
 """Keyed incremental loads and Structured Streaming ingestion.
 
-Plain Parquet has no MERGE, so an upsert is: read only the partitions the
-batch touches (the semi join on the partition column lets dynamic partition
-pruning skip the rest), keep the newest row per key, stage the result as a
-written table under the shared checkpoint root, then replace exactly those
-partitions with ``partitionOverwriteMode=dynamic`` (set on the write). Re-running a batch gives
-the same partitions, so replays after an executor or driver failure are
-no-ops. Streams use ``trigger(availableNow=True)``: the checkpoint is the
-cursor, and each micro-batch is all-or-nothing.
+Plain Parquet has no MERGE, so an upsert rewrites the partitions it touches: the
+batch is staged once under the shared checkpoint root, the newest row for each
+key of those partitions is staged next, and a marker says that the stage is
+whole. Then the touched partitions are replaced (dynamic overwrite, set on the
+write). A caller that passes its own stage path can run the same upsert again
+after a failure at any point: a whole stage is applied as it is, whatever has
+happened to the target meanwhile.
+
+Streams use ``trigger(availableNow=True)``: the checkpoint is the cursor, each
+micro-batch writes its own ``batch_id=N`` directory with overwrite, so a
+replayed batch rewrites its own output. Rows behind the watermark go to a late
+table, never away.
 """
 
 from __future__ import annotations
@@ -47,34 +51,58 @@ def incremental_upsert(target: DataFrame, batch: DataFrame, key: Sequence[str],
     return merged.drop("_src", *[o for o in order if o not in target.columns])
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    """Remove a directory through the cluster's file system."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def upsert_partitions(
-    spark: SparkSession, path: str, batch: DataFrame, key: Sequence[str], partition_col: str, order: Sequence[str] = ()
+    spark: SparkSession,
+    path: str,
+    batch: DataFrame,
+    key: Sequence[str],
+    partition_col: str,
+    order: Sequence[str] = (),
+    stage: str | None = None,
 ) -> None:
     """Upsert ``batch`` into the Parquet table at ``path`` (partitioned by ``partition_col``).
 
-    Only partitions present in the batch are read and rewritten. The merged
-    rows are first written to a staging table (cutting lineage to the files
-    about to be replaced), then moved over the touched partitions.
+    Only touched partitions are read whole and rewritten: those of the batch
+    and, unless the key holds the partition column, those where the target has
+    a row of a key of the batch (found from the key columns alone), so a row
+    whose key moves leaves its old partition. ``stage`` names the upsert:
+    with the same path a failed one is resumed.
     """
+    stage = stage or scratch_path(spark, "upsert-stage")
+    if _try_read(spark, f"{stage}/ready") is None:
+        _stage_upsert(spark, path, batch, key, partition_col, order, stage)
+    merged = spark.read.parquet(f"{stage}/merged")
+    touched = spark.read.parquet(f"{stage}/touched")
+    emptied = touched.join(merged.select(partition_col).distinct(), partition_col, "left_anti")
+    merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(path)
+    # a partition that lost its last row has nothing to overwrite it
+    for r in emptied.toLocalIterator():
+        _delete(spark, f"{path}/{partition_col}={r[0]}")
+
+
+def _stage_upsert(spark, path, batch, key, partition_col, order, stage) -> None:
+    columns = list(key) + [c for c in batch.columns if c not in key]
+    batch.select(*columns).write.mode("overwrite").parquet(f"{stage}/batch")
+    fresh = spark.read.schema(batch.select(*columns).schema).parquet(f"{stage}/batch")
+    touched = fresh.select(partition_col).distinct()
     current = _try_read(spark, path)
-    if current is not None:
-        touched = batch.select(partition_col).distinct()
-        current = current.join(touched, partition_col, "left_semi")
-        merged = incremental_upsert(current, batch, key, order)
+    if current is None:
+        merged = incremental_upsert(fresh.limit(0), fresh, key, order)
     else:
-        merged = incremental_upsert(batch.limit(0), batch, key, order)
-    stage = scratch_path(spark, "upsert-stage")
-    merged.write.mode("overwrite").partitionBy(partition_col).parquet(stage)
-    staged = spark.read.schema(merged.schema).parquet(stage)
-    # dynamic overwrite as a write option: only the partitions present in the
-    # staged rows are replaced, whatever the session default is
-    (
-        staged.select(*merged.columns)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition_col)
-        .parquet(path)
-    )
+        if partition_col not in key:
+            held = current.select(*key, partition_col).join(fresh.select(*key).distinct(), list(key), "left_semi")
+            touched = touched.unionByName(held.select(partition_col).distinct()).distinct()
+        merged = incremental_upsert(current.join(touched, partition_col, "left_semi"), fresh, key, order)
+    touched.write.mode("overwrite").parquet(f"{stage}/touched")
+    # ranges of (partition, key): few partitions for each task, and a busy one split over several
+    merged.repartitionByRange(partition_col, *key).write.mode("overwrite").parquet(f"{stage}/merged")
+    spark.range(1).write.mode("overwrite").parquet(f"{stage}/ready")
 
 
 def _try_read(spark: SparkSession, path: str) -> DataFrame | None:
@@ -99,9 +127,28 @@ def _batch_dir(root: str, batch_id: int) -> str:
     return f"{root.rstrip('/')}/batch_id={batch_id}"
 
 
-def stream_landing(spark: SparkSession, in_dir: str, out_dir: str, ckpt: str, schema, max_files: int = 1) -> DataFrame:
+def _files(spark: SparkSession, in_dir: str, schema, max_files: int | None):
+    src = spark.readStream.schema(schema)
+    return (src.option("maxFilesPerTrigger", max_files) if max_files else src).parquet(in_dir)
+
+
+def _watermark(spark: SparkSession, marks_dir: str, batch_id: int, delay_days: int):
+    """Greatest event time of earlier batches less the delay (from a table of one row for each batch)."""
+    marks = _try_read(spark, marks_dir)
+    latest = None if marks is None else marks.filter(F.col("batch_id") < batch_id).agg(F.max("m")).first()[0]
+    return None if latest is None else latest - timedelta(days=delay_days)
+
+
+def _split_late(batch: DataFrame, ts: str, mark) -> tuple[DataFrame, DataFrame]:
+    if mark is None:
+        return batch, batch.limit(0)
+    on_time = F.coalesce(F.col(ts) >= F.lit(mark), F.lit(True))  # a row without a time is never late
+    return batch.filter(on_time), batch.filter(~on_time)
+
+
+def stream_landing(spark: SparkSession, in_dir: str, out_dir: str, ckpt: str, schema, max_files: int | None = None) -> DataFrame:
     """Land every file of ``in_dir`` into ``out_dir`` once (checkpointed cursor)."""
-    src = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(in_dir)
+    src = _files(spark, in_dir, schema, max_files)
     q = (
         src.writeStream.format("parquet")
         .option("path", out_dir)
@@ -123,39 +170,36 @@ def stream_dedup(
     key: Sequence[str],
     ts: str,
     delay_days: int = 7,
-    max_files: int = 1,
+    max_files: int | None = None,
 ) -> DataFrame:
     """Deduplicate a stream by key within a watermark; rows behind it go to a late table.
 
     Built on ``foreachBatch`` so late rows are kept (the built-in stateful
-    dedup drops them silently). Per batch: the watermark is the max event
-    time committed so far minus ``delay_days`` (read from the output, a
-    one-row aggregate); rows older than it go to ``late_dir``; the rest are
+    dedup drops them silently). Per batch: the watermark is the greatest event
+    time of earlier batches minus ``delay_days``, from a table of one row for
+    each batch beside the output; older rows go to ``late_dir``; the rest are
     deduplicated within the batch and against output rows newer than the
-    watermark (anti join), then written to ``out_dir/batch_id=N`` with
-    overwrite, so a replayed batch rewrites the same directory.
+    watermark (a filter that Parquet statistics prune by), then written to
+    ``out_dir/batch_id=N``.
     """
+    marks_dir = f"{out_dir.rstrip('/')}-marks"
+
     def process(batch: DataFrame, batch_id: int) -> None:
         s = batch.sparkSession
-        prior, mark = None, None
+        mark = _watermark(s, marks_dir, batch_id, delay_days)
+        on_time, late = _split_late(batch, ts, mark)
+        fresh = on_time.dropDuplicates(list(key))
         done = _try_read(s, out_dir)
         if done is not None:
-            prior = done.filter(F.col("batch_id") < batch_id).drop("batch_id")
-            latest = prior.agg(F.max(ts).alias("m")).first()[0]  # one-row aggregate
-            mark = None if latest is None else latest - timedelta(days=delay_days)
-        if mark is None:
-            on_time, late = batch, batch.limit(0)
-        else:
-            on_time = batch.filter(F.col(ts) >= F.lit(mark))
-            late = batch.filter(F.col(ts) < F.lit(mark))
-        fresh = on_time.dropDuplicates(list(key))
-        if prior is not None and mark is not None:
-            recent = prior.filter(F.col(ts) >= F.lit(mark)).select(*key)
-            fresh = fresh.join(recent, list(key), "left_anti")
+            recent = done.filter(F.col("batch_id") < batch_id)
+            if mark is not None:
+                recent = recent.filter(F.col(ts) >= F.lit(mark))
+            fresh = fresh.join(recent.select(*key), list(key), "left_anti")
         fresh.write.mode("overwrite").parquet(_batch_dir(out_dir, batch_id))
         late.write.mode("overwrite").parquet(_batch_dir(late_dir, batch_id))
+        batch.agg(F.max(ts).alias("m")).write.mode("overwrite").parquet(_batch_dir(marks_dir, batch_id))
 
-    src = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(in_dir)
+    src = _files(spark, in_dir, schema, max_files)
     q = src.writeStream.foreachBatch(process).option("checkpointLocation", ckpt).trigger(availableNow=True).start()
     q.awaitTermination()
     return spark.read.parquet(out_dir).drop("batch_id")
@@ -165,50 +209,52 @@ def stream_hourly(
     spark: SparkSession,
     in_dir: str,
     out_dir: str,
+    late_dir: str,
     ckpt: str,
     schema,
     entity: str = "station_complex_id",
     ts: str = "transit_timestamp",
     measure: str = "ridership",
-    watermark: str = "7 days",
-    max_files: int = 1,
+    delay_days: int = 7,
+    max_files: int | None = None,
 ) -> DataFrame:
-    """Streaming hub aggregate: ridership per entity x hour, upserted per micro-batch.
-
-    ``update`` mode emits each changed (entity, hour) group with its full
-    running total; ``foreachBatch`` upserts those rows by key into the
-    date-partitioned output, so the final table equals the batch
-    ``fare_consolidated`` totals. ``withWatermark`` needs a TIMESTAMP (not
-    NTZ) column: the wall-clock hour is encoded as the epoch instant of the
-    same digits, a grouping key, so state older than the watermark is
-    evicted and no session time zone is involved.
+    """Streaming hub aggregate: ridership per entity x hour of the rows that were on time.
+
+    Each micro-batch writes its own partial sums (one row for each entity and
+    hour it holds) to ``out_dir/batch_id=N``; the hub is their sum. Sums are
+    additive, so no state is kept between batches and a replay rewrites its
+    own partial sums. Rows more than ``delay_days`` behind the greatest event
+    time of earlier batches go to ``late_dir`` whole: the hub of these
+    (:func:`hourly_sums`) added to the result is the batch hub of all rows.
     """
-    src = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(in_dir)
+    marks_dir = f"{out_dir.rstrip('/')}-marks"
+
+    def process(batch: DataFrame, batch_id: int) -> None:
+        mark = _watermark(batch.sparkSession, marks_dir, batch_id, delay_days)
+        on_time, late = _split_late(batch, ts, mark)
+        _partial(on_time, entity, ts, measure).write.mode("overwrite").parquet(_batch_dir(out_dir, batch_id))
+        late.write.mode("overwrite").parquet(_batch_dir(late_dir, batch_id))
+        batch.agg(F.max(ts).alias("m")).write.mode("overwrite").parquet(_batch_dir(marks_dir, batch_id))
+
+    src = _files(spark, in_dir, schema, max_files).select(entity, ts, measure)
+    q = src.writeStream.foreachBatch(process).option("checkpointLocation", ckpt).trigger(availableNow=True).start()
+    q.awaitTermination()
+    return add_partials(spark.read.parquet(out_dir), entity)
+
+
+def _partial(rows: DataFrame, entity: str, ts: str, measure: str) -> DataFrame:
     t = F.col(ts)
-    # the wall-clock hour as an epoch instant: no session-time-zone conversion anywhere
-    epoch_hour = F.datediff(F.to_date(t), F.lit("1970-01-01").cast("date")).cast("bigint") * 24 + F.hour(t).cast("bigint")
-    s = src.select(
-        F.col(entity),
-        F.to_date(t).alias("transit_date"),
-        F.hour(t).cast("bigint").alias("transit_hour"),
-        F.timestamp_seconds(epoch_hour * 3600).alias("_ets_hour"),
-        F.col(measure),
-    ).withWatermark("_ets_hour", watermark)
-    agg = s.groupBy(F.col(entity), "_ets_hour", "transit_date", "transit_hour").agg(
-        F.sum(F.col(measure).cast("decimal(18,2)")).alias("_r"), F.count(F.lit(1)).alias("fare_rows")
-    )
-    rows = agg.select(
-        F.col(entity),
-        "transit_date",
-        "transit_hour",
-        F.col("_r").cast("double").alias("hourly_ridership"),
-        F.col("fare_rows").cast("bigint").alias("fare_rows"),
+    return rows.groupBy(F.col(entity), F.to_date(t).alias("transit_date"), F.hour(t).cast("bigint").alias("transit_hour")).agg(
+        F.sum(F.col(measure).cast("decimal(18,2)")).cast("decimal(28,2)").alias("_r"), F.count(F.lit(1)).alias("_n")
     )
 
-    def upsert(batch: DataFrame, batch_id: int) -> None:
-        b = batch.withColumn("_batch", F.lit(batch_id).cast("bigint"))
-        upsert_partitions(batch.sparkSession, out_dir, b.drop("_batch"), [entity, "transit_date", "transit_hour"], "transit_date")
 
-    q = rows.writeStream.outputMode("update").foreachBatch(upsert).option("checkpointLocation", ckpt).trigger(availableNow=True).start()
-    q.awaitTermination()
-    return spark.read.parquet(out_dir)
+def add_partials(partials: DataFrame, entity: str = "station_complex_id") -> DataFrame:
+    """The hub from partial sums (of :func:`stream_hourly`'s batches, or of late rows)."""
+    g = partials.groupBy(entity, "transit_date", "transit_hour").agg(F.sum("_r").alias("_r"), F.sum("_n").alias("_n"))
+    return g.select(entity, "transit_date", "transit_hour", F.col("_r").cast("double").alias("hourly_ridership"), F.col("_n").alias("fare_rows"))
+
+
+def hourly_sums(rows: DataFrame, entity: str = "station_complex_id", ts: str = "transit_timestamp", measure: str = "ridership") -> DataFrame:
+    """Hub of plain rows, e.g. those of a late table."""
+    return add_partials(_partial(rows, entity, ts, measure), entity)
