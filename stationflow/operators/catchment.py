@@ -83,34 +83,26 @@ def tract_cells_polygon(tracts: DataFrame, cell: float = 25.0) -> DataFrame:
     """Cells whose centre lies inside a polygon ring (even-odd rule).
 
     ``tracts`` has ``geo_id`` and ``ring: array<struct<x: double, y: double>>``
-    (closed or open). Bounding-box cells are exploded, then each centre is
-    tested against the ring edges with ``aggregate`` over the edge array.
+    (closed or open). One row for each (tract, cell row): the x where the
+    ring's edges cross the row's centre line, sorted, pair up into spans, and
+    only cells inside a span are exploded.
     """
     ring = F.col("ring")
-    xs = F.transform(ring, lambda p: p["x"])
+    n = F.size(ring)
+    after = lambda i: F.element_at(ring, ((i + 1) % n) + 1)
+    edges = F.transform(ring, lambda p, i: F.struct(p["x"].alias("x1"), p["y"].alias("y1"), after(i)["x"].alias("x2"), after(i)["y"].alias("y2")))
+    low = lambda v: F.ceil(v / F.lit(cell) - 0.5)  # noqa: E731  first cell whose centre is at v or above
     ys = F.transform(ring, lambda p: p["y"])
-    t = tracts.select(
-        "geo_id",
-        "ring",
-        F.sequence(F.ceil(F.array_min(xs) / cell - 0.5), F.ceil(F.array_max(xs) / cell - 0.5) - 1).alias("_xs"),
-        F.sequence(F.ceil(F.array_min(ys) / cell - 0.5), F.ceil(F.array_max(ys) / cell - 0.5) - 1).alias("_ys"),
-    )
-    t = t.withColumn("cx", F.explode("_xs")).withColumn("cy", F.explode("_ys"))
-    px = (F.col("cx").cast("double") + 0.5) * cell
+    t = tracts.select("geo_id", edges.alias("_edges"), low(F.array_min(ys)).alias("_lo"), (low(F.array_max(ys)) - 1).alias("_hi"))
+    t = t.filter("_lo <= _hi").withColumn("cy", F.explode(F.sequence("_lo", "_hi")))
     py = (F.col("cy").cast("double") + 0.5) * cell
-    n = F.size(ring)
-    edges = F.transform(ring, lambda p, i: F.struct(p["x"].alias("x1"), p["y"].alias("y1"),
-                                                    F.element_at(ring, ((i + 1) % n) + 1)["x"].alias("x2"),
-                                                    F.element_at(ring, ((i + 1) % n) + 1)["y"].alias("y2")))
-
-    def step(acc, e):
-        crosses = ((e["y1"] > py) != (e["y2"] > py)) & (
-            px < (e["x2"] - e["x1"]) * (py - e["y1"]) / (e["y2"] - e["y1"]) + e["x1"]
-        )
-        return F.when(crosses, ~acc).otherwise(acc)
-
-    inside = F.aggregate(edges, F.lit(False), step)
-    return t.filter(inside).select("geo_id", F.col("cx").cast("bigint").alias("cx"), F.col("cy").cast("bigint").alias("cy"))
+    crossed = F.filter("_edges", lambda e: (e["y1"] > py) != (e["y2"] > py))
+    xs = F.array_sort(F.transform(crossed, lambda e: (e["x2"] - e["x1"]) * (py - e["y1"]) / (e["y2"] - e["y1"]) + e["x1"]))
+    t = t.select("geo_id", "cy", xs.alias("_xs")).filter(F.size("_xs") > 1)
+    t = t.withColumn("_k", F.explode(F.sequence(F.lit(1), F.size("_xs") - 1, F.lit(2))))
+    t = t.select("geo_id", "cy", low(F.element_at("_xs", F.col("_k"))).alias("_a"), (low(F.element_at("_xs", F.col("_k") + 1)) - 1).alias("_b"))
+    t = t.filter("_a <= _b").withColumn("cx", F.explode(F.sequence("_a", "_b")))
+    return t.select("geo_id", F.col("cx").cast("bigint").alias("cx"), F.col("cy").cast("bigint").alias("cy"))
 
 
 def catchment_weights(cc: DataFrame, tc: DataFrame) -> DataFrame:
@@ -137,6 +129,17 @@ def catchment_weights(cc: DataFrame, tc: DataFrame) -> DataFrame:
     )
 
 
+def catchment_head_count(weights: DataFrame, census: DataFrame) -> DataFrame:
+    """People living in each catchment: every tract's population times the share of the tract inside.
+
+    (:func:`catchment_demographics` weighs by the share of the catchment instead.)
+    """
+    c = census.select(F.col("geoid").alias("_geoid"), "total_population")
+    j = weights.join(c, weights.geo_id == c._geoid, "left")
+    share = safe_div(F.col("total_population") * F.col("intersect_cells"), "tract_cells")
+    return j.groupBy("station_complex_id").agg(F.sum(rnd(share, 6).cast("decimal(24,6)")).cast("double").alias("head_count"))
+
+
 def weighted_mean_expr(x: str, w: str, null_aware: bool = True, scale: int = 6) -> F.Column:
     """Aggregate expression: weighted mean of ``x``, summed exactly as DECIMAL.
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -44,3 +44,39 @@ def rollup_with_attrs(
     lvl2 += [F.sum(o).alias(o) for o in sums]
     lvl2 += [F.sum(o).alias(o) for o in counts]
     return first.groupBy(*keys).agg(*lvl2)
+
+
+def exact_quantiles(df: DataFrame, keys: Sequence[str], col: str, qs: Sequence[float], parts: int = 64) -> DataFrame:
+    """Exact interpolated quantiles of the non-NULL values of each key: (keys, n, max_value, q0, q1, ...).
+
+    No buffer or task holds a key's values. Values are counted first (copies
+    collapse map-side), each key's distinct values are cut into ``parts``
+    ordered parts at approximate quantiles, ranks come from the parts' sums,
+    and running counts inside a part. Without ``keys`` the table is one key.
+    """
+    by = list(keys) or ["_all"]
+    src = df if keys else df.withColumn("_all", F.lit(0))
+    counts = src.filter(F.col(col).isNotNull()).groupBy(*by, F.col(col).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+    cuts = counts.groupBy(*by).agg(F.percentile_approx("_v", [i / parts for i in range(1, parts)], 10 * parts).alias("_cuts"))
+    placed = counts.join(cuts, by).withColumn("_part", F.size(F.filter("_cuts", lambda c: c < F.col("_v")))).drop("_cuts")
+    sums = placed.groupBy(*by, "_part").agg(F.sum("_n").alias("_s"))
+    before = Window.partitionBy(*by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.select(*by, "_part", F.coalesce(F.sum("_s").over(before), F.lit(0)).alias("_base"), F.sum("_s").over(Window.partitionBy(*by)).alias("_total"))
+    inside = Window.partitionBy(*by, "_part").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = placed.join(sums, [*by, "_part"]).withColumn("_end", F.col("_base") + F.sum("_n").over(inside))
+    begin = F.col("_end") - F.col("_n")
+
+    def at(rank):
+        return F.max(F.when((begin <= rank) & (rank < F.col("_end")), F.col("_v").cast("double")))
+
+    aggs = [F.max("_total").alias("n"), F.max("_v").alias("max_value")]
+    for i, q in enumerate(qs):
+        place = F.lit(float(q)) * (F.col("_total") - 1).cast("double")
+        aggs += [at(F.floor(place)).alias(f"_lo{i}"), at(F.ceil(place)).alias(f"_hi{i}")]
+    g = ranked.groupBy(*by).agg(*aggs)
+    place = [F.lit(float(q)) * (F.col("n") - 1).cast("double") for q in qs]
+    value = [
+        F.when(F.floor(p) == F.ceil(p), F.col(f"_lo{i}")).otherwise((F.ceil(p) - p) * F.col(f"_lo{i}") + (p - F.floor(p)) * F.col(f"_hi{i}"))
+        for i, p in enumerate(place)
+    ]
+    return g.select(*keys, "n", "max_value", *[v.alias(f"q{i}") for i, v in enumerate(value)])

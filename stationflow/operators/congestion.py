@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from stationflow.functions import initcap_words
 from stationflow.functions import dec_avg, dec_sum, hour_bucket, rnd, safe_div, season, tier
-from stationflow.operators.common import rollup_with_attrs
+from stationflow.operators.common import exact_quantiles, rollup_with_attrs
 
 INTENSITY_TIERS = ((15.0, "High Congestion"), (8.0, "Moderate"), (2.0, "Baseline"))
 STRESS_TIERS = ((0.90, "At Capacity"), (0.70, "High Stress"), (0.50, "Moderate Stress"))
@@ -161,25 +161,30 @@ def capacity_p95(base: DataFrame, q: float = 0.95, consolidate: bool = True, bas
 
     ``base`` is staged baseline rows. ``consolidate=True`` takes the
     percentile over station-hours (fare classes summed first);
-    ``False`` over raw fare rows as the warehouse model does. The
-    percentile is a grouped aggregate (one shuffle), not a window + max.
+    ``False`` over raw fare rows as the warehouse model does. Percentiles are
+    exact and hold no group's rows in one buffer (:func:`exact_quantiles`).
     """
     if consolidate:
         src = fare_consolidated(base).select("station_complex_id", "transit_hour", "hourly_ridership")
     else:
         src = base.select("station_complex_id", "transit_hour", F.col("ridership").alias("hourly_ridership"))
-    return src.groupBy("station_complex_id", hour_bucket("transit_hour").alias("time_bucket")).agg(
-        F.max("hourly_ridership").alias(f"max_{baseline_year}_ridership"),
-        rnd(F.percentile("hourly_ridership", F.lit(q)), 0).alias("p95_capacity_proxy"),
+    src = src.withColumn("time_bucket", hour_bucket("transit_hour"))
+    g = exact_quantiles(src, ["station_complex_id", "time_bucket"], "hourly_ridership", [q])
+    return g.select(
+        "station_complex_id", "time_bucket", F.col("max_value").alias(f"max_{baseline_year}_ridership"), rnd(F.col("q0"), 0).alias("p95_capacity_proxy")
     )
 
 
-def top_value_per_group(df: DataFrame, group: list[str], col: str, out: str = "top_value") -> DataFrame:
+def top_value_per_group(df: DataFrame, group: list[str], col: str, out: str = "top_value", approx: bool = False) -> DataFrame:
     """Most frequent non-NULL value per group; ties go to the smallest value.
 
     Built on Spark's ``mode`` aggregate (a per-group value -> count map with
-    partial aggregation), deterministic tie-break.
+    partial aggregation), deterministic tie-break. ``approx=True`` keeps a
+    bounded sketch per group instead (``approx_top_k``), for columns with very
+    many values.
     """
+    if approx:
+        return df.groupBy(*group).agg(F.expr(f"get(approx_top_k({col}, 1), 0).item").alias(out))
     return df.groupBy(*group).agg(F.mode(col, True).alias(out))
 
 
@@ -238,15 +243,12 @@ def congestion_mart(
 def station_thresholds(hub: DataFrame, q: float = 0.95) -> DataFrame:
     """Per-station alert threshold from its own hourly distribution.
 
-    Each station-hour gets its station's q-quantile (a window percentile over
-    the station: one shuffle, no aggregate-and-join-back) and whether it
-    exceeds it.
+    Each station-hour gets its station's q-quantile and whether it exceeds it.
+    The quantiles are a station-sized table, joined back; no task holds a
+    station's whole history.
     """
-    thr = rnd(F.percentile("hourly_ridership", F.lit(q)).over(Window.partitionBy("station_complex_id")), 2)
-    return hub.select(
-        "station_complex_id",
-        "transit_date",
-        "transit_hour",
-        "hourly_ridership",
-        thr.alias("station_threshold"),
-    ).withColumn("above_threshold", F.col("hourly_ridership") > F.col("station_threshold"))
+    thr = exact_quantiles(hub, ["station_complex_id"], "hourly_ridership", [q])
+    thr = thr.select(F.col("station_complex_id").alias("_sid"), rnd(F.col("q0"), 2).alias("station_threshold"))
+    rows = hub.select("station_complex_id", "transit_date", "transit_hour", "hourly_ridership")
+    rows = rows.join(thr, F.col("station_complex_id") == F.col("_sid"), "left").drop("_sid")
+    return rows.withColumn("above_threshold", F.col("hourly_ridership") > F.col("station_threshold"))

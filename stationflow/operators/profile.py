@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stationflow.functions import dec_avg, rnd
+from stationflow.operators.common import exact_quantiles
 
 DEFAULT_QS = (0.25, 0.5, 0.75, 0.95, 0.99, 0.999)
 
@@ -19,15 +20,16 @@ def _qname(q: float) -> str:
 def quantile_profile(df: DataFrame, col: str, qs: Sequence[float] = DEFAULT_QS, digits: int = 4, approx: bool = False) -> DataFrame:
     """Exact (interpolated) quantiles of the non-NULL values plus the max, one row.
 
-    ``percentile`` keeps a value -> count map per partition and merges them;
-    ``approx=True`` switches to ``percentile_approx`` for very high
-    cardinality columns.
+    Exact ones come from :func:`exact_quantiles`, whose values stay spread over
+    the cluster; ``approx=True`` switches to ``percentile_approx``, one
+    bounded sketch. An input without values gives no row (one row of NULLs
+    with ``approx``).
     """
     x = F.col(col)
-    if approx:
-        arr = F.percentile_approx(x, list(qs), 100000)
-    else:
-        arr = F.percentile(x, F.array(*[F.lit(float(q)) for q in qs]))
+    if not approx:
+        g = exact_quantiles(df, [], col, qs)
+        return g.select(*[rnd(F.col(f"q{i}"), digits).alias(_qname(q)) for i, q in enumerate(qs)], "max_value", "n")
+    arr = F.percentile_approx(x, list(qs), 100000)
     g = df.filter(x.isNotNull()).agg(arr.alias("_q"), F.max(x).alias("max_value"), F.count(x).alias("n"))
     return g.select(
         *[rnd(F.get(F.col("_q"), i), digits).alias(_qname(q)) for i, q in enumerate(qs)],

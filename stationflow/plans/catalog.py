@@ -328,6 +328,25 @@ def q_tract_cells(spark, d):
     return _tc(spark, d)
 
 
+@register("tract_cells_polygon")
+def q_tract_cells_polygon(spark, d):
+    corner = lambda x, y: F.struct(F.col(x).alias("x"), F.col(y).alias("y"))
+    ring = F.array(corner("xmin", "ymin"), corner("xmax", "ymin"), corner("xmax", "ymax"), corner("xmin", "ymax"))
+    return ca.tract_cells_polygon(B.tract_rectangles(spark, d).select("geo_id", ring.alias("ring")), cell=B.GEO_CELL_M)
+
+
+@register("catchment_latlon")
+def q_catchment_latlon(spark, d):
+    """Catchments around the stations' own coordinates, through the local projection."""
+    xy = ca.project_xy(stations(spark, d), "latitude", "longitude", B.GEO_LAT0, B.GEO_LON0)
+    return ca.catchment_cells(xy, radius=GEO_RADIUS_M, cell=B.GEO_CELL_M)
+
+
+@register("catchment_head_count")
+def q_catchment_head_count(spark, d):
+    return ca.catchment_head_count(_weights(spark, d), stg.stg_census(B.census_raw(spark, d)))
+
+
 @register("catchment_weights")
 def q_catchment_weights(spark, d):
     return _weights(spark, d)
@@ -448,6 +467,11 @@ def q_meter_delta(spark, d):
     return mtr.meter_delta(B.meter_raw(spark, d), entries_cap=200)
 
 
+@register("meter_delta_default")
+def q_meter_delta_default(spark, d):
+    return mtr.meter_delta(B.meter_raw(spark, d))
+
+
 @register("quantile_profile")
 def q_quantile_profile(spark, d):
     return prof.quantile_profile(mtr.meter_delta(B.meter_raw(spark, d), entries_cap=200), "entries_delta")

@@ -631,7 +631,22 @@ LEFT JOIN dim_all d ON g.station_complex_id = d.station_complex_id
 """, ("cw", "census", "dim_all"))
 key("catchment_cells", "SELECT * FROM cc", "cc")
 key("tract_cells", "SELECT * FROM tc", "tc")
+key("tract_cells_polygon", "SELECT * FROM tc", "tc")
 key("catchment_weights", "SELECT * FROM cw", "cw")
+# stations' own coordinates in metres east and north of (40.5, -74.1) on a sphere, then every cell within 8 cells
+key("catchment_latlon", """
+SELECT DISTINCT station_complex_id, CAST(ix + dx AS BIGINT) AS cx, CAST(iy + dy AS BIGINT) AS cy
+FROM (SELECT station_complex_id,
+             floor((longitude + 74.1::DOUBLE) * (pi() / 180 * 6371008.8::DOUBLE * cos(40.5::DOUBLE * (pi() / 180))) / 100.0::DOUBLE) AS ix,
+             floor((latitude - 40.5::DOUBLE) * (pi() / 180 * 6371008.8::DOUBLE) / 100.0::DOUBLE) AS iy
+      FROM dim_all), range(-8, 9) a(dx), range(-8, 9) b(dy)
+WHERE dx * dx + dy * dy <= 64
+""", "dim_all")
+key("catchment_head_count", f"""
+SELECT w.station_complex_id,
+       CAST(sum(CAST({rnd(sdiv('c.total_population * w.intersect_cells', 'w.tract_cells'), 6)} AS DECIMAL(24,6))) AS DOUBLE) AS head_count
+FROM cw w LEFT JOIN census c ON w.geo_id = c.geoid GROUP BY 1
+""", "cw", "census")
 key("weighted_mean", f"""
 SELECT w.station_complex_id,
        {rnd(_wm('c.poverty_rate', True), 6)} AS null_aware,
@@ -789,6 +804,8 @@ FROM (SELECT *, lag(entries) OVER (PARTITION BY c_a, unit, scp, station ORDER BY
             FROM meter_raw WHERE upper(description) = 'REGULAR'))
 """, ("meter_raw",))
 key("meter_delta", "SELECT * FROM meter_delta", "meter_delta")
+R.add("meter_delta_5000", R._ctes["meter_delta"][1].replace("> 200 ", "> 5000 "), ("meter_raw",))
+key("meter_delta_default", "SELECT * FROM meter_delta_5000", "meter_delta_5000")
 _QS = ((0.25, "p25"), (0.5, "p50"), (0.75, "p75"), (0.95, "p95"), (0.99, "p99"), (0.999, "p999"))
 key("quantile_profile", "SELECT " + ", ".join(f"{rnd(f'quantile_cont(entries_delta, {q})', 4)} AS {n}" for q, n in _QS)
     + ", max(entries_delta) AS max_value, count(entries_delta) AS n FROM meter_delta WHERE entries_delta IS NOT NULL", "meter_delta")

@@ -185,6 +185,7 @@ GEO_CELL_M = 100.0
 GEO_RADIUS_CELLS = 8
 GEO_GRID = 50
 GEO_TRACT_CELLS = 10
+GEO_LAT0, GEO_LON0 = 40.5, -74.1
 
 
 def station_entrances(stations: DataFrame) -> DataFrame:
