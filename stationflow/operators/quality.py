@@ -134,34 +134,57 @@ class ColumnContract:
     dtype: str
     nullable: bool = True
     values: tuple | None = None
+    min_value: float | None = None
+
+
+def _violations(c: ColumnContract) -> dict[str, Column]:
+    """The rules of a column, each true where a row breaks it (a NULL breaks the null rule alone)."""
+    rules = {}
+    if not c.nullable:
+        rules["null"] = F.col(c.name).isNull()
+    if c.values is not None:
+        rules["domain"] = F.coalesce(~F.col(c.name).isin(list(c.values)), F.lit(False))
+    if c.min_value is not None:
+        rules["range"] = F.coalesce(F.col(c.name) < F.lit(c.min_value), F.lit(False))
+    return rules
 
 
 def contract_bronze(df: DataFrame, contract: Sequence[ColumnContract]) -> DataFrame:
-    """Column-by-column contract result: presence, type, NULL and domain violations.
+    """Column-by-column contract result: presence, type, NULL, domain and range violations.
 
-    Types are compared on the schema (no data read); the NULL and domain
-    counts are one aggregate pass. A missing column reports NULL counts.
+    Types are compared on the schema (no data read); all counts are one
+    aggregate pass. A missing column reports NULL counts; a column that the
+    contract does not name gets a row with a NULL ``type_ok``.
     """
     fields = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    kinds = ("null", "domain", "range")
     aggs, rows = [], []
     for i, c in enumerate(contract):
         present = c.name in fields
-        if present:
-            nulls = F.count_if(F.col(c.name).isNull()) if not c.nullable else F.lit(0).cast("bigint")
-            dom = F.count_if(~F.col(c.name).isin(list(c.values))) if c.values is not None else F.lit(0).cast("bigint")
-        else:
-            nulls = dom = F.lit(None).cast("bigint")
-        aggs += [nulls.alias(f"n{i}"), dom.alias(f"d{i}")]
-        rows.append((c.name, present, present and fields[c.name] == c.dtype, i))
-    agg = df.agg(*aggs)
-    stack = ", ".join(f"'{n}', {str(p).lower()}, {str(t).lower()}, n{i}, d{i}" for n, p, t, i in rows)
-    return agg.select(
-        F.expr(f"stack({len(rows)}, {stack}) AS (column_name, present, type_ok, null_violations, domain_violations)")
-    ).select(
-        "column_name", "present", "type_ok",
-        F.col("null_violations").cast("bigint").alias("null_violations"),
-        F.col("domain_violations").cast("bigint").alias("domain_violations"),
-    )
+        rules = _violations(c) if present else {}
+        for k in kinds:
+            count = F.count_if(rules[k]) if k in rules else F.lit(0 if present else None).cast("bigint")
+            aggs.append(count.alias(f"{k}{i}"))
+        rows.append(f"'{c.name}', {str(present).lower()}, {str(present and fields[c.name] == c.dtype).lower()}, null{i}, domain{i}, range{i}")
+    named = {c.name for c in contract}
+    nothing = "CAST(NULL AS BIGINT)"
+    rows += [f"'{n}', true, CAST(NULL AS BOOLEAN), {nothing}, {nothing}, {nothing}" for n in fields if n not in named]
+    names = "column_name, present, type_ok, null_violations, domain_violations, range_violations"
+    return df.agg(*aggs).select(F.expr(f"stack({len(rows)}, {', '.join(rows)}) AS ({names})"))
+
+
+def contract_gate(df: DataFrame, contract: Sequence[ColumnContract]) -> tuple[DataFrame, DataFrame]:
+    """Rows that keep the contract, and the others with their ``reject_reason`` (all broken rules, comma-joined).
+
+    A missing column or a wrong type fails the whole load.
+    """
+    fields = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    wrong = [c.name for c in contract if fields.get(c.name) != c.dtype]
+    if wrong:
+        raise ContractViolation(f"bronze contract mismatch: missing or of another type: {wrong}")
+    reasons = [F.when(rule, F.lit(f"{c.name}:{k}")) for c in contract for k, rule in _violations(c).items()]
+    reason = F.concat_ws(",", *reasons)
+    return df.filter(reason == ""), df.withColumn("reject_reason", reason).filter("reject_reason != ''")
 
 
 def _type_str(t: DataType) -> str:

@@ -116,3 +116,16 @@ def season_totals(stg: DataFrame) -> DataFrame:
         stg.groupBy(F.col("transit_year").alias("transit_year"), season("transit_month").alias("season"))
         .agg(dec_sum("ridership").alias("total_ridership"), F.count(F.lit(1)).alias("row_count"))
     )
+
+
+def canonical(df: DataFrame, **names: str) -> DataFrame:
+    """A table with other column names, as the operators expect it.
+
+    ``canonical(df, station_complex_id="gare_id", ridership="voyageurs", ...)``
+    renames each given column to its canonical name (a projection that Catalyst
+    folds into the scan). A column that already has a canonical name but is not
+    the one given is dropped.
+    """
+    sources = {source: target for target, source in names.items()}
+    kept = [c for c in df.columns if c in sources or c not in names]
+    return df.select(*[F.col(f"`{c}`").alias(sources.get(c, c)) for c in kept])

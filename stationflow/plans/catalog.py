@@ -575,7 +575,7 @@ BRONZE_CONTRACT = (
     dq.ColumnContract("station_complex_id", "string", nullable=False),
     dq.ColumnContract("borough", "string", values=tuple(r.upper() for r in REFERENCE_BOROUGHS)),
     dq.ColumnContract("fare_class_category", "string", values=("A", "N", "R")),
-    dq.ColumnContract("ridership", "double", nullable=False),
+    dq.ColumnContract("ridership", "double", nullable=False, min_value=0),
     dq.ColumnContract("latitude", "string"),
     dq.ColumnContract("station_status", "string"),
 )
@@ -586,6 +586,20 @@ def q_contract_bronze(spark, d):
     return dq.contract_bronze(B.ridership_monthly_raw(spark, d, with_defects=True), BRONZE_CONTRACT)
 
 
+GATE_CONTRACT = (
+    dq.ColumnContract("transit_timestamp", "timestamp_ntz", nullable=False),
+    dq.ColumnContract("station_complex_id", "string", nullable=False),
+    dq.ColumnContract("fare_class_category", "string", values=("A", "R")),
+    dq.ColumnContract("ridership", "double", nullable=False, min_value=0),
+)
+
+
+@register("contract_rejects")
+def q_contract_rejects(spark, d):
+    _, rejects = dq.contract_gate(B.ridership_monthly_raw(spark, d, with_defects=True), GATE_CONTRACT)
+    return rejects.select("transit_timestamp", "station_complex_id", "fare_class_category", "ridership", "reject_reason")
+
+
 @register("contract_gold")
 def q_contract_gold(spark, d):
     sc = scorecard(spark, d)
@@ -688,7 +702,7 @@ def q_sample_head(spark, d):
 @register("gold_roundtrip")
 def q_gold_roundtrip(spark, d):
     path = scratch_path(spark, "gold-scorecard")
-    bronze.write_gold(scorecard(spark, d), path, ["borough", "transit_year"])
+    bronze.write_gold(scorecard(spark, d), path, ["borough", "transit_year"], schema=SCORECARD_SCHEMA)
     return bronze.read_gold(spark, path)
 
 

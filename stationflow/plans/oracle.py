@@ -881,14 +881,27 @@ key("dq_report", " UNION ALL ".join([
 # ------------------------------------------------------------------ contracts
 key("contract_bronze", """
 SELECT 'transit_timestamp' AS column_name, true AS present, true AS type_ok,
-       (SELECT count_if(transit_timestamp IS NULL) FROM raw_monthly_defects) AS null_violations, CAST(0 AS BIGINT) AS domain_violations
-UNION ALL SELECT 'station_complex_id', true, true, (SELECT count_if(station_complex_id IS NULL) FROM raw_monthly_defects), 0
+       (SELECT count_if(transit_timestamp IS NULL) FROM raw_monthly_defects) AS null_violations, CAST(0 AS BIGINT) AS domain_violations,
+       CAST(0 AS BIGINT) AS range_violations
+UNION ALL SELECT 'station_complex_id', true, true, (SELECT count_if(station_complex_id IS NULL) FROM raw_monthly_defects), 0, 0
 UNION ALL SELECT 'borough', true, true, 0,
-       (SELECT count_if(borough NOT IN ('MANHATTAN', 'BROOKLYN', 'QUEENS', 'BRONX', 'STATEN ISLAND')) FROM raw_monthly_defects)
-UNION ALL SELECT 'fare_class_category', true, true, 0, (SELECT count_if(fare_class_category NOT IN ('A', 'N', 'R')) FROM raw_monthly_defects)
-UNION ALL SELECT 'ridership', true, true, (SELECT count_if(ridership IS NULL) FROM raw_monthly_defects), 0
-UNION ALL SELECT 'latitude', true, false, 0, 0
-UNION ALL SELECT 'station_status', false, false, CAST(NULL AS BIGINT), CAST(NULL AS BIGINT)
+       (SELECT count_if(borough NOT IN ('MANHATTAN', 'BROOKLYN', 'QUEENS', 'BRONX', 'STATEN ISLAND')) FROM raw_monthly_defects), 0
+UNION ALL SELECT 'fare_class_category', true, true, 0, (SELECT count_if(fare_class_category NOT IN ('A', 'N', 'R')) FROM raw_monthly_defects), 0
+UNION ALL SELECT 'ridership', true, true, (SELECT count_if(ridership IS NULL) FROM raw_monthly_defects), 0,
+       (SELECT count_if(ridership < 0) FROM raw_monthly_defects)
+UNION ALL SELECT 'latitude', true, false, 0, 0, 0
+UNION ALL SELECT 'station_status', false, false, NULL, NULL, NULL
+UNION ALL SELECT unnest(['station_complex', 'longitude', 'transit_mode', 'payment_method', 'transfers']), true, NULL, NULL, NULL, NULL
+""", "raw_monthly_defects")
+key("contract_rejects", """
+SELECT * FROM (
+  SELECT transit_timestamp, station_complex_id, fare_class_category, ridership,
+         concat_ws(',', CASE WHEN transit_timestamp IS NULL THEN 'transit_timestamp:null' END,
+                   CASE WHEN station_complex_id IS NULL THEN 'station_complex_id:null' END,
+                   CASE WHEN fare_class_category NOT IN ('A', 'R') THEN 'fare_class_category:domain' END,
+                   CASE WHEN ridership IS NULL THEN 'ridership:null' END, CASE WHEN ridership < 0 THEN 'ridership:range' END) AS reject_reason
+  FROM raw_monthly_defects)
+WHERE reject_reason <> ''
 """, "raw_monthly_defects")
 key("contract_gold", "SELECT * FROM scorecard", "scorecard")
 

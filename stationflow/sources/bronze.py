@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from stationflow.operators.quality import contract_gold
+
 # Fixed value: the bronze ridership columns, all read as strings.
 RIDERSHIP_BRONZE_COLUMNS = (
     "transit_timestamp", "transit_mode", "station_complex_id", "station_complex", "borough",
@@ -79,14 +81,16 @@ def with_quarter(df: DataFrame, ts: str, name: str = "quarter") -> DataFrame:
     return df.withColumn(name, F.quarter(F.col(ts)).cast("bigint"))
 
 
-def write_gold(df: DataFrame, path: str, cluster_by: Sequence[str], mode: str = "overwrite") -> None:
-    """Materialise a gold table range-clustered on ``cluster_by``.
+def write_gold(df: DataFrame, path: str, cluster_by: Sequence[str], mode: str = "overwrite", schema: StructType | None = None) -> None:
+    """Materialise a gold table range-clustered on ``cluster_by``, after its contract (``schema``) has been checked.
 
     ``repartitionByRange`` + ``sortWithinPartitions`` give each file a narrow
     min/max range per key, so Parquet row-group statistics skip files for
     filters on the leading cluster columns.
     """
     cols = list(cluster_by)
+    if schema is not None:
+        contract_gold(df, schema)
     df.repartitionByRange(*cols).sortWithinPartitions(*cols).write.mode(mode).parquet(path)
 
 

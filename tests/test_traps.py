@@ -179,3 +179,116 @@ def test_contract_gold_rejects_schema_drift(spark, delay_ok):
     assert dq.contract_gold(df, T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.StringType())])) is df
     with pytest.raises(dq.ContractViolation):
         dq.contract_gold(df, T.StructType([T.StructField("a", T.IntegerType()), T.StructField("b", T.StringType())]))
+
+
+# ------------------------------------------------------------------ nothing is dropped
+def test_rounding_of_large_values(spark):
+    df = spark.createDataFrame([(1e14,), (1e17,), (-9.007199254740993e15,), (123.456789,), (None,)], "x double")
+    got = [tuple(r) for r in df.select(rnd("x", 6), rnd("x", 2), rnd("x", 0)).collect()]
+    assert got[:3] == [(1e14,) * 3, (1e17,) * 3, (-9.007199254740992e15,) * 3]
+    assert got[3] == (123.456789, 123.46, 123.0) and got[4] == (None, None, None)
+
+
+def test_split_crosswalk_keeps_the_whole(spark):
+    base = _stg(spark, [("a", "a", "x", 40.0, -73.0, 2019, 1, 0.01)] * 1000)
+    cur = _stg(spark, [(s, s, "x", 40.0, -73.0, 2022, 1, 1.0) for s in ("p", "q", "r")])
+    third = [("a", "p", 0.333333), ("a", "q", 0.333333), ("a", "r", 0.333334)]
+    out = rec.crosswalk_recovery(cur, base, spark.createDataFrame(third, "old_id string, new_id string, share double")).collect()
+    parts = [r.baseline_monthly_2019 for r in out]
+    assert round(sum(parts), 2) == 10.0 and sorted(parts) == [3.33, 3.33, 3.34]
+
+
+def test_upsert_moves_a_key_and_resumes(spark):
+    from stationflow.session import scratch_path
+
+    path, stage = scratch_path(spark, "moved"), scratch_path(spark, "moved-stage")
+    rows = spark.createDataFrame([(1, "2024-01-01", 1.0), (2, "2024-01-01", 1.0), (3, "2024-01-03", 1.0)], "id int, d string, v double")
+    rows = rows.withColumn("d", F.to_date("d"))
+    rows.write.partitionBy("d").parquet(path)
+    batch = spark.createDataFrame([(1, "2024-01-02", 2.0), (3, "2024-01-02", 2.0)], "id int, d string, v double").withColumn("d", F.to_date("d"))
+    inc.upsert_partitions(spark, path, batch, ["id"], "d", stage=stage)
+    read = lambda: sorted((r.id, str(r.d), r.v) for r in spark.read.parquet(path).collect())
+    expected = [(1, "2024-01-02", 2.0), (2, "2024-01-01", 1.0), (3, "2024-01-02", 2.0)]
+    assert read() == expected
+    # a second run of the same upsert applies its whole stage again, even if a partition was lost meanwhile
+    inc._delete(spark, f"{path}/d=2024-01-01")
+    inc.upsert_partitions(spark, path, batch, ["id"], "d", stage=stage)
+    assert read() == expected
+
+
+def test_corrupt_lines_are_carried(spark, tmp_path):
+    from stationflow.sources import bronze
+
+    (tmp_path / "year=2024").mkdir()
+    (tmp_path / "year=2024" / "x.csv").write_text("a,b\n1,2\n1,2,3\n")
+    df = bronze.read_bronze(spark, str(tmp_path), bronze.string_schema(["a", "b"]), corrupt_col="_bad").cache()
+    assert {(r.a, r.b, r._bad) for r in df.collect()} == {("1", "2", None), ("1", "2", "1,2,3")}
+
+
+def test_census_documents_are_never_lost(spark):
+    from stationflow.sources import census
+
+    docs = ['[["NAME","tract"],["a","1"],["b","2","x"]]', "not json", "", None, "[]", '[["NAME","tract"]]']
+    df = spark.createDataFrame([(d,) for d in docs], "value string")
+    assert [tuple(r) for r in census.rows_from_header_json(df, columns=["NAME", "tract"]).collect()] == [("a", "1")]
+    rejects = sorted((r.reject_reason, r.row) for r in census.census_rejects(df).collect())
+    assert rejects == sorted([("cell_count", 2), ("malformed", None), ("empty", None), ("empty", None), ("no_header", None)])
+
+
+def test_quantiles_without_a_buffer(spark):
+    from stationflow.operators.common import exact_quantiles
+
+    df = spark.range(5000).select((F.col("id") % 3).cast("string").alias("k"), F.pow(F.col("id") % 997, 2).alias("v"))
+    qs = (0.0, 0.25, 0.5, 0.95, 1.0)
+    got = {r.k: tuple(r)[3:] for r in exact_quantiles(df, ["k"], "v", qs, parts=8).collect()}
+    plain = {r.k: tuple(r.q) for r in df.groupBy("k").agg(F.percentile("v", F.array(*[F.lit(q) for q in qs])).alias("q")).collect()}
+    assert got == plain
+    assert exact_quantiles(df.limit(0), [], "v", qs).count() == 0
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster():
+    from stationflow.session import ensure_checkpoint_dir
+
+    class Context:
+        master = "spark://host:7077"
+
+        @staticmethod
+        def getCheckpointDir():
+            return None
+
+    class Session:
+        sparkContext = Context
+
+        class conf:
+            @staticmethod
+            def get(_key, default=None):
+                return default
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(Session)
+
+
+def test_operators_on_a_table_with_other_names(spark):
+    from stationflow.operators import staging as stg
+    from stationflow.sources import bindings as B
+    from conftest import SF_SMALL
+
+    names = {"station_complex_id": "gare_id", "ridership": "voyageurs", "transit_timestamp": "quand", "borough": "quartier"}
+    raw = B.hourly_fine_raw(spark, SF_SMALL)
+    other = raw.withColumnsRenamed(names)
+    staged = stg.stg_ridership(stg.canonical(other, **names))
+    plain = stg.stg_ridership(raw)
+    hub, hub2 = cg.fare_consolidated(staged), cg.fare_consolidated(plain)
+    for a, b in ((rec.monthly_totals(staged), rec.monthly_totals(plain)), (cg.congestion_hourly(hub), cg.congestion_hourly(hub2)),
+                 (ut.hour_spine(hub), ut.hour_spine(hub2))):
+        assert a.columns == b.columns and a.exceptAll(b).isEmpty() and a.count() == b.count()
+
+
+def test_contract_gate_splits_rows(spark):
+    df = spark.createDataFrame([("a", 1.0), (None, 1.0), ("b", -1.0), ("z", None)], "k string, v double")
+    rules = (dq.ColumnContract("k", "string", nullable=False, values=("a", "b")), dq.ColumnContract("v", "double", nullable=False, min_value=0))
+    good, bad = dq.contract_gate(df, rules)
+    assert [r.k for r in good.collect()] == ["a"]
+    assert sorted(r.reject_reason for r in bad.collect()) == ["k:domain,v:null", "k:null", "v:range"]
+    with pytest.raises(dq.ContractViolation):
+        dq.contract_gate(df, (dq.ColumnContract("v", "string"),))
