@@ -107,6 +107,16 @@ def failing_rows(df: DataFrame, fails_when: str | Column, check: str) -> DataFra
     return df.filter(cond).withColumn("check_name", F.lit(check))
 
 
+def failing_rules(df: DataFrame, rules: Mapping[str, tuple[str, str]]) -> DataFrame:
+    """Rows violating any of several rules (name -> (condition, column to show)), a row for each, in one pass."""
+    broken = [
+        F.when(F.expr(cond), F.struct(F.lit(name).alias("check_name"), F.col(col).cast("double").alias("detail")))
+        for name, (cond, col) in rules.items()
+    ]
+    hits = F.filter(F.array(*broken), lambda r: r.isNotNull())
+    return df.withColumn("_hit", F.explode(hits)).select("*", "_hit.check_name", "_hit.detail").drop("_hit")
+
+
 def orphan_keys(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
     """Distinct non-NULL child keys with no parent row (anti join).
 

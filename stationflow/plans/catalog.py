@@ -377,9 +377,9 @@ def annual_fine(spark, d):
     return ut.utilization_annual(daily_fine(spark, d))
 
 
-def equity(spark, d, disruption=10.0):
+def equity(spark, d, disruption=10.0, totals=None):
     # one aggregate of the B1 source feeds both the scorecard and the station dimension
-    totals = monthly_all(spark, d)
+    totals = monthly_all(spark, d) if totals is None else totals
     return mt.equity_score(
         scorecard(spark, d, totals), annual_fine(spark, d), demographics(spark, d, totals), disruption=disruption
     )
@@ -493,7 +493,7 @@ def q_dq_not_null(spark, d):
 
 @register("dq_unique")
 def q_dq_unique(spark, d):
-    m = rec.monthly_totals(stg_cur(spark, d))
+    m = materialize(rec.monthly_totals(stg_cur(spark, d)), "monthly-unique")  # read by both rules
     return dq.dq_unique(m, ["station_complex_id", "ridership_year", "ridership_month"], "monthly_totals").unionByName(
         dq.dq_unique(m, ["station_complex_id", "ridership_month"], "monthly_totals", severity="warn")
     )
@@ -512,20 +512,20 @@ def q_dq_accepted_values(spark, d):
 
 
 def _singular_failures(spark, d):
-    """The warehouse's singular tests as failing-row queries, one union."""
+    """The warehouse's singular tests as failing-row queries: one pass over the staged rows, one over the shared totals."""
     keep = ["check_name", "station_complex_id", "detail"]
-    eq = dq.failing_rows(equity(spark, d), "equity_risk_score < 0 OR equity_risk_score > 100", "equity_score_bounds")
-    rc = dq.failing_rows(monthly(spark, d), "data_quality_flag = 'clean' AND (monthly_recovery_pct < 0 OR monthly_recovery_pct > 200)",
+    totals = monthly_all(spark, d)
+    eq = dq.failing_rows(equity(spark, d, totals=totals), "equity_risk_score < 0 OR equity_risk_score > 100", "equity_score_bounds")
+    rc = dq.failing_rows(monthly(spark, d, totals), "data_quality_flag = 'clean' AND (monthly_recovery_pct < 0 OR monthly_recovery_pct > 200)",
                          "recovery_pct_bounds")
-    neg = dq.failing_rows(stg_all(spark, d), "ridership < 0", "ridership_not_negative")
-    yr = dq.failing_rows(stg_all(spark, d), "transit_year NOT IN (2022, 2023, 2024, 2025) AND transit_year IS NOT NULL",
-                         "transit_year_valid")
+    rows = dq.failing_rules(stg_all(spark, d), {
+        "ridership_not_negative": ("ridership < 0", "ridership"),
+        "transit_year_valid": ("transit_year NOT IN (2022, 2023, 2024, 2025)", "transit_year"),
+    })
     return (
         eq.select("check_name", "station_complex_id", F.col("equity_risk_score").cast("double").alias("detail"))
         .unionByName(rc.select("check_name", "station_complex_id", F.col("monthly_recovery_pct").cast("double").alias("detail")))
-        .unionByName(neg.select("check_name", "station_complex_id", F.col("ridership").cast("double").alias("detail")))
-        .unionByName(yr.select("check_name", "station_complex_id", F.col("transit_year").cast("double").alias("detail")))
-        .select(*keep)
+        .unionByName(rows.select(*keep))
     )
 
 
@@ -542,7 +542,7 @@ def q_orphan_keys(spark, d):
 @register("dq_report")
 def q_dq_report(spark, d):
     totals = monthly_all(spark, d)  # shared by the recovery and scorecard checks
-    sc = scorecard(spark, d, totals)
+    sc = materialize(scorecard(spark, d, totals), "scorecard")  # read by the row rules and by the unique rule
     return dq.dq_report({
         "stg_ridership": (stg_all(spark, d, True), [
             dq.Check("not_null", "transit_timestamp"), dq.Check("not_null", "station_complex_id"),
