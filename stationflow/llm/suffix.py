@@ -21,6 +21,10 @@ for 35 bytes of text).
    bytes, and becomes a level of its own; levels of equal size merge, so a task
    keeps a logarithmic number of sorted arrays.
 
+   An anchor with more than ``HOT`` contexts (the ends of a line that a large part
+   of the corpus shares) does not send them to one task: their suffixes are dealt
+   one by one, by their own fingerprints, after equal ones of a batch are settled.
+
 A suffix's place in an array is the 128-bit fingerprint of its first ``LENGTH``
 bytes: in any order in which equal beginnings are neighbours, a merge scan finds
 all matches of that length.
@@ -38,6 +42,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -45,6 +50,7 @@ from stationflow.llm.common import numbered, raw_texts, utf8
 from stationflow.session import materialize
 
 LENGTH, GRAM = 100, 32
+HOT = 100_000  # contexts of an anchor that one task may read
 SEGMENT = 1 << 20  # bytes hashed together
 POSITION_BITS = 21
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)  # odd multipliers of two polynomial hashes
@@ -323,27 +329,52 @@ def suffix_prints(contexts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.nda
     return of, _mix(_grams(codes, LENGTH, BASES[0]))[at], _mix(_grams(_mix(codes), LENGTH, BASES[1]))[at]
 
 
+_CONTEXT = ["key", *_KEYS, "first", "context"]
+
+
+def _one_by_one(rows: list[tuple]) -> list[tuple]:
+    """The suffixes of hot runs as runs of one, under their own fingerprints; of equal ones all but the first are settled (no context)."""
+    of, x, y = suffix_prints([r[5] for r in rows])
+    place = np.arange(len(of)) - np.searchsorted(of, of)
+    no_id, ids, hashes, first = (np.array([r[k] for r in rows])[of] for k in (1, 2, 3, 4))
+    order = np.lexsort((first + place, hashes, ids, no_id, y, x))
+    again = np.zeros(len(of), bool)
+    again[order[1:]] = (x[order[1:]] == x[order[:-1]]) & (y[order[1:]] == y[order[:-1]])
+    spread = _mix(x + np.arange(len(of), dtype=np.uint64))
+    key = np.where(again, spread, x).view(np.int64)
+    out = []
+    for i, (r, p, k, seen) in enumerate(zip(of.tolist(), place.tolist(), key.tolist(), again.tolist(), strict=True)):
+        run = rows[r]
+        out.append((k, run[1], run[2], run[3], run[4] + p, None if seen else run[5][p : p + LENGTH]))
+    return out
+
+
 def _open_contexts(rows: DataFrame, marks: DataFrame) -> DataFrame:
-    """(anchor, keys, first, context): the bytes of each run that is still open."""
-    opened = marks.filter("anchor IS NOT NULL").groupBy(*_KEYS).agg(F.collect_list(F.struct("first", "n", "anchor")).alias("open"))
+    """(key, keys, first, context): the bytes of each run that is still open, to be dealt by ``key``."""
+    runs_left = marks.filter("anchor IS NOT NULL")
+    hot = runs_left.groupBy("anchor").count().filter(F.col("count") > HOT).select(F.col("anchor").alias("h"))
+    runs_left = runs_left.join(hot, F.col("anchor") == F.col("h"), "left").withColumn("hot", F.col("h").isNotNull())
+    opened = runs_left.groupBy(*_KEYS).agg(F.collect_list(F.struct("first", "n", "anchor", "hot")).alias("open"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
 
         unpack = zstandard.ZstdDecompressor().decompress
+        types = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
         for batch in batches:
             for a in range(0, len(batch), 500):
                 out: list[tuple] = []
+                split: list[tuple] = []
                 for no_id, i, h, packed, todo in zip(*(c.to_pylist() for c in batch.slice(a, 500).columns), strict=True):
                     text = unpack(packed)
-                    out += [(r["anchor"], no_id, i, h, r["first"], text[r["first"] : r["first"] + r["n"] + LENGTH - 1]) for r in todo]
-                types = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names=["anchor", *_KEYS, "first", "context"]
-                )
+                    for r in todo:
+                        context = text[r["first"] : r["first"] + r["n"] + LENGTH - 1]
+                        (split if r["hot"] else out).append((r["anchor"], no_id, i, h, r["first"], context))
+                out += _one_by_one(split) if split else []
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names=_CONTEXT)
 
     texts = _with_texts(rows.filter("copy = 1"), opened, "inner").select(*_KEYS, "packed", "l_open")
-    return texts.mapInArrow(run, f"anchor bigint, {KEYS}, first bigint, context binary")
+    return texts.mapInArrow(run, f"key bigint, {KEYS}, first bigint, context binary")
 
 
 def _match_suffixes(contexts: DataFrame) -> DataFrame:
@@ -351,7 +382,11 @@ def _match_suffixes(contexts: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         family = Family()
-        for b in batches:
+        for batch in batches:
+            settled = batch.column(4).is_null()
+            done = batch.filter(settled)
+            yield pa.RecordBatch.from_arrays([*done.columns[:4], pa.array(np.ones(len(done), np.int32))], names=[*_KEYS, "first", "n"])
+            b = batch.filter(pc.invert(settled))
             if not len(b):
                 continue
             of, x, y = suffix_prints([c.as_py() for c in b.column(4)])
@@ -365,7 +400,7 @@ def _match_suffixes(contexts: DataFrame) -> DataFrame:
                 [*(c.take(row) for c in b.columns[:3]), pa.array(first), pa.array((stop - begin + 1).astype(np.int32))], names=[*_KEYS, "first", "n"]
             )
 
-    dealt = contexts.repartition("anchor").sortWithinPartitions(*_KEYS, "first")
+    dealt = contexts.repartition("key").sortWithinPartitions(*_KEYS, "first")
     return dealt.select(*_KEYS, "first", "context").mapInArrow(run, f"{KEYS}, first bigint, n int")
 
 

@@ -168,8 +168,10 @@ def test_components_of_a_chain(spark):
 
 
 # ------------------------------------------------------------------ substring dedup
-def test_suffix_repeats(spark):
+@pytest.mark.parametrize("hot", [suffix.HOT, 1])
+def test_suffix_repeats(spark, monkeypatch, hot):
     ship(spark)
+    monkeypatch.setattr(suffix, "HOT", hot)
     alphabet = "abcdefgh "
     passages = ["".join(random.choice(alphabet) for _ in range(n)) for n in (99, 100, 101, 150, 400)]
     rows = []
