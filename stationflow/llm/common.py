@@ -25,8 +25,17 @@ IS_SPACE[list(ASCII_SPACE)] = True
 PACKAGE = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
 
+ARROW_BATCH = 16 << 20
+
+
 def ship(spark: SparkSession) -> None:
-    """Send this package's sources to the executors (once for each application), whose Python workers import it."""
+    """Prepare a session: bound the batches of texts, and send this package's sources to the executors.
+
+    Python workers import the sources, which go out once for each application.
+    """
+    size = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(size) == "67108864b":  # Spark's default; a size that the user has set stays
+        spark.conf.set(size, f"{ARROW_BATCH}b")
     sc = spark.sparkContext
     if getattr(sc, "_stationflow_shipped", False):
         return

@@ -48,6 +48,7 @@ NODE_MOST = 16_384  # a node with more members is split by its next bits
 MORE_BITS = 4
 FAN = 16  # children of an index node inside a task
 BLOCK = 1 << 18  # shingles hashed at a time
+TOGETHER = 1000  # documents whose words are held at a time
 
 # XXH64: fixed values of the algorithm
 P1, P2, P3 = np.uint64(11400714785074694791), np.uint64(14029467366897019727), np.uint64(1609587929392839161)
@@ -138,22 +139,18 @@ def with_fingerprint(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fp = fingerprints(raw_texts(batch.column(2)), shingle).view(np.int64)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(fp)], names=["doc_id", "row_hash", "fp"])
+            for a in range(0, len(batch), TOGETHER):
+                b = batch.slice(a, TOGETHER)
+                fp = fingerprints(raw_texts(b.column(2)), shingle).view(np.int64)
+                yield pa.RecordBatch.from_arrays([*b.columns[:2], pa.array(fp)], names=["doc_id", "row_hash", "fp"])
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_hash().alias("row_hash"), "text")
     return rows.mapInArrow(run, "doc_id bigint, row_hash bigint, fp bigint")
 
 
 # ------------------------------------------------------------------ the index
-def gray_rank(c: Column) -> Column:
-    """Place of a 64-bit pattern in the reflected Gray code."""
-    for s in (1, 2, 4, 8, 16, 32):
-        c = c.bitwiseXOR(F.shiftrightunsigned(c, s))
-    return c
-
-
-def _gray_rank(x: np.ndarray) -> np.ndarray:
+def gray_rank(x: np.ndarray) -> np.ndarray:
+    """Place of 64-bit patterns in the reflected Gray code."""
     for s in (1, 2, 4, 8, 16, 32):
         x = x ^ (x >> np.uint64(s))
     return x
@@ -164,7 +161,8 @@ def _signed(x: int) -> int:
 
 
 def _node(at: Column, p: int) -> Column:
-    return F.shiftrightunsigned(gray_rank(at), 64 - p) if p else F.lit(0).cast("bigint")
+    """The node of ``p`` bits: the first bits of a fingerprint and those of its Gray rank name the same nodes."""
+    return F.shiftrightunsigned(at, 64 - p) if p else F.lit(0).cast("bigint")
 
 
 def _descend(rows: DataFrame, p: int, more: int, max_bits: int) -> DataFrame:
@@ -172,7 +170,7 @@ def _descend(rows: DataFrame, p: int, more: int, max_bits: int) -> DataFrame:
 
     ``at`` is the fingerprint with the bits turned that differ from the
     visited node's pattern, ``d`` how many. A member (d = 0) visits nodes of a
-    higher rank only, so each pair of nodes meets once.
+    higher pattern only, so each pair of nodes meets once.
     """
     flips = [(sum(1 << (63 - p - b) for b in c), len(c)) for n in range(max_bits + 1) for c in combinations(range(more), n)]
     turns = F.array(*[F.struct(F.lit(_signed(m)).cast("bigint").alias("mask"), F.lit(n).alias("n")) for m, n in flips])
@@ -186,7 +184,7 @@ class GrayIndex:
     """Levels over fingerprints in Gray order; a child's shared bits are its (mask, pattern)."""
 
     def __init__(self, members: np.ndarray):
-        self.members = members[np.argsort(_gray_rank(members), kind="stable")]
+        self.members = members[np.argsort(gray_rank(members), kind="stable")]
         lows = highs = self.members
         self.levels = []  # from the leaves up: mask, pattern of each node
         while len(lows) > FAN or not self.levels:
@@ -247,7 +245,9 @@ def node_links(members: np.ndarray, visitors: np.ndarray, max_bits: int) -> tupl
 def near_links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     """(a, b): stars that span the same components as all pairs of distinct ``fp`` within ``max_bits``."""
     p = max(0, math.ceil(math.log2(max(1, prints.count()) / NODE)))
-    rows, found = _descend(prints.select("fp", F.col("fp").alias("at"), F.lit(0).alias("d")), 0, p, max_bits), []
+    # a print makes many visits, so prints of a few files are dealt to as many tasks as a shuffle has
+    spread = prints.repartition("fp").select("fp", F.col("fp").alias("at"), F.lit(0).alias("d"))
+    rows, found = _descend(spread, 0, p, max_bits), []
     while p < 64:  # distinct fingerprints: at 64 bits a node has one member
         node = _node(F.col("at"), p)
         large = materialize(rows.filter("d = 0").groupBy(node.alias("node")).count().filter(F.col("count") > NODE_MOST).select("node"), "nodes")
