@@ -9,8 +9,8 @@ so every text has a probability.
 
 Piece weights start from the vocabulary's scores (which fall with the piece's
 rank, so weight 1 / (rank + 1)) and are re-estimated on the training documents:
-one expectation step over the lattices of all their distinct words, weighted by
-count, with the start as a prior worth ``PRIOR`` pieces.
+``ROUNDS`` expectation steps over the lattices of all their distinct words,
+weighted by count, with the start as a prior worth ``PRIOR`` pieces.
 
 Work is per distinct word of the corpus, not per token: words are counted over
 all documents, each distinct word gets its count and its marginal once, and
@@ -40,7 +40,8 @@ from stationflow.llm.common import held_out, raw_texts
 from stationflow.session import materialize
 
 VOCABULARY = "piece_bpe_32k.model"
-PRIOR = 10_000.0
+PRIOR = 1_000.0
+ROUNDS = 2
 HEAD = 200_000
 FLUSH = 500_000  # distinct words a task counts before it passes them on
 TOGETHER = 200_000  # words whose lattices are walked together
@@ -210,28 +211,36 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[bytes], np
         yield words, np.array(counts, np.int64)
 
 
-def fit(words: DataFrame, name: str = VOCABULARY) -> tuple[Lattice, float]:
-    """Lattice with re-estimated weights and the log weight of the end, from the rows of :func:`word_counts`."""
-    pieces, weight, end = vocabulary(name)
-    start = Lattice(pieces, np.log(weight))
-    sent = words.sparkSession.sparkContext.broadcast(start)
+def _expected(trained: DataFrame, lattice: Lattice) -> np.ndarray:
+    """Expected uses of each piece over all training words, under the lattice's weights."""
+    sent = trained.sparkSession.sparkContext.broadcast(lattice)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        expected = np.zeros(len(pieces))
+        expected = np.zeros(len(sent.value.pieces))
         for group, counts in _groups(batches):
             sent.value.marginals(group, counts.astype(float), expected)
         got = np.flatnonzero(expected)
         yield pa.RecordBatch.from_arrays([pa.array(got, pa.int32()), pa.array(expected[got])], names=["piece", "n"])
 
-    trained = words.filter(F.col("c") > 0)
-    used = trained.filter(F.col("w") != F.lit(bytearray(END))).select("w", "c").mapInArrow(run, "piece int, n double").groupBy("piece").agg(F.sum("n").alias("n"))
-    n = PRIOR * weight
+    used = trained.select("w", "c").mapInArrow(run, "piece int, n double").groupBy("piece").agg(F.sum("n").alias("n"))
+    out = np.zeros(len(lattice.pieces))
     for r in used.collect():  # a row for each piece of the vocabulary at most
-        n[r.piece] += r.n
-    ends = trained.filter(F.col("w") == F.lit(bytearray(END))).first()
-    n[end] += ends.c if ends else 0
-    logp = np.log(n / n.sum())
-    return Lattice(pieces, logp), float(logp[end])
+        out[r.piece] = r.n
+    return out
+
+
+def fit(words: DataFrame, name: str = VOCABULARY, rounds: int = ROUNDS) -> tuple[Lattice, float]:
+    """Lattice with re-estimated weights and the log weight of the end, from the rows of :func:`word_counts`."""
+    pieces, start, end = vocabulary(name)
+    is_end = F.col("w") == F.lit(bytearray(END))
+    trained = words.filter((F.col("c") > 0) & ~is_end)
+    ends = words.filter(is_end).first()
+    weight = start
+    for _ in range(rounds):
+        n = PRIOR * start + _expected(trained, Lattice(pieces, np.log(weight)))
+        n[end] += ends.c if ends else 0
+        weight = n / n.sum()
+    return Lattice(pieces, np.log(weight)), float(np.log(weight[end]))
 
 
 def with_marginals(words: DataFrame, lattice: Lattice, end: float) -> DataFrame:
