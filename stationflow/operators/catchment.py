@@ -14,7 +14,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stationflow.functions import below_tier, rnd, safe_div
@@ -110,15 +110,14 @@ def catchment_weights(cc: DataFrame, tc: DataFrame) -> DataFrame:
 
     ``catchment_weight`` = shared / buffer cells (share of the catchment);
     ``tract_coverage_pct`` = shared / tract cells (share of the tract).
-    One shuffle equi-join on the cell, then two station- / tract-sized joins.
+    Each side is built once: its cells are counted by a window over its own
+    id (a buffer or a tract is bounded), then one equi-join on the cell.
     """
-    shared = cc.join(tc, ["cx", "cy"]).groupBy("station_complex_id", "geo_id").agg(
-        F.count(F.lit(1)).alias("intersect_cells")
-    )
-    bsize = cc.groupBy(F.col("station_complex_id").alias("_sid")).agg(F.count(F.lit(1)).alias("buffer_cells"))
-    tsize = tc.groupBy(F.col("geo_id").alias("_gid")).agg(F.count(F.lit(1)).alias("tract_cells"))
-    j = shared.join(bsize, shared.station_complex_id == bsize._sid).join(tsize, F.col("geo_id") == tsize._gid)
-    return j.select(
+    per = lambda c: F.count(F.lit(1)).over(Window.partitionBy(c))
+    cc = cc.select("station_complex_id", "cx", "cy", per("station_complex_id").alias("buffer_cells"))
+    tc = tc.select("geo_id", "cx", "cy", per("geo_id").alias("tract_cells"))
+    j = cc.join(tc, ["cx", "cy"]).groupBy("station_complex_id", "geo_id", "buffer_cells", "tract_cells")
+    return j.agg(F.count(F.lit(1)).alias("intersect_cells")).select(
         "station_complex_id",
         "geo_id",
         "intersect_cells",
