@@ -33,7 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stationflow.llm.common import held_out, raw_texts
@@ -256,16 +256,27 @@ def with_marginals(words: DataFrame, lattice: Lattice, end: float) -> DataFrame:
     return words.select("w", "c").mapInArrow(run, "w binary, c bigint, lp double")
 
 
+def _most_frequent(words: DataFrame, head: int) -> list:
+    """At most ``head`` rows: all words of the highest counts that fit.
+
+    The least count that fits comes from the number of words of each count (a
+    table of at most sqrt(2 * tokens) rows), so no task sends a share of its own.
+    """
+    upto = Window.orderBy(F.desc("c"))
+    fits = words.groupBy("c").count().withColumn("upto", F.sum("count").over(upto)).filter(F.col("upto") <= head)
+    least = fits.agg(F.min("c")).first()[0]
+    return [] if least is None else words.filter(F.col("c") >= least).collect()
+
+
 def score_documents(docs: DataFrame, name: str = VOCABULARY, head: int = HEAD) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every document."""
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     counts = materialize(word_counts(docs), "word-counts")
     words = materialize(with_marginals(counts, *fit(counts, name)), "word-marginals")
     tokens, distinct = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count_if(F.col("c") > 0)).first()
-    top = words.orderBy(F.desc("c"), "w").limit(head).collect()
+    top = _most_frequent(words, head)
     sent = docs.sparkSession.sparkContext.broadcast({bytes(r.w): (r.c > 0, math.log10(r.c + 1), r.lp) for r in top})
-    tail = words if len(top) == head else words.limit(0)
-    tail = tail.select(F.col("w").alias("word"), "c", "lp")
+    tail = words.select(F.col("w").alias("word"), "c", "lp")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         get = sent.value.get
