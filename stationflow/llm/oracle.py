@@ -66,3 +66,15 @@ SELECT conv_id, count(*) AS n_turns,
        cast(sum(length({_ESCAPED.format(c="text")}) + CASE WHEN fresh THEN length({_ESCAPED.format(c="role")}) + 19 ELSE 6 END) AS bigint) AS formatted_chars
 FROM b GROUP BY conv_id
 """
+
+_QUAD = "cast('0x' || substr(sha, 5 * i + 1, 5) AS BIGINT)"  # 20 bits: four base32 digits
+_DIGITS = " || ".join(f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', cast(({_QUAD} >> {k}) & 31 AS INTEGER) + 1, 1)" for k in (15, 10, 5, 0))
+ORACLE["op8_warc_salvage"] = f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS sha FROM pages),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY html) AS first FROM p)
+SELECT page_id, cast(strlen(html) AS BIGINT) AS payload_bytes,
+       array_to_string(list_transform(range(0, 8), lambda i: {_DIGITS}), '') AS payload_digest,
+       CASE WHEN page_id IS DISTINCT FROM first AND first IS NOT NULL THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id IS DISTINCT FROM first THEN first END AS refers_to
+FROM f
+"""
