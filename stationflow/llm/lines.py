@@ -32,8 +32,8 @@ from stationflow.llm.common import IS_SPACE, raw_texts
 
 MIN_WORDS, MAX_REPEAT_PERCENT, REPEAT_WINDOW = 20, 30, 8
 CONTENT_SHARE = 0.5
-MAX_TRAIN, CHAIN = 3_000, 64
-STEPS, RATE, RIDGE = 150, 0.1, 1e-3
+MAX_TRAIN, CHAIN = 1_000, 64
+STEPS, RATE, RIDGE = 80, 0.1, 1e-3
 GROUP_BYTES = 4 << 20
 
 SYMBOLS = b"#*$%&|<>"
