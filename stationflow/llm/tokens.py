@@ -44,7 +44,8 @@ from stationflow.session import scratch_path
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 2
 ROW_GROUP, PAGE_ROWS = 16 << 20, 256
-KEPT_PIECES = 300_000  # encoded pieces in a worker's younger generation; the older one has as many
+TOGETHER = 3000  # texts whose distinct parts are held at a time
+KEPT_PIECES = 240_000  # encoded pieces in a worker's younger generation; the older one has as many
 
 SCHEMA = T.StructType([
     T.StructField("shard", T.IntegerType()), T.StructField("doc_id", T.LongType()), T.StructField("row_hash", T.LongType()),
@@ -188,12 +189,13 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str = TOKENIZER, end_id:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(tokenizer)
         for batch in batches:
-            done = 0
-            for ids, off in encoder.encode_column(batch.column(3), end_id):  # a part of the batch at a time
-                part = batch.slice(done, len(off) - 1)
-                lists = pa.ListArray.from_arrays(pa.array(off.astype(np.int32)), pa.array(ids, pa.int32()))
-                yield pa.RecordBatch.from_arrays([*part.columns[:3], pa.array(np.diff(off)), lists], names=[f.name for f in SCHEMA])
-                done += len(part)
+            for a in range(0, len(batch), TOGETHER):
+                some, done = batch.slice(a, TOGETHER), 0
+                for ids, off in encoder.encode_column(some.column(3), end_id):
+                    part = some.slice(done, len(off) - 1)
+                    lists = pa.ListArray.from_arrays(pa.array(off.astype(np.int32)), pa.array(ids, pa.int32()))
+                    yield pa.RecordBatch.from_arrays([*part.columns[:3], pa.array(np.diff(off)), lists], names=[f.name for f in SCHEMA])
+                    done += len(part)
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_hash().alias("row_hash"), "text")
     ordered = rows.repartitionByRange("doc_id", "row_hash").sortWithinPartitions("doc_id", "row_hash")
