@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stationflow.llm import chat, decontam, gam, lattice, lines, mixing, simhash, suffix, tokens, warc
+from stationflow.llm import align, chat, decontam, gam, lattice, lines, mixing, pieces, simhash, suffix, tokens, variants, warc
 from stationflow.llm.common import ship
 from stationflow.sources.bindings import table
 
@@ -75,3 +75,22 @@ def op7_subword_lattice(spark, d):
 @register
 def op3_suffix_family(spark, d):
     return suffix.remove_repeats(table(spark, d, "documents"))
+
+
+def encoded_and_decoded(docs: DataFrame) -> DataFrame:
+    return pieces.digests(pieces.encode_documents(docs, ["doc_id"]))
+
+
+@register
+def op11_distinct_chunk_pieces(spark, d):
+    return encoded_and_decoded(table(spark, d, "documents"))
+
+
+@register
+def op12_bloom_variants(spark, d):
+    return variants.variants(table(spark, d, "documents"))
+
+
+@register
+def op13_token_alignment(spark, d):
+    return align.align_documents(table(spark, d, "documents"))
