@@ -19,7 +19,7 @@ as a table; a pair below the cut is in few documents, so these rows are
 shuffled by pair without a hot key. The highest count of each A id is a table
 of at most the vocabulary's size.
 
-Memory: a task holds the tokens of 4 MB of text (or of one longer text) and two
+Memory: a task holds the tokens of 1 MB of text (or of one longer text) and two
 chunk tables; the driver holds the head's table and a histogram of the counts.
 
 Defined results: a null or empty text, and one whose joined tokens are not its
@@ -45,14 +45,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stationflow.llm import chunks
-from stationflow.llm.common import carried, fresh
-from stationflow.llm.tokens import BYTE_ALPHABET
+from stationflow.llm.common import carried, fresh, give_back
 from stationflow.session import materialize, scratch_path
 
 A_NAME, B_NAME = "byte_bpe_50k.json", "piece_bpe_32k.model"
 ID_BITS = 22  # of an id in a pair's number
 BIG = 4096  # links of a group from which its distinct ids are paired instead of its tokens
 HEAD = 400_000
+TEXT_BYTES = 1 << 20  # text that a task aligns at a time, in whole texts
 LOW = (1 << ID_BITS) - 1
 
 
@@ -60,7 +60,7 @@ LOW = (1 << ID_BITS) - 1
 def byte_level_bytes(name: str) -> list[bytes]:
     """What each id of a byte-level tokenizer stands for."""
     library = chunks.byte_level(name)
-    back = {chr(BYTE_ALPHABET.get(b, b)): b for b in range(256)}
+    back = {chr(chunks.BYTE_ALPHABET.get(b, b)): b for b in range(256)}
     special = {i for i, t in library.get_added_tokens_decoder().items() if t.special}
     vocabulary = {i: t for t, i in library.get_vocab().items()}
     return [vocabulary[i].encode() if i in special else bytes(back[c] for c in vocabulary.get(i, "")) for i in range(max(vocabulary) + 1)]
@@ -203,7 +203,7 @@ def align(docs: DataFrame, keep: list[str], a_name: str = A_NAME, b_name: str =
         aligner = Aligner(a_name, b_name)
         digits = aligner.digits()
         for batch in batches:
-            for x, y in chunks.slices(batch.column(at)):
+            for x, y in chunks.slices(batch.column(at), TEXT_BYTES):
                 part = batch.slice(x, y - x)
                 has, g = aligner.groups(part.column(at))
                 n = len(part)
@@ -215,6 +215,8 @@ def align(docs: DataFrame, keep: list[str], a_name: str = A_NAME, b_name: str =
                 columns = [_spread(has, n, f) for f in figures] + [pa.array(digest, pa.string())]
                 columns += [_lists(has, n, off, pair, pa.int64()), _lists(has, n, off, times, pa.int64())]
                 yield pa.RecordBatch.from_arrays([*part.columns[: len(keep)], *columns], names=schema.names)
+        del aligner, digits
+        give_back()
 
     return rows.mapInArrow(run, schema).toDF(*keep, *names)
 

@@ -13,9 +13,10 @@ chunk to a table dealt by chunk and its ids back would move the corpus twice.
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Callable, Iterator
 from functools import cache
-from itertools import accumulate, chain, pairwise
+from itertools import accumulate, chain, compress, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +25,7 @@ import pyarrow.compute as pc
 from stationflow.llm.common import utf8
 
 SLICE_BYTES = 4 << 20  # text that is cut and encoded at a time, in whole texts
-KEPT_BYTES = 24 << 20  # chunks and ids that a table keeps before it starts anew
+KEPT_BYTES = 20 << 20  # chunks and ids of a table's younger generation; the older one has as many
 LONGEST = 256  # bytes of a chunk that is kept
 SPACE = 32
 
@@ -39,19 +40,26 @@ class ChunkTable:
     def __init__(self, encode: Callable[[list[bytes]], list[bytes]]):
         self.encode = encode
         self.kept: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}  # the generation before; what is met again moves to the younger one
         self.held = 0
 
     def _found(self, values: list[bytes]) -> list[bytes]:
         if self.held > KEPT_BYTES:
-            self.kept, self.held = {}, 0
+            self.kept, self.older, self.held = {}, self.kept, 0
         found = list(map(self.kept.get, values))
         new = [i for i, ids in enumerate(found) if ids is None]
         if new:
-            for i, ids in zip(new, self.encode([values[i] for i in new]), strict=True):
+            asked = [values[i] for i in new]
+            given = list(map(self.older.get, asked))
+            unmet = [i for i, ids in enumerate(given) if ids is None]
+            for i, ids in zip(unmet, self.encode([asked[i] for i in unmet]), strict=True):
+                given[i] = ids
+            for i, ids in zip(new, given, strict=True):
                 found[i] = ids
-                if len(values[i]) <= LONGEST:
-                    self.kept[values[i]] = ids
-                    self.held += len(values[i]) + len(ids) + 150
+            short = [len(c) <= LONGEST for c in asked]
+            kept = dict(zip(compress(asked, short), compress(given, short), strict=True))
+            self.kept.update(kept)
+            self.held += sum(map(len, kept)) + sum(map(len, kept.values())) + 150 * len(kept)
         return found
 
     def ids(self, buf: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -62,22 +70,23 @@ class ChunkTable:
         coded = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(off), pa.py_buffer(buf)]).dictionary_encode()
         found = self._found(coded.dictionary.to_pylist())
         codes = coded.indices.to_numpy()
-        size = np.fromiter(map(len, found), np.int64, len(found)) >> 2
+        size = np.fromiter(map(len, found), np.int32, len(found)) >> 2
         many = size[codes]
-        upto = np.concatenate(([0], np.cumsum(many)))
-        begin = (np.cumsum(size) - size)[codes] - upto[:-1]
-        take = np.repeat(begin.astype(np.int32), many)
+        upto = np.zeros(len(codes) + 1, np.int64)
+        np.cumsum(many, out=upto[1:])
+        begin = np.cumsum(size, dtype=np.int32) - size
+        take = np.repeat(begin[codes] - upto[:-1].astype(np.int32), many)
         take += np.arange(upto[-1], dtype=np.int32)
         return np.frombuffer(b"".join(found), "<i4")[take], upto
 
 
-def slices(column: pa.Array) -> Iterator[tuple[int, int]]:
-    """Row ranges (from, to) of about ``SLICE_BYTES`` of text each; a longer text is alone."""
+def slices(column: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
+    """Row ranges (from, to) of about ``most`` bytes of text each; a longer text is alone."""
     size = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
     upto = np.cumsum(size)
     a = 0
     while a < len(size):
-        b = int(np.searchsorted(upto, upto[a] - size[a] + SLICE_BYTES, "right"))
+        b = int(np.searchsorted(upto, upto[a] - size[a] + most, "right"))
         yield a, max(b, a + 1)
         a = max(b, a + 1)
 
@@ -97,8 +106,24 @@ def marked_starts(buf: np.ndarray, off: np.ndarray) -> np.ndarray:
     return np.flatnonzero(start)
 
 
+# for byte-level splits: ASCII letters and bytes of U+00C0 to U+00FF, digits, punctuation marks, apostrophe
+_LETTER, _DIGIT, _MARK, _QUOTE = 1, 2, 3, 4
+_KIND = np.zeros(256, np.uint8)
+_KIND[33:127] = _MARK
+_KIND[39] = _QUOTE
+_KIND[48:58] = _DIGIT
+_KIND[[*range(65, 91), *range(97, 123)]] = _LETTER
+_CUTS = np.zeros((8, 8), bool)  # kinds between which a byte-level split always falls
+_CUTS[_LETTER, [_DIGIT, _MARK, _QUOTE]] = _CUTS[_DIGIT, [_LETTER, _MARK, _QUOTE]] = _CUTS[_MARK, [_LETTER, _DIGIT]] = True
+
+
 def split_starts(buf: np.ndarray, off: np.ndarray) -> np.ndarray:
-    """As :func:`marked_starts`, but a space behind any other white space begins no chunk (a byte-level split may cross it)."""
+    """Where chunks begin that no byte-level split crosses.
+
+    Spaces as in :func:`marked_starts`, but not behind other white space, and
+    changes between letters, digits and marks. An apostrophe may be split with
+    the letters behind it, so no chunk begins there.
+    """
     space = buf == SPACE
     white = space | ((buf >= 9) & (buf <= 13))
     start = space.copy()
@@ -110,6 +135,11 @@ def split_starts(buf: np.ndarray, off: np.ndarray) -> np.ndarray:
         last = (buf[high - 2].astype(np.int64) << 8) | buf[high - 1]
         is_white = np.isin(last, _WHITE2) | np.isin((buf[high - 3].astype(np.int64) << 16) | last, _WHITE3)
         start[high[is_white]] = False
+    kind = _KIND[buf]
+    lead = np.flatnonzero(buf[:-1] == 0xC3)
+    lead = lead[(buf[lead + 1] | 0x20) != 0xB7]  # U+00D7 and U+00F7 are no letters
+    kind[lead] = kind[lead + 1] = _LETTER
+    start[1:] |= _CUTS[kind[:-1], kind[1:]]
     start[first] = True
     return np.flatnonzero(start)
 
@@ -132,9 +162,31 @@ def byte_level(name: str):
     return library
 
 
+# fixed values: the byte-level alphabet. Printable bytes stand for themselves, the others for code points from 256 on
+_SELF = [*range(33, 127), *range(161, 173), *range(174, 256)]
+BYTE_ALPHABET = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in set(_SELF))}
+SPACE_SIGN = chr(BYTE_ALPHABET[SPACE])
+# one split: letters, digits or marks with a space before them at most
+_ONE_SPLIT = re.compile(rb" ?(?:(?:[A-Za-z]|\xC3[\x80-\x96\x98-\xB6\xB8-\xBF])+|[0-9]+|[!-&(-/:-@[-`{-~]+)")
+
+
 def byte_level_table(library) -> ChunkTable:
+    """Chunks of one split go to the library's merges at once (the byte alphabet is mapped here), others through the whole library."""
+    merge = library.model.tokenize
+
     def encode(chunks: list[bytes]) -> list[bytes]:
-        return _packed([e.ids for e in library.encode_batch_fast([c.decode() for c in chunks], add_special_tokens=False)])
+        single = [_ONE_SPLIT.fullmatch(c) is not None for c in chunks]
+        flat: list[int] = []
+        ends = [0]
+        for c in compress(chunks, single):
+            signs = c.decode().replace(" ", SPACE_SIGN) if c.isascii() else c.decode("latin-1").translate(BYTE_ALPHABET)
+            flat += [t.id for t in merge(signs)]
+            ends.append(4 * len(flat))
+        raw = np.array(flat, "<i4").tobytes()
+        done = (raw[a:b] for a, b in pairwise(ends))
+        others = [c.decode() for c, s in zip(chunks, single, strict=True) if not s]
+        rest = iter(_packed([e.ids for e in library.encode_batch_fast(others, add_special_tokens=False)]) if others else ())
+        return [next(done) if s else next(rest) for s in single]
 
     return ChunkTable(encode)
 

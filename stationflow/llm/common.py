@@ -6,6 +6,7 @@ columns (also ones that clash with internal names) never reach a join.
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import zipfile
@@ -49,6 +50,15 @@ def ship(spark: SparkSession) -> None:
     sc._stationflow_shipped = True
 
 
+def give_back() -> None:
+    """Return memory that a task no longer uses to the system: its worker lives on, next to others."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # a system without that call
+        return
+
+
 def text_hash(col: str = "text") -> Column:
     """XXH64 of a text, null as its own value: tells rows that share a doc_id apart."""
     return F.xxhash64(F.col(col), F.col(col).isNull())

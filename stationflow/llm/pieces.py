@@ -11,7 +11,7 @@ marker of a text is dropped. Lists that the table cannot stand for (an unknown
 id, a first piece without a marker, bytes that are no UTF-8) go to the library.
 
 Memory: a task holds a batch of texts (16 MB, or one longer text), the ids of
-4 MB of text and a table of 24 MB. No shuffle, nothing on the driver.
+4 MB of text and a table of 40 MB. No shuffle, nothing on the driver.
 
 Defined results: a null or empty text has the end id alone and decodes to an
 empty text; U+2581 in a text is a space to the library and decodes to one;
@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stationflow.llm import chunks
-from stationflow.llm.common import carried, fresh
+from stationflow.llm.common import carried, fresh, give_back
 
 MODEL = "piece_bpe_32k.model"
 END_ID = 2
@@ -65,6 +65,8 @@ def encode_documents(docs: DataFrame, keep: list[str], model: str = MODEL, end_i
                 part = batch.slice(a, b - a)
                 ids = _ids(part.column(at), table, end_id)
                 yield pa.RecordBatch.from_arrays([*part.columns[: len(keep)], ids], names=schema.names)
+        del table
+        give_back()
 
     return rows.mapInArrow(run, schema).toDF(*keep, out)
 

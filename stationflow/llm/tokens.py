@@ -9,14 +9,12 @@ where a dictionary gets too large), zstd-compressed, in row groups of
 a reader of metadata touches no ids, a reader of some documents only their
 pages (:func:`read_tokens`).
 
-Encoding. The byte-level tokenizer splits text before its merges, and no split
-crosses from a non-space character to a following space or newline, nor from a
-letter or digit to a following punctuation mark (other than an apostrophe) or
-back. So a batch of texts is cut at its spaces, each distinct part is looked up
-once for the batch, new parts are cut into words and marks, and only words not
-met for a while go to the library; a text's ids are its parts' ids in a row.
-Texts with a space behind white space, or with any other white space, take a
-slower way or go to the library whole. All ways give the library's own ids.
+Encoding. The byte-level tokenizer splits text before its merges. A batch of
+texts is cut where a split always falls, each distinct chunk is encoded once
+and the ids are joined back by position (``chunks.ChunkTable``); a text that
+holds the string of a special token goes to the library whole. Both ways give
+the library's own ids. A task holds a batch of texts (16 MB, or one longer
+text), the ids of 2 MB of text and a table of 40 MB, and gives them back at its end.
 
 Defined results: a null or empty text is the end id alone; rows that share a
 doc_id are kept apart, ordered by the hash of their text; null doc_ids come
@@ -38,37 +36,23 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stationflow.llm.common import text_hash
+from stationflow.llm import chunks
+from stationflow.llm.common import give_back, text_hash, utf8
 from stationflow.session import scratch_path
 
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 2
 ROW_GROUP, PAGE_ROWS = 16 << 20, 256
-TOGETHER = 3000  # texts whose distinct parts are held at a time
-KEPT_PIECES = 240_000  # encoded pieces in a worker's younger generation; the older one has as many
+TEXT_BYTES = 2 << 20  # text that is encoded at a time, in whole texts
 
 SCHEMA = T.StructType([
     T.StructField("shard", T.IntegerType()), T.StructField("doc_id", T.LongType()), T.StructField("row_hash", T.LongType()),
     T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.ArrayType(T.IntegerType(), False)),
 ])
-# a run of plain letters and digits before a mark, a space or the end; marks before a space or the end; else up to a space
-_LETTER, _MARK = "A-Za-zÀ-ÖØ-öø-ÿ", r".,!?;:*%&$#|"
-_PIECE = re.compile(rf"[ \n]*[0-9{_LETTER}]+(?=[{_MARK} \n]|\Z)|[{_MARK}]+(?=[ \n]|\Z)|[ \n]*[^ \n]+|[ \n]+")
-_WORD = re.compile(rf" [{_LETTER}]+")  # one split of the tokenizer, also in the middle of others
-_OTHER_SPACE = re.compile(r"[^\S \n]")
-# for Arrow's patterns: a space behind a space or newline; a start of special tokens; any other white space or separator
-_ODD = r"[ \n] |<\||[\x01-\x09\x0B-\x1F\x7F-\x{A0}\x{1680}\x{180E}\x{2000}-\x{200F}\x{2028}-\x{202F}\x{205F}\x{3000}]|\x00"
-
-
-# fixed values: the byte-level alphabet. Printable bytes stand for themselves, the others for code points from 256 on
-_SELF = [*range(33, 127), *range(161, 173), *range(174, 256)]
-BYTE_ALPHABET = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in set(_SELF))}
-
-SPACE = chr(BYTE_ALPHABET[32])
 
 
 class Encoder:
-    """One tokenizer with its kept pieces."""
+    """One tokenizer with the chunks that it has met."""
 
     def __init__(self, name: str = TOKENIZER):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -76,126 +60,48 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(name if os.path.isabs(name) else public_tokenizers.path(name))
-        self.kept: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<i4").tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _encode_words(self, words: list[str]) -> list[bytes]:
-        """Ids of words that each are one split, from the library's merges alone (the byte alphabet is mapped here)."""
-        flat: list[int] = []
-        ends = [0]
-        merge = self.library.model.tokenize
-        for w in words:  # a space and letters
-            mapped = SPACE + w[1:] if w.isascii() else w.encode().decode("latin-1").translate(BYTE_ALPHABET)
-            flat += [t.id for t in merge(mapped)]
-            ends.append(4 * len(flat))
-        raw = np.array(flat, "<i4").tobytes()
-        return [raw[a:b] for a, b in pairwise(ends)]
-
-    def _find(self, pieces: list[str]) -> tuple[list[bytes | None], list[int], list[int]]:
-        """What is kept of the pieces (the older generation's moves to the younger one), and the places of new words and other new pieces."""
-        found = list(map(self.kept.get, pieces))
-        words, others = [], []
-        kept, older, is_word = self.kept, self.older.get, _WORD.fullmatch
-        for i, ids in enumerate(found):
-            if ids is None:
-                p = pieces[i]
-                ids = older(p)
-                if ids is not None:
-                    found[i] = kept[p] = ids
-                elif is_word(p):
-                    words.append(i)
-                else:
-                    others.append(i)
-        return found, words, others
-
-    def parts(self, parts: list[str]) -> list[bytes]:
-        """Ids of distinct parts of texts, each begun and ended where the tokenizer splits."""
-        if len(self.kept) > KEPT_PIECES:
-            self.kept, self.older = {}, self.kept
-        found, words, others = self._find(parts)
-        for i, ids in zip(words, self._encode_words([parts[i] for i in words]), strict=True):
-            found[i] = self.kept[parts[i]] = ids
-        cut = [_PIECE.findall(parts[i]) for i in others]
-        pieces = list({p for c in cut for p in c})
-        known, new_words, new = self._find(pieces)
-        for places, encode in ((new_words, self._encode_words), (new, self._encode)):
-            if places:
-                for i, ids in zip(places, encode([pieces[i] for i in places]), strict=True):
-                    known[i] = self.kept[pieces[i]] = ids
-        ids_of = dict(zip(pieces, known, strict=True))
-        for i, c in zip(others, cut, strict=True):
-            ids = ids_of[c[0]] if len(c) == 1 else b"".join([ids_of[p] for p in c])
-            found[i] = self.kept[parts[i]] = ids
-        return found
+        self.special = "|".join(re.escape(t.content) for t in self.library.get_added_tokens_decoder().values())
+        self.table = chunks.byte_level_table(self.library)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit integers."""
-        plain = [not (_OTHER_SPACE.search(t) or self._special(t)) for t in texts]
-        cut = [_PIECE.findall(t) if p else [] for t, p in zip(texts, plain, strict=True)]
-        pieces = list({x for c in cut for x in c})
-        known = dict(zip(pieces, self.parts(pieces), strict=True))
-        return [b"".join(map(known.__getitem__, c)) if p else self._encode([t])[0] for t, p, c in zip(texts, plain, cut, strict=True)]
-
-    def encode_column(self, texts: pa.Array, end_id: int, rows: int = 1000) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """For every ``rows`` texts: all ids in a row, ``end_id`` behind each text, and where each text's ids begin (n + 1 places)."""
-        texts = pc.fill_null(texts, "")
-        odd = pc.match_substring_regex(texts, _ODD).to_numpy(zero_copy_only=False)
-        plain = pc.if_else(pa.array(odd), "", texts)
-        lists = pc.split_pattern(plain, " ")
-        off = lists.offsets.to_numpy().astype(np.int64)
-        coded = lists.flatten().dictionary_encode()
-        values = coded.dictionary.to_pylist()
-        codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        first = off[:-1]  # a text's first part has no space before it
-        lead, at = np.unique(codes[first], return_inverse=True)
-        ids = self.parts([f" {v}" for v in values]) + self.parts([values[c] for c in lead])
-        codes[first] = len(values) + at
-        # whole texts of other white space, and the end, are further codes
-        slow = np.flatnonzero(odd)
-        ids += self.encode([texts[i].as_py() for i in slow]) + [np.array([end_id], "<i4").tobytes()]
-        codes[first[slow]] = len(ids) - 1 - len(slow) + np.arange(len(slow))
-        codes = np.insert(codes, off[1:], len(ids) - 1)
-        off = off + np.arange(len(off))
-        size = np.array([len(x) // 4 for x in ids], np.int64)
-        pool, begin = np.frombuffer(b"".join(ids), "<i4"), np.cumsum(size) - size
-        for a in range(0, len(texts), rows):
-            places = off[a : a + rows + 1]
-            own = codes[places[0] : places[-1]]
-            many = size[own]
-            upto = np.concatenate(([0], np.cumsum(many)))
-            take = np.repeat((begin[own] - upto[:-1]).astype(np.int32), many) + np.arange(upto[-1], dtype=np.int32)
-            yield pool[take], upto[places - places[0]]
-
-    @staticmethod
-    def _special(text: str) -> bool:
-        return "<|" in text  # strings of special tokens: the library decides on the whole text
-
-
-_ENCODERS: dict[str, Encoder] = {}
-
-
-def _encoder(name: str) -> Encoder:
-    if name not in _ENCODERS:
-        _ENCODERS[name] = Encoder(name)
-    return _ENCODERS[name]
+        ids, off = self._ids(pa.array(texts, pa.string()))
+        return [ids[a:b].tobytes() for a, b in pairwise(off.tolist())]
+
+    def encode_column(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """All ids in a row, ``end_id`` behind each text, and where each text's ids begin (n + 1 places)."""
+        ids, off = self._ids(pc.fill_null(texts, ""))
+        return np.insert(ids, off[1:], end_id), off + np.arange(len(off))
+
+    def _ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        odd = pc.match_substring_regex(texts, self.special) if self.special else pa.array(np.zeros(len(texts), bool))
+        buf, at = utf8(pc.if_else(odd, "", texts))
+        starts = chunks.split_starts(buf, at)
+        ids, upto = self.table.ids(buf, starts)
+        off = upto[np.searchsorted(starts, at)]
+        whole = np.flatnonzero(odd.to_numpy(zero_copy_only=False))
+        if len(whole):
+            own = [np.array(e.ids, np.int32) for e in self.library.encode_batch_fast(texts.take(pa.array(whole)).to_pylist(), add_special_tokens=False)]
+            size = np.zeros(len(off), np.int64)
+            size[whole + 1] = [len(x) for x in own]
+            ids = np.insert(ids, np.repeat(off[whole], size[whole + 1]), np.concatenate(own))
+            off = off + np.cumsum(size)
+        return ids, off
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer: str = TOKENIZER, end_id: int = END_ID) -> None:
     """Encode every document and write the dataset to ``path``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(tokenizer)
+        encoder = Encoder(tokenizer)
         for batch in batches:
-            for a in range(0, len(batch), TOGETHER):
-                some, done = batch.slice(a, TOGETHER), 0
-                for ids, off in encoder.encode_column(some.column(3), end_id):
-                    part = some.slice(done, len(off) - 1)
-                    lists = pa.ListArray.from_arrays(pa.array(off.astype(np.int32)), pa.array(ids, pa.int32()))
-                    yield pa.RecordBatch.from_arrays([*part.columns[:3], pa.array(np.diff(off)), lists], names=[f.name for f in SCHEMA])
-                    done += len(part)
+            for a, b in chunks.slices(batch.column(3), TEXT_BYTES):
+                part = batch.slice(a, b - a)
+                ids, off = encoder.encode_column(part.column(3), end_id)
+                lists = pa.ListArray.from_arrays(pa.array(off.astype(np.int32)), pa.array(ids, pa.int32()))
+                yield pa.RecordBatch.from_arrays([*part.columns[:3], pa.array(np.diff(off)), lists], names=[f.name for f in SCHEMA])
+        del encoder
+        give_back()
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_hash().alias("row_hash"), "text")
     ordered = rows.repartitionByRange("doc_id", "row_hash").sortWithinPartitions("doc_id", "row_hash")

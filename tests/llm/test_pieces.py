@@ -74,15 +74,22 @@ def test_empty_table_and_clashing_columns(spark):
     assert [tuple(r) for r in back.collect()] == [("a b", 7, "a b")] and back.columns == ["text", "k0", "_text"]
 
 
-def test_table_starts_anew_and_keeps_no_long_chunk(library, monkeypatch):
+def test_table_keeps_two_generations_and_no_long_chunk(library, monkeypatch):
     asked = []
     table = chunks.ChunkTable(lambda c: asked.extend(c) or [b"\x01\x00\x00\x00"] * len(c))
     table._found([b" a", b" a" * 200])
     table._found([b" a", b" a" * 200])
     assert asked == [b" a", b" a" * 200, b" a" * 200]
-    monkeypatch.setattr(chunks, "KEPT_BYTES", 0)
+    # what was met since the last generation is kept, what was not is asked for again
+    monkeypatch.setattr(chunks, "KEPT_BYTES", 160)  # a little more than one chunk
+    table._found([b" b"])
+    table._found([b" b"])  # from the older generation now
     table._found([b" a"])
-    assert asked[-1] == b" a"
+    assert asked[3:] == [b" b"]
+    table._found([b" c"])
+    table._found([b" d"])
+    table._found([b" b"])  # not met for two generations
+    assert asked[4:] == [b" c", b" d", b" b"]
 
 
 def test_a_model_whose_pieces_cross_markers_is_refused(tmp_path):
