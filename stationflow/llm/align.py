@@ -45,7 +45,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stationflow.llm import chunks
-from stationflow.llm.common import carried, fresh, give_back
+from stationflow.llm.common import carried, fresh, thrifty
 from stationflow.session import materialize, scratch_path
 
 A_NAME, B_NAME = "byte_bpe_50k.json", "piece_bpe_32k.model"
@@ -216,9 +216,8 @@ def align(docs: DataFrame, keep: list[str], a_name: str = A_NAME, b_name: str =
                 columns += [_lists(has, n, off, pair, pa.int64()), _lists(has, n, off, times, pa.int64())]
                 yield pa.RecordBatch.from_arrays([*part.columns[: len(keep)], *columns], names=schema.names)
         del aligner, digits
-        give_back()
 
-    return rows.mapInArrow(run, schema).toDF(*keep, *names)
+    return rows.mapInArrow(thrifty(run), schema).toDF(*keep, *names)
 
 
 def pair_counts(aligned: DataFrame, pairs: str = "pairs") -> DataFrame:

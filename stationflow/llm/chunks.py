@@ -151,14 +151,16 @@ def _packed(lists: list[list[int]]) -> list[bytes]:
 
 
 @cache
-def byte_level(name: str):
-    """The byte-level tokenizer of a file; strings of its special tokens in a text are ordinary text."""
+def byte_level(name: str, plain_specials: bool = True):
+    """The byte-level tokenizer of a file; with ``plain_specials`` the strings of its special tokens in a text are ordinary text."""
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     import public_tokenizers
     from tokenizers import Tokenizer
 
     library = Tokenizer.from_file(name if os.path.isabs(name) else public_tokenizers.path(name))
-    library.encode_special_tokens = True
+    library.encode_special_tokens = plain_specials
+    if hasattr(library.model, "_resize_cache"):
+        library.model._resize_cache(0)  # chunk tables hold what is met again
     return library
 
 

@@ -10,6 +10,7 @@ import ctypes
 import os
 import tempfile
 import zipfile
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -59,6 +60,16 @@ def give_back() -> None:
         return
 
 
+def thrifty(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable:
+    """A task's function that gives memory back when its batches end."""
+
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        give_back()
+
+    return wrapped
+
+
 def text_hash(col: str = "text") -> Column:
     """XXH64 of a text, null as its own value: tells rows that share a doc_id apart."""
     return F.xxhash64(F.col(col), F.col(col).isNull())
@@ -122,16 +133,22 @@ def count_words(column: pa.Array) -> np.ndarray:
     return seen[off[1:]] - seen[off[:-1]]
 
 
-def numbered(docs: DataFrame) -> tuple[DataFrame, list[str]]:
-    """The rows with four key columns that together name one row, and the keys' names.
+def numbered(docs: DataFrame, also: list[str] = []) -> tuple[DataFrame, list[str]]:  # noqa: B006
+    """The rows with key columns that together name one row, and the keys' names.
 
-    The keys: whether doc_id is null, doc_id (0 if null), the text's hash, and
-    a number from 1 among rows that agree in these. The rows end up dealt by
-    the first three, so a join on them moves the texts no further.
+    The keys: whether doc_id is null, doc_id (0 if null), the text's hash, for
+    each column of ``also`` whether it is null and its value ('' if null), and a
+    number from 1 among rows that agree in these. The number follows the other
+    columns' values, so it does not depend on the rows' order in the input. The
+    rows end up dealt by the first keys, so a join on them moves the texts no further.
     """
     keys: list[str] = []
-    for k in ("no_id", "id", "hash", "copy"):
+    for k in ("no_id", "id", "hash", *(f"{n}_{c}" for c in also for n in ("no", "in")), "copy"):
         keys.append(fresh(f"_{k}", [*docs.columns, *keys]))
-    rows = docs.withColumns({keys[0]: F.col("doc_id").isNull(), keys[1]: F.coalesce(F.col("doc_id").cast("bigint"), F.lit(0)), keys[2]: text_hash()})
-    same = Window.partitionBy(*keys[:3]).orderBy(F.lit(1))
-    return rows.withColumn(keys[3], F.row_number().over(same)), keys
+    made = [F.col("doc_id").isNull(), F.coalesce(F.col("doc_id").cast("bigint"), F.lit(0)), text_hash()]
+    for c in also:
+        made += [F.col(f"`{c}`").isNull(), F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(""))]
+    rows = docs.withColumns(dict(zip(keys[:-1], made, strict=True)))
+    others = [F.col(f"`{c}`").cast("string") for c in docs.columns if c not in ("doc_id", "text", *also)]
+    same = Window.partitionBy(*keys[:-1]).orderBy(*([F.to_json(F.struct(*others))] if others else [F.lit(1)]))
+    return rows.withColumn(keys[-1], F.row_number().over(same)), keys

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stationflow.llm.common import carried, raw_texts
+from stationflow.llm.common import carried, raw_texts, thrifty
 
 WINDOW = 10
 BLOCK_CHARS = 16_000_000
@@ -110,7 +110,7 @@ def _count_words(docs: DataFrame, vocabulary: frozenset[bytes]) -> dict[bytes, i
                 total.update(filter(vocabulary.__contains__, words_of(text)))
         yield pa.RecordBatch.from_arrays([pa.array(total.keys(), pa.binary()), pa.array(total.values(), pa.int64())], names=["w", "n"])
 
-    counted = docs.select("text").mapInArrow(run, "w binary, n bigint").groupBy("w").agg(F.sum("n").alias("n"))
+    counted = docs.select("text").mapInArrow(thrifty(run), "w binary, n bigint").groupBy("w").agg(F.sum("n").alias("n"))
     return {bytes(r.w): r.n for r in counted.toLocalIterator()}  # at most the block's own words
 
 
@@ -195,7 +195,7 @@ def find_contamination(docs: DataFrame, items: DataFrame, keep: list[str], windo
                     [*batch.columns[:k], *(pa.array(v, t) for v, t in zip(values, ARROW, strict=True))], names=[*(f.name for f in fields), *names]
                 )
 
-        found = found.mapInArrow(run, T.StructType([*fields, *RESULT]))
+        found = found.mapInArrow(thrifty(run), T.StructType([*fields, *RESULT]))
         blocks += 1
     return found.select(*(f"k{i}" for i in range(len(keep))), *names).toDF(*keep, *(out or names))
 

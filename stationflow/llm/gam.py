@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stationflow.llm.common import carried, held_out, raw_texts
+from stationflow.llm.common import carried, held_out, raw_texts, text_hash, thrifty
 
 MAX_TRAIN = 20_000  # labelled rows a model is fitted on
 BINS, PAIR_BINS, PAIRS = 32, 8, 10
@@ -201,30 +201,32 @@ def _map_texts(docs: DataFrame, fn, schema: T.StructType) -> DataFrame:
         for batch in batches:
             yield fn(batch)
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(thrifty(run), schema)
 
 
 def fit(docs: DataFrame, labels: DataFrame, target: str = "quality", mod: int = 5, rest: int = 0, max_train: int = MAX_TRAIN) -> Gam:
     """Fit on at most ``max_train`` labelled rows whose crc32 remainder is not ``rest``.
 
     The sample's ids (``max_train`` rows at most) are broadcast to pick its
-    texts; only their feature vectors reach the driver.
+    texts; the bound holds again for the rows found, so that many rows of one id
+    do not pass it. Only feature vectors reach the driver.
     """
     sample = (
         labels.select(F.col("doc_id").cast("bigint").alias("id"), F.col(target).cast("int").alias("y"))
         .filter(F.col("id").isNotNull() & F.col("y").isNotNull() & ~held_out("id", mod, rest))
         .orderBy(F.xxhash64("id"), "id", "y").limit(max_train)
     )
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("id"), "text").join(F.broadcast(sample), "id")
-    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("y", T.IntegerType()), T.StructField("x", T.ArrayType(T.DoubleType()))])
-    out = pa.schema([("id", pa.int64()), ("y", pa.int32()), ("x", pa.list_(pa.float64()))])
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("id"), text_hash().alias("h"), "text").join(F.broadcast(sample), "id")
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("y", T.IntegerType()), T.StructField("h", T.LongType()), T.StructField("x", T.ArrayType(T.DoubleType()))])
+    out = pa.schema([("id", pa.int64()), ("y", pa.int32()), ("h", pa.int64()), ("x", pa.list_(pa.float64()))])
 
     def features(batch):
         x = feature_matrix(batch.column("text"))
-        return pa.RecordBatch.from_arrays([batch.column("id"), batch.column("y"), pa.array(list(x), pa.list_(pa.float64()))], schema=out)
+        return pa.RecordBatch.from_arrays([batch.column("id"), batch.column("y"), batch.column("h"), pa.array(list(x), pa.list_(pa.float64()))], schema=out)
 
-    got = _map_texts(rows.select("id", "y", "text"), features, schema).toPandas()
-    got = got.sort_values(["id", "y"], kind="stable")
+    found = _map_texts(rows.select("id", "y", "h", "text"), features, schema)
+    got = found.orderBy(F.xxhash64("id"), "id", "y", "h").limit(max_train).toPandas()
+    got = got.sort_values(["id", "y", "h"], kind="stable")
     x = np.array(got["x"].tolist(), np.float64).reshape(len(got), len(FEATURES))
     return train(x, got["y"].to_numpy(np.float64))
 

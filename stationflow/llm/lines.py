@@ -7,7 +7,8 @@ at least ``CONTENT_SHARE`` of its words stand in content lines.
 
 The field is trained on a bounded sample: lines of at most ``max_train``
 labelled documents (those with the smallest hash of their id), in chains of at
-most ``CHAIN`` lines. Lines of good documents are content. Of bad documents, the
+most ``CHAIN`` lines; a longer text gives ``CHAINS`` of its chains, picked from
+all of it by a hash of id and place. Lines of good documents are content. Of bad documents, the
 lines that a first fit without steps between lines tells from those of good
 ones are boilerplate. Decoding covers all lines of all documents.
 
@@ -19,6 +20,7 @@ empty result.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -28,12 +30,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stationflow.llm.common import IS_SPACE, raw_texts
+from stationflow.llm.common import IS_SPACE, raw_texts, text_hash
 
 MIN_WORDS, MAX_REPEAT_PERCENT, REPEAT_WINDOW = 20, 30, 8
 CONTENT_SHARE = 0.5
-MAX_TRAIN, CHAIN = 1_000, 64
-STEPS, RATE, RIDGE = 80, 0.1, 1e-3
+MAX_TRAIN, CHAIN, CHAINS = 3_000, 64, 4
+STEPS, RATE, RIDGE = 150, 0.1, 1e-3
 GROUP_BYTES = 4 << 20
 
 SYMBOLS = b"#*$%&|<>"
@@ -242,24 +244,32 @@ def _chains(x: np.ndarray, counts: np.ndarray, y: np.ndarray) -> tuple[np.ndarra
     return fx.reshape(-1, CHAIN, x.shape[1]), fy.reshape(-1, CHAIN), real.reshape(-1, CHAIN), place
 
 
+def picked_lines(doc_id: int, n: int) -> np.ndarray:
+    """Which of a training document's n lines are used: whole chains, those with the smallest hash of (id, chain), in their order."""
+    chain = np.arange(-(-n // CHAIN))
+    rank = [zlib.crc32(b"%d:%d" % (doc_id, c)) for c in chain.tolist()]
+    use = np.sort(np.argsort(rank, kind="stable")[:CHAINS])
+    return np.flatnonzero(np.isin(np.arange(n) // CHAIN, use))
+
+
 def fit(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Crf:
     """Train on the lines of at most ``max_train`` labelled documents."""
     sample = (
         labels.select(F.col("doc_id").cast("bigint").alias("id"), F.col("quality").cast("int").alias("y")).dropna()
         .orderBy(F.xxhash64("id"), "id", "y").limit(max_train)
     )
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("id"), "text").join(F.broadcast(sample), "id")
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("id"), text_hash().alias("h"), "text").join(F.broadcast(sample), "id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            got = analyse(raw_texts(b.column(2)))
-            # a training document gives its first chains alone: what reaches the driver is bounded
-            nth = np.arange(len(got.doc)) - np.searchsorted(got.doc, got.doc)
-            use = nth < 4 * CHAIN
-            x = [got.x[use & (got.doc == i)].ravel() for i in range(len(b))]
-            yield pa.RecordBatch.from_arrays([*b.columns[:2], pa.array(x, pa.list_(pa.float64()))], names=["id", "y", "x"])
-
-    got = rows.select("id", "y", "text").mapInArrow(run, "id bigint, y int, x array<double>").toPandas().sort_values(["id", "y"], kind="stable")
+            x = []
+            for i, text in zip(b.column(0).to_pylist(), raw_texts(b.column(3)), strict=True):
+                own = analyse([text]).x
+                x.append(own[picked_lines(i, len(own))].ravel())
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(x, pa.list_(pa.float64()))], names=["id", "y", "h", "x"])
+
+    found = rows.select("id", "y", "h", "text").mapInArrow(run, "id bigint, y int, h bigint, x array<double>")
+    got = found.orderBy(F.xxhash64("id"), "id", "y", "h").limit(max_train).toPandas().sort_values(["id", "y", "h"], kind="stable")
     if got["y"].nunique() < 2:
         return Crf()
     per = [np.asarray(v, np.float64).reshape(-1, len(FEATURES)) for v in got["x"]]

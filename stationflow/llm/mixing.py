@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stationflow.llm.common import count_words, fresh, numbered, text_hash
+from stationflow.llm.common import count_words, fresh, numbered, text_hash, thrifty
 from stationflow.session import materialize
 
 WEIGHTS = (5, 2, 1)  # by place of the source, repeating
@@ -51,7 +51,7 @@ def sized(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), size], names=["doc_id", "source", "text_hash", "size"])
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("source").cast("string").alias("source"), text_hash().alias("text_hash"), "text")
-    return rows.mapInArrow(run, "doc_id bigint, source string, text_hash bigint, size bigint")
+    return rows.mapInArrow(thrifty(run), "doc_id bigint, source string, text_hash bigint, size bigint")
 
 
 def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, epochs: int = EPOCHS) -> DataFrame:
@@ -154,11 +154,12 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """
     sizes = materialize(sized(docs), "mix-sizes")
     taken = mix(sizes, **options)[0].filter("taken > 0")
-    rows, keys = numbered(docs)
+    rows, keys = numbered(docs, ["source"])  # rows of one id and text in two sources are different documents
     names = [fresh(x, rows.columns) for x in ("_size", "_taken", "_left")]
-    same = Window.partitionBy("no_id", "id", "text_hash").orderBy("start")
-    taken = taken.select(F.col("doc_id").isNull().alias("no_id"), F.coalesce("doc_id", F.lit(0)).alias("id"), "text_hash", "start", "size", "taken")
-    taken = taken.withColumn("copy", F.row_number().over(same)).select("no_id", "id", "text_hash", "copy", "size", "taken").toDF(*keys, *names[:2])
+    named = [F.col("doc_id").isNull(), F.coalesce("doc_id", F.lit(0)), F.col("text_hash"), F.col("source").isNull(), F.coalesce("source", F.lit(""))]
+    taken = taken.select(*[c.alias(k) for c, k in zip(named, keys[:-1], strict=True)], "start", "size", "taken")
+    same = Window.partitionBy(*keys[:-1]).orderBy("start")
+    taken = taken.withColumn(keys[-1], F.row_number().over(same)).select(*keys, "size", "taken").toDF(*keys, *names[:2])
     size, took, left = (F.col(n) for n in names)
     each = rows.join(taken, keys).withColumn(names[2], F.explode(F.sequence(took, F.lit(1).cast("bigint"), -size)))
     cut = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), F.lit(0)), 1, left.cast("int")), "")

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stationflow.llm import chunks
-from stationflow.llm.common import carried, fresh, give_back
+from stationflow.llm.common import carried, fresh, thrifty
 
 MODEL = "piece_bpe_32k.model"
 END_ID = 2
@@ -65,10 +65,8 @@ def encode_documents(docs: DataFrame, keep: list[str], model: str = MODEL, end_i
                 part = batch.slice(a, b - a)
                 ids = _ids(part.column(at), table, end_id)
                 yield pa.RecordBatch.from_arrays([*part.columns[: len(keep)], ids], names=schema.names)
-        del table
-        give_back()
 
-    return rows.mapInArrow(run, schema).toDF(*keep, out)
+    return rows.mapInArrow(thrifty(run), schema).toDF(*keep, out)
 
 
 class Decoder:

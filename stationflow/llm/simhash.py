@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stationflow.llm.common import numbered, raw_texts, text_hash
+from stationflow.llm.common import numbered, raw_texts, text_hash, thrifty
 from stationflow.llm.components import connected_components
 from stationflow.session import materialize
 
@@ -145,7 +145,7 @@ def with_fingerprint(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*b.columns[:2], pa.array(fp)], names=["doc_id", "row_hash", "fp"])
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_hash().alias("row_hash"), "text")
-    return rows.mapInArrow(run, "doc_id bigint, row_hash bigint, fp bigint")
+    return rows.mapInArrow(thrifty(run), "doc_id bigint, row_hash bigint, fp bigint")
 
 
 # ------------------------------------------------------------------ the index

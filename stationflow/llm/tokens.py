@@ -14,7 +14,7 @@ texts is cut where a split always falls, each distinct chunk is encoded once
 and the ids are joined back by position (``chunks.ChunkTable``); a text that
 holds the string of a special token goes to the library whole. Both ways give
 the library's own ids. A task holds a batch of texts (16 MB, or one longer
-text), the ids of 2 MB of text and a table of 40 MB, and gives them back at its end.
+text), the ids of 8 MB of text and a table of 40 MB, and gives them back at its end.
 
 Defined results: a null or empty text is the end id alone; rows that share a
 doc_id are kept apart, ordered by the hash of their text; null doc_ids come
@@ -23,7 +23,6 @@ first; an empty table gives an empty dataset.
 
 from __future__ import annotations
 
-import os
 import re
 import zlib
 from collections.abc import Iterator
@@ -37,13 +36,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stationflow.llm import chunks
-from stationflow.llm.common import give_back, text_hash, utf8
+from stationflow.llm.common import text_hash, thrifty, utf8
 from stationflow.session import scratch_path
 
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 2
 ROW_GROUP, PAGE_ROWS = 16 << 20, 256
-TEXT_BYTES = 2 << 20  # text that is encoded at a time, in whole texts
+TEXT_BYTES = 8 << 20  # text that is encoded at a time, in whole texts
 
 SCHEMA = T.StructType([
     T.StructField("shard", T.IntegerType()), T.StructField("doc_id", T.LongType()), T.StructField("row_hash", T.LongType()),
@@ -55,11 +54,7 @@ class Encoder:
     """One tokenizer with the chunks that it has met."""
 
     def __init__(self, name: str = TOKENIZER):
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        import public_tokenizers
-        from tokenizers import Tokenizer
-
-        self.library = Tokenizer.from_file(name if os.path.isabs(name) else public_tokenizers.path(name))
+        self.library = chunks.byte_level(name, plain_specials=False)
         self.special = "|".join(re.escape(t.content) for t in self.library.get_added_tokens_decoder().values())
         self.table = chunks.byte_level_table(self.library)
 
@@ -101,13 +96,12 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str = TOKENIZER, end_id:
                 lists = pa.ListArray.from_arrays(pa.array(off.astype(np.int32)), pa.array(ids, pa.int32()))
                 yield pa.RecordBatch.from_arrays([*part.columns[:3], pa.array(np.diff(off)), lists], names=[f.name for f in SCHEMA])
         del encoder
-        give_back()
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_hash().alias("row_hash"), "text")
     ordered = rows.repartitionByRange("doc_id", "row_hash").sortWithinPartitions("doc_id", "row_hash")
     ordered = ordered.select(F.spark_partition_id().alias("shard"), "doc_id", "row_hash", "text")
     (
-        ordered.mapInArrow(run, SCHEMA).write.mode("overwrite")
+        ordered.mapInArrow(thrifty(run), SCHEMA).write.mode("overwrite")
         .option("compression", "zstd").option("parquet.block.size", ROW_GROUP).option("parquet.enable.dictionary", "true")
         .option("parquet.writer.version", "PARQUET_2_0").option("parquet.page.row.count.limit", PAGE_ROWS).parquet(path)
     )
@@ -141,7 +135,7 @@ def checksums(tokens: DataFrame) -> DataFrame:
             crc = [zlib.crc32(view[4 * i : 4 * j]) for i, j in zip(off[:-1].tolist(), off[1:].tolist(), strict=True)]
             yield pa.RecordBatch.from_arrays([*b.columns[:4], pa.array(crc, pa.int64())], names=["shard", "doc_id", "row_hash", "n_tokens", "ids_crc32"])
 
-    return tokens.mapInArrow(run, "shard int, doc_id bigint, row_hash bigint, n_tokens bigint, ids_crc32 bigint")
+    return tokens.mapInArrow(thrifty(run), "shard int, doc_id bigint, row_hash bigint, n_tokens bigint, ids_crc32 bigint")
 
 
 def encode_documents(docs: DataFrame, tokenizer: str = TOKENIZER, end_id: int = END_ID) -> DataFrame:

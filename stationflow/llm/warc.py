@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stationflow.session import scratch_path
+from stationflow.session import materialize, scratch_path
 
 DATE = "1970-01-01T00:00:00Z"  # pages carry no time
 RECORDS_PER_FILE = 1000
@@ -248,13 +248,19 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, _ARROW, strict=True)], names=_NAMES)
 
 
+def recovered(spark: SparkSession, path: str) -> DataFrame:
+    """The records of the archives at ``path`` without payloads; quarantined byte gaps are logged as a table at ``path``-gaps."""
+    read = materialize(read_archives(spark, path, payloads=False), "warc-records")
+    read.filter("gap IS NOT NULL").select("archive", "offset", "length", "gap").write.mode("overwrite").parquet(f"{path}-gaps")
+    return read.filter("gap IS NULL")
+
+
 def archive_pages(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
     """Write the archives and read them back: page_id, payload_bytes, payload_digest, record_type, refers_to."""
     spark = pages.sparkSession
     path = scratch_path(spark, "warc")
     write_archives(pages, path, min_bytes)
     page = lambda c: F.regexp_extract(c, r"^<urn:x-page:(-?\d+)>$", 1).try_cast("bigint")
-    back = read_archives(spark, path, payloads=False).filter("gap IS NULL")
-    return back.select(
+    return recovered(spark, path).select(
         page("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", page("refers_to").alias("refers_to")
     )

@@ -108,7 +108,30 @@ def test_mixed_documents(docs):
     assert all(any((r.text or "") == (t or "")[: len(r.text or "")] for _, t, _ in DOCS) and r.n_chars == len(r.text) for r in rows)
 
 
+@pytest.mark.parametrize("turned", [False, True])
+def test_mixed_documents_of_equal_rows_in_two_sources(spark, turned):
+    """Equal ids and texts in two sources are taken as each source's target says, whatever the input's order."""
+    text = "word " * 100
+    rows = [(7, text, "en", s, len(text)) for s in ["a", "b"] * 40] + [(8, text, "en", "b", len(text))] * 20
+    df = spark.createDataFrame(rows[::-1] if turned else rows, "doc_id bigint, text string, lang string, source string, n_chars bigint").coalesce(1)
+    target = {r.source: r.target for r in mixing.mix_documents(df).select("source", "target").distinct().collect()}
+    took = {"a": 0, "b": 0}
+    for r in mixing.mixed_documents(df).collect():
+        took[r.source] += len(r.text.split())
+    assert all(abs(took[s] - target[s]) <= 1 for s in took)
+
+
 # ------------------------------------------------------------------ near-duplicates
+def test_one_of_each_does_not_follow_the_order_of_rows(spark):
+    rows = [(1, PROSE, "en", s, 3) for s in ("b", "a", None, "c")]
+    kept = set()
+    for some in (rows, rows[::-1], rows[2:] + rows[:2]):
+        df = spark.createDataFrame(some, "doc_id bigint, text string, lang string, source string, n_chars bigint").coalesce(1)
+        (r,) = simhash.one_of_each(df).collect()
+        kept.add(r)
+    assert len(kept) == 1
+
+
 def test_simhash(docs):
     same(simhash.near_duplicates(docs), ("doc_id", "fingerprint", "component_id"), brute.simhash_groups(ID_TEXT))
 
@@ -218,6 +241,28 @@ def test_line_rules(docs, labels):
     assert not any(r.kept and r.base_failed for r in rows)
 
 
+def test_training_rows_are_bounded_when_one_id_has_many(spark, monkeypatch):
+    """3,000 rows of one labelled id: the bound holds for what reaches the driver."""
+    seen = []
+    rows = spark.range(3000).select(F.lit(1).cast("bigint").alias("doc_id"), F.concat(F.lit("row with words "), F.col("id").cast("string")).alias("text"))
+    labelled = spark.createDataFrame([(1, 1, 0), (2, 0, 0)], "doc_id bigint, quality int, toxic int")
+    monkeypatch.setattr(gam, "train", lambda x, y: seen.append(len(x)))
+    gam.fit(rows, labelled, max_train=2)
+    chains = lines._chains
+    monkeypatch.setattr(lines, "_chains", lambda x, counts, y: seen.append(len(counts)) or chains(x, counts, y))
+    lines.fit(rows.withColumn("doc_id", F.col("doc_id")).unionAll(rows.limit(1).withColumn("doc_id", F.lit(2).cast("bigint"))), labelled, max_train=3)
+    assert all(n <= 3 for n in seen) and seen
+
+
+def test_training_lines_come_from_the_whole_text():
+    n = 40 * lines.CHAIN + 5
+    picked = [lines.picked_lines(i, n) for i in range(50)]
+    assert all(len(p) <= lines.CHAINS * lines.CHAIN and (np.diff(p) > 0).all() for p in picked)
+    chains = np.concatenate([np.unique(p // lines.CHAIN) for p in picked])
+    assert chains.min() < 5 and chains.max() > 35  # not the first ones alone
+    assert lines.picked_lines(1, 10).tolist() == list(range(10)) and not len(lines.picked_lines(1, 0))
+
+
 def test_viterbi_is_the_best_path():
     rng = np.random.default_rng(5)
     model = lines.Crf(rng.normal(size=len(lines.FEATURES)), rng.normal(size=(2, 2)))
@@ -365,6 +410,23 @@ def _check(content, damaged):
     return [r for *_, r in found if r]
 
 
+def test_gaps_are_logged(spark, tmp_path):
+    """A damaged record is missing among the records and stands in the table of gaps."""
+    pages = spark.createDataFrame([(i, f"http://x/{i}", f"page {i} " * 50) for i in range(6)], "page_id bigint, url string, html string").coalesce(1)
+    path = str(tmp_path / "warc")
+    warc.write_archives(pages, path)
+    assert warc.recovered(spark, path).count() == 6 and spark.read.parquet(f"{path}-gaps").count() == 0
+    (file,) = [p for p in Path(path).iterdir() if p.name.startswith("part-") and p.stat().st_size]
+    data = bytearray(file.read_bytes())
+    data[len(data) // 2] ^= 0x55
+    file.write_bytes(bytes(data))
+    for crc in Path(path).glob(".*.crc"):
+        crc.unlink()
+    assert warc.recovered(spark, path).count() == 5
+    gaps = spark.read.parquet(f"{path}-gaps").collect()
+    assert len(gaps) >= 1 and all(g.length > 0 and g.archive.endswith(file.name) for g in gaps)
+
+
 def test_salvage_of_members():
     parts = [warc.members(r) for r in _archive()]
     assert _check(b"".join(parts), ()) == []
