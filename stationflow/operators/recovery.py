@@ -35,6 +35,11 @@ def monthly_totals(stg: DataFrame) -> DataFrame:
         counts={"_nlat": "latitude", "_nlon": "longitude"},
         attr_fn=initcap_words,
     )
+    return monthly_columns(g)
+
+
+def monthly_columns(g: DataFrame) -> DataFrame:
+    """The columns of :func:`monthly_totals` from station x year x month sums (``_r``, ``_lat``, ``_lon``) and counts (``_nlat``, ``_nlon``)."""
     return g.select(
         "station_complex_id",
         "station_name",

@@ -27,6 +27,8 @@ from stationflow.session import materialize, scratch_path
 from stationflow.sources import bindings as B
 from stationflow.sources import bronze, census
 from stationflow.streaming import incremental as inc
+from stationflow.streaming import live
+from stationflow.streaming.versions import VersionedTable
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -749,6 +751,50 @@ def q_upsert_moved_key(spark, d):
     return spark.read.parquet(path).select("event_id", "ts", "user_id", "event_type", "value", "event_date")
 
 
+@register("upsert_versions")
+def q_upsert_versions(spark, d):
+    """The table before and after a batch in which every tenth event moves to the next day and new events come."""
+    ev = B.table(spark, d, "events").select("event_id", "ts", "user_id", "event_type", "value").withColumn("event_date", F.to_date("ts"))
+    t = VersionedTable(spark, scratch_path(spark, "versions"), "event_date")
+    t.upsert(ev.filter(F.col("event_id") % 7 != 3), ["event_id"])
+    moved = ev.filter((F.col("event_id") % 10 == 0) & (F.col("event_id") % 7 != 3))
+    moved = moved.withColumn("event_date", F.date_add("event_date", 1)).withColumn("value", F.col("value") + 1)
+    t.upsert(moved.unionByName(ev.filter(F.col("event_id") % 7 == 3)), ["event_id"])
+    states = [t.read(v).withColumn("version", F.lit(v).cast("bigint")) for v in t.versions()]
+    return states[0].unionByName(states[1])
+
+
+def _three_loads(rows, is_late, is_wrong):
+    """Loads of a feed: a part with some wrong values, the rest, then the corrections."""
+    wrong = rows.withColumn("ridership", F.when(is_wrong, F.col("ridership") * 2).otherwise(F.col("ridership")))
+    return [wrong.filter(~is_late), rows.filter(is_late), rows.filter(~is_late & is_wrong)]
+
+
+@register("marts_incremental")
+def q_marts_incremental(spark, d):
+    """Recovery after three loads, each of which brings only the changes to the marts."""
+    facts, months, recovery = (VersionedTable(spark, scratch_path(spark, n), p) for n, p in (("facts", "month"), ("months", "bucket"), ("recovery", "bucket")))
+    rows = materialize(live.consolidated(stg_all(spark, d)), "consolidated")
+    is_wrong = F.col("station_complex_id").isin("3", "7", "20") & F.col("transit_month").isin(2, 6)
+    for load in _three_loads(rows, F.col("transit_date") >= F.lit("2023-01-01"), is_wrong):
+        facts.upsert(load, live.FACT_KEY)
+        live.refresh_months(facts, months)
+        live.refresh_recovery(months, recovery, baseline_year=B.BASELINE_YEAR)
+    return recovery.read().drop("bucket")
+
+
+@register("congestion_incremental")
+def q_congestion_incremental(spark, d):
+    """Hourly congestion after three loads, each of which works out the dates that it changes."""
+    facts, mart = (VersionedTable(spark, scratch_path(spark, n), "transit_date") for n in ("hour-facts", "congestion"))
+    rows = materialize(live.consolidated(stg_coarse(spark, d)).drop("month"), "consolidated")
+    is_wrong = (F.col("transit_hour") == 8) & (F.dayofmonth("transit_date") % 5 == 0)
+    for load in _three_loads(rows, F.col("transit_date") >= F.lit("2024-01-20"), is_wrong):
+        facts.upsert(load, live.FACT_KEY)
+        live.refresh_congestion(facts, mart, hours="distinct")
+    return mart.read()
+
+
 @register("stream_landing")
 def q_stream_landing(spark, d):
     ev = B.table(spark, d, "events").select(*EVENT_COLS)

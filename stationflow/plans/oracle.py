@@ -991,6 +991,16 @@ SELECT event_id, ts, user_id, event_type, CASE WHEN event_id % 10 = 0 THEN value
        CAST(ts AS DATE) + CAST(event_id % 10 = 0 AS INTEGER) AS event_date
 FROM events
 """)
+key("upsert_versions", """
+SELECT event_id, ts, user_id, event_type, value, CAST(ts AS DATE) AS event_date, CAST(1 AS BIGINT) AS version
+FROM events WHERE event_id % 7 <> 3
+UNION ALL
+SELECT event_id, ts, user_id, event_type, CASE WHEN moved THEN value + 1 ELSE value END,
+       CAST(ts AS DATE) + CAST(moved AS INTEGER), 2
+FROM (SELECT *, event_id % 10 = 0 AND event_id % 7 <> 3 AS moved FROM events)
+""")
+key("marts_incremental", "SELECT * FROM recovery", "recovery")
+key("congestion_incremental", "SELECT * FROM cong_coarse_distinct", "cong_coarse_distinct")
 key("stream_hourly_late", f"""
 SELECT station_complex_id, transit_date, transit_hour, {dsum('ridership')} AS hourly_ridership, count(*) AS fare_rows,
        count(*) FILTER (minute(transit_timestamp) % 2 = 1 AND transit_timestamp < mark) AS late_rows
