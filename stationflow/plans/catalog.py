@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from stationflow.functions import rnd
 from stationflow.operators import catchment as ca
 from stationflow.operators import congestion as cg
+from stationflow.operators import geometry as geo
 from stationflow.operators import marts as mt
 from stationflow.operators import meters as mtr
 from stationflow.operators import profile as prof
@@ -337,6 +338,27 @@ def q_tract_cells_polygon(spark, d):
     return ca.tract_cells_polygon(B.tract_rectangles(spark, d).select("geo_id", ring.alias("ring")), cell=B.GEO_CELL_M)
 
 
+@register("tract_cells_rings")
+def q_tract_cells_rings(spark, d):
+    """Quadtree cells of tracts with holes, with the exact area that the tract covers of each."""
+    cells = geo.covering(B.tract_shapes(spark, d), "geo_id")
+    return cells.select("geo_id", *geo.CELL, "inside", rnd(F.col("area"), 2).alias("area"))
+
+
+@register("catchment_weights_clipped")
+def q_catchment_weights_clipped(spark, d):
+    """Exact shares of catchments (united discs around the entrances) and of tracts with holes."""
+    entrances = B.station_entrances(stations(spark, d)).withColumn("part", geo.disc(F.col("x"), F.col("y"), GEO_RADIUS_M))
+    # a station has a bounded number of entrances
+    buffers = entrances.groupBy("station_complex_id").agg(F.collect_list("part").alias("parts"))
+    catchments = materialize(geo.covering(buffers, "station_complex_id"), "catchment-cover")
+    tracts = materialize(geo.covering(B.tract_shapes(spark, d), "geo_id"), "tract-cover")
+    w = geo.clipped_weights(catchments, tracts)
+    areas, shares = ("intersect_area", "buffer_area", "tract_area"), ("catchment_weight", "tract_coverage_pct")
+    rounded = [rnd(F.col(c), 2).alias(c) for c in areas] + [rnd(F.col(c), 6).alias(c) for c in shares]
+    return w.select("station_complex_id", "geo_id", *rounded).filter("intersect_area > 0")
+
+
 @register("catchment_latlon")
 def q_catchment_latlon(spark, d):
     """Catchments around the stations' own coordinates, through the local projection."""

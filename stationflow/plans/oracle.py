@@ -633,6 +633,118 @@ key("catchment_cells", "SELECT * FROM cc", "cc")
 key("tract_cells", "SELECT * FROM tc", "tc")
 key("tract_cells_polygon", "SELECT * FROM tc", "tc")
 key("catchment_weights", "SELECT * FROM cw", "cw")
+
+R.add("tracts", """
+SELECT '36005' || lpad(CAST(n_nationkey AS VARCHAR), 6, '0') AS geo_id,
+       (n_nationkey % 5) * 1000.0::DOUBLE AS xmin, (n_nationkey // 5) * 1000.0::DOUBLE AS ymin,
+       (n_nationkey % 5 + 1) * 1000.0::DOUBLE AS xmax, (n_nationkey // 5 + 1) * 1000.0::DOUBLE AS ymax
+FROM nation
+""")
+# Shapes as directed edges (lower end first; d: what the winding number gains to the right of the edge).
+# Squares without a rhombus, with a small square in it again; areas of squares cut by cells in closed form (Green).
+R.add("shape_edges", """
+WITH t AS (SELECT *, (xmin + xmax) / 2 AS mx, (ymin + ymax) / 2 AS my FROM tracts),
+p AS (
+  SELECT geo_id, 1 AS sign, [[xmin, ymin], [xmax, ymin], [xmax, ymax], [xmin, ymax]] AS r FROM t
+  UNION ALL SELECT geo_id, -1, [[mx - 250, my], [mx, my - 300], [mx + 250, my], [mx, my + 300]] FROM t
+  UNION ALL SELECT geo_id, 1, [[mx - 60, my - 60], [mx + 60, my - 60], [mx + 60, my + 60], [mx - 60, my + 60]] FROM t
+),
+e AS (SELECT geo_id, sign, r[i] AS a, r[i % 4 + 1] AS b FROM p, range(1, 5) n(i))
+SELECT geo_id, CASE WHEN a[2] < b[2] THEN a[1] ELSE b[1] END AS xl, least(a[2], b[2]) AS yl,
+       CASE WHEN a[2] < b[2] THEN b[1] ELSE a[1] END AS xh, greatest(a[2], b[2]) AS yh,
+       CASE WHEN a[2] > b[2] THEN sign ELSE -sign END AS d
+FROM e WHERE a[2] <> b[2]
+""", ("tracts",))
+
+
+def _swept(cells: str) -> str:
+    """Area of each cell right of the shape's edges: the mean of a clamped line has a closed form."""
+    g = "CASE WHEN {t} <= x0 THEN x0 * {t} WHEN {t} >= x1 THEN x1 * {t} + (x0 * x0 - x1 * x1) / 2 ELSE ({t} * {t} + x0 * x0) / 2 END"
+    return f"""
+SELECT geo_id, level, qx, qy, size,
+       sum(d * (yb - ya) * (x1 - CASE WHEN abs(xb - xa) < 1e-9 THEN greatest(x0, least(x1, xa))
+                                      ELSE ({g.format(t='xb')} - {g.format(t='xa')}) / (xb - xa) END)) AS area
+FROM (SELECT *, xl + (xh - xl) * ((ya - yl) / (yh - yl)) AS xa, xl + (xh - xl) * ((yb - yl) / (yh - yl)) AS xb
+      FROM (SELECT c.*, e.xl, e.yl, e.xh, e.yh, e.d, qx * size AS x0, (qx + 1) * size AS x1,
+                   greatest(e.yl, qy * size) AS ya, least(e.yh, (qy + 1) * size) AS yb
+            FROM ({cells}) c JOIN shape_edges e USING (geo_id))
+      WHERE ya < yb)
+GROUP BY ALL HAVING area > 1e-6
+"""
+
+
+def _quadtree(levels: int = 4, root: float = 1600.0) -> str:
+    first = f"""
+SELECT geo_id, 0 AS level, CAST(x AS BIGINT) AS qx, CAST(y AS BIGINT) AS qy, {root}::DOUBLE AS size
+FROM (SELECT geo_id, floor(min(least(xl, xh)) / {root}) AS xa, ceil(max(greatest(xl, xh)) / {root}) AS xb,
+             floor(min(yl) / {root}) AS ya, ceil(max(yh) / {root}) AS yb FROM shape_edges GROUP BY 1),
+     range(-100, 100) a(x), range(-100, 100) b(y)
+WHERE x >= xa AND x < xb AND y >= ya AND y < yb
+"""
+    ctes, done = [f"q0 AS ({_swept(first)})"], []
+    for n in range(1, levels + 1):
+        four = f"""SELECT geo_id, level + 1 AS level, qx * 2 + i AS qx, qy * 2 + j AS qy, size / 2 AS size
+FROM q{n - 1}, range(0, 2) a(i), range(0, 2) b(j) WHERE area < size * size - 1e-6"""
+        ctes.append(f"q{n} AS ({_swept(four)})")
+        done.append(f"SELECT * FROM q{n - 1} WHERE area >= size * size - 1e-6")
+    return f"WITH {', '.join(ctes)} " + " UNION ALL ".join([*done, f"SELECT * FROM q{levels}"])
+
+
+key("tract_cells_rings", f"""
+SELECT geo_id, level, qx, qy, area >= size * size - 1e-6 AS inside, {rnd('area', 2)} AS area FROM ({_quadtree()})
+""", "shape_edges")
+
+# Discs of 64 points as edges; shared areas by slabs between all heights where edges of a pair begin, end or meet.
+R.add("disc_edges", """
+WITH p AS (
+  SELECT station_complex_id, n.i,
+         x + 800.0::DOUBLE * cos(2 * pi() * n.i / 64) AS xa, y + 800.0::DOUBLE * sin(2 * pi() * n.i / 64) AS ya,
+         x + 800.0::DOUBLE * cos(2 * pi() * (n.i + 1) / 64) AS xb, y + 800.0::DOUBLE * sin(2 * pi() * (n.i + 1) / 64) AS yb
+  FROM (SELECT *, cx0 * 100.0::DOUBLE AS x, cy0 * 100.0::DOUBLE AS y FROM entr), range(0, 64) n(i)
+)
+SELECT station_complex_id, CASE WHEN ya < yb THEN xa ELSE xb END AS xl, least(ya, yb) AS yl,
+       CASE WHEN ya < yb THEN xb ELSE xa END AS xh, greatest(ya, yb) AS yh, CASE WHEN ya > yb THEN 1 ELSE -1 END AS d
+FROM p WHERE abs(ya - yb) > 1e-9
+""", ("entr",))
+
+
+def _slabs(edges: str, inside: str) -> str:
+    """Covered area of each pair from its edges (s, g, xl, yl, xh, yh, da, db)."""
+    return f"""
+WITH e AS MATERIALIZED ({edges}),
+ys AS (
+  SELECT s, g, yl AS y FROM e UNION SELECT s, g, yh FROM e
+  UNION SELECT s, g, y FROM (
+    SELECT a.s, a.g, a.yl + (b.xl - a.xl - mb * (b.yl - a.yl)) / nullif(ma - mb, 0) AS y, greatest(a.yl, b.yl) AS lo, least(a.yh, b.yh) AS hi
+    FROM (SELECT *, (xh - xl) / (yh - yl) AS ma FROM e) a
+    JOIN (SELECT *, (xh - xl) / (yh - yl) AS mb FROM e) b ON a.s = b.s AND a.g = b.g AND a.yl < b.yh AND b.yl < a.yh)
+  WHERE y > lo AND y < hi
+),
+slab AS (SELECT s, g, y AS lo, lead(y) OVER (PARTITION BY s, g ORDER BY y) AS hi FROM ys),
+met AS (
+  SELECT slab.s, slab.g, lo, hi, da, db, xl + (xh - xl) * (((lo + hi) / 2 - yl) / (yh - yl)) AS x
+  FROM slab JOIN e ON slab.s = e.s AND slab.g = e.g AND e.yl <= (lo + hi) / 2 AND (lo + hi) / 2 < e.yh WHERE hi > lo
+),
+walked AS (
+  SELECT s, g, lo, hi, x, lead(x) OVER w AS nx, sum(da) OVER (w ROWS UNBOUNDED PRECEDING) AS wa, sum(db) OVER (w ROWS UNBOUNDED PRECEDING) AS wb
+  FROM met WINDOW w AS (PARTITION BY s, g, lo ORDER BY x, da, db)
+)
+SELECT s, g, sum((nx - x) * (hi - lo)) AS area FROM walked WHERE {inside} AND nx IS NOT NULL GROUP BY 1, 2
+"""
+
+
+key("catchment_weights_clipped", f"""
+SELECT * FROM (WITH box AS (SELECT station_complex_id, min(xl) - 1e3 AS xa, max(xh) + 1e3 AS xb, min(yl) AS ya, max(yh) AS yb FROM disc_edges GROUP BY 1),
+tb AS (SELECT geo_id, min(xl) AS xa, max(xh) AS xb, min(yl) AS ya, max(yh) AS yb FROM shape_edges GROUP BY 1),
+pairs AS (SELECT station_complex_id AS s, geo_id AS g FROM box, tb WHERE box.xa < tb.xb AND tb.xa < box.xb AND box.ya < tb.yb AND tb.ya < box.yb),
+shared AS ({_slabs("SELECT s, g, xl, yl, xh, yh, d AS da, 0 AS db FROM pairs JOIN disc_edges ON s = station_complex_id UNION ALL SELECT s, g, xl, yl, xh, yh, 0, d FROM pairs JOIN shape_edges ON g = geo_id", "wa > 0 AND wb > 0")}),
+buffer AS ({_slabs("SELECT station_complex_id AS s, '' AS g, xl, yl, xh, yh, d AS da, 0 AS db FROM disc_edges", "wa > 0")}),
+whole AS (SELECT geo_id, (xmax - xmin) * (ymax - ymin) - 2.0::DOUBLE * 250 * 300 + 120.0::DOUBLE * 120 AS area FROM tracts)
+SELECT shared.s AS station_complex_id, shared.g AS geo_id, {rnd('shared.area', 2)} AS intersect_area, {rnd('buffer.area', 2)} AS buffer_area,
+       {rnd('whole.area', 2)} AS tract_area, {rnd('shared.area / buffer.area', 6)} AS catchment_weight,
+       {rnd('shared.area / whole.area', 6)} AS tract_coverage_pct
+FROM shared JOIN buffer ON shared.s = buffer.s JOIN whole ON shared.g = whole.geo_id WHERE {rnd('shared.area', 2)} > 0)
+""", "shape_edges", "disc_edges", "tracts")
 # stations' own coordinates in metres east and north of (40.5, -74.1) on a sphere, then every cell within 8 cells
 key("catchment_latlon", """
 SELECT DISTINCT station_complex_id, CAST(ix + dx AS BIGINT) AS cx, CAST(iy + dy AS BIGINT) AS cy

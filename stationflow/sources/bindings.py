@@ -223,6 +223,19 @@ def tract_rectangles(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def tract_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tracts as shapes with holes: each square without a rhombus around its middle, in which a small square belongs to it again."""
+    from stationflow.operators.geometry import part
+
+    mx, my = (F.col("xmin") + F.col("xmax")) / 2, (F.col("ymin") + F.col("ymax")) / 2
+    ring = lambda *points: F.array(*[F.struct(x.alias("x"), y.alias("y")) for x, y in points])
+    outer = ring((F.col("xmin"), F.col("ymin")), (F.col("xmax"), F.col("ymin")), (F.col("xmax"), F.col("ymax")), (F.col("xmin"), F.col("ymax")))
+    hole = ring((mx - 250, my), (mx, my - 300), (mx + 250, my), (mx, my + 300))
+    island = ring((mx - 60, my - 60), (mx - 60, my + 60), (mx + 60, my + 60), (mx + 60, my - 60))
+    parts = F.array(part(outer), part(hole, hole=True), part(island))
+    return tract_rectangles(spark, sf_dir).select("geo_id", parts.alias("parts"))
+
+
 def census_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """B6 demographics: one tract per nation, population = its customers."""
     nat = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
