@@ -28,7 +28,7 @@ from stationflow.session import materialize, scratch_path
 from stationflow.sources import bindings as B
 from stationflow.sources import bronze, census
 from stationflow.streaming import incremental as inc
-from stationflow.streaming import live
+from stationflow.streaming import live, stateful
 from stationflow.streaming.versions import VersionedTable
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -859,6 +859,43 @@ def q_stream_hourly(spark, d):
     return inc.stream_hourly(spark, src, out, late, ckpt, s.schema)
 
 
+def _weeks_apart(spark, d):
+    """The stream of :func:`_dedup_runs` by the stateful deduplication, several batches in each run."""
+    ev = B.table(spark, d, "events").select(*EVENT_COLS)
+    src, out, late, ckpt = (scratch_path(spark, f"state-{x}") for x in ("in", "out", "late", "ckpt"))
+    last_week = F.col("ts") >= F.lit("2024-01-29").cast("timestamp_ntz")
+    first_week = F.col("ts") < F.lit("2024-01-08").cast("timestamp_ntz")
+    for part in (ev, ev.filter((F.col("event_id") % 50 == 0) & (last_week | first_week))):
+        _land_for_stream(part, "ts", src)
+        done = stateful.stream_dedup_stateful(spark, src, out, late, ckpt, ev.schema, ["event_id"], "ts")
+    return done, late
+
+
+@register("stream_dedup_stateful")
+def q_stream_dedup_stateful(spark, d):
+    return _weeks_apart(spark, d)[0]
+
+
+@register("stream_dedup_stateful_late")
+def q_stream_dedup_stateful_late(spark, d):
+    return spark.read.parquet(_weeks_apart(spark, d)[1]).drop("batch_id")
+
+
+@register("stream_hourly_state")
+def q_stream_hourly_state(spark, d):
+    """The hub over three runs: rows of each come from all days of a stretch, by their minute."""
+    s = _hourly_input(spark, d)
+    src, out, late, ckpt = (scratch_path(spark, f"hours-{x}") for x in ("in", "out", "late", "ckpt"))
+    day = F.to_date("transit_timestamp")
+    split = F.lit(B.SPLIT_DATE).cast("date")
+    odd = F.minute("transit_timestamp") % 2 == 1
+    near = day >= F.date_sub(split, 5)  # within the delay of what came before
+    for part in (s.filter((day < split) & ~(odd & near)), s.filter((day < split) & odd & near), s.filter(day >= split)):
+        _land_for_stream(part, "transit_timestamp", src)
+        hub = stateful.stream_hourly_state(spark, src, out, late, ckpt, s.schema)
+    return hub
+
+
 @register("stream_hourly_late")
 def q_stream_hourly_late(spark, d):
     """Rows of even minutes come first; of the others, those far behind are late. All rows together are the batch hub."""

@@ -1098,6 +1098,12 @@ key("stream_dedup_late", """
 SELECT event_id, ts, user_id, event_type, value FROM events
 WHERE event_id % 50 = 0 AND ts < TIMESTAMP '2024-01-08' AND ts < (SELECT max(ts) FROM events) - INTERVAL 7 DAY
 """)
+key("stream_dedup_stateful", "SELECT event_id, ts, user_id, event_type, value FROM events")
+key("stream_dedup_stateful_late", """
+SELECT event_id, ts, user_id, event_type, value FROM events
+WHERE event_id % 50 = 0 AND ts < TIMESTAMP '2024-01-08' AND ts < (SELECT max(ts) FROM events) - INTERVAL 7 DAY
+""")
+key("stream_hourly_state", "SELECT station_complex_id, transit_date, transit_hour, hourly_ridership, fare_rows FROM hub_coarse", "hub_coarse")
 key("upsert_moved_key", """
 SELECT event_id, ts, user_id, event_type, CASE WHEN event_id % 10 = 0 THEN value + 1 ELSE value END AS value,
        CAST(ts AS DATE) + CAST(event_id % 10 = 0 AS INTEGER) AS event_date

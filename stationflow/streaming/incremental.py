@@ -21,6 +21,7 @@ from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from stationflow.session import scratch_path
@@ -139,10 +140,17 @@ def _watermark(spark: SparkSession, marks_dir: str, batch_id: int, delay_days: i
     return None if latest is None else latest - timedelta(days=delay_days)
 
 
+def time_literal(value, dtype: T.DataType) -> F.Column:
+    """A collected time as a column of its own type; a local time stays one in any time zone."""
+    if isinstance(dtype, T.TimestampNTZType) and value is not None:
+        return F.lit(value.isoformat(sep=" ")).cast(dtype)
+    return F.lit(value)
+
+
 def _split_late(batch: DataFrame, ts: str, mark) -> tuple[DataFrame, DataFrame]:
     if mark is None:
         return batch, batch.limit(0)
-    on_time = F.coalesce(F.col(ts) >= F.lit(mark), F.lit(True))  # a row without a time is never late
+    on_time = F.coalesce(F.col(ts) >= time_literal(mark, batch.schema[ts].dataType), F.lit(True))  # a row without a time is never late
     return batch.filter(on_time), batch.filter(~on_time)
 
 
@@ -193,7 +201,7 @@ def stream_dedup(
         if done is not None:
             recent = done.filter(F.col("batch_id") < batch_id)
             if mark is not None:
-                recent = recent.filter(F.col(ts) >= F.lit(mark))
+                recent = recent.filter(F.col(ts) >= time_literal(mark, batch.schema[ts].dataType))
             fresh = fresh.join(recent.select(*key), list(key), "left_anti")
         fresh.write.mode("overwrite").parquet(_batch_dir(out_dir, batch_id))
         late.write.mode("overwrite").parquet(_batch_dir(late_dir, batch_id))

@@ -159,7 +159,7 @@ class VersionedTable:
         text = json.dumps({"write": write, "schema": json.loads(rows.schema.json()), "meta": meta or {}})
         return based_on + 1 if _write_once(spark, f"{self.root}/commits/{based_on + 1:010d}", text) else 0
 
-    def upsert(self, batch: DataFrame, key: Sequence[str], order: Sequence[str] = (), attempts: int = 5) -> int:
+    def upsert(self, batch: DataFrame, key: Sequence[str], order: Sequence[str] = (), attempts: int = 5, meta: dict | None = None) -> int:
         """Merge a batch by key as one new version: batch rows win, the newest ``order`` first.
 
         The touched partitions are those of the batch and, unless the key
@@ -177,7 +177,7 @@ class VersionedTable:
             touched = materialize(touched.distinct(), "touched")
             held = fresh.drop(*order).limit(0) if current is None else self.read(base, touched)
             merged = incremental_upsert(held, fresh, key, order).select(*held.columns)
-            version = self.commit(merged, touched, base)
+            version = self.commit(merged, touched, base, meta)
             if version:
                 return version
         raise VersionConflict(f"{self.root}: {attempts} attempts")
