@@ -46,9 +46,21 @@ def rollup_with_attrs(
     return first.groupBy(*keys).agg(*lvl2)
 
 
-def exact_quantiles(df: DataFrame, keys: Sequence[str], col: str, qs: Sequence[float], parts: int = 64) -> DataFrame:
+def join_same(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on equal keys, a null key being equal to a null key."""
+    names = {k: f"_same_{k}" for k in keys}
+    other = right.withColumnsRenamed(names)
+    on = [left[k].eqNullSafe(other[n]) for k, n in names.items()]
+    return left.join(other, on, how).drop(*names.values())
+
+
+def exact_quantiles(df: DataFrame, keys: Sequence[str], col: str, qs: Sequence[float], parts: int = 64, disc: bool = False) -> DataFrame:
     """Exact interpolated quantiles of the non-NULL values of each key: (keys, n, max_value, q0, q1, ...).
 
+    ``disc=True`` gives the smallest value whose cumulative share reaches the
+    quantile (an element, in the column's own type) instead. A null key is a
+    key of its own.
+
     No buffer or task holds a key's values. Values are counted first (copies
     collapse map-side), each key's distinct values are cut into ``parts``
     ordered parts at approximate quantiles, ranks come from the parts' sums,
@@ -60,18 +72,21 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], col: str, qs: Sequence[f
     small = (lambda x: x) if keys else F.broadcast
     counts = src.filter(F.col(col).isNotNull()).groupBy(*by, F.col(col).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
     cuts = counts.groupBy(*by).agg(F.percentile_approx("_v", [i / parts for i in range(1, parts)], 10 * parts).alias("_cuts"))
-    placed = counts.join(small(cuts), by).withColumn("_part", F.size(F.filter("_cuts", lambda c: c < F.col("_v")))).drop("_cuts")
+    placed = join_same(counts, small(cuts), by).withColumn("_part", F.size(F.filter("_cuts", lambda c: c < F.col("_v")))).drop("_cuts")
     sums = placed.groupBy(*by, "_part").agg(F.sum("_n").alias("_s"))
     before = Window.partitionBy(*by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.select(*by, "_part", F.coalesce(F.sum("_s").over(before), F.lit(0)).alias("_base"), F.sum("_s").over(Window.partitionBy(*by)).alias("_total"))
     inside = Window.partitionBy(*by, "_part").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = placed.join(small(sums), [*by, "_part"]).withColumn("_end", F.col("_base") + F.sum("_n").over(inside))
+    ranked = join_same(placed, small(sums), [*by, "_part"]).withColumn("_end", F.col("_base") + F.sum("_n").over(inside))
     begin = F.col("_end") - F.col("_n")
 
     def at(rank):
-        return F.max(F.when((begin <= rank) & (rank < F.col("_end")), F.col("_v").cast("double")))
+        return F.max(F.when((begin <= rank) & (rank < F.col("_end")), F.col("_v") if disc else F.col("_v").cast("double")))
 
     aggs = [F.max("_total").alias("n"), F.max("_v").alias("max_value")]
+    if disc:
+        aggs += [at(F.greatest(F.ceil(F.lit(float(q)) * F.col("_total")) - 1, F.lit(0))).alias(f"q{i}") for i, q in enumerate(qs)]
+        return ranked.groupBy(*by).agg(*aggs).select(*keys, "n", "max_value", *[f"q{i}" for i in range(len(qs))])
     for i, q in enumerate(qs):
         place = F.lit(float(q)) * (F.col("_total") - 1).cast("double")
         aggs += [at(F.floor(place)).alias(f"_lo{i}"), at(F.ceil(place)).alias(f"_hi{i}")]

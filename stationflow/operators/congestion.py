@@ -250,5 +250,5 @@ def station_thresholds(hub: DataFrame, q: float = 0.95) -> DataFrame:
     thr = exact_quantiles(hub, ["station_complex_id"], "hourly_ridership", [q])
     thr = thr.select(F.col("station_complex_id").alias("_sid"), rnd(F.col("q0"), 2).alias("station_threshold"))
     rows = hub.select("station_complex_id", "transit_date", "transit_hour", "hourly_ridership")
-    rows = rows.join(thr, F.col("station_complex_id") == F.col("_sid"), "left").drop("_sid")
+    rows = rows.join(thr, F.col("station_complex_id").eqNullSafe(F.col("_sid")), "left").drop("_sid")
     return rows.withColumn("above_threshold", F.col("hourly_ridership") > F.col("station_threshold"))

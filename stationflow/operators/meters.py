@@ -15,6 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from stationflow.operators.common import join_same
 from stationflow.functions import initcap_words
 
 METER_KEYS = ("c_a", "unit", "scp", "station")
@@ -43,7 +44,7 @@ def lag_chunked(
     last = d.groupBy(*keys, "_chunk").agg(*[F.max_by(v, F.col(order)).alias(f"_last_{v}") for v in values])
     w_ch = Window.partitionBy(*keys).orderBy("_chunk")
     last = last.select(*keys, "_chunk", *[F.lag(f"_last_{v}").over(w_ch).alias(f"_carry_{v}") for v in values])
-    j = d.join(last, [*keys, "_chunk"], "left")
+    j = join_same(d, last, [*keys, "_chunk"], "left")
     first = F.col("_rn") == 1
     for v in values:
         j = j.withColumn(f"prev_{v}", F.when(first, F.col(f"_carry_{v}")).otherwise(F.col(f"_lag_{v}")))

@@ -92,6 +92,47 @@ def zero_streaks(dense: DataFrame) -> DataFrame:
     )
 
 
+def outage_episodes(dense: DataFrame) -> DataFrame:
+    """Every run of hours without riders, over day borders: station, first and last hour, number of hours.
+
+    Islands are stitched on three levels, so a station's history is never one
+    window: a day's runs come from its own 24 hours, runs that touch a day's
+    border are joined within the month, and what touches a month's border is
+    joined over the station's months (two runs for each at most). A day that
+    is not in the input breaks a run: nothing is known about it.
+    """
+    station = "station_complex_id"
+    day = F.datediff("transit_date", F.lit("1970-01-01").cast("date")).cast("bigint")
+    zeros = F.collect_list(F.when(F.col("hourly_ridership") == 0, F.col("transit_hour")))
+    days = dense.groupBy(station, "transit_date").agg(F.array_sort(zeros).alias("_z"))
+    first = F.filter("_z", lambda h: ~F.array_contains("_z", h - 1))
+    last = F.filter("_z", lambda h: ~F.array_contains("_z", h + 1))
+    runs = F.transform(F.arrays_zip(first.alias("a"), last.alias("b")), lambda r: F.struct((day * HOURS + r["a"]).alias("a"), (day * HOURS + r["b"]).alias("b")))
+    month = F.trunc("transit_date", "month")
+    to_hours = lambda d: F.datediff(d, F.lit("1970-01-01").cast("date")).cast("bigint") * HOURS
+    rows = days.select(station, month.alias("_month"), F.explode(runs).alias("r")).select(station, "_month", F.col("r.a").alias("_a"), F.col("r.b").alias("_b"))
+    rows = rows.withColumn("_open", (F.col("_a") % HOURS == 0) | (F.col("_b") % HOURS == HOURS - 1))
+    by_month = _joined_runs(rows.filter("_open"), [station, "_month"])
+    starts, ends = to_hours(F.col("_month")), to_hours(F.add_months("_month", 1)) - 1
+    by_month = by_month.withColumn("_open", (F.col("_a") == starts) | (F.col("_b") == ends))
+    whole = _joined_runs(by_month.filter("_open"), [station])
+    columns = [station, "_a", "_b"]
+    done = rows.filter("NOT _open").select(*columns).unionAll(by_month.filter("NOT _open").select(*columns)).unionAll(whole.select(*columns))
+    at = lambda c: F.date_from_unix_date(F.floor(F.col(c) / HOURS).cast("int"))
+    return done.select(
+        station, at("_a").alias("start_date"), F.pmod("_a", F.lit(HOURS)).alias("start_hour"), at("_b").alias("end_date"), F.pmod("_b", F.lit(HOURS)).alias("end_hour"),
+        (F.col("_b") - F.col("_a") + 1).alias("outage_hours"),
+    )
+
+
+def _joined_runs(runs: DataFrame, keys: list[str]) -> DataFrame:
+    """Runs (_a, _b) of a key, with those that follow on each other joined."""
+    w = Window.partitionBy(*keys).orderBy("_a")
+    follows = F.col("_a") == F.lag("_b").over(w) + 1
+    island = runs.withColumn("_new", F.when(follows, 0).otherwise(1)).withColumn("_island", F.sum("_new").over(w))
+    return island.groupBy(*keys, "_island").agg(F.min("_a").alias("_a"), F.max("_b").alias("_b")).drop("_island")
+
+
 def utilization_status(
     dense: DataFrame,
     profile: DataFrame,

@@ -266,6 +266,17 @@ def q_zero_streaks(spark, d):
     return ut.zero_streaks(ut.hour_spine(hub_fine(spark, d)))
 
 
+@register("outage_episodes")
+def q_outage_episodes(spark, d):
+    return ut.outage_episodes(materialize(ut.hour_spine(hub_fine(spark, d)), "spine"))
+
+
+@register("outage_episodes_years")
+def q_outage_episodes_years(spark, d):
+    """Over the years of B1, whose stations are reported at one hour of a day: runs over day and month borders."""
+    return ut.outage_episodes(materialize(ut.hour_spine(cg.fare_consolidated(stg_all(spark, d))), "spine"))
+
+
 @register("utilization_status")
 def q_utilization_status(spark, d):
     return _status(spark, d)[0]
@@ -452,6 +463,18 @@ def q_kpi_disruption_yoy(spark, d):
     return mt.kpi_disruption_change(daily_fine(spark, d), period="week")
 
 
+@register("kpi_disruption_yearly")
+def q_kpi_disruption_yearly(spark, d):
+    """Year over year, over the years of B1; a disruption needs riders at the hour on an average day, so the threshold is low."""
+    hub = cg.fare_consolidated(stg_all(spark, d))
+    dense = ut.hour_spine(hub)
+    status = ut.utilization_status(dense, ut.hour_profile(hub), quiet=(25, 25), zero_rate=2.0, min_avg=-1, min_zeros=2)
+    hours = status.filter(F.col("utilization_status") == "Possible Disruption").groupBy("station_complex_id", "transit_date").agg(F.count(F.lit(1)).alias("disruption_hours"))
+    dim = stations(spark, d).select(F.col("station_complex_id").alias("_s"), "borough")
+    daily = hours.join(dim, F.col("station_complex_id") == F.col("_s"), "left")
+    return mt.kpi_disruption_change(daily, period="year")
+
+
 @register("kpi_risk_profile")
 def q_kpi_risk_profile(spark, d):
     return mt.kpi_risk_profile(equity(spark, d, disruption=50.0))

@@ -546,6 +546,25 @@ FROM (SELECT *, sum(CASE WHEN hourly_ridership > 0 THEN 1 ELSE 0 END)
                         ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS island
       FROM dense_fine)
 """, "dense_fine")
+R.add("hub_years", _hub("stg_all"), ("stg_all",))
+R.add("dense_years", R._ctes["dense_fine"][1].replace("hub_fine", "hub_years"), ("hub_years",))
+
+
+def _outages(dense: str) -> str:
+    """Gaps and islands over each station's whole series of hours."""
+    return f"""
+SELECT station_complex_id, CAST(DATE '1970-01-01' + CAST(a // 24 AS INTEGER) AS DATE) AS start_date, a % 24 AS start_hour,
+       CAST(DATE '1970-01-01' + CAST(b // 24 AS INTEGER) AS DATE) AS end_date, b % 24 AS end_hour, b - a + 1 AS outage_hours
+FROM (SELECT station_complex_id, min(h) AS a, max(h) AS b
+      FROM (SELECT station_complex_id, h, h - row_number() OVER (PARTITION BY station_complex_id ORDER BY h) AS island
+            FROM (SELECT station_complex_id, CAST(date_diff('day', DATE '1970-01-01', transit_date) AS BIGINT) * 24 + transit_hour AS h
+                  FROM {dense} WHERE hourly_ridership = 0))
+      GROUP BY station_complex_id, island)
+"""
+
+
+key("outage_episodes", _outages("dense_fine"), "dense_fine")
+key("outage_episodes_years", _outages("dense_years"), "dense_years")
 key("utilization_status", "SELECT * FROM status_fine", "status_fine")
 key("utilization_daily", "SELECT * FROM daily_fine", "daily_fine")
 key("utilization_annual", "SELECT * FROM annual_fine", "annual_fine")
@@ -846,6 +865,16 @@ def _avg2(x: str) -> str:
     return sdiv(f"sum(CAST({x} AS DECIMAL(18,2)))", f"count({x})")
 
 
+key("kpi_disruption_yearly", f"""
+SELECT borough, period_start, disruption_hours, prev AS prev_disruption_hours,
+       {rnd(sdiv('disruption_hours - prev', 'prev') + ' * 100', 2)} AS change_pct
+FROM (SELECT *, lag(disruption_hours) OVER (PARTITION BY borough ORDER BY period_start) AS prev
+      FROM (SELECT borough, CAST(date_trunc('year', transit_date) AS DATE) AS period_start, count(*) AS disruption_hours
+            FROM (SELECT *, count_if(hourly_ridership = 0) OVER (PARTITION BY station_complex_id, transit_date ORDER BY transit_hour
+                                                                   ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS zeros FROM dense_years) s
+            LEFT JOIN dim_all USING (station_complex_id)
+            WHERE hourly_ridership = 0 AND zeros >= 2 GROUP BY 1, 2))
+""", "dense_years", "dim_all")
 key("kpi_risk_profile", f"""
 SELECT transit_year, equity_risk_tier, count(*) AS stations,
        {rnd(_avg2('weighted_mean_income'), 2)} AS avg_income,
