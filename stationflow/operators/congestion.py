@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from stationflow.functions import initcap_words
 from stationflow.functions import dec_avg, dec_sum, hour_bucket, rnd, safe_div, season, tier
-from stationflow.operators.common import exact_quantiles, rollup_with_attrs
+from stationflow.operators.common import exact_quantiles, join_same, rollup_with_attrs
 
 INTENSITY_TIERS = ((15.0, "High Congestion"), (8.0, "Moderate"), (2.0, "Baseline"))
 STRESS_TIERS = ((0.90, "At Capacity"), (0.70, "High Stress"), (0.50, "Moderate Stress"))
@@ -83,6 +83,56 @@ def system_hourly(hub: DataFrame) -> DataFrame:
     )
 
 
+BITMAP_SPREAD = 64
+
+
+def station_numbers(hub: DataFrame) -> DataFrame:
+    """(station, number): a number of its own for each station, from its place among those of the same hash part.
+
+    The parts are numbered side by side, so no task holds all stations.
+    """
+    part = F.pmod(F.xxhash64("station_complex_id"), F.lit(BITMAP_SPREAD))
+    place = F.row_number().over(Window.partitionBy("_part").orderBy("station_complex_id")) - 1
+    ids = hub.select("station_complex_id").filter(F.col("station_complex_id").isNotNull()).distinct().withColumn("_part", part)
+    return ids.select("station_complex_id", (place.cast("bigint") * BITMAP_SPREAD + F.col("_part")).alias("number"))
+
+
+def station_bitmaps(hub: DataFrame, numbers: DataFrame) -> DataFrame:
+    """The stations of each date and hour as bitmaps of their numbers (one row for each 32,768 numbers in use).
+
+    Kept as a table, it answers distinct counts of any coarser grain by uniting
+    bitmaps: the rows are not read again.
+    """
+    n = numbers.select(F.col("station_complex_id").alias("_s"), "number")
+    rows = hub.select("station_complex_id", "transit_date", "transit_hour").join(n, F.col("station_complex_id") == F.col("_s"))
+    number = F.col("number") + 1  # Spark's bitmap positions count from 1
+    return rows.groupBy("transit_date", "transit_hour", F.bitmap_bucket_number(number).alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(number)).alias("stations")
+    )
+
+
+def united(bitmaps: DataFrame, grain: list) -> DataFrame:
+    """Bitmaps united to a coarser grain (columns), still mergeable."""
+    return bitmaps.groupBy(*grain, "bucket").agg(F.bitmap_or_agg("stations").alias("stations"))
+
+
+def active_stations_rollup(bitmaps: DataFrame) -> DataFrame:
+    """Distinct stations of each hour, day and month and of all time: (grain, period_start, transit_hour, active_stations).
+
+    Each grain is united from the one below it.
+    """
+    day = united(bitmaps, ["transit_date"])
+    month = united(day, [F.trunc("transit_date", "month").alias("transit_date")])
+    whole = united(month, [])
+    none_hour, none_date = F.lit(None).cast("bigint").alias("transit_hour"), F.lit(None).cast("date").alias("period_start")
+    count = F.sum(F.bitmap_count("stations")).alias("active_stations")
+    start = F.col("transit_date").alias("period_start")
+    out = bitmaps.groupBy("transit_date", "transit_hour").agg(count).select(F.lit("hour").alias("grain"), start, "transit_hour", "active_stations")
+    for name, rows in (("day", day), ("month", month)):
+        out = out.unionAll(rows.groupBy("transit_date").agg(count).select(F.lit(name), start, none_hour, "active_stations"))
+    return out.unionAll(whole.groupBy().agg(F.coalesce(count, F.lit(0)).alias("active_stations")).select(F.lit("all"), none_date, none_hour, "active_stations"))
+
+
 def _day_window():
     return Window.partitionBy("station_complex_id", "transit_date")
 
@@ -252,3 +302,22 @@ def station_thresholds(hub: DataFrame, q: float = 0.95) -> DataFrame:
     rows = hub.select("station_complex_id", "transit_date", "transit_hour", "hourly_ridership")
     rows = rows.join(thr, F.col("station_complex_id").eqNullSafe(F.col("_sid")), "left").drop("_sid")
     return rows.withColumn("above_threshold", F.col("hourly_ridership") > F.col("station_threshold"))
+
+
+def station_hour_thresholds(hub: DataFrame, k: float = 3.0, digits: int = 4) -> DataFrame:
+    """Alert thresholds for each hour of the week of each station: median plus ``k`` robust deviations.
+
+    Two passes over counted values (:func:`exact_quantiles`): the median, then
+    the median distance from it (times 1.4826, the deviation of a normal
+    distribution). No task holds a station's values.
+    """
+    keys = ["station_complex_id", "day_of_week", "transit_hour"]
+    rows = hub.select(*keys, "hourly_ridership")
+    middle = exact_quantiles(rows, keys, "hourly_ridership", [0.5]).select(*keys, "n", F.col("q0").alias("median_ridership"))
+    away = join_same(rows, middle, keys).select(*keys, F.abs(F.col("hourly_ridership") - F.col("median_ridership")).alias("_away"))
+    spread = exact_quantiles(away, keys, "_away", [0.5]).select(*keys, F.col("q0").alias("_mad"))
+    out = join_same(middle, spread, keys)
+    return out.select(
+        *keys, "n", rnd(F.col("median_ridership"), digits).alias("median_ridership"), rnd(F.col("_mad"), digits).alias("median_deviation"),
+        rnd(F.col("median_ridership") + F.lit(k) * F.lit(1.4826) * F.col("_mad"), digits).alias("threshold"),
+    )

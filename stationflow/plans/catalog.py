@@ -266,6 +266,17 @@ def q_zero_streaks(spark, d):
     return ut.zero_streaks(ut.hour_spine(hub_fine(spark, d)))
 
 
+@register("active_stations_rollup")
+def q_active_stations_rollup(spark, d):
+    hub = hub_fine(spark, d)
+    return cg.active_stations_rollup(materialize(cg.station_bitmaps(hub, cg.station_numbers(hub)), "station-bitmaps"))
+
+
+@register("station_hour_thresholds")
+def q_station_hour_thresholds(spark, d):
+    return cg.station_hour_thresholds(hub_coarse(spark, d))
+
+
 @register("outage_episodes")
 def q_outage_episodes(spark, d):
     return ut.outage_episodes(materialize(ut.hour_spine(hub_fine(spark, d)), "spine"))
@@ -753,6 +764,14 @@ def q_gold_roundtrip(spark, d):
     return bronze.read_gold(spark, path)
 
 
+@register("gold_zorder")
+def q_gold_zorder(spark, d):
+    """A gold table whose files follow three columns at once, read back."""
+    path = scratch_path(spark, "gold-zorder")
+    bronze.write_zorder(scorecard(spark, d), path, ["borough", "transit_year", "recovery_pct"], files=16)
+    return bronze.read_gold(spark, path)
+
+
 # ------------------------------------------------------------------ incremental / streaming
 @register("incremental_upsert")
 def q_incremental_upsert(spark, d):

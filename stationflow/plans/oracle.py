@@ -563,6 +563,19 @@ FROM (SELECT station_complex_id, min(h) AS a, max(h) AS b
 """
 
 
+key("active_stations_rollup", """
+SELECT CASE WHEN grouping(m) = 1 THEN 'all' WHEN grouping(d) = 1 THEN 'month' WHEN grouping(h) = 1 THEN 'day' ELSE 'hour' END AS grain,
+       CASE WHEN grouping(d) = 0 THEN d WHEN grouping(m) = 0 THEN m END AS period_start, h AS transit_hour, count(DISTINCT s) AS active_stations
+FROM (SELECT station_complex_id AS s, transit_date AS d, transit_hour AS h, CAST(date_trunc('month', transit_date) AS DATE) AS m FROM hub_fine)
+GROUP BY GROUPING SETS ((m, d, h), (m, d), (m), ())
+""", "hub_fine")
+key("station_hour_thresholds", f"""
+SELECT station_complex_id, day_of_week, transit_hour, n, {rnd('m', 4)} AS median_ridership, {rnd('mad', 4)} AS median_deviation,
+       {rnd('m + 3.0::DOUBLE * 1.4826::DOUBLE * mad', 4)} AS threshold
+FROM (SELECT station_complex_id, day_of_week, transit_hour, count(*) AS n, max(m) AS m, quantile_cont(abs(hourly_ridership - m), 0.5) AS mad
+      FROM (SELECT *, quantile_cont(hourly_ridership, 0.5) OVER (PARTITION BY station_complex_id, day_of_week, transit_hour) AS m FROM hub_coarse)
+      GROUP BY 1, 2, 3)
+""", "hub_coarse")
 key("outage_episodes", _outages("dense_fine"), "dense_fine")
 key("outage_episodes_years", _outages("dense_years"), "dense_years")
 key("utilization_status", "SELECT * FROM status_fine", "status_fine")
@@ -1107,6 +1120,7 @@ FROM census_typed
 key("union_parts", "SELECT * EXCLUDE (transfers) FROM stg_cur UNION ALL BY NAME SELECT * FROM stg_coarse", "stg_cur", "stg_coarse")
 key("sample_head", "SELECT * FROM census ORDER BY geoid LIMIT 20", "census")
 key("gold_roundtrip", "SELECT * FROM scorecard", "scorecard")
+key("gold_zorder", "SELECT * FROM scorecard", "scorecard")
 
 # ------------------------------------------------------------------ incremental / streaming
 key("incremental_upsert", """

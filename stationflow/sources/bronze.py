@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from stationflow.operators.quality import contract_gold
 
@@ -81,6 +81,43 @@ def with_quarter(df: DataFrame, ts: str, name: str = "quarter") -> DataFrame:
     return df.withColumn(name, F.quarter(F.col(ts)).cast("bigint"))
 
 
+def _cuts_below(cuts: list, field: StructField) -> Column:
+    """How many of the cut points a column has reached; 0 for null."""
+    if not cuts:
+        return F.lit(0)
+    held = F.array(*[F.lit(v) for v in cuts]).cast(ArrayType(field.dataType))
+    below = F.size(F.filter(held, lambda cut: cut <= F.col(field.name)))
+    return F.when(F.col(field.name).isNull(), 0).otherwise(below)
+
+
+def zorder_key(df: DataFrame, columns: Sequence[str], bits: int = 8, sample: int = 20_000) -> Column:
+    """Interleaved bits of the columns' ranks, so that near keys are near in every column.
+
+    A value's rank is the number of cut points below it; the cuts are even
+    quantiles of a sample of ``sample`` rows at most (those with the smallest
+    hash), which is all that reaches the driver. They decide about the layout
+    only. Nulls come first.
+    """
+    some = df.select(*columns).orderBy(F.xxhash64(*columns)).limit(sample).collect()
+    ranks = []
+    for i, c in enumerate(columns):
+        values = sorted(r[i] for r in some if r[i] is not None)
+        cuts = sorted({values[len(values) * q >> bits] for q in range(1, 1 << bits)}) if values else []
+        ranks.append(_cuts_below(cuts, df.schema[c]))
+    key = F.lit(0).cast("bigint")
+    for b in range(bits):
+        for i, r in enumerate(ranks):
+            key = key.bitwiseOR(F.shiftleft(F.shiftright(r, b).bitwiseAND(F.lit(1)).cast("bigint"), b * len(columns) + i))
+    return key
+
+
+def write_zorder(df: DataFrame, path: str, columns: Sequence[str], files: int | None = None) -> None:
+    """Write a table in files along the columns' Z-order: filters on any of them skip files by their statistics."""
+    keyed = df.withColumn("_z", zorder_key(df, columns))
+    dealt = keyed.repartitionByRange(files, "_z") if files else keyed.repartitionByRange("_z")
+    dealt.sortWithinPartitions("_z").drop("_z").write.mode("overwrite").parquet(path)
+
+
 def write_gold(df: DataFrame, path: str, cluster_by: Sequence[str], mode: str = "overwrite", schema: StructType | None = None) -> None:
     """Materialise a gold table range-clustered on ``cluster_by``, after its contract (``schema``) has been checked.
 

@@ -126,3 +126,55 @@ def test_audit_stamp(spark):
     rows = df.collect()
     assert df.columns == ["x", "at"] and len({r["at"] for r in rows}) == 1
     assert abs((dt.datetime.now() - rows[0]["at"]).total_seconds()) < 24 * 3600 + 60
+
+
+# ------------------------------------------------------------------ layout, bitmaps, thresholds
+def test_zorder_skips_files_by_every_column(spark, tmp_path):
+    import pyarrow.parquet as pq
+
+    from stationflow.sources import bronze
+
+    df = spark.range(20_000).select((F.col("id") * 7919 % 1000).alias("a"), F.concat(F.lit("s"), F.lpad((F.col("id") * 104729 % 500).cast("string"), 3, "0")).alias("b"),
+                                    ((F.col("id") * 15485863) % 997 / 10).alias("c"))
+    path = str(tmp_path / "z")
+    bronze.write_zorder(df, path, ["a", "b", "c"], files=64)
+    assert sorted(spark.read.parquet(path).collect()) == sorted(df.collect())
+    files = list((tmp_path / "z").glob("*.parquet"))
+    assert len(files) > 40
+    met = {"a": 0, "b": 0, "c": 0}
+    for f in files:
+        stats = pq.read_metadata(f).row_group(0)
+        for i, (c, v) in enumerate((("a", 500), ("b", "s250"), ("c", 50.0))):
+            s = stats.column(i).statistics
+            met[c] += s.min <= v <= s.max
+    assert all(n <= len(files) * 0.45 for n in met.values()), met
+
+
+def test_zorder_of_nulls_and_empty_tables(spark, tmp_path):
+    from stationflow.sources import bronze
+
+    df = spark.createDataFrame([(None, None), (1, "x"), (2, None)], "a int, b string")
+    for some in (df, df.limit(0)):
+        bronze.write_zorder(some, str(tmp_path / "n"), ["a", "b"])
+        assert sorted(spark.read.schema(df.schema).parquet(str(tmp_path / "n")).collect(), key=repr) == sorted(some.collect(), key=repr)
+
+
+def test_bitmaps_beyond_one_bucket(spark):
+    """More stations than one bitmap holds, numbered without a gap in meaning; null stations count nowhere."""
+    rows = spark.range(40_000).select(F.col("id").cast("string").alias("station_complex_id"), F.lit(dt.date(2024, 1, 31)).alias("transit_date"), (F.col("id") % 2).alias("transit_hour"))
+    more = spark.createDataFrame([("5", dt.date(2024, 2, 1), 0), (None, dt.date(2024, 2, 1), 0)], "station_complex_id string, transit_date date, transit_hour bigint")
+    hub = rows.unionAll(more)
+    numbers = cg.station_numbers(hub)
+    assert numbers.select("number").distinct().count() == numbers.count() == 40_000
+    bitmaps = cg.station_bitmaps(hub, numbers)
+    assert bitmaps.select("bucket").distinct().count() > 1
+    got = {(r.grain, r.period_start, r.transit_hour): r.active_stations for r in cg.active_stations_rollup(bitmaps).collect()}
+    assert got[("day", dt.date(2024, 1, 31), None)] == 40_000 and got[("all", None, None)] == 40_000
+    assert got[("hour", dt.date(2024, 1, 31), 1)] == 20_000 and got[("month", dt.date(2024, 2, 1), None)] == 1
+
+
+def test_hour_of_week_thresholds(spark):
+    rows = [("a", 2, 8, float(v)) for v in (10, 12, 11, 13, 100)] + [("a", 3, 8, 5.0), (None, 2, 8, 1.0), (None, 2, 8, 3.0)]
+    df = spark.createDataFrame(rows, "station_complex_id string, day_of_week bigint, transit_hour bigint, hourly_ridership double")
+    got = {(r.station_complex_id, r.day_of_week): (r.n, r.median_ridership, r.median_deviation, r.threshold) for r in cg.station_hour_thresholds(df).collect()}
+    assert got == {("a", 2): (5, 12.0, 1.0, 16.4478), ("a", 3): (1, 5.0, 0.0, 5.0), (None, 2): (2, 2.0, 1.0, 6.4478)}
