@@ -29,7 +29,7 @@ HOUR = 3_600_000_000  # microseconds
 def _instant(ts) -> F.Column:
     """A local time as an instant (its clock read as UTC): watermarks take instants only, and no time zone shall move hours."""
     seconds = F.extract(F.lit("SECOND"), ts) * 1_000_000
-    return F.timestamp_micros(F.unix_date(F.to_date(ts)) * F.lit(24 * HOUR) + F.hour(ts) * F.lit(HOUR) + F.minute(ts) * F.lit(HOUR // 60) + seconds.cast("bigint"))
+    return F.timestamp_micros(F.unix_date(F.to_date(ts)) * F.lit(24 * HOUR) + F.hour(ts) * F.lit(HOUR) + F.minute(ts).cast("bigint") * F.lit(HOUR // 60) + seconds.cast("bigint"))
 
 
 def _delay(days: int) -> str:

@@ -72,7 +72,7 @@ def test_hourly_hub_by_state(spark, tmp_path, zone):
     f.in_ = f"{f.root}/in"
     rows, files = [], []
     for run in range(7):
-        new = [(s, at(day, h, run), 1.25 + run) for s in ("a", "b") for day in range(8, 12) for h in (1, 2, 3, 23)]
+        new = [(s, at(day, h, 9 * run + 5), 1.25 + run) for s in ("a", "b") for day in range(8, 12) for h in (1, 2, 3, 23)]
         rows += new
         f.land(new if run else [*new, ("a", None, 9.0)])
         hub = stateful.stream_hourly_state(spark, f.in_, f.out, f.late, f.ckpt, HOURLY)
