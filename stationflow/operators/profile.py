@@ -48,6 +48,6 @@ def income_profile(df: DataFrame, col: str = "median_household_income") -> DataF
     names = [f"q{i}" for i in range(5)]
     qs = exact_quantiles(df, [], col, (0.0, 0.25, 0.5, 0.75, 1.0), disc=True).select(*names)
     rest = df.agg(rnd(dec_avg(col), 2).alias("mean_income"), F.min(x).alias("min_income"), F.max(x).alias("max_income"))
-    # both sides are one row
-    one = F.lit(1).alias("_one")
-    return rest.select("*", one).join(F.broadcast(qs.select("*", one)), "_one", "left").select(*names, "mean_income", "min_income", "max_income")
+    # both sides are one row at most
+    one = lambda c: F.pmod(F.hash(c), F.lit(1)).alias("_one")  # noqa: E731  a key that the optimiser does not see through
+    return rest.select("*", one("min_income")).join(F.broadcast(qs.select("*", one("q0"))), "_one", "left").select(*names, "mean_income", "min_income", "max_income")
