@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from stationflow.functions import rnd
 from stationflow.operators import catchment as ca
 from stationflow.operators import congestion as cg
+from stationflow.operators import crosswalk as cw
 from stationflow.operators import geometry as geo
 from stationflow.operators import marts as mt
 from stationflow.operators import meters as mtr
@@ -23,6 +24,7 @@ from stationflow.operators import profile as prof
 from stationflow.operators import quality as dq
 from stationflow.operators import recovery as rec
 from stationflow.operators import staging as stg
+from stationflow.operators import summaries as sm
 from stationflow.operators import utilization as ut
 from stationflow.session import materialize, scratch_path
 from stationflow.sources import bindings as B
@@ -126,6 +128,35 @@ def q_crosswalk_split(spark, d):
     return rec.crosswalk_recovery(stg_cur(spark, d), stg_base(spark, d), cw)
 
 
+def _dated_crosswalk(spark, d):
+    """Links between the data's own stations: chains over several dates, a split, and a cycle that lasts two months."""
+    ids = stg_all(spark, d).select("station_complex_id").distinct()
+    k = F.col("station_complex_id").cast("bigint")
+
+    def link(when, new, share, since, until):
+        day = lambda x: F.lit(x).cast("date")
+        return ids.filter(when).select(
+            F.col("station_complex_id").alias("old_id"), new.cast("string").alias("new_id"), F.lit(share).alias("share"),
+            day(since).alias("valid_from"), day(until).alias("valid_to"),
+        )
+
+    links = link(k % 4 == 0, k + 1, 1.0, "2019-07-10", None)
+    links = links.unionAll(link(k % 4 == 1, k + 1, 0.75, "2020-01-01", "2021-06-15"))
+    links = links.unionAll(link(k % 4 == 1, k + 2, 0.25, "2020-01-01", "2021-06-15"))
+    links = links.unionAll(link(k % 4 == 2, k + 1, 1.0, "2021-01-01", None))
+    return links.unionAll(link(k == 19, k - 1, 1.0, "2021-03-01", "2021-05-01"))
+
+
+@register("crosswalk_chain")
+def q_crosswalk_chain(spark, d):
+    return cw.rekeyed_monthly(stg_all(spark, d), materialize(cw.crosswalk_periods(_dated_crosswalk(spark, d)), "crosswalk"))
+
+
+@register("crosswalk_cycles")
+def q_crosswalk_cycles(spark, d):
+    return cw.crosswalk_faults(cw.crosswalk_periods(_dated_crosswalk(spark, d)))
+
+
 # ------------------------------------------------------------------ staging
 @register("ridership_all")
 def q_ridership_all(spark, d):
@@ -219,6 +250,36 @@ def q_top_value_per_group(spark, d):
     return cg.top_value_per_group(h, ["station_complex_id", "day_of_week"], "station_peak_hour", "most_common_peak_hour")
 
 
+@register("top_value_from_sketches")
+def q_top_value_from_sketches(spark, d):
+    """The groups of ``top_value_per_group``, from each station's days by way of its weeks."""
+    h = cg.congestion_hourly(hub_coarse(spark, d)).withColumn("week", F.to_date(F.date_trunc("week", "transit_date")))
+    days, weeks, keys = ["station_complex_id", "day_of_week", "week", "transit_date"], ["station_complex_id", "day_of_week", "week"], ["station_complex_id", "day_of_week"]
+    stored = materialize(sm.value_counts(h, days, "hour_classification", 2), "value-counts")
+    by_week = sm.merge_counts(stored, days, weeks, 2)
+    return sm.read_top_value(sm.merge_counts(by_week, weeks, keys, 2), keys, "most_common_period")
+
+
+QUANTILE_CELLS = 200
+
+
+@register("quantiles_from_sketches")
+def q_quantiles_from_sketches(spark, d):
+    """Ridership quantiles of station-years, stations and the system from the points of station-days."""
+    grains = (["station_complex_id", "transit_year", "transit_month"], ["station_complex_id", "transit_year"], ["station_complex_id"], [])
+    rows = stg_all(spark, d)
+    points = sm.quantile_points(rows, ["station_complex_id", "transit_year", "transit_month", "transit_date"], "ridership", QUANTILE_CELLS)
+    steps, out = 1, None
+    for keys in grains:
+        points = materialize(sm.merge_points(points, keys, QUANTILE_CELLS), "quantile-points")
+        steps += 1
+        read = sm.read_quantiles(points, keys, (0.25, 0.5, 0.95), ("p25", "p50", "p95"))
+        missing = [F.lit(None).cast(t).alias(c) for c, t in (("station_complex_id", "string"), ("transit_year", "bigint"), ("transit_month", "bigint")) if c not in keys]
+        read = read.select("*", *missing, F.lit(steps / QUANTILE_CELLS).alias("rank_error"))
+        out = read if out is None else out.unionByName(read)
+    return out
+
+
 def _mart(spark, d, **kw):
     cur, base = _halves(spark, d)
     hub = materialize(cg.fare_consolidated(cur))  # read by the hourly scores and the station dimension

@@ -272,6 +272,67 @@ R.add("sp_base_a", "SELECT station_complex_id, sum(base_m) AS base_a FROM sp_bas
 R.add("sp_j", R._ctes["cw_j"][1].replace("cw_base", "sp_base"), ("monthly", "sp_base_m", "sp_base_a"))
 key("crosswalk_split", ORACLE["crosswalk_recovery"].rpartition("\nSELECT *,")[2].join(["SELECT *,", ""]).replace("cw_j", "sp_j"), "sp_j")
 
+# dated crosswalk: every (station, day) walks its links one by one
+R.add("cd_links", """
+SELECT k AS old_id, CAST(CAST(k AS BIGINT) + step AS VARCHAR) AS new_id, share, since, until
+FROM (SELECT DISTINCT station_complex_id AS k FROM stg_all),
+     (VALUES (0, 1, 1.0::DOUBLE, DATE '2019-07-10', DATE '9999-12-31'), (1, 1, 0.75::DOUBLE, DATE '2020-01-01', DATE '2021-06-15'),
+             (1, 2, 0.25::DOUBLE, DATE '2020-01-01', DATE '2021-06-15'), (2, 1, 1.0::DOUBLE, DATE '2021-01-01', DATE '9999-12-31'),
+             (19, -1, 1.0::DOUBLE, DATE '2021-03-01', DATE '2021-05-01')) v(rest, step, share, since, until)
+WHERE CASE WHEN rest = 19 THEN k = '19' ELSE CAST(k AS BIGINT) % 4 = rest END
+""", ("stg_all",))
+
+
+def _walk(days: str) -> str:
+    return f"""
+WITH RECURSIVE w AS (
+  SELECT id AS root, day, id AS reached, 1.0::DOUBLE AS share, [id] AS path, false AS looped FROM {days}
+  UNION ALL
+  SELECT root, day, new_id, w.share * l.share, list_append(path, new_id), list_contains(path, new_id)
+  FROM w JOIN cd_links l ON old_id = reached AND since <= day AND day < until WHERE NOT looped
+), leaf AS (
+  SELECT root, day, reached, share, looped FROM w
+  WHERE looped OR NOT EXISTS (SELECT 1 FROM cd_links WHERE old_id = w.reached AND since <= w.day AND w.day < until))
+SELECT root, day, CASE WHEN bad THEN root ELSE reached END AS newest, CASE WHEN bad THEN 1.0::DOUBLE ELSE sum(share) END AS share, bad
+FROM (SELECT *, bool_or(looped) OVER (PARTITION BY root, day) AS bad FROM leaf)
+GROUP BY root, day, CASE WHEN bad THEN root ELSE reached END, bad
+"""
+
+
+R.add("cd_days", f"""
+SELECT station_complex_id AS id, transit_date AS day, CAST(sum(CAST(ridership AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS amount,
+       max({initcap('station_name')}) AS station_name, max({initcap('borough')}) AS borough,
+       sum(CAST(latitude AS DECIMAL(12,6))) AS lat, count(latitude) AS n_lat, sum(CAST(longitude AS DECIMAL(12,6))) AS lon, count(longitude) AS n_lon
+FROM stg_all GROUP BY 1, 2
+""", ("stg_all",))
+R.add("cd_walk", _walk("cd_days"), ("cd_days", "cd_links"))
+R.add("cd_parts", """
+SELECT d.*, newest, date_trunc('month', d.day)::DATE AS m, newest = id AS own,
+       round(CAST(amount AS DECIMAL(27,2)) * CAST(sum(share) OVER upto AS DECIMAL(10,9)), 2)
+       - round(CAST(amount AS DECIMAL(27,2)) * CAST(sum(share) OVER upto - share AS DECIMAL(10,9)), 2) AS part
+FROM cd_days d JOIN cd_walk w ON w.root = d.id AND w.day = d.day
+WINDOW upto AS (PARTITION BY d.id, d.day ORDER BY newest)
+""", ("cd_days", "cd_walk"))
+_OWN = "coalesce({agg}({x}) FILTER (WHERE own), {agg}({x}))"
+key("crosswalk_chain", f"""
+SELECT newest AS station_complex_id, {_OWN.format(agg='max', x='station_name')} AS station_name, {_OWN.format(agg='max', x='borough')} AS borough,
+       {rnd(sdiv(_OWN.format(agg='sum', x='lat'), _OWN.format(agg='sum', x='n_lat')), 6)} AS latitude,
+       {rnd(sdiv(_OWN.format(agg='sum', x='lon'), _OWN.format(agg='sum', x='n_lon')), 6)} AS longitude,
+       CAST(year(m) AS BIGINT) AS ridership_year, CAST(month(m) AS BIGINT) AS ridership_month, m AS ridership_month_date,
+       CAST(sum(part) AS DOUBLE) AS monthly_ridership
+FROM cd_parts GROUP BY newest, m
+""", "cd_parts")
+R.add("cd_calendar", """
+SELECT k AS id, CAST(x AS DATE) AS day FROM (SELECT DISTINCT old_id AS k FROM cd_links),
+       generate_series(TIMESTAMP '2019-01-01', TIMESTAMP '2022-12-31', INTERVAL 1 DAY) t(x)
+""", ("cd_links",))
+R.add("cd_found", _walk("cd_calendar"), ("cd_calendar", "cd_links"))
+key("crosswalk_cycles", """
+SELECT root AS old_id, min(day) AS valid_from, CAST(max(day) + INTERVAL 1 DAY AS DATE) AS valid_to, 'cycle' AS fault, 1.0::DOUBLE AS share
+FROM (SELECT root, day, date_diff('day', DATE '2019-01-01', day) - row_number() OVER (PARTITION BY root ORDER BY day) AS run FROM cd_found WHERE bad)
+GROUP BY root, run
+""", "cd_found")
+
 # ------------------------------------------------------------------ staging
 R.add("stg_defects", _stg("raw_monthly_defects"), ("raw_monthly_defects",))
 key("stg_ridership", "SELECT * FROM stg_defects", "stg_defects")
@@ -427,6 +488,59 @@ ON {' AND '.join(f'g.{x} = m.{x}' for x in keys)}
 key("top_value_per_group", _mode("cong_coarse", ["station_complex_id", "day_of_week"], "station_peak_hour", "most_common_peak_hour"),
     "cong_coarse")
 
+
+
+def _listed(src: str, keys: str, size: int) -> str:
+    """The ``size`` most frequent values of each key; what a dropped one may count raises the key's cut."""
+    return (f"SELECT {keys}, value, n, miss, greatest(cut, coalesce(max(n + miss) FILTER (WHERE place > {size}) OVER (PARTITION BY {keys}), 0)) AS cut"
+            f" FROM (SELECT *, row_number() OVER (PARTITION BY {keys} ORDER BY n DESC, value) AS place FROM ({src}))"
+            f" QUALIFY place <= {size}")
+
+
+def _merged_counts(src: str, keys: str, fine: str) -> str:
+    return (f"SELECT {keys}, value, sum(n) AS n, sum(miss) + any_value(hid) - sum(cut) AS miss, any_value(hid) AS cut FROM {src}"
+            f" JOIN (SELECT {keys}, sum(cut) AS hid FROM (SELECT DISTINCT {fine}, cut FROM {src}) GROUP BY {keys}) USING ({keys}) GROUP BY {keys}, value")
+
+
+_SD = "station_complex_id, day_of_week"
+R.add("tv_day", _listed(f"SELECT {_SD}, date_trunc('week', transit_date) AS week, transit_date, hour_classification AS value, count(*) AS n, 0 AS miss, 0 AS cut"
+                        " FROM cong_coarse WHERE hour_classification IS NOT NULL GROUP BY ALL", f"{_SD}, week, transit_date", 2), ("cong_coarse",))
+R.add("tv_week", _listed(_merged_counts("tv_day", f"{_SD}, week", f"{_SD}, week, transit_date"), f"{_SD}, week", 2), ("tv_day",))
+R.add("tv_all", _listed(_merged_counts("tv_week", _SD, f"{_SD}, week"), _SD, 2), ("tv_week",))
+key("top_value_from_sketches", f"""
+SELECT {_SD}, v AS most_common_period, CAST(top AS BIGINT) AS n_least, CAST(max(n + miss) FILTER (WHERE value = v) AS BIGINT) AS n_most,
+       bool_and(value = v OR n + miss < top OR (n + miss = top AND value > v)) AND max(cut) < top AS sure
+FROM (SELECT *, first_value(value) OVER w AS v, first_value(n) OVER w AS top FROM tv_all WINDOW w AS (PARTITION BY {_SD} ORDER BY n DESC, value))
+GROUP BY {_SD}, v, top
+""", "tv_all")
+
+
+def _cells(src: str, keys: str, size: int = 200) -> str:
+    """Weighted values into cells of a ``size``-th of their key's weight by where they begin; heavy ones apart."""
+    part, lead = (f"PARTITION BY {keys}", f"{keys}, ") if keys else ("", "")
+    return (f"SELECT {lead}max(v) AS v, sum(w) AS w FROM ("
+            f"SELECT *, sum(w) OVER ({part} ORDER BY v) - w AS b, sum(w) OVER ({part}) AS n FROM (SELECT {lead}v, sum(w) AS w FROM {src} GROUP BY ALL))"
+            f" GROUP BY {lead}CASE WHEN w * {size} < n THEN b * {size} // n END, CASE WHEN w * {size} >= n THEN v END")
+
+
+R.add("qp_rows", "SELECT station_complex_id, transit_year, transit_month, transit_date, ridership AS v, 1 AS w FROM stg_all WHERE ridership IS NOT NULL", ("stg_all",))
+_GRAINS = ["station_complex_id, transit_year, transit_month, transit_date", "station_complex_id, transit_year, transit_month",
+           "station_complex_id, transit_year", "station_complex_id", ""]
+for _i, _g in enumerate(_GRAINS):
+    R.add(f"qp_{_i}", _cells(f"qp_{_i - 1}" if _i else "qp_rows", _g), (f"qp_{_i - 1}" if _i else "qp_rows",))
+
+
+def _read_points(i: int) -> str:
+    keys = _GRAINS[i]
+    part, lead = (f"PARTITION BY {keys}", f"{keys}, ") if keys else ("", "")
+    reach = ", ".join(f"min(v) FILTER (WHERE e >= {q}::DOUBLE * n) AS {name}" for q, name in ((0.25, "p25"), (0.5, "p50"), (0.95, "p95")))
+    return (f"SELECT {lead}CAST(max(n) AS BIGINT) AS n, {reach}, {(i + 1) / 200}::DOUBLE AS rank_error"
+            f" FROM (SELECT {lead}v, sum(sum(w)) OVER ({part} ORDER BY v) AS e, sum(sum(w)) OVER ({part}) AS n FROM qp_{i} GROUP BY {lead}v)"
+            + (f" GROUP BY {keys}" if keys else ""))
+
+
+key("quantiles_from_sketches", "\nUNION ALL BY NAME\n".join(_read_points(i) for i in range(1, len(_GRAINS))), f"qp_{len(_GRAINS) - 1}")
+
 _MART_KEYS = ["station_complex_id", "borough", "ridership_year", "season", "day_of_week", "time_period"]
 R.add("mart_in", f"""
 SELECT c.*, c.hour_classification AS time_period, p.p95_capacity_proxy
