@@ -45,6 +45,7 @@ from stationflow.session import materialize
 SHINGLE, MAX_BITS, SEED = 3, 2, 42
 NODE = 2048  # members an upper node is planned for
 NODE_MOST = 16_384  # a node with more members is split by its next bits
+VISITS_MOST = 1 << 18  # and so is one with more members and visitors together
 MORE_BITS = 4
 FAN = 16  # children of an index node inside a task
 BLOCK = 1 << 18  # shingles hashed at a time
@@ -242,27 +243,39 @@ def node_links(members: np.ndarray, visitors: np.ndarray, max_bits: int) -> tupl
     return np.concatenate([m[inner], visitors[outer[:, 0]]]), np.concatenate([m[root[inner]], m[outer[:, 1]]])
 
 
-def near_links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
-    """(a, b): stars that span the same components as all pairs of distinct ``fp`` within ``max_bits``."""
+def node_visits(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
+    """(p, node, fp, d): the prints that meet in each node, its members (d = 0) and its visitors.
+
+    A node has at most ``NODE_MOST`` members and ``VISITS_MOST`` rows; at 64 bits
+    it is one print, and few prints are within ``max_bits`` of it.
+    """
     p = max(0, math.ceil(math.log2(max(1, prints.count()) / NODE)))
     # a print makes many visits, so prints of a few files are dealt to as many tasks as a shuffle has
     spread = prints.repartition("fp").select("fp", F.col("fp").alias("at"), F.lit(0).alias("d"))
     rows, found = _descend(spread, 0, p, max_bits), []
     while p < 64:  # distinct fingerprints: at 64 bits a node has one member
         node = _node(F.col("at"), p)
-        large = materialize(rows.filter("d = 0").groupBy(node.alias("node")).count().filter(F.col("count") > NODE_MOST).select("node"), "nodes")
+        sizes = rows.groupBy(node.alias("node")).agg(F.count_if(F.col("d") == 0).alias("members"), F.count(F.lit(1)).alias("rows"))
+        large = materialize(sizes.filter((F.col("members") > NODE_MOST) | (F.col("rows") > VISITS_MOST)), "nodes")
         if large.isEmpty():
             break
         rows = rows.withColumn("node", node)
         found.append((rows.join(large, "node", "left_anti").drop("node"), p))
         more = min(MORE_BITS, 64 - p)
-        rows = materialize(_descend(rows.join(large, "node", "left_semi").drop("node"), p, more, max_bits), "visits")
+        # visits to a node without members meet nothing and end here
+        rows = rows.join(large.filter("members > 0"), "node", "left_semi").drop("node")
+        rows = materialize(_descend(rows, p, more, max_bits), "visits")
         p += more
     found.append((rows, p))
     parts = [r.select(F.lit(bits).alias("p"), _node(F.col("at"), bits).alias("node"), "fp", "d") for r, bits in found]
     visits = parts[0]
     for x in parts[1:]:
         visits = visits.unionAll(x)
+    return visits
+
+
+def near_links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
+    """(a, b): stars that span the same components as all pairs of distinct ``fp`` within ``max_bits``."""
 
     def links(group: pa.Table) -> pa.Table:
         fp = np.concatenate([c.to_numpy(zero_copy_only=False) for c in group.column("fp").chunks]).view(np.uint64)
@@ -272,7 +285,7 @@ def near_links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
             a, b = node_links(fp[member], fp[~member], max_bits)
         return pa.table({"a": pa.array(a.view(np.int64)), "b": pa.array(b.view(np.int64))})
 
-    return visits.groupBy("p", "node").applyInArrow(links, "a bigint, b bigint")
+    return node_visits(prints, max_bits).groupBy("p", "node").applyInArrow(links, "a bigint, b bigint")
 
 
 def grouped(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:

@@ -182,6 +182,28 @@ def test_nodes_split_and_keep_all_links(spark, monkeypatch):
     assert sorted(map(sorted, ours.values())) == sorted(map(sorted, theirs.values()))
 
 
+def test_visitors_of_a_node_are_bounded(spark, monkeypatch):
+    """Most prints share their first 16 bits: those who visit the nodes around are split like members are."""
+    monkeypatch.setattr(simhash, "NODE", 8)
+    monkeypatch.setattr(simhash, "NODE_MOST", 64)
+    monkeypatch.setattr(simhash, "VISITS_MOST", 100)
+    rng = np.random.default_rng(4)
+    hot = (np.uint64(0xABCD) << np.uint64(48)) | rng.integers(0, 1 << 48, 1500, dtype=np.uint64)
+    near = hot[:40] ^ (np.uint64(1) << rng.integers(0, 64, 40).astype(np.uint64)) ^ np.uint64(1 << 49)
+    prints = np.unique(np.concatenate([hot, near, rng.integers(0, 1 << 63, 100, dtype=np.uint64)]))
+    df = spark.createDataFrame([(int(x),) for x in prints.view(np.int64)], "fp bigint")
+    sizes = simhash.node_visits(df).groupBy("p", "node").agg(F.count_if(F.col("d") == 0).alias("m"), F.count(F.lit(1)).alias("n")).collect()
+    assert max(r.n for r in sizes) <= 100 and max(r.m for r in sizes) <= 64
+    from stationflow.llm.components import connected_components
+
+    found = {r.vertex: r.component for r in connected_components(simhash.near_links(df)).collect()}
+    a, b = np.nonzero(np.triu(np.bitwise_count(prints[:, None] ^ prints[None, :]) <= 2, 1))
+    signed = prints.view(np.int64).tolist()
+    assert len(a) >= 30 and all(found[signed[i]] == found[signed[j]] for i, j in zip(a, b))
+    linked = {signed[i] for i in (*a, *b)}
+    assert {v for v in found} == linked
+
+
 def test_components_of_a_chain(spark):
     from stationflow.llm.components import connected_components
 
