@@ -14,9 +14,11 @@ the word). The join then is:
    from the rarest on, until the whole item-sized window is verified.
 
 Both passes are narrow maps over the documents. The index of a block of items
-is sent to the tasks; a block holds at most ``BLOCK_CHARS`` characters of items
-(one item where that alone is longer), so what is sent is bounded however large
-the benchmark is: more blocks are further passes, whose hits are united.
+is sent to the tasks; a block holds about ``BLOCK_CHARS`` bytes of items (a longer
+item goes in pieces that overlap by a window less a word), so what is sent is
+bounded however large the benchmark is: more blocks are further passes, whose
+hits are united. Candidates are verified ``CANDIDATES`` at a time, so a long text
+of few distinct words, all of them prefix tokens, takes no more memory.
 
 Defined results: null and empty texts have no words, no hits; null and empty
 items have no windows; repeated items with one item_id count once; a null
@@ -39,6 +41,7 @@ from stationflow.llm.common import carried, raw_texts, thrifty
 
 WINDOW = 10
 BLOCK_CHARS = 16_000_000
+CANDIDATES = 1 << 18  # places to verify at a time
 # lower-cases A-Z; every byte that is no digit, no letter and below 0x80 becomes a space
 TO_WORDS = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 
@@ -48,56 +51,69 @@ def words_of(text: bytes) -> list[bytes]:
 
 
 class WindowIndex:
-    """Windows of a block of items under their prefix tokens."""
+    """Windows of a block of items under their prefix tokens.
+
+    Held in arrays: about 60 bytes for each distinct window, and as much again
+    while it is built.
+    """
 
     def __init__(self, items: list[tuple[str | None, bytes]], counts: dict[bytes, int], window: int = WINDOW):
         self.ids: dict[bytes, int] = {}
-        self.names: list[str | None] = []
-        by_window: dict[tuple[int, ...], set[int]] = {}
         names: dict[str | None, int] = {}
+        found, owners = [np.zeros((0, window), np.int32)], [np.zeros(0, np.int32)]
         for name, text in items:
-            own = [self.ids.setdefault(w, len(self.ids)) for w in words_of(text)]
-            if own:
-                item = names.setdefault(name, len(names))
-                for i in range(max(1, len(own) - window + 1)):
-                    by_window.setdefault(tuple(own[i : i + window]), set()).add(item)
+            own = np.array([self.ids.setdefault(w, len(self.ids)) for w in words_of(text)], np.int32)
+            if len(own):
+                short = np.pad(own, (0, max(0, window - len(own))), constant_values=-1)
+                found.append(np.lib.stride_tricks.sliding_window_view(short, window))
+                owners.append(np.full(len(found[-1]), names.setdefault(name, len(names)), np.int32))
         self.names = list(names)
-        rarity = {i: (counts.get(w, 0), w) for w, i in self.ids.items()}
-        windows = list(by_window)
-        self.size = np.array([len(w) for w in windows], np.int64)
-        width = int(self.size.max()) if windows else 0
+        windows, which = np.unique(np.concatenate(found), axis=0, return_inverse=True)
+        owned = np.unique(np.stack([which.ravel(), np.concatenate(owners)], axis=1), axis=0)
+        self.item_of = owned[:, 1].astype(np.int32)  # items of window w: item_of[item_at[w] : item_at[w + 1]]
+        self.item_at = np.searchsorted(owned[:, 0], np.arange(len(windows) + 1))
+        self.size = (windows >= 0).sum(axis=1)
+        by_rarity = sorted(self.ids.items(), key=lambda x: (counts.get(x[0], 0), x[0]))
+        rank = np.full(len(self.ids) + 1, len(self.ids), np.int32)  # the last: no word
+        rank[np.array([i for _, i in by_rarity], np.int64)] = np.arange(len(by_rarity))
         # words of each window from the rarest on, and their places; short windows repeat their first
-        self.order = np.zeros((len(windows), width), np.int32)
-        self.place = np.zeros((len(windows), width), np.int32)
-        for k, w in enumerate(windows):
-            by_rarity = sorted(range(len(w)), key=lambda i, w=w: (*rarity[w[i]], i))
-            by_rarity += by_rarity[:1] * (width - len(w))
-            self.order[k] = [w[i] for i in by_rarity]
-            self.place[k] = by_rarity
-        self.items = [sorted(by_window[w]) for w in windows]
-        prefix = self.order[:, 0] if windows else np.zeros(0, np.int32)
-        self.under = np.argsort(prefix, kind="stable")
-        bounds = np.searchsorted(prefix[self.under], np.arange(len(self.ids) + 1))
+        place = np.argsort(rank[windows], axis=1, kind="stable").astype(np.int16 if window < 1 << 15 else np.int32)
+        self.place = np.where(np.arange(window) < self.size[:, None], place, place[:, :1])
+        self.order = np.take_along_axis(windows, self.place.astype(np.int64), axis=1)
+        self.under = np.argsort(self.order[:, 0], kind="stable")
+        bounds = np.searchsorted(self.order[self.under, 0], np.arange(len(self.ids) + 1))
         self.first, self.many = bounds[:-1], np.diff(bounds)
 
-    def hits(self, ids: np.ndarray, doc_first: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(start place, window) of every occurrence in the concatenated word ids of a batch."""
-        if not len(self.size):
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    def items(self, window: int) -> np.ndarray:
+        return self.item_of[self.item_at[window] : self.item_at[window + 1]]
+
+    def hits(self, ids: np.ndarray, doc_first: np.ndarray, doc: np.ndarray, together: int = CANDIDATES) -> tuple[np.ndarray, np.ndarray]:
+        """(start place, window) of every occurrence in the concatenated word ids of a batch.
+
+        Candidates (an occurrence of a word, a window under it) are made and
+        verified ``together`` at a time, however many there are. Of those that
+        stay, a place has one for each window size at most.
+        """
+        starts, windows = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         known = np.flatnonzero(ids >= 0)
         known = known[self.many[ids[known]] > 0]
-        times = self.many[ids[known]]
-        at = np.repeat(known, times)
-        nth = np.arange(len(at)) - np.repeat(np.cumsum(times) - times, times)
-        window = self.under[self.first[ids[at]] + nth]
-        start = at - self.place[window, 0]
-        own = doc[at]
-        fits = (start >= doc_first[own]) & (start + self.size[window] <= doc_first[own + 1])  # positional and length bounds
-        start, window = start[fits], window[fits]
-        for k in range(1, self.order.shape[1]):
-            same = ids[start + self.place[window, k]] == self.order[window, k]
-            start, window = start[same], window[same]
-        return start, window
+        ends = np.cumsum(self.many[ids[known]])
+        for a in range(0, int(ends[-1]) if len(ends) else 0, together):
+            number = np.arange(a, min(a + together, int(ends[-1])))
+            which = np.searchsorted(ends, number, side="right")
+            at = known[which]
+            nth = number - (ends[which] - self.many[ids[at]])
+            window = self.under[self.first[ids[at]] + nth]
+            start = at - self.place[window, 0]
+            own = doc[at]
+            fits = (start >= doc_first[own]) & (start + self.size[window] <= doc_first[own + 1])  # positional and length bounds
+            start, window = start[fits], window[fits]
+            for k in range(1, self.order.shape[1]):
+                same = ids[start + self.place[window, k]] == self.order[window, k]
+                start, window = start[same], window[same]
+            starts.append(start)
+            windows.append(window)
+        return np.concatenate(starts), np.concatenate(windows)
 
 
 def _count_words(docs: DataFrame, vocabulary: frozenset[bytes]) -> dict[bytes, int]:
@@ -114,20 +130,38 @@ def _count_words(docs: DataFrame, vocabulary: frozenset[bytes]) -> dict[bytes, i
     return {bytes(r.w): r.n for r in counted.toLocalIterator()}  # at most the block's own words
 
 
-def _blocks(items: DataFrame, most: int) -> Iterator[list[tuple[str | None, bytes]]]:
-    """Items in blocks of at most ``most`` characters, dealt by hash (identical rows once)."""
+def _pieces(text: bytes, most: int, window: int) -> Iterator[bytes]:
+    """The text, or, if it is longer than ``most``, pieces that have the same windows between them."""
+    if len(text) <= most:
+        yield text
+        return
+    piece, size, new = [], 0, 0
+    for w in words_of(text):
+        piece.append(w)
+        size, new = size + len(w) + 1, new + 1
+        if size > most and len(piece) >= window:
+            yield b" ".join(piece)
+            piece = piece[len(piece) - window + 1 :]
+            size, new = sum(map(len, piece)) + len(piece), 0
+    if new:
+        yield b" ".join(piece)
+
+
+def _blocks(items: DataFrame, most: int, window: int = WINDOW) -> Iterator[list[tuple[str | None, bytes]]]:
+    """Items in blocks of about ``most`` bytes, dealt by hash (identical rows once); a longer item goes in pieces."""
     rows = items.select(F.col("item_id").cast("string").alias("item_id"), "text").filter("text is not null").distinct()
-    chars = rows.agg(F.sum(F.length("text").cast("bigint"))).first()[0] or 0
-    n = max(1, -(-2 * chars // most))
+    total = rows.agg(F.sum(F.octet_length("text").cast("bigint"))).first()[0] or 0
+    n = max(1, -(-2 * total // most))
     for k in range(n):
         part = rows if n == 1 else rows.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k)
         block, size = [], 0
         for r in part.toLocalIterator():
-            if block and size + len(r.text) > most:
-                yield block
-                block, size = [], 0
-            block.append((r.item_id, r.text.encode()))
-            size += len(r.text)
+            for piece in _pieces(r.text.encode(), most, window):
+                if block and size + len(piece) > most:
+                    yield block
+                    block, size = [], 0
+                block.append((r.item_id, piece))
+                size += len(piece)
         yield block
 
 
@@ -163,7 +197,7 @@ def _mark(texts: list[bytes], index: WindowIndex) -> list[tuple[int, list[tuple[
         d = int(doc[s])
         a = s - int(first[d])
         out[d][1].append((a, a + int(index.size[w])))
-        out[d][2].update(index.names[i] for i in index.items[w] if index.names[i] is not None)
+        out[d][2].update(index.names[i] for i in index.items(w) if index.names[i] is not None)
     return out
 
 
@@ -174,7 +208,7 @@ def find_contamination(docs: DataFrame, items: DataFrame, keep: list[str], windo
     k = len(fields)
     names = [f.name for f in RESULT]
     blocks = 0
-    for block in _blocks(items, block_chars):
+    for block in _blocks(items, block_chars, window):
         vocabulary = frozenset(w for _, text in block for w in words_of(text))
         index = WindowIndex(block, _count_words(docs, vocabulary), window)
         sent = docs.sparkSession.sparkContext.broadcast(index)
